@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import table
+from .common import crc_of_id, table
 
 
 def tokenizer_path() -> str:
@@ -21,15 +22,83 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
 
 
+def op3_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .langid import identify, profiles
+
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(crc_of_id(F.col("doc_id"), 4) == 2, F.lit(False))
+    return identify(docs, profiles(docs.filter(~held))).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .quality import learned, score_lines
+
+    docs = table(spark, sf_dir, "documents")
+    held = F.coalesce(crc_of_id(F.col("doc_id"), 5) == 0, F.lit(False))
+    scored = score_lines(docs, learned(docs, table(spark, sf_dir, "labels")), with_lines=False)
+    return scored.select("doc_id", held.alias("held_out"), "score", "predicted", "lines", "bad_lines")
+
+
+#: The rules, as (verdict, host, path prefix), and hosts that block where no rule fits.
+URL_RULES = [
+    ("block", "com", "/en/"),
+    ("allow", "example.com", "/en/7"),
+    ("allow", "net", "/de/"),
+    ("block", "example.net", "/de/8"),
+    ("block", "org", "/es/"),
+]
+URL_BLOCKED = [f"{site}.example.{top}" for site in ("adult-x", "casino-win", "cheap-pills") for top in ("com", "net", "org")]
+
+
+def op7_urlfilter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .urlfilter import judge
+
+    return judge(table(spark, sf_dir, "pages"), URL_RULES, URL_BLOCKED).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP7_SQL = f"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM cut
+), rules(verdict, h, p) AS (VALUES {", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in URL_RULES)}
+), blocked(b) AS (VALUES {", ".join(f"('{b}')" for b in URL_BLOCKED)}
+)
+SELECT page_id, host, path,
+       (SELECT arg_max(h || p, length(h || p)) FROM rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS rule,
+       coalesce(
+         (SELECT arg_max(verdict, length(h || p)) FROM rules WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)),
+         CASE WHEN EXISTS (SELECT 1 FROM blocked WHERE host = b OR ends_with(host, '.' || b)) THEN 'block' ELSE 'allow' END
+       ) AS verdict
+FROM parts
+"""
+
+
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .secrets import KINDS, labelled_samples, scan, span_text, trained
+
+    docs = table(spark, sf_dir, "documents")
+    found = scan(docs, trained(labelled_samples(docs)))
+    n = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *(n(k) for k in KINDS[:3]), F.sha2(span_text("spans", KINDS[:3]).cast("binary"), 256).alias("base_sha256"), span_text("spans", KINDS).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
+    "op3_langid": op3_langid,
     "op4_simhash": op4_simhash,
+    "op6_quality": op6_quality,
+    "op7_urlfilter": op7_urlfilter,
+    "op8_secrets": op8_secrets,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_urlfilter": OP7_SQL}
