@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Rows of an Arrow batch. Texts can be long, so a batch is kept small; a single row is never split.
-BATCH_ROWS = 512
+BATCH_ROWS = 1024
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,9 +76,10 @@ def ranked(df: DataFrame, groups: list[str], order: Column, bucket: Column, rank
     df = df.withColumn(b, bucket)
     sizes = df.groupBy(*groups, b).agg(F.count(F.lit(1)).alias(n))
     before = Window.partitionBy(*groups).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(*groups, b, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(off))
-    on = [df[c].eqNullSafe(offsets[c]) for c in groups] + [df[b] == offsets[b]]
-    joined = df.join(offsets, on, "inner").select(*[df[c] for c in df.columns], offsets[off])
+    renamed = [F.col(c).alias(f"__of_{k}") for k, c in enumerate([*groups, b])]
+    offsets = sizes.select(*renamed, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(off))
+    on = [F.col(c).eqNullSafe(F.col(f"__of_{k}")) for k, c in enumerate([*groups, b])]
+    joined = df.join(offsets, on, "inner").select(*df.columns, off)
     inner = Window.partitionBy(*groups, b).orderBy(order)
     return joined.withColumn(rank, F.col(off) + F.row_number().over(inner) - 1).drop(b, off)
 

@@ -92,6 +92,33 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *(n(k) for k in KINDS[:3]), F.sha2(span_text("spans", KINDS[:3]).cast("binary"), 256).alias("base_sha256"), span_text("spans", KINDS).alias("spans"))
 
 
+def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .sharding import shard_documents
+
+    return shard_documents(table(spark, sf_dir, "documents"))
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .warc import round_trip
+
+    back = round_trip(table(spark, sf_dir, "pages"))
+    return back.select(F.col("key").alias("page_id"), F.col("length").alias("payload_bytes"), F.col("digest").alias("payload_digest"), F.col("type").alias("record_type"), "refers_to")
+
+
+#: Pages of equal ids and payloads would tie here; ids are unique in the tables.
+OP10_SQL = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha256(coalesce(html, '')) AS d FROM pages
+), f AS (
+  SELECT *, min(page_id) OVER (PARTITION BY d) AS first FROM p
+)
+SELECT page_id, n::BIGINT AS payload_bytes, d AS payload_digest,
+       CASE WHEN n >= 100 AND first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= 100 AND first <> page_id THEN first END AS refers_to
+FROM f
+"""
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_langid": op3_langid,
@@ -99,6 +126,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_quality": op6_quality,
     "op7_urlfilter": op7_urlfilter,
     "op8_secrets": op8_secrets,
+    "op9_sharding": op9_sharding,
+    "op10_warc": op10_warc,
 }
 
-ORACLE_SQL: dict[str, str] = {"op7_urlfilter": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op7_urlfilter": OP7_SQL, "op10_warc": OP10_SQL}
