@@ -13,29 +13,29 @@ table gives no rows; further columns are not read.
 from __future__ import annotations
 
 import os
-import re
 import zlib
 from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, stage, texts, with_row_id
+from .common import map_arrow, stage, with_row_id
 
 SEQUENCE = 4096
 END_ID = 2
 HASH_DIMS, CURVE_DIMS, CURVE_BITS = 1024, 4, 12
 #: Words whose ids a worker keeps.
-CACHE_WORDS = 900_000
+CACHE_WORDS = 400_000
 
-#: Lower-cased texts of these characters only are split at white space, which the tokenizer's own rule never crosses; all others go to the tokenizer whole.
-_PLAIN = re.compile(r"[\t\n\x0b\x0c\r\x20-\x7e\xa1-\xb1\xb4-\xb8\xba\xbb\xbf-\u024f]*")
+#: Texts of these characters only are lowered and split at white space, which the tokenizer's own rule never crosses; all others go to the tokenizer whole.
+_PLAIN = r"^[\t\n\x0b\x0c\r\x20-\x7e\x{a1}-\x{b1}\x{b4}-\x{b8}\x{ba}\x{bb}\x{bf}-\x{12f}\x{131}-\x{24f}]*$"
 #: Marks side by side are one piece to that rule, so only lone ones may be set apart.
-_RUNS = re.compile(r"[^\w\s][^\w\s]|_")
+_RUNS = r"[^\s\pL\pN][^\s\pL\pN]"
 
 
 class WordTokenizer:
@@ -48,40 +48,77 @@ class WordTokenizer:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         self.tokenizer = Tokenizer.from_file(path)
         self.size = self.tokenizer.get_vocab_size()
         self.letters, self.mixed = Tokenizer(self.tokenizer.model), Tokenizer(self.tokenizer.model)
-        self.letters.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
+        self.ends = np.zeros(self.size, bool)
+        self.ends[[k for w, k in self.tokenizer.get_vocab().items() if w.endswith("</w>")]] = True
         self.mixed.pre_tokenizer = self.tokenizer.pre_tokenizer
-        self.known: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u2").tobytes()
 
-    def learn(self, words: set[str]) -> None:
-        missing = words - self.known.keys()
-        if len(self.known) + len(missing) > CACHE_WORDS:
-            self.known.clear()
-            missing = words
-        plain = [w for w in missing if w.isalpha()]
-        other = [w for w in missing if not w.isalpha()]
-        for encoder, new in ((self.letters, plain), (self.mixed, other)):
-            for word, got in zip(new, encoder.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.known[word] = array("H", got.ids).tobytes()
-
-    def words(self, text: str) -> list[str] | None:
-        low = text.lower()
-        if not _PLAIN.fullmatch(low) or "<|" in low:
-            return None
-        return (low if _RUNS.search(low) else low.replace(",", " , ").replace(".", " . ")).split()
-
-    def encode(self, batch: list[str]) -> list[bytes]:
-        split = [self.words(t) for t in batch]
-        self.learn(set().union(*(words for words in split if words)))
-        get = self.known.__getitem__
-        return [self.whole(t) if words is None else b"".join(map(get, words)) for t, words in zip(batch, split, strict=True)]
+    def codes(self, words: list[str]) -> list[bytes]:
+        """Packed ids of distinct words, from the cache or the library."""
+        out = [*map(self.young.get, words)]
+        gaps = [k for k, c in enumerate(out) if c is None]
+        plain: list[int] = []
+        mixed: list[int] = []
+        for k in gaps:
+            code = self.old.get(words[k])
+            if code is None:
+                (plain if words[k].isalpha() else mixed).append(k)
+            out[k] = code
+        if plain:  # words of letters in one text; each one's last id ends a word
+            ids = np.array(self.letters.encode_batch_fast([" ".join([words[k] for k in plain])], add_special_tokens=False)[0].ids, "<u2")
+            cuts = np.flatnonzero(self.ends[ids]) * 2 + 2
+            if len(cuts) == len(plain):
+                raw, a = ids.tobytes(), 0
+                for k, b in zip(plain, cuts.tolist(), strict=True):
+                    out[k] = raw[a:b]
+                    a = b
+            else:
+                mixed += plain
+        for k, got in zip(mixed, self.mixed.encode_batch_fast([words[k] for k in mixed], add_special_tokens=False), strict=True):
+            out[k] = array("H", got.ids).tobytes()
+        if len(self.young) + len(gaps) > CACHE_WORDS // 2:  # words not met since the last change of generations go
+            self.old, self.young = self.young, {}
+        self.young.update((words[k], out[k]) for k in gaps)
+        return out
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts in a row, ends of each text) of a string column, null as empty.
+
+        Arrow splits the texts and finds the distinct words of the batch; only those are looked up in Python.
+        """
+        column = pc.fill_null(column, "")
+        plain = pc.and_(pc.match_substring_regex(column, _PLAIN), pc.invert(pc.match_substring(column, "<|")))
+        low = pc.utf8_lower(pc.if_else(plain, column, ""))
+        apart = pc.replace_substring(pc.replace_substring(low, ",", " , "), ".", " . ")
+        split = pc.ascii_split_whitespace(pc.if_else(pc.match_substring_regex(low, _RUNS), low, apart))
+        words = pc.list_flatten(split).dictionary_encode()
+        per_text = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+        names = words.dictionary.to_pylist()
+        coded = self.codes(names)
+        pool, sizes = np.frombuffer(b"".join(coded), "<u2"), np.fromiter(map(len, coded), np.int64, len(coded)) // 2
+        starts = np.cumsum(sizes) - sizes
+        at = words.indices.to_numpy(zero_copy_only=False)
+        n = sizes[at] if len(at) else np.zeros(0, np.int64)
+        ends = np.cumsum(n)
+        ids = pool[np.arange(ends[-1] if len(ends) else 0) + np.repeat(starts[at] - ends + n, n)] if len(at) else pool[:0]
+        ends = np.append(0, ends)[np.cumsum(per_text)]
+        odd = np.flatnonzero(~plain.to_numpy(zero_copy_only=False))
+        if len(odd):
+            parts = np.split(ids, ends[:-1])
+            for k in odd.tolist():
+                parts[k] = np.frombuffer(self.whole(column[k].as_py()), "<u2")
+            ids, ends = np.concatenate(parts), np.cumsum([len(p) for p in parts])
+        return ids, ends
 
 
 def hilbert_key(cells: np.ndarray, bits: int) -> np.ndarray:
@@ -130,11 +167,12 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFram
         projection = rng.standard_normal((HASH_DIMS, CURVE_DIMS)) / np.sqrt(HASH_DIMS)
         end = np.array([end_id], "<u2").tobytes()
         for batch in batches:
-            ids = [x + end for x in encoder.encode(texts(batch, "text"))]
-            vectors = np.zeros((len(ids), HASH_DIMS))
-            for k, raw in enumerate(ids):
-                own = np.frombuffer(raw, "<u2")[:-1]
+            flat, ends = encoder.encode(batch.column("text"))
+            vectors, ids = np.zeros((len(ends), HASH_DIMS)), []
+            for k, (a, b) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)):
+                own = flat[a:b]
                 vectors[k] = np.bincount(slot[own], sign[own], HASH_DIMS)
+                ids.append(own.tobytes() + end)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("row"), batch.column("doc_id"), pa.array(curve_position(vectors, projection)), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
                 ["row", "doc_id", "key", "tokens", "ids"],
