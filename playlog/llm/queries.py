@@ -16,6 +16,13 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .media import media_features
+
+    own = media_features(table(spark, sf_dir, "documents"))
+    return own.select("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "position", "caption", "text_items")
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .packing import pack
 
@@ -36,6 +43,12 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from .decontaminate import find_leaks
+
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .quality import learned, score_lines
 
@@ -120,9 +133,11 @@ FROM f
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_media": op1_media,
     "op2_packing": op2_packing,
     "op3_langid": op3_langid,
     "op4_simhash": op4_simhash,
+    "op5_decontamination": op5_decontamination,
     "op6_quality": op6_quality,
     "op7_urlfilter": op7_urlfilter,
     "op8_secrets": op8_secrets,
