@@ -75,7 +75,7 @@ def run(spark: SparkSession, liked_pages: Callable[[datetime.datetime | None], D
         mark = merge.watermark(spark.table(LIKED), "added_to_library")
         liked = merge.newer_than(normalize.flatten_liked(liked_pages(mark)), "added_to_library", mark)
         report.liked_downloaded = liked.count()
-        report.liked_inserted = merge.insert_ignore(liked, LIKED, model.LIKED_KEY, [F.desc("added_to_library"), "track_name"]) if report.liked_downloaded else 0
+        report.liked_inserted = merge.insert_ignore(liked, LIKED, model.LIKED_KEY, [-F.unix_micros(F.col("added_to_library").cast("timestamp")), "track_name"]) if report.liked_downloaded else 0
         recent = normalize.flatten_recent(recent_pages())
         merge.replace_table(merge.dedup_first(recent, model.RECENT_KEY, ["track_name"]), RECENT)
         snapshot = spark.table(RECENT)
