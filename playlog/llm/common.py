@@ -84,6 +84,27 @@ def ranked(df: DataFrame, groups: list[str], order: Column, bucket: Column, rank
     return joined.withColumn(rank, F.col(off) + F.row_number().over(inner) - 1).drop(b, off)
 
 
+def unused(df: DataFrame, name: str) -> str:
+    """``name``, or the first numbered form of it that no column has."""
+    held = {c.lower() for c in df.columns}
+    return next(n for n in (name, *(f"{name}_{k}" for k in range(len(held) + 1))) if n.lower() not in held)
+
+
+def ids(df: DataFrame, *more: str) -> DataFrame:
+    """The columns doc_id, as a long, and ``more``."""
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), *more)
+
+
+def keep_rows(df: DataFrame, wanted: Callable[[pa.RecordBatch], list[bool]]) -> DataFrame:
+    """The rows that ``wanted`` marks, with all columns of ``df`` as they are."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(wanted(batch), pa.bool_()))
+
+    return map_arrow(df, run, df.schema)
+
+
 def text_bytes(batch: pa.RecordBatch, name: str) -> list[bytes]:
     """The column's texts as UTF-8, null as empty."""
     return [b"" if x is None else x for x in batch.column(name).cast(pa.binary()).to_pylist()]

@@ -29,7 +29,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow
+from .common import ids as with_ids, keep_rows, map_arrow
 
 SIMILARITY, RECALL, LEAST_WORDS, BLOCK = 0.8, 0.98, 5, 20_000
 #: Coordinates of a key, and the share of coordinates on which walks of sequences at the largest distance agree, as measured in the tests.
@@ -158,7 +158,7 @@ class LeakIndex:
             if len(ids) < n:
                 continue
             enough = known[n:] - known[:-n] >= n - self.edits(n)
-            starts = np.flatnonzero(enough)
+            starts = np.flatnonzero(enough & (ids[: len(enough)] != _PAD))  # a window begins in its document
             if not len(starts):
                 continue
             rare = np.concatenate([[0], np.cumsum(np.append(anchors, False)[inside], dtype=np.int32)])
@@ -223,7 +223,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
                 rows, *rest = zip(*hits, strict=True) if hits else ([],) * 5
                 yield pa.RecordBatch.from_arrays([doc.take(pa.array(rows, pa.int64())), *(pa.array(c, pa.int64()) for c in rest)], ["doc_id", "item_id", "first_word", "words", "distance"])
 
-        part = map_arrow(docs.select("doc_id", "text"), run, "doc_id long, item_id long, first_word long, words long, distance long")
+        part = map_arrow(with_ids(docs, "text"), run, "doc_id long, item_id long, first_word long, words long, distance long")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -232,11 +232,9 @@ def decontaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SI
     """The rows of ``docs`` that hold no window near an item, with their columns."""
     for index in indexes(benchmark, similarity, recall, block):
 
-        def run(batches: Iterator[pa.RecordBatch], index: LeakIndex = index) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                keep = np.ones(batch.num_rows, bool)
-                keep[[h[0] for h in index.search(batch.column("text"))]] = False
-                yield batch.filter(pa.array(keep))
+        def clean(batch: pa.RecordBatch, index: LeakIndex = index) -> list[bool]:
+            leaks = {h[0] for h in index.search(batch.column("text"))}
+            return [k not in leaks for k in range(batch.num_rows)]
 
-        docs = map_arrow(docs, run, docs.schema)
+        docs = keep_rows(docs, clean)
     return docs

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, stage, text_bytes, with_row_id
+from .common import ids, map_arrow, stage, text_bytes, with_row_id
 
 BLOCK, RATE = 64, 8000
 SCHEME = "sha256:"
@@ -202,7 +202,7 @@ def illustrated(docs: DataFrame, caption: str = "document") -> DataFrame:
             cols = [pa.array([len(t) for t in raw], pa.int64()), pa.array(pages, pa.string()), pa.array(digests, pa.string()), pa.array(media, pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), *cols], ["row", "doc_id", "n_bytes", "html", "digest", "media"])
 
-    return map_arrow(with_row_id(docs.select("doc_id", "text"), "row"), run, "row long, doc_id long, n_bytes long, html string, digest string, media binary")
+    return map_arrow(with_row_id(ids(docs, "text"), "row"), run, "row long, doc_id long, n_bytes long, html string, digest string, media binary")
 
 
 def media_features(docs: DataFrame) -> DataFrame:

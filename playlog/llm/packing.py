@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_arrow, stage, with_row_id
+from .common import ids, map_arrow, stage, with_row_id
 
 SEQUENCE = 4096
 END_ID = 2
@@ -168,17 +168,17 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFram
         end = np.array([end_id], "<u2").tobytes()
         for batch in batches:
             flat, ends = encoder.encode(batch.column("text"))
-            vectors, ids = np.zeros((len(ends), HASH_DIMS)), []
+            vectors, coded = np.zeros((len(ends), HASH_DIMS)), []
             for k, (a, b) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)):
                 own = flat[a:b]
                 vectors[k] = np.bincount(slot[own], sign[own], HASH_DIMS)
-                ids.append(own.tobytes() + end)
+                coded.append(own.tobytes() + end)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row"), batch.column("doc_id"), pa.array(curve_position(vectors, projection)), pa.array([len(x) // 2 for x in ids], pa.int64()), pa.array(ids, pa.binary())],
+                [batch.column("row"), batch.column("doc_id"), pa.array(curve_position(vectors, projection)), pa.array([len(x) // 2 for x in coded], pa.int64()), pa.array(coded, pa.binary())],
                 ["row", "doc_id", "key", "tokens", "ids"],
             )
 
-    return map_arrow(with_row_id(docs.select("doc_id", "text"), "row"), run, "row long, doc_id long, key long, tokens long, ids binary")
+    return map_arrow(with_row_id(ids(docs, "text"), "row"), run, "row long, doc_id long, key long, tokens long, ids binary")
 
 
 def _running(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

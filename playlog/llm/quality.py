@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_of_id, map_arrow, text_bytes
+from .common import crc_of_id, keep_rows, map_arrow, text_bytes
 
 SAMPLE, FIT_LINES, FIT_BLOCKS = 2000, 48, 3
 THRESHOLD = 0.3
@@ -247,5 +247,13 @@ def score_lines(docs: DataFrame, field_: LineField, keep: tuple[str, ...] = ("do
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` whose predicted label is 1, with their columns."""
-    scored = score_lines(docs, learned(docs, labels), tuple(docs.columns), threshold, with_lines=False)
-    return scored.filter("predicted = 1").select(*docs.columns)
+    field_ = learned(docs, labels)
+
+    def wanted(batch: pa.RecordBatch) -> list[bool]:
+        out = []
+        for text in text_bytes(batch, "text"):
+            x, lengths = line_features(text)
+            out.append(field_.score(field_.marginals(x), lengths) >= threshold)
+        return out
+
+    return keep_rows(docs, wanted)

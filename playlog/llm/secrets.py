@@ -72,10 +72,12 @@ class KeyModel:
         for word in words:
             c = self._codes(word)
             np.add.at(counts, (c[:-2], c[1:-1], c[2:]), 1)
-        lower = counts.sum(0) + 0.5  # a first-order model backs the second-order one
-        lower /= lower.sum(1, keepdims=True)
-        mixed = counts + 8 * lower
-        return np.log(mixed / mixed.sum(2, keepdims=True))
+        single = counts.sum((0, 1)) + 0.5  # each order backs the one above it, so that contexts not met are judged by their characters
+        single /= single.sum()
+        double = counts.sum(0) + 8 * single
+        double /= double.sum(1, keepdims=True)
+        triple = counts + 8 * double
+        return np.log(triple / triple.sum(2, keepdims=True))
 
     def of(self, word: str) -> float:
         """Mean log-likelihood ratio of the word's characters, random against ordinary."""
@@ -91,6 +93,25 @@ def random_keys(n: int = SAMPLE_KEYS, seed: int = 7) -> list[str]:
     return ["".join(draw.choices(kinds[k % len(kinds)], k=draw.randint(20, 64))) for k in range(n)]
 
 
+#: Ordinary names that stand in every sample, so that a small corpus still trains a model.
+COMMON = """about account action address after application array author before begin body border boolean buffer build button cache
+calendar callback category channel character check child client close code collection color column command comment
+company component config connection console container content context control convert country create current customer
+data database date default delete description detail device dictionary directory display document domain download
+element email enable encoding engine entity error event example exception export factory feature field file filter
+folder format function gateway graph group handler header height history host html http https image import index info
+input instance integer interface internal invalid invoice item java json keyboard label language layout length level
+library license limit list listener local location login long manager mapping message method model module month name
+network node notification null number object offset operation option order output package page parameter parent parser
+path pattern payment person phone picture pipeline platform player point policy position previous price process product
+profile project property protocol provider public query queue random range reader record region register release
+remote report repository request resource response result return role route schedule schema screen script search
+section select sender server service session settings shape shared source special stack start state static status
+storage stream string style subject submit summary support system table target task template test text theme thread
+time title total track transaction transfer type unique unknown update upload user utility validation value variable
+vector vendor version video view visible wait warning website week width window word worker write year""".split()
+
+
 #: Shapes of names in programs, made of the corpus's own words.
 def identifiers(words: list[str], seed: int = 7) -> list[str]:
     draw = random.Random(seed)
@@ -119,7 +140,7 @@ def labelled_samples(docs: DataFrame) -> list[tuple[str, int]]:
             yield pa.RecordBatch.from_arrays([pa.array(sorted(own), pa.string())], ["word"])
 
     words = sorted(r[0] for r in map_arrow(some, run, "word string").distinct().orderBy(F.xxhash64("word"), "word").limit(40_000).collect())
-    return [(k, 1) for k in random_keys()] + [(w, 0) for w in identifiers(words)]
+    return [(k, 1) for k in random_keys()] + [(w, 0) for w in [*identifiers(COMMON), *identifiers(words)]]
 
 
 def trained(samples: list[tuple[str, int]]) -> KeyModel:
@@ -141,22 +162,19 @@ def find_spans(text: str, model: KeyModel, least: float = RATIO) -> list[tuple[i
     return sorted(out + more, key=lambda s: (s[0], KINDS.index(s[2]), s[1])) if more else out
 
 
-def scan(docs: DataFrame, model: KeyModel, keep: tuple[str, ...] = ("doc_id",), redact: str | None = None) -> DataFrame:
-    """(keep..., spans): array of struct(kind, start, end), in order; with ``redact``, ``text`` with each stretch of spans replaced by it."""
+def spans_of(raw: bytes, model: KeyModel) -> list[tuple[int, int, str]]:
+    """All spans of a UTF-8 text; most texts are done after a few passes over their bytes."""
+    base, runs = _may_hold(raw)
+    return find_spans(raw.decode(), model) if runs else base_spans(raw.decode()) if base else []
+
+
+def scan(docs: DataFrame, model: KeyModel, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """(keep..., spans): array of struct(kind, start, end), in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found, clean = [], []
-            for raw in text_bytes(batch, "text"):
-                base, runs = _may_hold(raw)
-                spans = find_spans(raw.decode(), model) if runs else base_spans(raw.decode()) if base else []
-                found.append([{"kind": k, "start": a, "end": b} for a, b, k in spans])
-                if redact is not None:
-                    clean.append(replaced(raw.decode(), spans, redact) if spans else None)
+            found = [[{"kind": k, "start": a, "end": b} for a, b, k in spans_of(raw, model)] for raw in text_bytes(batch, "text")]
             cols = [batch.column(c) for c in keep]
-            if redact is not None:
-                old = batch.column("text").to_pylist()
-                cols[keep.index("text")] = pa.array([o if c is None else c for o, c in zip(old, clean, strict=True)], pa.string())
             kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays([*cols, pa.array(found, kind)], [*keep, "spans"])
 
@@ -178,10 +196,23 @@ def replaced(text: str, spans: list[tuple[int, int, str]], by: str) -> str:
 
 def redacted(docs: DataFrame, model: KeyModel, by: str = "<secret>") -> DataFrame:
     """``docs`` with its columns; each stretch of spans is replaced in ``text``, and ``n_chars``, where present, follows."""
-    out = scan(docs, model, tuple(docs.columns), redact=by)
-    if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("spans") > 0, F.length("text").cast(dict(docs.dtypes)["n_chars"])).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            new: dict[int, str] = {}
+            for k, raw in enumerate(text_bytes(batch, "text")):
+                if spans := spans_of(raw, model):
+                    new[k] = replaced(raw.decode(), spans, by)
+            if new:
+                for name, value in (("text", lambda t: t), ("n_chars", len)):
+                    at = batch.schema.get_field_index(name)
+                    if at >= 0:
+                        old = batch.column(at)
+                        col = [value(new[k]) if k in new else x for k, x in enumerate(old.to_pylist())]
+                        batch = batch.set_column(at, batch.schema.field(at), pa.array(col, old.type))
+            yield batch
+
+    return map_arrow(docs, run, docs.schema)
 
 
 def span_text(spans: str, kinds: tuple[str, ...]) -> F.Column:

@@ -2,8 +2,8 @@
 
 Links are given as groups of documents: two documents are linked if they share a group. Documents start spread
 evenly; in each round every linked document votes for the shard that holds most of its neighbours, and moves
-there as far as the shard's quota lasts. Documents that stay come first, then those with most neighbours there.
-A document that finds no room waits and votes again among the shards with room left. At last documents without
+there as far as the shard's quota lasts. Documents with most neighbours there come first, those of a group in a
+row. A document that finds no room waits and votes again among the shards with room left. At last documents without
 links, and any that still wait, fill the free places, so that the shards' counts differ by one at most.
 
 Votes are counted by (group, shard) before the shuffle, and quotas are shared out by counts over buckets, so
@@ -35,12 +35,14 @@ def _capacity(n: int, shards: int) -> Column:
 
 
 def _admitted(wishes: DataFrame, room: DataFrame, n: int) -> DataFrame:
-    """Column ``ok`` for each wish (row, wish, rank class ``gain``): within the room of the wished shard, higher gains first.
+    """Column ``ok`` for each wish (row, wish, gain, anchor, members): within the room of the wished shard, higher gains first.
 
-    Counts by (wish, gain, bucket) give each bucket the places before it; only a bucket that the quota cuts is
-    numbered row by row, and a bucket holds a bounded number of rows.
+    The rows of an anchor group follow one another, so that a quota cuts one group of those with equal gains; a
+    bucket holds about BUCKET_ROWS rows, as larger groups are spread over several.
     """
-    ordered = ranked(wishes, ["wish"], F.col("row"), F.struct((-F.col("gain")).alias("g"), _spread(n, "row", F.lit(3)).alias("b")), "place")
+    parts = F.ceil(F.col("members") / BUCKET_ROWS).cast("int")
+    bucket = F.struct((-F.col("gain")).alias("g"), _spread(n, "anchor").alias("b"), F.pmod(F.xxhash64("row"), parts).cast("int").alias("c"))
+    ordered = ranked(wishes, ["wish"], F.struct("anchor", "row"), bucket, "place")
     return ordered.join(F.broadcast(room), ordered["wish"] == room["shard"]).withColumn("ok", F.col("place") < F.col("free")).drop("free", "shard", "place")
 
 
@@ -49,7 +51,7 @@ def propagate(docs: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: i
     n = docs.count()
     pairs = stage(links.filter("row is not null and `group` is not null").select("row", "group").distinct(), "shard-links")
     sizes = pairs.groupBy("group").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    pairs = stage(pairs.join(sizes, "group").select("row", "group"), "shard-links")
+    pairs = stage(pairs.join(sizes, "group").select("row", "group", "members"), "shard-links")
     linked = pairs.select("row").distinct()
     # an even start; the first votes break even by a hash of the group, so that its members agree on one shard
     state = stage(linked.withColumn("shard", F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")), "shard-state")
@@ -59,17 +61,16 @@ def propagate(docs: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: i
         held = settled.groupBy("shard").agg(F.count(F.lit(1)).alias("held"))
         room = all_shards.join(held, "shard", "left").select("shard", (_capacity(n, shards) - F.coalesce("held", F.lit(0))).alias("free"))
         votes = pairs.join(state, "row").groupBy("group").agg(*(F.count(F.when(F.col("shard") == s, 1)).alias(f"v{s}") for s in range(shards)))
-        known = pairs.join(votes, "group").groupBy("row").agg(F.min("group").alias("anchor"), *(F.sum(f"v{s}").alias(f"v{s}") for s in range(shards)))
+        known = pairs.join(votes, "group").groupBy("row").agg(F.min("group").alias("anchor"), F.max("members").alias("members"), *(F.sum(f"v{s}").alias(f"v{s}") for s in range(shards)))
         known = known.join(state, "row")
         full = [r["shard"] for r in room.filter("free <= 0").collect()] if k else []  # shard numbers
         best = F.array_max(
             F.array(*(F.struct((F.col(f"v{s}") - (F.lit(s).isin(full) & ~F.col("shard").eqNullSafe(s)).cast("long") * n).alias("n"), F.xxhash64("anchor", F.lit(s)).alias("tie"), F.lit(s).alias("s")) for s in range(shards)))
         )
-        wishes = known.withColumn("best", best).select("row", "shard", F.col("best.s").alias("wish"), F.col("best.n").alias("n"))
-        stays = F.col("wish").eqNullSafe(F.col("shard"))
-        gain = F.when(stays, 64).otherwise(F.least(F.lit(63), F.floor(F.log2(F.greatest(F.col("n"), F.lit(1)) + 1)))).cast("int")
+        wishes = known.withColumn("best", best).select("row", "anchor", "members", F.col("best.s").alias("wish"), F.col("best.n").alias("n"))
+        gain = F.floor(F.log2(F.greatest(F.col("n"), F.lit(1)))).cast("int")
         capacity = all_shards.select("shard", _capacity(n, shards).alias("free"))
-        state = stage(_admitted(wishes.select("row", "wish", gain.alias("gain")), capacity, n).select("row", F.when(F.col("ok"), F.col("wish")).alias("shard")), "shard-state")
+        state = stage(_admitted(wishes.withColumn("gain", gain), capacity, n).select("row", F.when(F.col("ok"), F.col("wish")).alias("shard")), "shard-state")
         if not state.filter("shard is null").limit(1).count() and k:
             break
     return _filled(docs, state, all_shards, n, shards)
@@ -102,7 +103,7 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS, rounds: int = ROUNDS)
     The texts are read once, for their size and digest; all else works on a narrow table.
     """
     raw = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    narrow = docs.select("doc_id", (F.octet_length(raw) + 8).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"), F.unhex(F.sha2(raw, 256)).alias("group"), F.monotonically_increasing_id().alias("row"))
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(raw) + 8).cast("long").alias("size"), F.crc32(raw).alias("text_crc32"), F.unhex(F.sha2(raw, 256)).alias("group"), F.monotonically_increasing_id().alias("row"))
     narrow = stage(narrow, "shard-docs")
     placed = stage(propagate(narrow, narrow.select("row", "group"), shards, rounds), "shard-placed")
     n = narrow.count()

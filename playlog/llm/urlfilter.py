@@ -173,4 +173,4 @@ def judge(pages: DataFrame, rules: list[tuple[str, str, str]], blocked: list[str
             cols = list(zip(*rows, strict=True)) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), *(pa.array(c, pa.string()) for c in cols)], ["page_id", "host", "path", "rule", "verdict", "listed_key"])
 
-    return pages.select("page_id", "url").mapInArrow(run, "page_id long, host string, path string, rule string, verdict string, listed_key string")
+    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url").mapInArrow(run, "page_id long, host string, path string, rule string, verdict string, listed_key string")

@@ -47,7 +47,7 @@ def roles(pages: DataFrame, key: str = "page_id", payload: str = "html") -> Data
     split at a hot one. Of equal smallest ids, the first row by row number is the response.
     """
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
-    rows = pages.select(F.col(key).alias("key"), F.col("url").cast("string").alias("url"), body.alias("payload"), F.monotonically_increasing_id().alias("row"))
+    rows = pages.select(F.col(key).cast("long").alias("key"), F.col("url").cast("string").alias("url"), body.alias("payload"), F.monotonically_increasing_id().alias("row"))
     rows = rows.withColumn("digest", F.sha2("payload", 256))
     first = F.min(F.struct(F.col("key").isNull().alias("n"), "key", "row")).alias("first")
     firsts = rows.filter(F.octet_length("payload") >= REVISIT_BYTES).groupBy("digest").agg(first, F.count(F.lit(1)).alias("copies")).filter("copies > 1")
@@ -132,7 +132,7 @@ def read_records(handle) -> Iterator[bytes]:
     coder, rest = zstandard.ZstdDecompressor(dict_data=words), b""
     while True:
         part = coder.decompressobj()
-        out = []
+        out: list[bytes] = []
         while not part.eof:
             if not rest:
                 rest = handle.read(1 << 20)
@@ -141,7 +141,7 @@ def read_records(handle) -> Iterator[bytes]:
             out.append(part.decompress(rest))
             rest = part.unused_data if part.eof else b""
         if not part.eof:
-            if any(out):
+            if out:
                 raise ValueError("the archive is cut off")
             return
         yield b"".join(out)
