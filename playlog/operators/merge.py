@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def dedup_first(df: DataFrame, key: list[str] | tuple[str, ...], order: list[str | Column]) -> DataFrame:
-    """The first row of each key in ``order``; keys compare with null as a value of its own.
+    """The first row of each key in ascending ``order``; keys compare with null as a value of its own.
 
     The minimum of a struct is combined before the shuffle, so that a key that repeats much stays cheap; every
     other column must be orderable, else a window takes over.
@@ -18,8 +18,10 @@ def dedup_first(df: DataFrame, key: list[str] | tuple[str, ...], order: list[str
     if any(isinstance(df.schema[c].dataType, _UNORDERED) for c in rest):
         w = Window.partitionBy(*key).orderBy(*order)
         return df.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
-    first = F.min(F.struct(*(F.col(o).alias(f"__o{k}") if isinstance(o, str) else o.alias(f"__o{k}") for k, o in enumerate(order)), *rest))
-    return df.groupBy(*key).agg(first.alias("__first")).select(*[F.col(c) if c in key else F.col(f"__first.{c}").alias(c) for c in df.columns])
+    by = [o if isinstance(o, str) else f"__order{k}" for k, o in enumerate(order)]
+    fields = [F.col(o) if isinstance(o, str) else o.alias(n) for o, n in zip(order, by, strict=True)] + [F.col(c) for c in rest if c not in by]
+    first = F.min(F.struct(*fields)) if fields else F.lit(None)
+    return df.groupBy(*key).agg(first.alias("__first")).select(*[F.col(c) if c in key else F.col("__first")[c].alias(c) for c in df.columns])
 
 
 def _unordered() -> tuple:
