@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from .common import map_arrow, stage, text_bytes, with_row_id
+from .common import map_arrow, stage, text_bytes, unused, with_row_id
 from .components import components
 
 SHINGLE, SEED, RADIUS = 3, 42, 2
@@ -143,7 +143,9 @@ def _blocks(points: np.ndarray, index: np.ndarray, union: _Union, within: int) -
         own = todo.pop()
         if len(own) <= BLOCK:
             p = points[own]
-            a, b = np.nonzero(np.triu(np.bitwise_count(p[:, None] ^ p[None, :]) <= within, 1))
+            at = np.flatnonzero((np.bitwise_count(p[:, None] ^ p[None, :]) <= within).ravel())
+            a, b = np.divmod(at, len(p))
+            a, b = a[a < b], b[a < b]
             if len(a) > 20 * len(own):
                 _flood(points, own, union, within)
             else:
@@ -190,7 +192,9 @@ def fingerprint_links(fps: DataFrame, within: int = RADIUS, shard: int = SHARD)
         a, b = shard_links(pdf["fp"].to_numpy(), within)
         return pd.DataFrame({"a": a, "b": b})
 
-    return fps.mapInArrow(deal, "leaf int, fp long").groupBy("leaf").applyInPandas(search, "a long, b long")
+    # the stage is short of bytes and long of work, so it keeps a partition for each shard
+    dealt = fps.mapInArrow(deal, "leaf int, fp long").repartition(2**depth, "leaf")
+    return dealt.groupBy("leaf").applyInPandas(search, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, within: int = RADIUS, shingle: int = SHINGLE, by: str = "doc_id") -> DataFrame:
@@ -203,17 +207,20 @@ def near_duplicates(docs: DataFrame, within: int = RADIUS, shingle: int = SHINGL
     marked = stage(fingerprints(docs, shingle, (by,)), "simhash")
     points = stage(marked.groupBy("fp").agg(F.min(by).alias("least")), "simhash-points")
     roots = components(fingerprint_links(points.select("fp"), within))
-    rooted = points.join(roots, points["fp"] == roots["a"], "left").select("fp", F.coalesce("root", "fp").alias("root"), "least")
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    classes = rooted.select(F.col("fp").alias("point"), "root").join(least, "root").select("point", "component_id")
+    linked = points.join(roots, points["fp"] == roots["a"]).select(F.col("fp").alias("point"), "root", "least")
+    # written, so that both sides of the next join are dealt for it alone and a hot component can be split
+    firsts = stage(linked.groupBy("root").agg(F.min("least").alias("first")), "simhash-firsts").withColumnRenamed("root", "__root")
+    moved = linked.join(firsts, linked["root"] == firsts["__root"]).select("point", "first")
+    classes = points.join(moved, points["fp"] == moved["point"], "left").select(F.col("fp").alias("point"), F.coalesce("first", "least").alias("component_id"))
     joined = marked.join(classes, marked["fp"] == classes["point"])
     return joined.select(by, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
 def deduplicated(docs: DataFrame, within: int = RADIUS, shingle: int = SHINGLE) -> DataFrame:
     """``docs`` with one row of each component, that with the smallest doc_id (of equal ids any one)."""
-    rows = stage(with_row_id(docs, "__row"), "dedup-rows")
-    order = rows.select("__row", F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "__row").alias("id"), "text")
+    name = unused(docs, "__row")
+    rows = stage(with_row_id(docs, name), "dedup-rows")
     # a struct orders by doc_id, then row; the operator only needs its minimum
-    found = near_duplicates(order, within, shingle, by="id").filter("id = component_id").select(F.col("id.__row").alias("__kept"))
-    return rows.join(found, rows["__row"] == found["__kept"], "left_semi").drop("__row")
+    order = rows.select(F.struct(F.col("doc_id").isNull().alias("n"), F.col("doc_id").cast("long").alias("doc"), F.col(name).alias("row")).alias("id"), "text")
+    found = near_duplicates(order, within, shingle, by="id").filter("id = component_id").select(F.col("id.row").alias("__kept"))
+    return rows.join(found, rows[name] == found["__kept"], "left_semi").select(*docs.columns)
