@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -20,3 +20,11 @@ def join_names(artists: str | Column) -> Column:
 def strip_zeros(text: str | Column) -> Column:
     """Without leading zeros."""
     return F.regexp_replace(text, "^0+", "")
+
+
+def fold_case(df: DataFrame, *columns: str) -> DataFrame:
+    """``df`` with ``columns`` compared without regard to case and accents in later groups, joins and distinct counts.
+
+    The library compares exactly by default; a database whose collation folds case gives these results instead.
+    """
+    return df.withColumns({c: F.collate(c, "UNICODE_CI_AI") for c in columns})

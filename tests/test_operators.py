@@ -263,3 +263,9 @@ def test_streaming_sessions(spark, tmp_path):
 def test_nan(spark):
     df = spark.createDataFrame([(float("nan"), "x"), (1.0, None)], "v double, s string")
     assert [r.v for r in files.without_nan(df).collect()] == [None, 1.0]
+
+
+def test_folded_case(spark):
+    df = events(spark, [(0, "Caf\u00e9", "t", "x", 1), (1, "CAFE", "t", "x", 1)])
+    assert analytics.loyalty(df).count() == 2
+    assert analytics.loyalty(text.fold_case(df, "artist_name")).count() == 1
