@@ -36,9 +36,21 @@ def shared_dir(spark: SparkSession) -> str:
     return own
 
 
+_staged: list[str] = []
+
+
 def fresh_path(spark: SparkSession, tag: str) -> str:
     """A path in the shared folder that nothing uses yet."""
-    return f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    _staged.append(path)
+    return path
+
+
+def sweep(spark: SparkSession) -> int:
+    """Delete what this process has staged so far; call it once the results that rest on it are written. Returns how many paths went."""
+    paths, _staged[:] = list(_staged), []
+    conf, Path = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
+    return sum(bool(Path(p).getFileSystem(conf).delete(Path(p), True)) for p in paths)
 
 
 def stage(df: DataFrame, tag: str) -> DataFrame:

@@ -31,7 +31,7 @@ from .common import crc_of_id, keep_rows, map_arrow, text_bytes
 
 SAMPLE, FIT_LINES, FIT_BLOCKS = 2000, 48, 3
 THRESHOLD = 0.3
-STEPS, RATE, PENALTY = 160, 0.08, 2e-3
+STEPS, RATE, PENALTY, REACH, RIDGE = 160, 0.08, 4e-3, 4.0, 1e-3
 
 _MARKS, _UPPER, _DIGITS = b"#$%&*+<>=@[]^_`{|}~\\", bytes(range(65, 91)), b"0123456789"
 FEATURES = 13
@@ -90,9 +90,13 @@ class LineField:
     shift: float = 0.0
     constant: float | None = None
 
+    def scaled(self, x: np.ndarray) -> np.ndarray:
+        """Standard units, cut at REACH, so that no odd feature outweighs all others."""
+        return np.clip((x - self.mean) / self.spread, -REACH, REACH)
+
     def marginals(self, x: np.ndarray) -> list[float]:
         """P(good) of each line: ratios of the forward and backward messages, which need no rescaling."""
-        scores = np.clip((with_neighbours(x) - self.mean) / self.spread @ self.weights + self.bias, -30, 30)
+        scores = np.clip(self.scaled(with_neighbours(x)) @ self.weights + self.bias, -30, 30)
         gain = np.exp(scores).tolist()
         (bb, bg), (gb, gg) = np.exp(self.moves).tolist()
         ahead, r = [gain[0]], gain[0]
@@ -144,7 +148,7 @@ def fit(blocks: list[tuple[np.ndarray, int]]) -> LineField:
     x = np.zeros((len(blocks), t_max, every.shape[1]))
     mask, y = np.zeros((len(blocks), t_max), bool), np.array([[v] for _, v in blocks], float)
     for k, (own, _) in enumerate(blocks):
-        x[k, : len(own)], mask[k, : len(own)] = (own - field_.mean) / field_.spread, True
+        x[k, : len(own)], mask[k, : len(own)] = field_.scaled(own), True
     flat, rows = x[mask], mask.sum()
     theta = np.zeros(every.shape[1] + 1 + 4)
     seen = np.zeros((2, 2))
@@ -165,15 +169,15 @@ def fit(blocks: list[tuple[np.ndarray, int]]) -> LineField:
 
 
 def calibrate(field_: LineField, scored: list[tuple[float, int, float]]) -> None:
-    """Slope and shift of the final curve by Newton's steps over (raw score, label, weight)."""
+    """Slope and shift of the final curve by Newton's steps over (raw score, label, weight); both classes weigh alike."""
     raw, y, w = (np.array(c, float) for c in zip(*scored, strict=True))
     raw = np.clip(raw, 1e-6, 1 - 1e-6)
     x = np.stack([np.log(raw / (1 - raw)), np.ones(len(raw))], 1)
-    beta = np.array([1.0, 0.0])
+    beta, ridge = np.array([1.0, 0.0]), np.array([RIDGE, 1e-4])  # a slope near 1 unless the labels say otherwise: separable samples would make it endless
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        hess = (x * (w * p * (1 - p))[:, None]).T @ x + 1e-3 * w.sum() * np.diag([1e-3, 1e-4])
-        beta += np.clip(np.linalg.solve(hess, x.T @ (w * (y - p)) - 1e-6 * w.sum() * beta), -2, 2)
+        hess = (x * (w * p * (1 - p))[:, None]).T @ x + w.sum() * np.diag(ridge)
+        beta += np.clip(np.linalg.solve(hess, x.T @ (w * (y - p)) - w.sum() * ridge * (beta - [1.0, 0.0])), -2, 2)
     field_.slope, field_.shift = float(max(beta[0], 0.05)), float(beta[1])
 
 
@@ -215,7 +219,7 @@ def learned(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0)
     scored = []
     for r, (x, label) in zip(rows, blocks, strict=True):
         lengths = np.array(r["lengths"]) + 1
-        scored.append((float(np.dot(field_.marginals(x[:, :FEATURES]), lengths) / lengths.sum()), label, counts[label] / drawn[label]))
+        scored.append((float(np.dot(field_.marginals(x[:, :FEATURES]), lengths) / lengths.sum()), label, len(rows) / drawn[label]))
     calibrate(field_, scored)
     return field_
 

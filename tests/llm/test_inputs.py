@@ -107,3 +107,21 @@ def test_stages_on_awkward_rows(spark, docs, labels, benchmark, tmp_path, which)
 def test_repeated_rows_leave_one(spark):
     df = spark.createDataFrame([(1, "a b c d e")] * 3 + [(None, "a b c d e"), (2, "quite other words stand here")], "doc_id long, text string")
     assert sorted(r.doc_id for r in simhash.deduplicated(df).collect()) == [1, 2]
+
+
+def test_sweep_and_shared_folder(spark):
+    from playlog.llm import common
+
+    common.sweep(spark)
+    df = common.stage(spark.range(3), "sweep")
+    assert df.count() == 3 and df.inputFiles()[0].startswith(common.shared_dir(spark))
+    assert common.sweep(spark) == 1 and common.sweep(spark) == 0
+
+
+def test_ranks_are_gapless(spark):
+    from playlog.llm.common import ranked
+
+    df = spark.range(200).select(F.col("id"), F.when(F.col("id") < 150, "hot").otherwise(None).alias("g"))
+    out = ranked(df, ["g"], F.col("id"), (F.col("id") % 7).cast("int"), "r").collect()
+    for g in ("hot", None):
+        assert sorted(r.r for r in out if r.g == g) == list(range(150 if g else 50))
