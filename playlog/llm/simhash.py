@@ -31,6 +31,8 @@ from .components import components
 SHINGLE, SEED, RADIUS = 3, 42, 2
 #: Fingerprints of a shard, of the sample that the tree's upper levels are built from, and of a block without inner nodes.
 SHARD, SAMPLE, BLOCK = 2048, 32768, 1024
+#: A node whose halves, borders included, hold more than this multiple of its points is a dense cluster, which spheres don't part.
+OVERLAP = 1.6
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -71,8 +73,8 @@ def _vantage(points: np.ndarray) -> tuple[np.uint64, int]:
     return best, int(np.median(distance(points, best)))
 
 
-def build_tree(sample: np.ndarray, depth: int) -> list[tuple[int, int] | None]:
-    """The upper levels as a heap: node k has children 2k+1 (within the radius) and 2k+2."""
+def build_tree(sample: np.ndarray, depth: int, within: int = RADIUS) -> list[tuple[int, int] | None]:
+    """The upper levels as a heap: node k has children 2k+1 (within the radius) and 2k+2; all points of a node without vantage go to the first."""
     tree: list[tuple[int, int] | None] = [None] * (2**depth - 1)
     held = {0: np.unique(sample)}
     for k in range(len(tree)):
@@ -81,8 +83,12 @@ def build_tree(sample: np.ndarray, depth: int) -> list[tuple[int, int] | None]:
             held[2 * k + 1], held[2 * k + 2] = own, own[:0]
             continue
         point, radius = _vantage(own)
+        d = distance(own, point)
+        if (d <= radius + within).sum() + (d > radius).sum() > OVERLAP * len(own):
+            held[2 * k + 1], held[2 * k + 2] = own, own[:0]
+            continue
         tree[k] = (int(point), radius)
-        near = distance(own, point) <= radius
+        near = d <= radius
         held[2 * k + 1], held[2 * k + 2] = own[near], own[~near]
     return tree
 
@@ -155,7 +161,7 @@ def _blocks(points: np.ndarray, index: np.ndarray, union: _Union, within: int) -
         point, radius = _vantage(points[own])
         d = distance(points[own], point)
         near, far = own[d <= radius + within], own[d > radius]
-        if max(len(near), len(far)) > 0.95 * len(own):  # a cluster that no sphere parts
+        if len(near) ** 2 + len(far) ** 2 > 0.97 * len(own) ** 2:  # parting would cost as much as taking every distance
             _flood(points, own, union, within)
         else:
             todo += [near, far]
@@ -180,7 +186,7 @@ def fingerprint_links(fps: DataFrame, within: int = RADIUS, shard: int = SHARD)
     if depth:
         cut = int(share * 2**32)
         sample = [r[0] for r in fps.filter((F.xxhash64("fp", F.lit(7)).bitwiseAND(F.lit(0xFFFFFFFF))) < cut).limit(SAMPLE).collect()]
-    tree = build_tree(np.sort(np.array(sample, np.int64)).view(np.uint64), depth)
+    tree = build_tree(np.sort(np.array(sample, np.int64)).view(np.uint64), depth, within)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
