@@ -201,25 +201,26 @@ def learned(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0)
             out = []
             for text, label in zip(text_bytes(batch, "text"), batch.column("label").to_pylist(), strict=True):
                 x, lengths = line_features(text)
-                both, n = with_neighbours(x), len(x)
+                n = len(x)
                 starts = [0] if n <= FIT_LINES else np.unique(np.linspace(0, n - FIT_LINES, min(FIT_BLOCKS, -(-n // FIT_LINES))).astype(int)).tolist()
-                out += [(label, both[s : s + FIT_LINES].ravel().tolist(), lengths[s : s + FIT_LINES].tolist()) for s in starts]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.int32(), pa.list_(pa.float64()), pa.list_(pa.float64())))], ["label", "x", "lengths"])
+                block = np.hstack([x, lengths[:, None]]).astype(np.float32)
+                out += [(label, block[s : s + FIT_LINES].tobytes()) for s in starts]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.int32(), pa.binary()))], ["label", "x"])
 
-    # at most 2 * SAMPLE ids are broadcast, and their blocks' features collected
-    rows = map_arrow(docs.select("doc_id", "text").join(F.broadcast(picks), "doc_id").select("text", "label"), run, "label int, x array<double>, lengths array<double>").limit(4 * SAMPLE * FIT_BLOCKS).collect()
+    # at most 2 * SAMPLE ids are broadcast, and of each at most FIT_BLOCKS blocks are collected, 2.7 kB a block
+    rows = map_arrow(docs.select("doc_id", "text").join(F.broadcast(picks), "doc_id").select("text", "label"), run, "label int, x binary").limit(4 * SAMPLE * FIT_BLOCKS).collect()
     own.unpersist()
     if len({r["label"] for r in rows}) < 2:
         return LineField(constant=counts.get(1, 0) / sum(counts.values()))
-    wide = 3 * FEATURES + 2
-    rows = sorted(rows, key=lambda r: (r["label"], r["x"]))
-    blocks = [(np.array(r["x"]).reshape(-1, wide), r["label"]) for r in rows]
+    rows = sorted(((r["label"], bytes(r["x"])) for r in rows))
+    plain = [np.frombuffer(x, np.float32).reshape(-1, FEATURES + 1).astype(float) for _, x in rows]
+    blocks = [(with_neighbours(x[:, :-1]), label) for x, (label, _) in zip(plain, rows, strict=True)]
     field_ = fit(blocks)
-    drawn = {v: sum(r["label"] == v for r in rows) for v in (0, 1)}
+    drawn = {v: sum(label == v for label, _ in rows) for v in (0, 1)}
     scored = []
-    for r, (x, label) in zip(rows, blocks, strict=True):
-        lengths = np.array(r["lengths"]) + 1
-        scored.append((float(np.dot(field_.marginals(x[:, :FEATURES]), lengths) / lengths.sum()), label, len(rows) / drawn[label]))
+    for x, (label, _) in zip(plain, rows, strict=True):
+        lengths = x[:, -1] + 1
+        scored.append((float(np.dot(field_.marginals(x[:, :-1]), lengths) / lengths.sum()), label, len(rows) / drawn[label]))
     calibrate(field_, scored)
     return field_
 

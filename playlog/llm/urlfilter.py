@@ -26,7 +26,7 @@ from xxhash import xxh3_128_intdigest
 
 from .common import stage
 
-MAX_BITS, CHUNK = 1 << 31, 1 << 15
+MAX_BITS, CHUNK = 1 << 29, 1 << 15
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
