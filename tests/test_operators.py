@@ -269,3 +269,19 @@ def test_folded_case(spark):
     df = events(spark, [(0, "Caf\u00e9", "t", "x", 1), (1, "CAFE", "t", "x", 1)])
     assert analytics.loyalty(df).count() == 2
     assert analytics.loyalty(text.fold_case(df, "artist_name")).count() == 1
+
+
+def test_csv_times_with_and_without_fraction(spark, tmp_path):
+    (tmp_path / "r.csv").write_bytes(b'played_at,track_id,track_uri,track_name,artist_name,album_name,duration_ms\r\n2026-07-07 20:57:13,1,u,"a, b",A,L,5\r\n2026-07-07 20:55:13.750000,2,u,t,A,L,5\r\n')
+    rows = files.read_csv(spark, f"{tmp_path}/r.csv", model.RECENT)
+    assert [r.time for r in normalize.from_recent(rows).orderBy("track_id").collect()] == ["20:57:13", "20:55:14"]
+    df = spark.createDataFrame([("2024-01-01T00:00:00Z",), ("2024-01-01T00:00:00.5Z",), ("later",), (None,)], "s string").select(calendar.parse_zulu("s"))
+    assert [r[0] for r in df.collect()] == [dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 0, 0, 0, 500000), None, None]
+
+
+def test_database_and_append(spark):
+    merge.ensure_database(spark, "history")
+    spark.sql("DROP TABLE IF EXISTS history.t")
+    assert merge.append(spark.range(3), "history.t") == 3
+    assert spark.sql("SELECT count(*) FROM t").first()[0] == 3
+    spark.sql("USE default")
