@@ -142,27 +142,36 @@ def _flood(points: np.ndarray, index: np.ndarray, union: _Union, within: int) ->
             wave, left = left[reached], left[~reached]
 
 
+def _every(points: np.ndarray, index: np.ndarray, union: _Union, within: int) -> None:
+    """All distances of a block, some rows at a time; many links show a dense block."""
+    p, found, total = points[index], [], 0
+    for a in range(0, len(p), 512):
+        at = np.flatnonzero((np.bitwise_count(p[a : a + 512, None] ^ p[None, a:]) <= within).ravel())
+        x, y = np.divmod(at, len(p) - a)
+        x, y = x[x < y], y[x < y]
+        total += len(x)
+        if total > 20 * len(p):
+            _flood(points, index, union, within)
+            return
+        found.append((index[a + x], index[a + y]))
+    for x, y in found:
+        for i, j in zip(x.tolist(), y.tolist(), strict=True):
+            union.join(i, j)
+
+
 def _blocks(points: np.ndarray, index: np.ndarray, union: _Union, within: int) -> None:
     """Inner levels of a shard's tree, down to blocks where every distance is taken."""
     todo = [index]
     while todo:
         own = todo.pop()
         if len(own) <= BLOCK:
-            p = points[own]
-            at = np.flatnonzero((np.bitwise_count(p[:, None] ^ p[None, :]) <= within).ravel())
-            a, b = np.divmod(at, len(p))
-            a, b = a[a < b], b[a < b]
-            if len(a) > 20 * len(own):
-                _flood(points, own, union, within)
-            else:
-                for x, y in zip(own[a].tolist(), own[b].tolist(), strict=True):
-                    union.join(x, y)
+            _every(points, own, union, within)
             continue
         point, radius = _vantage(points[own])
         d = distance(points[own], point)
         near, far = own[d <= radius + within], own[d > radius]
         if len(near) ** 2 + len(far) ** 2 > 0.97 * len(own) ** 2:  # parting would cost as much as taking every distance
-            _flood(points, own, union, within)
+            _every(points, own, union, within)
         else:
             todo += [near, far]
 
