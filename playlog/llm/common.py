@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Rows of an Arrow batch. Texts can be long, so a batch is kept small; a single row is never split.
-BATCH_ROWS = 1024
+#: Rows and bytes of an Arrow batch: texts can be long, so both are bounded; a single row is never split.
+BATCH_ROWS, BATCH_BYTES = 4096, 4 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,11 +62,11 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
-    """``mapInArrow`` with small batches, so that memory stays bounded with long texts."""
+def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType, most_bytes: int = BATCH_BYTES) -> DataFrame:
+    """``mapInArrow`` with small batches, so that memory stays bounded with long texts; state fewer bytes where a row grows in ``fn``."""
     conf = df.sparkSession.conf
-    if int(conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", most_bytes)):
+        conf.set(f"spark.sql.execution.arrow.{name}", str(most))
     return df.mapInArrow(fn, schema)
 
 

@@ -30,6 +30,8 @@ from pyspark.sql import functions as F
 from .common import ids, map_arrow, stage, text_bytes, with_row_id
 
 BLOCK, RATE = 64, 8000
+#: Bytes of an Arrow batch: a text becomes a page, a stored form and items here.
+BATCH_BYTES = 2 << 20
 SCHEME = "sha256:"
 ITEM = "struct<position:int,kind:string,text:string,digest:string,caption:string>"
 _ITEM = pa.struct([("position", pa.int32()), ("kind", pa.string()), ("text", pa.string()), ("digest", pa.string()), ("caption", pa.string())])
@@ -151,7 +153,7 @@ def parse_interleaved(pages: DataFrame, html: str = "html", keep: tuple[str, ...
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(items, pa.list_(_ITEM))], [*keep, "items"])
 
     kinds = dict(pages.dtypes)
-    return map_arrow(pages.select(*dict.fromkeys([*keep, html])), run, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), f"items array<{ITEM}>"]))
+    return map_arrow(pages.select(*dict.fromkeys([*keep, html])), run, ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), f"items array<{ITEM}>"]), BATCH_BYTES)
 
 
 def references(sequences: DataFrame, keep: tuple[str, ...]) -> DataFrame:
@@ -178,7 +180,7 @@ def described(store: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names)
 
     schema = "digest string, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
-    return map_arrow(store.select("digest", "media"), run, schema).dropDuplicates(["digest"])
+    return map_arrow(store.select("digest", "media"), run, schema, BATCH_BYTES).dropDuplicates(["digest"])
 
 
 def resolve(refs: DataFrame, described_store: DataFrame) -> DataFrame:
@@ -202,7 +204,7 @@ def illustrated(docs: DataFrame, caption: str = "document") -> DataFrame:
             cols = [pa.array([len(t) for t in raw], pa.int64()), pa.array(pages, pa.string()), pa.array(digests, pa.string()), pa.array(media, pa.binary())]
             yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), *cols], ["row", "doc_id", "n_bytes", "html", "digest", "media"])
 
-    return map_arrow(with_row_id(ids(docs, "text"), "row"), run, "row long, doc_id long, n_bytes long, html string, digest string, media binary")
+    return map_arrow(with_row_id(ids(docs, "text"), "row"), run, "row long, doc_id long, n_bytes long, html string, digest string, media binary", BATCH_BYTES)
 
 
 def media_features(docs: DataFrame) -> DataFrame:

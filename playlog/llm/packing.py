@@ -30,7 +30,7 @@ SEQUENCE = 4096
 END_ID = 2
 HASH_DIMS, CURVE_DIMS, CURVE_BITS = 1024, 4, 12
 #: Words whose ids a worker keeps.
-CACHE_WORDS = 400_000
+CACHE_WORDS = 700_000
 
 #: Texts of these characters only are lowered and split at white space, which the tokenizer's own rule never crosses; all others go to the tokenizer whole.
 _PLAIN = r"^[\t\n\x0b\x0c\r\x20-\x7e\x{a1}-\x{b1}\x{b4}-\x{b8}\x{ba}\x{bb}\x{bf}-\x{12f}\x{131}-\x{24f}]*$"
@@ -164,11 +164,11 @@ def tokenized(docs: DataFrame, tokenizer: str, end_id: int = END_ID) -> DataFram
         rng = np.random.default_rng(20240229)
         size = encoder.size
         slot, sign = rng.integers(0, HASH_DIMS, size), rng.choice([-1.0, 1.0], size)
-        projection = rng.standard_normal((HASH_DIMS, CURVE_DIMS)) / np.sqrt(HASH_DIMS)
+        projection = (rng.standard_normal((HASH_DIMS, CURVE_DIMS)) / np.sqrt(HASH_DIMS)).astype(np.float32)
         end = np.array([end_id], "<u2").tobytes()
         for batch in batches:
             flat, ends = encoder.encode(batch.column("text"))
-            vectors, coded = np.zeros((len(ends), HASH_DIMS)), []
+            vectors, coded = np.zeros((len(ends), HASH_DIMS), np.float32), []
             for k, (a, b) in enumerate(zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)):
                 own = flat[a:b]
                 vectors[k] = np.bincount(slot[own], sign[own], HASH_DIMS)
