@@ -8,12 +8,13 @@ equals an item's in any repetition, with the words around it, is held against it
 item's to the nearest stretch. The number of repetitions follows
 from the target recall.
 
-Before the walk, two bounds that lose nothing leave out windows: within ``1 - SIMILARITY`` of an item's length n
-in edits, a window has at least n - edits words of the items' vocabulary, and one of any edits + 1 words of the
-item, of which the rarest are taken.
+Before the walk, two bounds leave out windows: within ``1 - SIMILARITY`` of an item's length n in edits, all but
+the edits (and half as many more, for words that insertions push out of the window) are words of the items of that
+length, and one of any edits + 1 words of the item is there, of which the rarest are taken. After it, a pair goes on
+only if all but the edits of the item's words are there at all.
 
 Items are read in blocks of ``BLOCK`` that travel to the tasks; documents cross no shuffle. Defined results: items
-under ``LEAST_WORDS`` words, null or empty ones are not searched for; a null text has no words; equal items each
+under ``LEAST_WORDS`` words, null or empty ones are not searched for; an item without an id is reported as -1; a null text has no words; equal items each
 count; repeated rows each get their hits; at equal distances the first window counts; empty tables give no rows.
 """
 
@@ -32,6 +33,8 @@ from pyspark.sql import functions as F
 from .common import ids as with_ids, keep_rows, map_arrow
 
 SIMILARITY, RECALL, LEAST_WORDS, BLOCK = 0.8, 0.98, 5, 20_000
+#: Windows that are held at once.
+WINDOWS = 1 << 15
 #: Coordinates of a key, and the share of coordinates on which walks of sequences at the largest distance agree, as measured in the tests.
 COORDINATES, AGREEMENT = 2, 0.3
 _OTHER, _PAD = -1, -2
@@ -135,47 +138,66 @@ class LeakIndex:
         self.by_length: dict[int, tuple] = {}
         for n in sorted({len(w) for w in self.items}):
             own = [k for k, w in enumerate(self.items) if len(w) == n]
-            anchors = np.zeros(len(self.names), bool)
+            anchors = np.zeros(len(self.names) + 2, bool)
+            members = np.zeros(len(self.names) + 2, bool)
             for k in own:
+                members[self.items[k]] = True
                 order = sorted(range(n), key=lambda p: (spread[self.names[self.items[k][p]]], self.names[self.items[k][p]]))
                 anchors[self.items[k][order[: self.edits(n) + 1]]] = True
             walk = Embedding(n, reps)
             keys = walk.keys(np.stack([self.items[k] for k in own]))
             owner = np.broadcast_to(np.array(own)[:, None], keys.shape).ravel()
             order = np.argsort(keys.ravel(), kind="stable")
-            self.by_length[n] = (walk, anchors, keys.ravel()[order], owner[order])
+            self.by_length[n] = (walk, anchors, members, keys.ravel()[order], owner[order])
         self.vocabulary = pa.array(self.names, pa.string())
         self.longest = max(self.by_length, default=0)
 
     def edits(self, n: int) -> int:
         return int((1 - self.similarity) * n + 1e-9)
 
+    def slack(self, n: int) -> int:
+        """Words of a window that need not be the items': the edits, and half as many that insertions push out of it."""
+        return self.edits(n) + self.edits(n) // 2
+
     def candidates(self, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(length, window starts, items) of windows that share a key with an item; ``ids``: words, padded between documents."""
-        known = np.concatenate([[0], np.cumsum(ids >= 0, dtype=np.int32)])
-        inside = np.where(ids >= 0, ids, len(self.names))
-        for n, (walk, anchors, keys, owner) in self.by_length.items():
+        inside, begun = ids >= 0, ids != _PAD
+        at_all = np.flatnonzero(inside)
+        words = ids[at_all]
+        for n, (_, _, members, _, _) in self.by_length.items():
             if len(ids) < n:
                 continue
-            enough = known[n:] - known[:-n] >= n - self.edits(n)
-            starts = np.flatnonzero(enough & (ids[: len(enough)] != _PAD))  # a window begins in its document
-            if not len(starts):
-                continue
-            rare = np.concatenate([[0], np.cumsum(np.append(anchors, False)[inside], dtype=np.int32)])
-            starts = starts[rare[starts + n] > rare[starts]]
-            if not len(starts):
-                continue
-            windows = ids[starts[:, None] + np.arange(n)]
-            found = walk.keys(windows).ravel()
-            low, high = np.searchsorted(keys, found, "left"), np.searchsorted(keys, found, "right")
-            hit = np.flatnonzero(high > low)
-            if not len(hit):
-                continue
-            times = (high - low)[hit]
-            base = np.repeat(low[hit] - np.cumsum(times) + times, times) + np.arange(times.sum())
-            pairs, votes = np.unique(np.stack([np.repeat(starts[hit // walk.reps], times), owner[base]], 1), axis=0, return_counts=True)
-            pairs = pairs[np.lexsort((pairs[:, 0], -votes))]  # likely ones first, as nothing beats a distance of 0
-            yield n, pairs[:, 0], pairs[:, 1]
+            known = np.zeros(len(ids) + 1, np.int32)
+            known[at_all + 1] = members[words]
+            np.cumsum(known, out=known)
+            enough = known[n:] - known[:-n] >= n - self.slack(n)
+            starts = np.flatnonzero(enough & begun[: len(enough)])  # a window begins in its document
+            for a in range(0, len(starts), WINDOWS):
+                yield from self._paired(ids, n, starts[a : a + WINDOWS])
+
+    def _paired(self, ids: np.ndarray, n: int, starts: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        walk, anchors, _, keys, owner = self.by_length[n]
+        windows = ids[starts[:, None] + np.arange(n)]
+        near = anchors[windows].any(1)  # the table ends in two places that are False, for other words and padding
+        starts, windows = starts[near], windows[near]
+        if not len(starts):
+            return
+        found = walk.keys(windows).ravel()
+        low, high = np.searchsorted(keys, found, "left"), np.searchsorted(keys, found, "right")
+        hit = np.flatnonzero(high > low)
+        if not len(hit):
+            return
+        times = (high - low)[hit]
+        base = np.repeat(low[hit] - np.cumsum(times) + times, times) + np.arange(times.sum())
+        pairs, votes = np.unique(np.stack([np.repeat(starts[hit // walk.reps], times), owner[base]], 1), axis=0, return_counts=True)
+        pairs = pairs[np.lexsort((pairs[:, 0], -votes))]  # likely ones first, as nothing beats a distance of 0
+        reach = self.edits(n)
+        for a in range(0, len(pairs), 2048):
+            some = pairs[a : a + 2048]
+            around = ids[np.clip(some[:, :1] + np.arange(-reach, n + reach), 0, len(ids) - 1)]
+            item = np.stack([self.items[k] for k in some[:, 1].tolist()])
+            kept = (item[:, :, None] == around[:, None, :]).any(2).sum(1) >= n - reach  # words of the item that are there at all
+            yield n, some[kept, 0], some[kept, 1]
 
     def search(self, column: pa.Array) -> list[tuple[int, int, int, int, int]]:
         """(row, item id, first word, words, distance): the best window for each text and item within reach."""
