@@ -50,7 +50,8 @@ def propagate(docs: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: i
     """(row, shard) for each ``row`` of ``docs``; ``links``: (row, group) memberships, groups of one document allowed."""
     n = docs.count()
     pairs = stage(links.filter("row is not null and `group` is not null").select("row", "group").distinct(), "shard-links")
-    sizes = pairs.groupBy("group").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    # counts are written before a join on the same key, so that both sides are dealt for it alone and a hot group can be split
+    sizes = stage(pairs.groupBy("group").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "shard-sizes")
     pairs = stage(pairs.join(sizes, "group").select("row", "group", "members"), "shard-links")
     linked = pairs.select("row").distinct()
     # an even start; the first votes break even by a hash of the group, so that its members agree on one shard
@@ -61,6 +62,7 @@ def propagate(docs: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: i
         held = settled.groupBy("shard").agg(F.count(F.lit(1)).alias("held"))
         room = all_shards.join(held, "shard", "left").select("shard", (_capacity(n, shards) - F.coalesce("held", F.lit(0))).alias("free"))
         votes = pairs.join(state, "row").groupBy("group").agg(*(F.count(F.when(F.col("shard") == s, 1)).alias(f"v{s}") for s in range(shards)))
+        votes = stage(votes, "shard-votes")
         known = pairs.join(votes, "group").groupBy("row").agg(F.min("group").alias("anchor"), F.max("members").alias("members"), *(F.sum(f"v{s}").alias(f"v{s}") for s in range(shards)))
         known = known.join(state, "row")
         full = [r["shard"] for r in room.filter("free <= 0").collect()] if k else []  # shard numbers
