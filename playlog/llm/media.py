@@ -214,4 +214,5 @@ def media_features(docs: DataFrame) -> DataFrame:
     media = F.filter("items", lambda i: i["kind"] == "media")
     own = stage(pages.select("doc_id", "n_bytes", texts.alias("text_items"), media.alias("items"), F.col("digest").alias("stored"), "media"), "media")
     refs = references(own, ("doc_id", "n_bytes", "text_items"))
-    return resolve(refs, described(own.select(F.col("stored").alias("digest"), "media")))
+    # written, so that both sides of the join are dealt for it alone and a hot digest can be split
+    return resolve(refs, stage(described(own.select(F.col("stored").alias("digest"), "media")), "media-described"))
