@@ -6,14 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from playlog.llm.common import fresh_path, table
 from playlog.llm.decontaminate import decontaminated
+from playlog.llm.neardup import deduplicated
 from playlog.llm.packing import pack
 from playlog.llm.quality import accepted
 from playlog.llm.queries import tokenizer_path
 from playlog.llm.secrets import labelled_samples, redacted, trained
-from playlog.llm.simhash import deduplicated
-
-#: Differing bits that the near-duplicate stage allows: more than the search query's, as an edit of a few words changes three or four.
-NEAR_BITS = 4
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,8 +19,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near fingerprints."""
-    return deduplicated(docs, NEAR_BITS)
+    """One document of each component of texts that share four fifths of their five-word shingles or more."""
+    return deduplicated(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
