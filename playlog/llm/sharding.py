@@ -3,8 +3,9 @@
 Links are given as groups of documents: two documents are linked if they share a group. Documents start spread
 evenly; in each round every linked document votes for the shard that holds most of its neighbours, and moves
 there as far as the shard's quota lasts. Documents with most neighbours there come first, those of a group in a
-row. A document that finds no room waits and votes again among the shards with room left. At last documents without
-links, and any that still wait, fill the free places, so that the shards' counts differ by one at most.
+row. A document that finds no room waits and votes again among the shards with room left. At last any that
+still wait fill the free places, those of a group in a row and large groups in the emptiest shards, then documents
+without links, so that the shards' counts differ by one at most and a group is cut only where a shard is full.
 
 Votes are counted by (group, shard) before the shuffle, and quotas are shared out by counts over buckets, so
 neither a hot group nor a full shard meets in one task. Each round is written to the shared folder.
@@ -75,20 +76,29 @@ def propagate(docs: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: i
         state = stage(_admitted(wishes.withColumn("gain", gain), capacity, n).select("row", F.when(F.col("ok"), F.col("wish")).alias("shard")), "shard-state")
         if not state.filter("shard is null").limit(1).count() and k:
             break
-    return _filled(docs, state, all_shards, n, shards)
+    anchors = pairs.groupBy("row").agg(F.max(F.struct("members", "group")).alias("most")).select("row", "most.members", F.col("most.group").alias("anchor"))
+    return _filled(docs, state, anchors, all_shards, n, shards)
 
 
-def _filled(docs: DataFrame, state: DataFrame, all_shards: DataFrame, n: int, shards: int) -> DataFrame:
-    """``state`` with every other row in the places left: their ranks run through the shards' free places in order."""
+def _filled(docs: DataFrame, state: DataFrame, anchors: DataFrame, all_shards: DataFrame, n: int, shards: int) -> DataFrame:
+    """``state`` with every other row in the places left: their ranks run through the shards' free places, emptiest first.
+
+    Linked rows come before others, larger groups first and the rows of a group in a row; ``anchors``: (row, members,
+    anchor), the largest group of each linked row.
+    """
     from pyspark.sql import Window
 
     settled = state.filter("shard is not null")
     held = settled.groupBy("shard").agg(F.count(F.lit(1)).alias("held"))
     free = all_shards.join(held, "shard", "left").select("shard", (_capacity(n, shards) - F.coalesce("held", F.lit(0))).alias("free"))
-    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as shards
+    before = Window.orderBy(-F.col("free"), "shard").rowsBetween(Window.unboundedPreceding, -1)  # as many rows as shards
     free = free.withColumn("first", F.coalesce(F.sum("free").over(before), F.lit(0))).filter("free > 0")
-    others = docs.select("row").join(settled, "row", "left_anti")
-    others = ranked(others, [], F.col("row"), _spread(n, "row", F.lit(5)), "place")
+    others = docs.select("row").join(settled, "row", "left_anti").join(anchors, "row", "left")
+    size = -F.coalesce(F.floor(F.log2("members")).cast("int"), F.lit(0))
+    parts = F.ceil(F.coalesce("members", F.lit(1)) / BUCKET_ROWS).cast("int")
+    spread = F.when(F.col("anchor").isNull(), _spread(n, "row", F.lit(5))).otherwise(_spread(n, "anchor"))
+    bucket = F.struct(size.alias("g"), spread.alias("b"), F.pmod(F.xxhash64("row"), parts).cast("int").alias("c"))
+    others = ranked(others, [], F.struct("anchor", "row"), bucket, "place")
     inside = (F.col("place") >= F.col("first")) & (F.col("place") < F.col("first") + F.col("free"))
     return settled.select("row", "shard").unionByName(others.join(F.broadcast(free), inside).select("row", "shard"))
 
