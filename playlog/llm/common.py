@@ -62,12 +62,33 @@ def stage(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def pieces(batches: Iterator[pa.RecordBatch], most_bytes: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``most_bytes``, a single longer row by itself; nothing is copied."""
+    for batch in batches:
+        todo = [batch]
+        while todo:
+            own = todo.pop()
+            if own.nbytes <= most_bytes or own.num_rows < 2:
+                yield own
+            else:
+                half = own.num_rows // 2
+                todo += [own.slice(half), own.slice(0, half)]
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | T.StructType, most_bytes: int = BATCH_BYTES) -> DataFrame:
-    """``mapInArrow`` with small batches, so that memory stays bounded with long texts; state fewer bytes where a row grows in ``fn``."""
+    """``mapInArrow`` with small batches, so that memory stays bounded with long texts; state fewer bytes where a row grows in ``fn``.
+
+    The session's own batch settings hold where it has any; else they are set once, to the same values for all operators.
+    """
     conf = df.sparkSession.conf
-    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", most_bytes)):
-        conf.set(f"spark.sql.execution.arrow.{name}", str(most))
-    return df.mapInArrow(fn, schema)
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        if conf.get(f"spark.sql.execution.arrow.{name}", None) is None:
+            conf.set(f"spark.sql.execution.arrow.{name}", str(most))
+
+    def bounded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return fn(pieces(batches, most_bytes))
+
+    return df.mapInArrow(bounded, schema)
 
 
 def with_row_id(df: DataFrame, name: str) -> DataFrame:

@@ -2,15 +2,18 @@
 
 ``parse_interleaved`` turns HTML into an ordered array of items, texts and media references with their captions;
 a media table holds stored forms under their digest; ``resolve`` joins references to it by digest. The store is
-decoded before the join, once for each distinct digest, so that descriptors rather than payloads cross it; a hot
-digest is a hot key of the references only, which adaptive execution can split.
+decoded before the join, so that descriptors rather than payloads cross it: a task decodes each digest that it
+holds once, and of the descriptors of one digest one is kept. A hot digest is a hot key of the references only,
+which adaptive execution can split.
 
 The stored form here is 8-bit mono PCM in a WAVE file: one sample for each byte of payload, nothing lost.
 
 Defined results: null HTML has no items; a reference keeps its position and caption even where its digest is not
-in the store; captions of a figure belong to its media, else the ``alt`` text does; repeated references resolve
-alike; scripts and styles are no text; a null text is an empty one, whose payload is 64 zero bytes; an empty table
-gives no rows; further columns are not read.
+in the store; a figure's caption belongs to its media and to those of figures within that have none, else the
+``alt`` text does; a caption ends at its tag, at its figure's or where a block begins after its first words, and
+one without media is text; scripts, styles, templates and titles, and media in them, are left out; repeated
+references resolve alike; a null text is an empty one, whose payload is 64 zero bytes; a very long text is one row
+and held once in a task at a time; an empty table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations
@@ -27,11 +30,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ids, map_arrow, stage, text_bytes, with_row_id
+from .common import ids, map_arrow, stage
 
 BLOCK, RATE = 64, 8000
 #: Bytes of an Arrow batch: a text becomes a page, a stored form and items here.
 BATCH_BYTES = 2 << 20
+#: Digests that a task remembers as decoded.
+SEEN = 50_000
 SCHEME = "sha256:"
 ITEM = "struct<position:int,kind:string,text:string,digest:string,caption:string>"
 _ITEM = pa.struct([("position", pa.int32()), ("kind", pa.string()), ("text", pa.string()), ("digest", pa.string()), ("caption", pa.string())])
@@ -78,12 +83,14 @@ def wave_feature(payload: bytes) -> str:
 
 
 class _Sequence(HTMLParser):
+    """Collects items in order. ``hidden``: open tags whose content isn't shown; ``figures``: open figures, each with its media and its caption so far."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.items: list[dict] = []
         self.words: list[str] = []
-        self.hidden = 0
-        self.figures: list[list[int]] = []
+        self.hidden: list[str] = []
+        self.figures: list[dict] = []
         self.caption: list[str] | None = None
 
     def _flush(self) -> None:
@@ -92,14 +99,47 @@ class _Sequence(HTMLParser):
         if text:
             self.items.append({"position": len(self.items), "kind": "text", "text": text, "digest": None, "caption": None})
 
+    def _end_caption(self) -> None:
+        text, self.caption = " ".join(" ".join(self.caption or ()).split()), None
+        if text and self.figures:
+            self.figures[-1]["captions"].append(text)
+        elif text:  # a caption of nothing is text
+            self._flush()
+            self.words = [text]
+            self._flush()
+
+    def _end_figure(self) -> None:
+        if self.caption is not None:
+            self._end_caption()
+        self._flush()
+        figure = self.figures.pop()
+        text = " ".join(figure["captions"])
+        for k in figure["media"] if text else ():
+            self.items[k]["caption"] = text
+        if not text and self.figures:  # an outer caption covers the media of figures without one
+            self.figures[-1]["media"] += figure["media"]
+        elif text and not figure["media"]:
+            self.words = [text]
+            self._flush()
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.hidden == ["title"] and (tag in _BREAKS or tag == "body"):  # a title that was never closed
+            self.hidden = []
+        if tag == "body":
+            self.hidden = []
         if tag in _HIDDEN:
-            self.hidden += 1
+            self.hidden.append(tag)
+        if self.hidden:
+            return
         if tag in _BREAKS:
+            if tag != "br" and "".join(self.caption or ()).strip():  # a caption ends where a block begins, so an unclosed one takes no more than its own line
+                self._end_caption()
             self._flush()
         if tag == "figure":
-            self.figures.append([])
+            self.figures.append({"media": [], "captions": []})
         elif tag == "figcaption":
+            if self.caption is not None:
+                self._end_caption()
             self.caption = []
         elif tag in _MEDIA:
             own = dict(attrs)
@@ -108,31 +148,34 @@ class _Sequence(HTMLParser):
                 self._flush()
                 digest = src.removeprefix(SCHEME).lower() if src.startswith(SCHEME) else None
                 if self.figures:
-                    self.figures[-1].append(len(self.items))
+                    self.figures[-1]["media"].append(len(self.items))
                 self.items.append({"position": len(self.items), "kind": "media", "text": src, "digest": digest, "caption": own.get("alt") or None})
 
     def handle_endtag(self, tag: str) -> None:
-        if tag in _HIDDEN and self.hidden:
-            self.hidden -= 1
+        if tag in ("head", "body", "html"):
+            self.hidden = []
+        elif tag in self.hidden:
+            del self.hidden[self.hidden.index(tag) :]
+        if self.hidden:
+            return
         if tag == "figcaption" and self.caption is not None:
-            text = " ".join(" ".join(self.caption).split())
-            self.caption = None
-            for k in self.figures[-1] if self.figures and text else ():
-                self.items[k]["caption"] = text
-            if self.figures and text:
-                self.pending = text
-        elif tag in _BREAKS:
+            self._end_caption()
+        elif tag in _BREAKS and tag != "figure":
             self._flush()
         if tag == "figure" and self.figures:
-            own, text = self.figures.pop(), getattr(self, "pending", None)
-            self.pending = None
-            for k in own if text else ():  # a caption before its media
-                self.items[k]["caption"] = text
+            self._end_figure()
 
     def handle_data(self, data: str) -> None:
-        if self.hidden:
-            return
-        (self.words if self.caption is None else self.caption).append(data)
+        if not self.hidden:
+            (self.words if self.caption is None else self.caption).append(data)
+
+    def close(self) -> None:
+        super().close()
+        while self.figures:
+            self._end_figure()
+        if self.caption is not None:
+            self._end_caption()
+        self._flush()
 
 
 def parse_html(html: str | None) -> list[dict]:
@@ -140,7 +183,6 @@ def parse_html(html: str | None) -> list[dict]:
     parser = _Sequence()
     parser.feed(html or "")
     parser.close()
-    parser._flush()
     return parser.items
 
 
@@ -163,17 +205,28 @@ def references(sequences: DataFrame, keep: tuple[str, ...]) -> DataFrame:
 
 
 def described(store: DataFrame) -> DataFrame:
-    """One row for each distinct digest of ``store`` (digest, media): what its stored form decodes to."""
+    """One row for each distinct digest of ``store`` (digest, media): what its stored form decodes to.
+
+    A task decodes a digest once, as long as it is among the last ``SEEN`` that it met; the copies that other tasks
+    decode go as descriptors, so that no stored form is shuffled.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: dict[str, None] = {}
         for batch in batches:
-            rows = []
-            for digest, media in zip(batch.column("digest").to_pylist(), batch.column("media").to_pylist(), strict=True):
-                own = hashlib.sha256(media).hexdigest()
+            rows, media = [], batch.column("media")
+            for k, digest in enumerate(batch.column("digest").to_pylist()):
+                if digest in seen:
+                    continue
+                if len(seen) >= SEEN:
+                    del seen[next(iter(seen))]
+                seen[digest] = None
+                data = media[k].as_py()
+                own = hashlib.sha256(data).hexdigest()
                 if own != digest:
                     raise ValueError("a stored form differs from its digest")
-                payload = decode_wave(media)
-                rows.append((digest, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(media), own, wave_feature(payload)))
+                payload = decode_wave(data)
+                rows.append((digest, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-BLOCK:]), len(data), own, wave_feature(payload)))
             cols = list(zip(*rows, strict=True)) if rows else [()] * 7
             kinds = (pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string())
             names = ["digest", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
@@ -189,27 +242,41 @@ def resolve(refs: DataFrame, described_store: DataFrame) -> DataFrame:
     return refs.join(right, refs["digest"] == right["__digest"], "left").drop("__digest")
 
 
-def illustrated(docs: DataFrame, caption: str = "document") -> DataFrame:
-    """(row, doc_id, n_bytes, html, digest, media): each text as a page of paragraphs and a figure that refers to the text's own stored form."""
+def page_of(text: bytes, digest: str, caption: str = "document") -> str:
+    """A text as a page of paragraphs and a figure that refers to the text's stored form."""
+    body = escape(text.decode(), quote=False).replace("\n", "</p><p>")
+    return f'<article><p>{body}</p><figure><audio src="{SCHEME}{digest}"></audio><figcaption>{caption} of {len(text)} bytes</figcaption></figure></article>'
+
+
+def illustrated(docs: DataFrame) -> DataFrame:
+    """(doc_id, n_bytes, items, digest, media): each text's page as its sequence, and the stored form that the page refers to.
+
+    One pass stores and parses a text, so no page leaves the task; a batch goes on as soon as it holds BATCH_BYTES.
+    """
+    names = ["doc_id", "n_bytes", "items", "digest", "media"]
+    kinds = [pa.int64(), pa.int64(), pa.list_(_ITEM), pa.string(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            raw = text_bytes(batch, "text")
-            media = [encode_wave(payload_of(t)) for t in raw]
-            digests = [hashlib.sha256(m).hexdigest() for m in media]
-            pages = []
-            for t, d in zip(raw, digests, strict=True):
-                body = escape(t.decode(), quote=False).replace("\n", "</p><p>")
-                pages.append(f'<article><p>{body}</p><figure><audio src="{SCHEME}{d}"></audio><figcaption>{caption} of {len(t)} bytes</figcaption></figure></article>')
-            cols = [pa.array([len(t) for t in raw], pa.int64()), pa.array(pages, pa.string()), pa.array(digests, pa.string()), pa.array(media, pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column("row"), batch.column("doc_id"), *cols], ["row", "doc_id", "n_bytes", "html", "digest", "media"])
-
-    return map_arrow(with_row_id(ids(docs, "text"), "row"), run, "row long, doc_id long, n_bytes long, html string, digest string, media binary", BATCH_BYTES)
+            doc, column, rows, held = batch.column("doc_id"), batch.column("text").cast(pa.binary()), [], 0
+            for k in range(batch.num_rows):
+                text = column[k].as_py() or b""
+                media = encode_wave(payload_of(text))
+                digest = hashlib.sha256(media).hexdigest()
+                rows.append((doc[k].as_py(), len(text), parse_html(page_of(text, digest)), digest, media))
+                held += len(media)
+                if held >= BATCH_BYTES:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+                    rows, held = [], 0
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+
+    return map_arrow(ids(docs, "text"), run, f"doc_id long, n_bytes long, items array<{ITEM}>, digest string, media binary", BATCH_BYTES)
 
 
 def media_features(docs: DataFrame) -> DataFrame:
     """Store, interleave and resolve whole texts: one row for each document, with what its stored form reads back as."""
-    pages = parse_interleaved(illustrated(docs), keep=("row", "doc_id", "n_bytes", "digest", "media"))
+    pages = illustrated(docs)
     texts = F.size(F.filter("items", lambda i: i["kind"] == "text"))
     media = F.filter("items", lambda i: i["kind"] == "media")
     own = stage(pages.select("doc_id", "n_bytes", texts.alias("text_items"), media.alias("items"), F.col("digest").alias("stored"), "media"), "media")
