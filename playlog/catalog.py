@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import catalog_tables as tables
 from .functions import calendar, exactmath, text
 from .operators import merge, sessions
 from .plans import analytics
@@ -179,14 +180,6 @@ _KEPT_SQL = """first AS (
 _LINE_COLS = ", ".join([*_LINE_KEY, *_LINE_REST])
 
 
-def insert_ignore_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    first, second = _halves(spark, sf_dir)
-    base = merge.dedup_first(first, _LINE_KEY, _LINE_REST)
-    new = merge.new_rows(second, base, _LINE_KEY, _LINE_REST)
-    one = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
-    return one(second, "processed").join(one(new, "inserted")).select("processed", "inserted", (F.col("processed") - F.col("inserted")).alias("skipped"))
-
-
 def snapshot_latest_50(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.latest(_read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type"), 50, F.desc("ts"), "event_id")
 
@@ -199,10 +192,6 @@ def watermark_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.newer_than(events, "ts", merge.watermark(events.filter(F.col("ts") <= F.lit(_MARK)), "ts"))
 
 
-def global_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _read(spark, sf_dir, "events").agg(F.max("ts").alias("latest"))
-
-
 def _liked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _read(spark, sf_dir, "part").filter("p_size <= 10").select("p_partkey")
 
@@ -212,21 +201,9 @@ def flag_member_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.flag_members(lines, _liked(spark, sf_dir), "l_partkey", "p_partkey", "is_liked")
 
 
-def flag_exists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, liked = _read(spark, sf_dir, "lineitem"), _liked(spark, sf_dir)
-    return spark.sql("SELECT l_orderkey, l_linenumber, l_partkey, EXISTS (SELECT 1 FROM {liked} WHERE p_partkey = l_partkey) AS is_liked FROM {lines}", liked=liked, lines=lines)
-
-
 _FLAG_SQL = "SELECT l_orderkey, l_linenumber, l_partkey, EXISTS (SELECT 1 FROM part WHERE p_size <= 10 AND p_partkey = l_partkey) AS is_liked FROM lineitem"
 
 
-def update_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flag as an update leaves it: true already, or true now."""
-    lines = _read(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (F.col("l_returnflag") == "R").alias("is_liked"))
-    now = merge.flag_members(lines, _liked(spark, sf_dir), "l_partkey", "p_partkey", "now")
-    return now.select("l_orderkey", "l_linenumber", "l_partkey", (F.col("is_liked") | F.col("now")).alias("is_liked"))
-
-
 def union_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two overlapping sources of orders; the first wins."""
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
@@ -276,18 +253,15 @@ def rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def export_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A report table as one CSV file and back."""
-    import uuid
-
+    """A report table as one CSV file and back, with texts that need quotes, and whether the file begins with its mark and header."""
+    from .session import shared_path
     from .sources.export import export_csv
+    from .sources.files import read_csv
 
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        import tempfile
-
-        folder = "file://" + tempfile.mkdtemp(prefix="playlog-")
-    path = export_csv(analytics.discovery(plays(spark, sf_dir)), f"{folder.rstrip('/')}/export-{uuid.uuid4().hex}.csv")
-    return spark.read.option("header", True).option("escape", '"').csv(path).select(F.col("artist_name"), F.col("lifetime_streams").cast("long"), F.col("discovery_hour_label"))
+    report = analytics.discovery(plays(spark, sf_dir)).withColumn("note", F.concat(F.lit('a,"'), F.col("artist_name"), F.lit('"')))
+    path = export_csv(report, f"{shared_path(spark, 'export')}.csv")
+    marked = spark.read.format("binaryFile").load(path).select(F.hex(F.substring("content", 1, 3)) == "EFBBBF").first()[0]
+    return read_csv(spark, path, report.schema).withColumn("marked", F.lit(marked))
 
 
 def yearly_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -320,13 +294,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "hour_label": hour_labels,
     "dedup_first": dedup_first,
     "insert_ignore": insert_ignore,
-    "insert_ignore_counts": insert_ignore_counts,
     "snapshot_latest_50": snapshot_latest_50,
     "watermark_increment": watermark_increment,
-    "global_max_watermark": global_watermark,
     "flag_member_join": flag_member_join,
-    "flag_exists": flag_exists,
-    "update_join": update_join,
     "union_sources": union_sources,
     "filter_not_null": filter_not_null,
     "case_guard": case_guard,
@@ -337,6 +307,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "export_roundtrip": export_roundtrip,
     "yearly_summary": yearly_summary,
     "top_artists": top_artists,
+    "discovery_order": lambda s, d: tables._placed(analytics.discovery(plays(s, d)), "first_listened"),
+    "loyalty_order": lambda s, d: tables._placed(analytics.loyalty(plays(s, d)), "total_minutes"),
+    "forgotten_order": lambda s, d: tables._placed(analytics.forgotten(star(s, d, "o_custkey"), AS_OF), "lifetime_minutes", "days_since_last_listened"),
+    "sessions_order": lambda s, d: tables._placed(analytics.listening_sessions(plays(s, d)), "session_start"),
+    "repeats_order": lambda s, d: tables._placed(analytics.repeats(star(s, d)), "total_streams"),
+    **tables.QUERIES,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -358,7 +334,7 @@ FROM E""",
     "hour_label": f"WITH {E_SQL} SELECT track_id, strftime(played_at, '%-I %p') AS by_format, strftime(played_at, '%-I %p') AS by_cases FROM E",
     "dedup_first": f"SELECT {_LINE_COLS} FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {', '.join(_LINE_REST)}) = 1",
     "insert_ignore": f"WITH {_KEPT_SQL} SELECT {_LINE_COLS}, 1 AS load FROM first UNION ALL SELECT {_LINE_COLS}, 2 AS load FROM second",
-    "insert_ignore_counts": f"WITH {_KEPT_SQL}, n AS (SELECT (SELECT count(*) FROM lineitem WHERE l_orderkey % 100 >= 40) AS processed, (SELECT count(*) FROM second) AS inserted) SELECT processed, inserted, processed - inserted AS skipped FROM n",
+    "insert_ignore_counts": f"WITH {_KEPT_SQL}, n AS (SELECT (SELECT count(*) FROM lineitem WHERE l_orderkey % 100 >= 40) AS processed, (SELECT count(*) FROM second) AS inserted) SELECT processed, inserted, processed - inserted AS skipped, CAST(0 AS BIGINT) AS again FROM n",
     "snapshot_latest_50": "SELECT event_id, ts, user_id, event_type FROM events ORDER BY ts DESC, event_id LIMIT 50",
     "watermark_increment": f"SELECT event_id, ts, user_id FROM events WHERE ts > (SELECT max(ts) FROM events WHERE ts <= TIMESTAMP '{_MARK}')",
     "global_max_watermark": "SELECT max(ts) AS latest FROM events",
@@ -374,8 +350,37 @@ SELECT o_orderkey, given, CAST(CASE length(given) WHEN 4 THEN given || '-01-01'
     "strings": "SELECT p_partkey, lpad(CAST(p_partkey AS VARCHAR), 8, '0') AS id, CASE WHEN p_partkey = 0 THEN '' ELSE CAST(p_partkey AS VARCHAR) END AS short_id, p_brand || ' / ' || p_type AS label, CAST(length(p_name) AS BIGINT) AS name_length FROM part",
     "join_names": "SELECT l_orderkey, string_agg(DISTINCT s_name, ', ' ORDER BY s_name) AS names FROM lineitem JOIN supplier ON l_suppkey = s_suppkey GROUP BY l_orderkey",
     "nan_to_null": "SELECT event_id, CASE WHEN event_id % 7 = 0 THEN NULL ELSE value END AS value FROM events",
-    "export_roundtrip": f"WITH {E_SQL} SELECT artist_name, count(*) AS lifetime_streams, strftime(min(played_at), '%-I %p') AS discovery_hour_label FROM E GROUP BY artist_name",
+    "export_roundtrip": f"""SELECT *, 'a,"' || artist_name || '"' AS note, TRUE AS marked FROM ({_discovery_sql(E_SQL)})""",
     "yearly_summary": f"WITH {_l_sql('o_custkey')} SELECT CAST(year(played_at) AS INTEGER) AS year, strftime(played_at, '%-I %p') AS hour_label, count(*) AS streams, {_MINUTES} AS total_minutes FROM E GROUP BY 1, 2",
     "top_artists": f"""WITH {_l_sql()}, n AS (SELECT CAST(year(played_at) AS INTEGER) AS year, artist_name, count(*) AS streams FROM E GROUP BY 1, 2)
 SELECT *, CAST(row_number() OVER (PARTITION BY year ORDER BY streams DESC, artist_name) AS INTEGER) AS place FROM n QUALIFY place <= 10""",
+    "discovery_order": tables._order_sql(_discovery_sql(E_SQL), "first_listened", "first_listened"),
+    "loyalty_order": tables._order_sql(_loyalty_sql(E_SQL), "total_minutes DESC", "total_minutes"),
+    "forgotten_order": tables._order_sql(_forgotten_sql(_l_sql("o_custkey")), "lifetime_minutes DESC, days_since_last_listened DESC", "lifetime_minutes, days_since_last_listened"),
+    "sessions_order": tables._order_sql(_sessions_sql(E_SQL), "session_start", "session_start"),
+    "repeats_order": tables._order_sql(_REPEATS_SQL, "total_streams DESC", "total_streams"),
+    "export_history": f"WITH {tables._EXPORT_SQL} {tables._EXPORT_ROWS_SQL}",
+    "history_import": f"WITH {tables._EXPORT_SQL} {tables._EXPORT_ROWS_SQL}",
+    "import_log": """WITH n AS (SELECT count(*) AS c FROM events WHERE event_id % 5 <> 0)
+SELECT CAST(id AS BIGINT) AS run_id, 'history' AS pipeline_name, CASE WHEN id < 3 THEN 'Success' ELSE 'Failed' END AS status, CASE WHEN id < 3 THEN c ELSE 0 END AS recent_downloaded,
+       CASE WHEN id = 1 THEN c ELSE 0 END AS recent_inserted, TRUE AS timed, id = 3 AS has_error FROM n, (VALUES (1), (2), (3)) AS t(id)""",
+    "history_rebuild": _loyalty_sql(f"{tables._EXPORT_SQL}, E AS (SELECT * FROM H)"),
+    "history_export": _loyalty_sql(f"{tables._EXPORT_SQL}, E AS (SELECT * FROM H)"),
+    "api_history": tables._API_SQL,
+    "recent_snapshot": f"""WITH {tables._RECENT_SQL}, p AS (SELECT *, event_id % greatest(1, (SELECT count(*) FROM events) // {tables.FILE_ROWS}) AS page FROM R)
+SELECT played_at, track_id, track_uri, track_name, artist_name, album_name, duration_ms FROM p WHERE page = 0
+QUALIFY row_number() OVER (PARTITION BY played_at, track_id ORDER BY duration_ms, track_name, artist_name, album_name) = 1""",
+    "liked_library": tables._LIKED_SQL,
+    "insert_ignore_table": f"WITH {_KEPT_SQL} SELECT {_LINE_COLS}, 1 AS load FROM first UNION ALL SELECT {_LINE_COLS}, 2 AS load FROM second",
+    "append_table": "WITH o AS (SELECT o_orderkey, o_custkey, (SELECT count(*) FROM orders WHERE o_orderkey % 2 = 0) AS appended FROM orders) SELECT * FROM o UNION ALL SELECT * FROM o WHERE o_orderkey % 2 = 0",
+    "replace_snapshot": "SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 3 <> 0 AND o_orderkey % 5 <> 0",
+    "migration": tables._MIGRATION_SQL,
+    "script_run": "SELECT o_custkey, count(*) AS n, 'a;b' AS mark FROM orders GROUP BY o_custkey UNION ALL SELECT -1, 0, 'it''s; so'",
+    "csv_backup": """SELECT p_partkey, p_name || ', "x"' || chr(10) || p_brand AS label, CASE WHEN p_partkey % 3 <> 0 THEN p_type END AS p_type, p_size FROM part""",
+    "table_columns": tables._COLUMNS_SQL,
+    "guards": "SELECT * FROM (VALUES ('empty folder', TRUE), ('cut file', TRUE), ('missing page', TRUE), ('missing setting', TRUE)) AS t(name, raised)",
+    "quarantine": "SELECT 'incomplete' AS reason, CAST(o_orderkey AS VARCHAR) AS track_id FROM orders WHERE o_orderkey % 4 = 0 GROUP BY o_orderkey, date_trunc('second', o_orderdate) UNION ALL SELECT 'unreadable', NULL",
+    "stream_ingest": f"WITH {tables._RECENT_SQL} SELECT DISTINCT played_at, track_id, 'api' AS source, strftime(played_at, '%-I %p') AS hour_label FROM R",
+    "stream_sessions": tables._STREAM_SESSIONS_SQL,
+    "artist_loyalty_folded": "SELECT event_type AS artist_name, count(*) AS total_streams, CAST(1 AS BIGINT) AS unique_tracks, CAST(1 AS BIGINT) AS unique_albums, count(DISTINCT CAST(ts AS DATE)) AS active_days FROM events GROUP BY event_type",
 }

@@ -6,9 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def track_id(uri: str | Column) -> Column:
-    """The id in a ``service:track:id`` uri; a text of another form is taken whole."""
-    return F.regexp_replace(uri, "^[a-z]+:track:", "")
+def track_id(uri: str | Column, service: str | None = None) -> Column:
+    """The id in a ``service:track:id`` uri: the first part goes wherever it stands, and a text without it is taken whole.
+
+    Without a ``service``, the part goes that begins the uri, whatever its name.
+    """
+    return F.regexp_replace(uri, "^[a-z]+:track:", "") if service is None else F.replace(F.col(uri) if isinstance(uri, str) else uri, F.lit(f"{service}:track:"), F.lit(""))
 
 
 def join_names(artists: str | Column) -> Column:

@@ -33,6 +33,9 @@ RUN_LOG = _struct(
     liked_downloaded=T.LongType(), liked_inserted=T.LongType(), recent_downloaded=T.LongType(), recent_inserted=T.LongType(), error_message=_S,
 )
 
+#: Rows that no table could take, as JSON, and why.
+REJECTED = _struct(row=_S, reason=_S, seen_at=_N)
+
 #: Raw items of the service's pages.
 _ALBUM = T.StructType([T.StructField("name", _S), T.StructField("release_date", _S)])
 _TRACK = T.StructType(

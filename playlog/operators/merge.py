@@ -72,15 +72,44 @@ def append(batch: DataFrame, table: str) -> int:
     return int(watch.get["n"])
 
 
+def _aside(spark: SparkSession, table: str) -> tuple[list[str], list[str]]:
+    """Names of what replacements of ``table`` that broke off have left: new rows, and old ones."""
+    db, _, name = table.rpartition(".")
+    found = sorted(t.name for t in (spark.catalog.listTables(db) if db else spark.catalog.listTables()) if not t.isTemporary)
+    full = lambda kind: [f"{db}.{t}" if db else t for t in found if t.startswith(f"{name.lower()}__{kind}_")]
+    return full("new"), full("old")
+
+
+def recover_table(spark: SparkSession, table: str) -> bool:
+    """Finish or undo a replacement that broke off; returns whether the table is there.
+
+    New rows are whole once the old ones are set aside, so they then take the table's name; before that, they go.
+    """
+    new, old = _aside(spark, table)
+    if not spark.catalog.tableExists(table):
+        for name in (*new, *old)[:1]:
+            spark.sql(f"ALTER TABLE {name} RENAME TO {table}")
+        new, old = _aside(spark, table)
+    for name in (*new, *old):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.catalog.tableExists(table)
+
+
 def replace_table(df: DataFrame, table: str) -> None:
-    """Truncate and reload, also where ``df`` reads the table: the rows are written beside it first and then take its place."""
+    """Truncate and reload, also where ``df`` reads the table: the rows are written beside it, and then take its name.
+
+    Rows are written once and no file is overwritten. A crash leaves the old rows or the new ones under some name,
+    which the next replacement, or ``recover_table``, brings back.
+    """
     spark = df.sparkSession
-    beside = f"{table}__{uuid.uuid4().hex[:8]}"
-    df.write.format("parquet").saveAsTable(beside)
-    try:
-        spark.table(beside).write.mode("overwrite").format("parquet").saveAsTable(table)
-    finally:
-        spark.sql(f"DROP TABLE IF EXISTS {beside}")
+    there, mark = recover_table(spark, table), uuid.uuid4().hex[:8]
+    df.write.format("parquet").saveAsTable(f"{table}__new_{mark}")
+    if there:
+        spark.sql(f"ALTER TABLE {table} RENAME TO {table}__old_{mark}")
+    spark.sql(f"ALTER TABLE {table}__new_{mark} RENAME TO {table}")
+    spark.catalog.refreshTable(table)
+    if there:
+        spark.sql(f"DROP TABLE {table}__old_{mark}")
 
 
 def latest(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
@@ -107,6 +136,12 @@ def flag_members(df: DataFrame, members: DataFrame, on: str, member_key: str, fl
     return df.join(keys, df[on] == keys["__m"], "left").withColumn(flag, F.col("__m").isNotNull()).drop("__m")
 
 
+def flag_exists(df: DataFrame, members: DataFrame, on: str, member_key: str, flag: str) -> DataFrame:
+    """``flag_members`` by a correlated EXISTS, which Catalyst turns into a join that keeps each row once."""
+    found = members.filter(F.col(member_key) == F.col(on).outer()).exists()
+    return df.withColumn(flag, found)
+
+
 def update_flag(table: str, members: DataFrame, on: str, member_key: str, flag: str) -> None:
     """Set ``flag`` true for the members' rows of a table and leave all others as they are."""
     spark = members.sparkSession

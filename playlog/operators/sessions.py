@@ -21,30 +21,32 @@ def number_naive(df: DataFrame, ts: str = "played_at", gap: int = GAP_MINUTES) -
     return df.withColumn("__new", _starts(F.lag(ts).over(order), ts, gap)).withColumn("session_id", F.sum("__new").over(order)).drop("__new")
 
 
-def number_by_key(df: DataFrame, key: str, ts: str = "played_at", gap: int = GAP_MINUTES) -> DataFrame:
-    """``df`` with ``session_id`` counted within each ``key``."""
-    order = Window.partitionBy(key).orderBy(ts)
-    return df.withColumn("__new", _starts(F.lag(ts).over(order), ts, gap)).withColumn("session_id", F.sum("__new").over(order)).drop("__new")
+def _slotted(df: DataFrame, keys: list[str], ts: str, gap: int) -> DataFrame:
+    """``df`` with ``session_id`` within ``keys``, without a window over its rows.
 
+    Times are cut into slots as long as the limit: times of one slot are less than the limit apart, so a session
+    can only begin with a slot's first play. Slots are counted before the shuffle, one row for each with its first
+    and last time; sessions are numbered over that table, which grows with the span of time and not with the
+    plays, and each row takes its slot's number by a join. Neither a busy hour nor a busy key meets in one task.
+    """
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    cut = df.withColumn("__slot", micros - F.pmod(micros, F.lit(max(1, gap * 60_000_000))))
+    slots = cut.filter(F.col(ts).isNotNull()).groupBy(*keys, "__slot").agg(F.min(ts).alias("__first"), F.max(ts).alias("__last"))
+    order = Window.partitionBy(*keys).orderBy("__slot")
+    slots = slots.withColumn("__new", _starts(F.lag("__last").over(order), "__first", gap)).withColumn("session_id", F.sum("__new").over(order))
+    right = slots.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col("__slot").alias("__s"), "session_id")
+    on = [cut[k].eqNullSafe(right[f"__k{i}"]) for i, k in enumerate(keys)] + [cut["__slot"] == right["__s"]]
+    return cut.join(right, on, "left").select(*df.columns, "session_id")
 
-def number_global(df: DataFrame, ts: str = "played_at", gap: int = GAP_MINUTES, bucket: str = "hour") -> DataFrame:
-    """``df`` with ``session_id`` over the one global order, without a task that sees all rows.
 
-    Times are cut into buckets. Windows run within a bucket; a table with a row for each bucket carries the last
-    play before it and the sessions begun before it. Equal times share a bucket, so ties stay together. The
-    per-bucket table grows with the span of time, not with the rows. Rows without a time get no session.
-    """
-    cut = df.withColumn("__b", F.date_trunc(bucket, F.col(ts)))
-    spans = cut.filter(F.col(ts).isNotNull()).groupBy("__b").agg(F.max(ts).alias("__last"))
-    spans = spans.select(F.col("__b").alias("__pb"), F.lag("__last").over(Window.orderBy("__b")).alias("__prev"))
-    order = Window.partitionBy("__b").orderBy(ts)
-    flagged = cut.join(spans, cut["__b"] == spans["__pb"], "left").withColumn("__new", F.when(F.col(ts).isNotNull(), _starts(F.coalesce(F.lag(ts).over(order), F.col("__prev")), ts, gap)))
-    flagged = flagged.drop("__pb", "__prev")
-    begun = flagged.groupBy("__b").agg(F.sum("__new").alias("__n"))
-    before = Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = begun.select(F.col("__b").alias("__ob"), F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
-    numbered = flagged.join(offsets, flagged["__b"] == offsets["__ob"], "left")
-    return numbered.withColumn("session_id", F.when(F.col(ts).isNotNull(), F.sum("__new").over(order) + F.col("__offset"))).drop("__b", "__ob", "__offset", "__new")
+def number_by_key(df: DataFrame, key: str, ts: str = "played_at", gap: int = GAP_MINUTES) -> DataFrame:
+    """``df`` with ``session_id`` counted within each ``key``; rows without a time get no session."""
+    return _slotted(df, [key], ts, gap)
+
+
+def number_global(df: DataFrame, ts: str = "played_at", gap: int = GAP_MINUTES) -> DataFrame:
+    """``df`` with ``session_id`` over the one global order; rows without a time get no session."""
+    return _slotted(df, [], ts, gap)
 
 
 def summarise(numbered: DataFrame, *keys: str) -> DataFrame:

@@ -47,13 +47,17 @@ def rejected(events: DataFrame) -> DataFrame:
 
 def from_export(raw: DataFrame, imported_at: Column | None = None, uri_field: str | None = None, order: list[str | Column] | None = None) -> DataFrame:
     """Exported history as events: tracks only, the first row of each key. ``order`` says which row is first; by default input file, then all columns."""
-    uri = uri_field or next(c for c in raw.columns if c.endswith(EXPORT_URI_SUFFIX))
+    found = [c for c in raw.columns if c.endswith(EXPORT_URI_SUFFIX)]
+    if uri_field is None and len(found) != 1:
+        raise ValueError(f"name the uri field, one of {found}" if found else f"no column ends in {EXPORT_URI_SUFFIX}")
+    uri = uri_field or found[0]
+    service = uri.removesuffix(EXPORT_URI_SUFFIX) if uri.endswith(EXPORT_URI_SUFFIX) else None
     df = raw.filter(F.col(uri).isNotNull())
     order = order or ([F.col("_metadata.file_path")] if _has_files(df) else [])
     df = df.select(*(F.col(k).alias(v) for k, v in EXPORT_FIELDS.items()), F.col(uri).alias("track_uri"), *(o if isinstance(o, Column) else F.col(o) for o in order))
     tail = df.columns[len(EXPORT_FIELDS) + 1 :]
     df = df.toDF(*df.columns[: len(EXPORT_FIELDS) + 1], *(f"__order{k}" for k in range(len(tail))))
-    df = df.withColumns({"played_at": to_second(parse_zulu("played_at")), "track_id": track_id("track_uri"), "is_liked": F.lit(False)})
+    df = df.withColumns({"played_at": to_second(parse_zulu("played_at")), "track_id": track_id("track_uri", service or None), "is_liked": F.lit(False)})
     rest = [c for c in df.columns if not c.startswith("__order") and c not in model.EVENT_KEY]
     first = dedup_first(df, model.EVENT_KEY, [*(f"__order{k}" for k in range(len(tail))), *rest])
     return _event(first, "export", imported_at)

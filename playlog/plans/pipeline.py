@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import datetime
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,7 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import model
 from ..operators import merge
-from ..sources import export
+from ..sources import export, files
 from . import analytics, normalize
 
 #: Name of each derived table and how it comes from the events, in order.
@@ -23,14 +24,14 @@ ANALYTICS: dict[str, Callable[[DataFrame], DataFrame]] = {
     "listening_session_summary": analytics.listening_sessions,
     "repeat_behavior": analytics.repeats,
 }
-EVENTS, LIKED, RECENT, RUN_LOG = "listening_events", "liked_tracks", "recent_snapshot", "run_log"
+EVENTS, LIKED, RECENT, RUN_LOG, REJECTED = "listening_events", "liked_tracks", "recent_snapshot", "run_log", "rejected_events"
 EXPORTS = [EVENTS, *ANALYTICS, LIKED]
 
 
 def create_tables(spark: SparkSession) -> None:
-    """The core tables, where they aren't there yet."""
-    for name, schema in ((EVENTS, model.EVENT), (LIKED, model.LIKED), (RECENT, model.RECENT), (RUN_LOG, model.RUN_LOG)):
-        if not spark.catalog.tableExists(name):
+    """The core tables, where they aren't there yet; replacements that broke off are finished first."""
+    for name, schema in ((EVENTS, model.EVENT), (LIKED, model.LIKED), (RECENT, model.RECENT), (RUN_LOG, model.RUN_LOG), (REJECTED, model.REJECTED)):
+        if not merge.recover_table(spark, name):
             model.empty(spark, schema).write.format("parquet").saveAsTable(name)
 
 
@@ -42,7 +43,7 @@ def rebuild(spark: SparkSession, events: str = EVENTS, only: list[str] | None =
     done = []
     for name, make in ANALYTICS.items():
         if only is None or name in only:
-            make(spark.table(events)).write.mode("overwrite").format("parquet").saveAsTable(name)
+            merge.replace_table(make(spark.table(events)), name)
             done.append(name)
     return done
 
@@ -63,28 +64,18 @@ class Report:
     liked_inserted: int = 0
     recent_downloaded: int = 0
     recent_inserted: int = 0
+    rejected: int = 0
     rebuilt: list[str] = field(default_factory=list)
     exported: list[str] = field(default_factory=list)
 
 
-def run(spark: SparkSession, liked_pages: Callable[[datetime.datetime | None], DataFrame], recent_pages: Callable[[], DataFrame], export_folder: str | None = None, name: str = "listening") -> Report:
-    """One run. ``liked_pages`` gets the newest time in the library and returns raw items; ``recent_pages`` returns raw items."""
+@contextmanager
+def _logged(spark: SparkSession, name: str) -> Iterator[Report]:
+    """A report to fill in; a row of the run log follows, whether the work ends well or not."""
     create_tables(spark)
     report, start, error = Report(), datetime.datetime.now(datetime.UTC).replace(tzinfo=None), None
     try:
-        mark = merge.watermark(spark.table(LIKED), "added_to_library")
-        liked = merge.newer_than(normalize.flatten_liked(liked_pages(mark)), "added_to_library", mark)
-        report.liked_downloaded = liked.count()
-        report.liked_inserted = merge.insert_ignore(liked, LIKED, model.LIKED_KEY, [-F.unix_micros(F.col("added_to_library").cast("timestamp")), "track_name"]) if report.liked_downloaded else 0
-        recent = normalize.flatten_recent(recent_pages())
-        merge.replace_table(merge.dedup_first(recent, model.RECENT_KEY, ["track_name"]), RECENT)
-        snapshot = spark.table(RECENT)
-        report.recent_downloaded = snapshot.count()
-        events = normalize.valid(normalize.from_recent(snapshot, spark.table(LIKED)))
-        report.recent_inserted = merge.insert_ignore(events, EVENTS, model.EVENT_KEY, ["track_name"])
-        report.rebuilt = rebuild(spark)
-        if export_folder:
-            report.exported = export.export_tables(spark, EXPORTS, export_folder)
+        yield report
     except Exception as e:
         error = re.sub(r"\s+", " ", str(e))[:1000]
         raise
@@ -98,6 +89,50 @@ def run(spark: SparkSession, liked_pages: Callable[[datetime.datetime | None], D
         except Exception:
             if not error:  # a failed log must not hide the run's own error
                 raise
+
+
+def _put_aside(rows: DataFrame, reason: str) -> int:
+    """Append what can't be loaded to the quarantine table, as JSON; returns how many."""
+    return merge.append(rows.select(F.to_json(F.struct("*")).alias("row"), F.lit(reason).alias("reason"), F.current_timestamp().cast("timestamp_ntz").alias("seen_at")), REJECTED)
+
+
+def run(spark: SparkSession, liked_pages: Callable[[datetime.datetime | None], DataFrame], recent_pages: Callable[[], DataFrame], export_folder: str | None = None, name: str = "listening") -> Report:
+    """One run. ``liked_pages`` gets the newest time in the library and returns raw items; ``recent_pages`` returns raw items."""
+    with _logged(spark, name) as report:
+        mark = merge.watermark(spark.table(LIKED), "added_to_library")
+        liked = merge.newer_than(normalize.flatten_liked(liked_pages(mark)), "added_to_library", mark)
+        report.liked_downloaded = liked.count()
+        report.liked_inserted = merge.insert_ignore(liked, LIKED, model.LIKED_KEY, [-F.unix_micros(F.col("added_to_library").cast("timestamp")), "track_name"]) if report.liked_downloaded else 0
+        recent = normalize.flatten_recent(recent_pages())
+        merge.replace_table(merge.dedup_first(recent, model.RECENT_KEY, ["track_name"]), RECENT)
+        snapshot = spark.table(RECENT)
+        report.recent_downloaded = snapshot.count()
+        events = normalize.from_recent(snapshot, spark.table(LIKED))
+        report.recent_inserted = merge.insert_ignore(normalize.valid(events), EVENTS, model.EVENT_KEY, ["track_name"])
+        report.rejected = _put_aside(normalize.rejected(events), "incomplete")
+        report.rebuilt = rebuild(spark)
+        if export_folder:
+            report.exported = export.export_tables(spark, EXPORTS, export_folder)
+    return report
+
+
+def import_history(spark: SparkSession, folder: str, service: str, lines: bool = False, strict: bool = True, name: str = "history") -> Report:
+    """Load an exported history into the event table; plays that it holds already stay as they are.
+
+    Returns the rows read as ``recent_downloaded`` and the new ones as ``recent_inserted``. Events without a
+    required column go to the quarantine table, as do, unless ``strict``, files and rows that can't be read; a
+    strict import raises at those and loads nothing.
+    """
+    with _logged(spark, name) as report:
+        raw = files.read_export(spark, folder, service, lines, None if strict else "__corrupt")
+        if not strict:
+            bad = files.split_corrupt(raw, "__corrupt")[1]
+            report.rejected = _put_aside(bad, "unreadable")
+            raw = raw.filter("__corrupt is null")
+        events = normalize.from_export(raw, uri_field=service + normalize.EXPORT_URI_SUFFIX)
+        report.recent_downloaded = events.count()
+        report.recent_inserted = merge.insert_ignore(normalize.valid(events), EVENTS, model.EVENT_KEY, ["ms_played", "track_name"])
+        report.rejected += _put_aside(normalize.rejected(events), "incomplete")
     return report
 
 

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import SparkSession
 
 
@@ -24,3 +27,18 @@ def session(app: str = "playlog", master: str | None = None, shuffle_partitions:
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     return builder.getOrCreate()
+
+
+def shared_path(spark: SparkSession, tag: str) -> str:
+    """A new path in the folder that driver and executors share, ``spark.checkpoint.dir``.
+
+    Where that is unset, a temporary folder serves local sessions; a cluster session raises, since a machine-local
+    folder would lose rows there.
+    """
+    found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        found = "file://" + tempfile.mkdtemp(prefix="playlog-")
+        spark.conf.set("spark.checkpoint.dir", found)
+    return f"{found.rstrip('/')}/{tag}-{uuid.uuid4().hex}"

@@ -1,9 +1,13 @@
 """A data source over paged JSON: ``spark.read.format("paged_items")``.
 
-Options: ``path`` (a folder of page files ``page-0.json``, ``page-1.json`` ..., each ``{"items": [...], "next": ...}``)
-or ``url`` and ``token`` for a live service; ``page_size``; ``single`` for one page only; ``stop_at``, a time at
-which reading stops, as items come newest first: an item at or before it ends the read. Pages follow each other by
-their ``next``, so a read is one task.
+Options: ``path`` (a folder of page files ``page-0.json``, ``page-1.json`` ..., each ``{"items": [...], "next": ...}``,
+on a path or any URI that Arrow's file systems read) or ``url`` for a live service; ``page_size``; ``single`` for one
+page only; ``stop_at``, a time at which reading stops, as items come newest first: an item at or before it ends the
+read. Pages follow each other by their ``next``, so a read is one task. A page that is missing or unreadable raises.
+
+A service takes a ``token``, or ``token_url`` with ``refresh_token``, ``client_id`` and ``client_secret``, from which
+tokens are drawn at first and whenever one is refused. A service that is busy (429, 5xx) or not reached is asked
+again up to ``retries`` times, after as long as its Retry-After says or a doubling wait.
 """
 
 from __future__ import annotations
@@ -11,7 +15,11 @@ from __future__ import annotations
 import datetime
 import json
 import os
+import time
 from collections.abc import Iterator
+from urllib.error import HTTPError, URLError
+from urllib.parse import urlencode
+from urllib.request import Request, urlopen
 
 from pyspark.sql.datasource import DataSource, DataSourceReader
 from pyspark.sql import SparkSession
@@ -32,26 +40,75 @@ def parse_time(text: str) -> datetime.datetime:
     return datetime.datetime.fromisoformat(text.replace("Z", "+00:00")).replace(tzinfo=None)
 
 
+class Client:
+    """GET of JSON with a bearer token."""
+
+    def __init__(self, options: dict):
+        self.options, self.token = options, options.get("token")
+        self.retries, self.wait = int(options.get("retries", "5")), float(options.get("wait", "1"))
+
+    def _refreshed(self) -> str:
+        missing = [n for n in ("refresh_token", "client_id", "client_secret") if not self.options.get(n)]
+        if missing:
+            raise KeyError(f"settings not found: {', '.join(missing)}")
+        form = {"grant_type": "refresh_token"} | {n: self.options[n] for n in ("refresh_token", "client_id", "client_secret")}
+        return self._sent(Request(self.options["token_url"], data=urlencode(form).encode()))["access_token"]
+
+    def _sent(self, request: Request) -> dict:
+        for k in range(self.retries + 1):
+            try:
+                with urlopen(request, timeout=60) as f:
+                    return json.load(f)
+            except HTTPError as e:
+                if k == self.retries or not (e.code == 429 or e.code >= 500):
+                    raise
+                after = e.headers.get("Retry-After") or ""
+                time.sleep(float(after) if after.replace(".", "", 1).isdigit() else self.wait * 2**k)
+            except URLError:
+                if k == self.retries:
+                    raise
+                time.sleep(self.wait * 2**k)
+        raise AssertionError("unreachable")
+
+    def get(self, url: str) -> dict:
+        renewable = "token_url" in self.options
+        if self.token is None and renewable:
+            self.token, renewable = self._refreshed(), False
+        try:
+            return self._sent(Request(url, headers={"Authorization": f"Bearer {self.token or ''}"}))
+        except HTTPError as e:
+            if e.code != 401 or not renewable:
+                raise
+            self.token = self._refreshed()
+            return self._sent(Request(url, headers={"Authorization": f"Bearer {self.token}"}))
+
+
+def _load(folder: str, name: str) -> dict:
+    """A page file, by Arrow's file systems where the folder is a URI."""
+    if "://" not in folder:
+        with open(os.path.join(folder, name), encoding="utf-8") as f:
+            return json.load(f)
+    from pyarrow.fs import FileSystem
+
+    fs, base = FileSystem.from_uri(folder)
+    with fs.open_input_stream(f"{base}/{name}") as f:
+        return json.loads(f.read())
+
+
 class PagedReader(DataSourceReader):
     def __init__(self, schema: T.StructType, options: dict):
         self.schema, self.options = schema, options
 
     def _pages(self) -> Iterator[dict]:
         folder, size = self.options.get("path"), int(self.options.get("page_size", "50"))
+        client = None if folder else Client(self.options)
         at = 0 if folder else f"{self.options['url']}?limit={size}"
         while at is not None:
             if folder:
-                name = os.path.join(folder.removeprefix("file://"), f"page-{at}.json")
-                if at and not os.path.exists(name):
-                    return
-                with open(name, encoding="utf-8") as f:
-                    page = json.load(f)
+                page = _load(folder, f"page-{at}.json")
                 at = at + 1 if page.get("next") else None
             else:
-                from urllib.request import Request, urlopen
-
-                with urlopen(Request(at, headers={"Authorization": f"Bearer {self.options.get('token', '')}"}), timeout=60) as f:
-                    page = json.load(f)
+                page = client.get(at)
                 at = page.get("next")
             yield page
             if self.options.get("single", "false") == "true":

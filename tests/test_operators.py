@@ -1,7 +1,10 @@
 """Boundary cases of each operator."""
 
 import datetime as dt
+import http.server
 import json
+import random
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -285,3 +288,139 @@ def test_database_and_append(spark):
     assert merge.append(spark.range(3), "history.t") == 3
     assert spark.sql("SELECT count(*) FROM t").first()[0] == 3
     spark.sql("USE default")
+
+
+class _Service(http.server.BaseHTTPRequestHandler):
+    """Two pages behind a token that lasts for one page; the first answer to each page is that the service is busy."""
+
+    seen: list[str] = []
+
+    def _say(self, code, body=None, **headers):
+        self.send_response(code)
+        for k, v in headers.items():
+            self.send_header(k.replace("_", "-"), v)
+        self.end_headers()
+        if body is not None:
+            self.wfile.write(json.dumps(body).encode())
+
+    def do_POST(self):
+        form = self.rfile.read(int(self.headers["Content-Length"])).decode()
+        assert "refresh_token=r" in form and "client_secret=s" in form
+        self.seen.append("token")
+        self._say(200, {"access_token": f"t{self.seen.count('token')}"})
+
+    def do_GET(self):
+        page = 2 if self.path.startswith("/two") else 1
+        self.seen.append(f"{page}")
+        if self.seen.count(f"{page}") == 1:
+            self._say(*((429,) if page == 1 else (503,)), Retry_After="0")
+        elif self.headers["Authorization"] != f"Bearer t{page}":
+            self._say(401)
+        else:
+            self._say(200, {"items": [_item("played_at", f"2024-03-10T10:00:0{page}Z", page)], "next": f"http://127.0.0.1:{self.server.server_port}/two" if page == 1 else None})
+
+    def log_message(self, *_):
+        pass
+
+
+def test_client_waits_and_renews_its_token(spark):
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), _Service)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}"
+    options = dict(url=f"{base}/one", token_url=f"{base}/token", refresh_token="r", client_id="c", client_secret="s", wait="0")
+    try:
+        assert sorted(r.track.id for r in paged.read_items(spark, model.RAW_RECENT, **options).collect()) == ["i1", "i2"]
+        with pytest.raises(Exception, match="settings not found"):
+            paged.read_items(spark, model.RAW_RECENT, **(options | {"client_secret": ""})).collect()
+        with pytest.raises(Exception, match="503|429|401"):
+            _Service.seen.clear()
+            paged.read_items(spark, model.RAW_RECENT, url=f"{base}/one", token="old", retries="0").collect()
+    finally:
+        server.shutdown()
+
+
+def test_a_lost_page_raises(spark, tmp_path):
+    folder = _pages(tmp_path / "gap", "played_at", [[_item("played_at", "2024-03-10T10:00:00Z", 1)], []])
+    (tmp_path / "gap" / "page-1.json").unlink()
+    with pytest.raises(Exception):
+        paged.read_items(spark, model.RAW_RECENT, path=folder).collect()
+    assert paged.read_items(spark, model.RAW_RECENT, path=f"file://{folder}", single="true").count() == 1
+
+
+def test_unreadable_rows_raise_or_go_aside(spark, tmp_path):
+    (tmp_path / "a.json").write_text(json.dumps([_export_row("2024-01-01T00:00:00Z", "svc:track:1")]))
+    (tmp_path / "b.json").write_text(json.dumps([_export_row("2024-01-02T00:00:00Z", "svc:track:2")])[:-20])
+    with pytest.raises(Exception):
+        normalize.from_export(files.read_export(spark, str(tmp_path), "svc")).collect()
+    good, bad = files.split_corrupt(files.read_export(spark, str(tmp_path), "svc", corrupt="bad"), "bad")
+    assert [r.track_id for r in normalize.from_export(good).collect()] == ["1"] and [r.file.rpartition("/")[2] for r in bad.collect()] == ["b.json"]
+    (tmp_path / "x.csv").write_text("k,s\n1,a\n12x,b\n")
+    with pytest.raises(Exception):
+        files.read_csv(spark, f"{tmp_path}/x.csv", "k int, s string").collect()
+    good, bad = files.split_corrupt(files.read_csv(spark, f"{tmp_path}/x.csv", "k int, s string", "bad"), "bad")
+    assert [tuple(r) for r in good.collect()] == [(1, "a")] and [r.text for r in bad.collect()] == ["12x,b"]
+    with pytest.raises(KeyError, match="URL"):
+        files.settings(["URL", "USER"], {"USER": "me", "URL": ""})
+    with pytest.raises(ValueError, match="name the uri field"):
+        normalize.from_export(spark.createDataFrame([("1", "2")], "a_track_uri string, b_track_uri string"))
+
+
+def test_replacement_that_broke_off(spark):
+    for t in ("t_half", "t_half__old_1", "t_half__new_1"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    merge.replace_table(spark.range(3), "t_half")
+    spark.range(9).write.saveAsTable("t_half__new_1")  # the old rows have their name yet: the new ones go
+    assert merge.recover_table(spark, "t_half") and spark.table("t_half").count() == 3
+    spark.sql("ALTER TABLE t_half RENAME TO t_half__old_1")
+    assert merge.recover_table(spark, "t_half") and spark.table("t_half").count() == 3
+    spark.range(5).write.saveAsTable("t_half__new_1")
+    spark.sql("ALTER TABLE t_half RENAME TO t_half__old_1")
+    assert merge.recover_table(spark, "t_half") and spark.table("t_half").count() == 5
+    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("t_half__")]
+
+
+def test_jobs_by_name(spark, tmp_path, capsys):
+    from playlog.__main__ import main, source
+
+    before = spark.catalog.currentDatabase()
+    spark.sql("DROP DATABASE IF EXISTS jobs CASCADE")
+    (tmp_path / "history").mkdir()
+    rows = [_export_row(f"2024-01-01T00:00:0{k}Z", f"svc:track:{k}") for k in range(3)] + [_export_row("2024-01-01T00:00:09Z", "svc:track:9", master_metadata_track_name=None)]
+    (tmp_path / "history" / "a.json").write_text(json.dumps(rows))
+    (tmp_path / "history" / "b.json").write_text("[{")
+    liked = _pages(tmp_path / "liked", "added_at", [[_item("added_at", "2024-03-09T00:00:00Z", 1)]])
+    recent = _pages(tmp_path / "recent", "played_at", [[_item("played_at", "2024-03-10T10:00:00Z", 1)]])
+    try:
+        with pytest.raises(Exception):
+            main(["--database", "jobs", "import", str(tmp_path / "history"), "--service", "svc"], spark)
+        assert spark.table(pipeline.EVENTS).count() == 0
+        main(["--database", "jobs", "import", str(tmp_path / "history"), "--service", "svc", "--keep-going"], spark)
+        assert spark.table(pipeline.EVENTS).count() == 3 and sorted(r.reason for r in spark.table(pipeline.REJECTED).collect()) == ["incomplete", "unreadable"]
+        main(["--database", "jobs", "run", "--liked", liked, "--recent", recent, "--export", f"file://{tmp_path}/out"], spark)
+        main(["--database", "jobs", "rebuild", "artist_loyalty"], spark)
+        main(["--database", "jobs", "export", f"file://{tmp_path}/again"], spark)
+        assert (tmp_path / "again" / "artist_loyalty.csv").read_bytes() == (tmp_path / "out" / "artist_loyalty.csv").read_bytes()
+        assert [r.status for r in spark.table(pipeline.RUN_LOG).orderBy("run_id").collect()] == ["Failed", "Success", "Success"]
+        with pytest.raises(KeyError, match="SERVICE_CLIENT_ID"):
+            source("https://service/recent")
+    finally:
+        spark.catalog.setCurrentDatabase(before)
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_sessions_equal_the_definition(spark, seed):
+    rng = random.Random(seed)
+    at, rows = 0, []
+    for k in range(150):
+        at += rng.choice([0, 0, 1, 60, 899, 1799, 1799.999999, 1800, 1801, 3600, 90_000]) - rng.choice([0, 0, 500])
+        rows.append((at - 400_000, rng.choice("ab"), f"t{k}", "x", 1))
+    df = events(spark, rows).persist()
+    two = {r.track_name: r.session_id for r in sessions.number_global(df).collect()}
+    assert two == {r.track_name: r.session_id for r in sessions.number_naive(df).collect()}
+    by = {r.track_name: r.session_id for r in sessions.number_by_key(df, "artist_name").collect()}
+    for a in "ab":
+        own = df.filter(F.col("artist_name") == a)
+        assert {r.track_name: r.session_id for r in sessions.number_naive(own).collect()}.items() <= by.items()
+    nulls = df.withColumn("played_at", F.when(F.col("track_name") != "t3", F.col("played_at")))
+    assert {r.track_name: r.session_id for r in sessions.number_global(nulls).collect()}["t3"] is None
+    df.unpersist()
