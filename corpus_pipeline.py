@@ -1,10 +1,22 @@
-"""A training corpus, stage by stage: quality, near-duplicates, benchmark leaks, secrets, packing."""
+"""A training corpus, stage by stage: quality, near-duplicates, benchmark leaks, secrets, packing.
+
+Each stage takes the documents that the one before has kept, and returns them with the columns of ``documents``; the
+last returns pieces. A stage's result must be written before the next stage is called, as ``run`` does: the next one
+then deletes what its predecessor had staged.
+
+Every stage reads whole texts, a very long one by itself; takes a null text as an empty one; lets repeated rows and
+null ids each stand for themselves (but for ``near_dedup``); passes on columns that it doesn't know, whatever their
+names; and returns no rows for no rows.
+"""
 
 from __future__ import annotations
 
+import uuid
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
-from playlog.llm.common import fresh_path, table
+from playlog.llm.common import shared_dir, staged, sweep, table
 from playlog.llm.decontaminate import decontaminated
 from playlog.llm.neardup import deduplicated
 from playlog.llm.packing import pack
@@ -13,28 +25,55 @@ from playlog.llm.queries import tokenizer_path
 from playlog.llm.secrets import labelled_samples, redacted, trained
 
 
+_mine: list[str] = []
+
+
+def _in_turn(step):
+    """The stage, deleting first what the stage before it had staged."""
+
+    @wraps(step)
+    def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        sweep(spark, _mine)
+        before = staged()
+        out = step(spark, docs, sf_dir)
+        _mine[:] = [p for p in staged() if p not in before]
+        return out
+
+    return run_step
+
+
+@_in_turn
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the line field accepts."""
+    """Documents that the line field accepts; equal texts are accepted or dropped together, empty ones as one empty line."""
     return accepted(docs, table(spark, sf_dir, "labels"))
 
 
+@_in_turn
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of texts that share four fifths of their five-word shingles or more."""
+    """One document of each component of texts that share four fifths of their five-word shingles or more.
+
+    SimHash fingerprints, searched by vantage-point trees, propose links, whole shingle sets decide, and MinHash keys
+    find what lies beyond the trees' radius. The smallest doc_id stays, a null one only if there is no other; of
+    repeated rows any one; all null, empty and blank texts are one component.
+    """
     return deduplicated(docs)
 
 
+@_in_turn
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage near a benchmark item."""
+    """Documents without a passage near a benchmark item; null and empty items are near nothing."""
     return decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
+@_in_turn
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with secrets replaced in their texts."""
+    """All documents, with secrets replaced in their texts; overlapping spans are one, a null text stays null."""
     return redacted(docs, trained(labelled_samples(docs)))
 
 
+@_in_turn
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of documents in sequences along the curve."""
+    """Pieces of documents in sequences along the curve; an empty document is its end token, documents of equal keys go by row."""
     return pack(docs, tokenizer_path(), with_ids=False)
 
 
@@ -45,10 +84,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stages over documents, each written and read again."""
-    docs = table(spark, sf_dir, "documents")
-    for name, step in STAGES:
-        path = fresh_path(spark, f"pipeline-{name}")
+    """The stages over documents, each written and read again; only the last one's rows stay in the shared folder."""
+    docs, name, before = table(spark, sf_dir, "documents"), uuid.uuid4().hex, None
+    conf, Path = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
+    for stage, step in STAGES:
+        path = f"{shared_dir(spark)}/pipeline-{name}-{stage}"
         step(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        if before:
+            Path(before).getFileSystem(conf).delete(Path(before), True)
+        before = path
+    sweep(spark, _mine)
     return docs

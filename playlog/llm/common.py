@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -37,20 +38,37 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 _staged: list[str] = []
+_ends: list = []
 
 
 def fresh_path(spark: SparkSession, tag: str) -> str:
-    """A path in the shared folder that nothing uses yet."""
+    """A path in the shared folder that nothing uses yet; it goes with the next ``sweep``, or when the process ends."""
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+    if not _ends:
+        _ends.append(atexit.register(_sweep_at_end, spark))
     _staged.append(path)
     return path
 
 
-def sweep(spark: SparkSession) -> int:
-    """Delete what this process has staged so far; call it once the results that rest on it are written. Returns how many paths went."""
-    paths, _staged[:] = list(_staged), []
+def staged() -> list[str]:
+    """What this process has staged and not swept yet, oldest first."""
+    return list(_staged)
+
+
+def sweep(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Delete what this process has staged so far, or those ``paths`` of it; call it once the results that rest on it are written. Returns how many went."""
+    gone = [p for p in _staged if paths is None or p in paths]
+    _staged[:] = [p for p in _staged if p not in gone]
     conf, Path = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
-    return sum(bool(Path(p).getFileSystem(conf).delete(Path(p), True)) for p in paths)
+    return sum(bool(Path(p).getFileSystem(conf).delete(Path(p), True)) for p in gone)
+
+
+def _sweep_at_end(spark: SparkSession) -> None:
+    try:
+        if spark._jsc is not None:
+            sweep(spark)
+    except Exception:  # the session may be gone; what is left then goes with the folder
+        pass
 
 
 def stage(df: DataFrame, tag: str) -> DataFrame:

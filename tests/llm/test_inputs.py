@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 pytest.importorskip("corpus_pipeline")
 
 import corpus_pipeline
-from playlog.llm import decontaminate, langid, media, packing, quality, secrets, sharding, simhash, urlfilter, warc
+from playlog.llm import decontaminate, langid, media, neardup, packing, quality, secrets, sharding, simhash, urlfilter, warc
 from playlog.llm.queries import URL_BLOCKED, URL_RULES, tokenizer_path
 
 CLASH = "row key fp spans score predicted lines bad_lines line_good lang_pred digest media group shard slot component_id fingerprint items position ids tokens part before n __row __row_0 label x leaf law id point root least first a b".split()
@@ -106,7 +106,7 @@ def test_stages_on_awkward_rows(spark, docs, labels, benchmark, tmp_path, which)
 
 def test_repeated_rows_leave_one(spark):
     df = spark.createDataFrame([(1, "a b c d e")] * 3 + [(None, "a b c d e"), (2, "quite other words stand here")], "doc_id long, text string")
-    assert sorted(r.doc_id for r in simhash.deduplicated(df).collect()) == [1, 2]
+    assert sorted(r.doc_id for r in neardup.deduplicated(df).collect()) == [1, 2]
 
 
 def test_sweep_and_shared_folder(spark):
