@@ -285,7 +285,7 @@ def near_roots(rows: DataFrame, name: str, points: DataFrame, tile: int = TILE)
     pairs = proposed(points, members)
     wanted = stage(members.select("point").unionByName(pairs.select("point")).unionByName(pairs.select(F.col("leader").alias("point"))).distinct(), "dedup-wanted")
     # merge joins at every size: a broadcast that ends at some size would make shuffles look as if they outgrew the input
-    sets = stage(_sets(rows.join(wanted.hint("merge"), rows[name] == wanted["point"]).select("point", "text")), "dedup-sets").hint("merge")
+    sets = stage(_sets(rows.select(F.col(name).alias("point"), "text").join(wanted.hint("merge"), "point")), "dedup-sets").hint("merge")
 
     def linked(some: DataFrame) -> DataFrame:
         one, two = sets.alias("one"), sets.alias("two")  # the same columns, so that the sets are shuffled once for both
