@@ -22,7 +22,7 @@ from playlog.llm.neardup import deduplicated
 from playlog.llm.packing import pack
 from playlog.llm.quality import accepted
 from playlog.llm.queries import tokenizer_path
-from playlog.llm.secrets import labelled_samples, redacted, trained
+from playlog.llm.secrets import redacted, trained
 
 
 _mine: list[str] = []
@@ -68,7 +68,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 @_in_turn
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with secrets replaced in their texts; overlapping spans are one, a null text stays null."""
-    return redacted(docs, trained(labelled_samples(docs)))
+    return redacted(docs, trained(docs))
 
 
 @_in_turn

@@ -114,21 +114,37 @@ def with_row_id(df: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, F.monotonically_increasing_id())
 
 
+#: Buckets whose offsets one task sums up, about.
+RANGE = 1 << 17
+
+
 def ranked(df: DataFrame, groups: list[str], order: Column, bucket: Column, rank: str) -> DataFrame:
     """Gapless rank from 0 within ``groups``, without a window over a whole group.
 
-    Rows are counted by (groups, bucket); an exclusive running count over that small table gives each bucket
-    its offset; ``row_number`` then numbers the rows of one bucket only. ``bucket`` must be an integer that
-    spreads rows evenly; rows are ordered by (bucket, order).
+    Rows are counted by (groups, bucket); running counts over that table give each bucket its offset, and
+    ``row_number`` numbers the rows of one bucket only. The table of buckets grows with the rows, so it is ranged over
+    tasks, each of which sums up its own part, and a row for each part and group carries on what came before.
+    ``bucket`` must be orderable and spread rows evenly; rows are ordered by (bucket, order).
     """
     from pyspark.sql import Window
 
-    b, n, off = f"__{rank}_bucket", f"__{rank}_n", f"__{rank}_offset"
+    b, n, off, part = f"__{rank}_bucket", f"__{rank}_n", f"__{rank}_offset", f"__{rank}_part"
     df = df.withColumn(b, bucket)
-    sizes = df.groupBy(*groups, b).agg(F.count(F.lit(1)).alias(n))
-    before = Window.partitionBy(*groups).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
-    renamed = [F.col(c).alias(f"__of_{k}") for k, c in enumerate([*groups, b])]
-    offsets = sizes.select(*renamed, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(off))
+    sizes = stage(df.groupBy(*groups, b).agg(F.count(F.lit(1)).alias(n)), "rank-sizes")
+    parts = max(1, -(-sizes.count() // RANGE))
+    if parts > 1:
+        ranged = stage(sizes.repartitionByRange(parts, *groups, b).withColumn(part, F.spark_partition_id()), "rank-parts")
+    else:
+        ranged = sizes.withColumn(part, F.lit(0))
+    up_to = (Window.unboundedPreceding, -1)
+    totals = ranged.groupBy(*groups, part).agg(F.sum(n).alias("__n"))
+    held = totals.withColumn("__held", F.coalesce(F.sum("__n").over(Window.partitionBy(*groups).orderBy(part).rowsBetween(*up_to)), F.lit(0)))
+    held = held.select(*(F.col(c).alias(f"__in_{k}") for k, c in enumerate([*groups, part])), "__held")
+    here = F.coalesce(F.sum(n).over(Window.partitionBy(part, *groups).orderBy(b).rowsBetween(*up_to)), F.lit(0))
+    inner_on = [F.col(c).eqNullSafe(F.col(f"__in_{k}")) for k, c in enumerate([*groups, part])]
+    summed = ranged.withColumn(off, here).join(held, inner_on)
+    offsets = summed.select(*(F.col(c).alias(f"__of_{k}") for k, c in enumerate([*groups, b])), (F.col(off) + F.col("__held")).alias(off))
+    offsets = stage(offsets, "rank-offsets")
     on = [F.col(c).eqNullSafe(F.col(f"__of_{k}")) for k, c in enumerate([*groups, b])]
     joined = df.join(offsets, on, "inner").select(*df.columns, off)
     inner = Window.partitionBy(*groups, b).orderBy(order)

@@ -13,9 +13,14 @@ the edits (and half as many more, for words that insertions push out of the wind
 length, and one of any edits + 1 words of the item is there, of which the rarest are taken. After it, a pair goes on
 only if all but the edits of the item's words are there at all.
 
-Items are read in blocks of ``BLOCK`` that travel to the tasks; documents cross no shuffle. Defined results: items
-under ``LEAST_WORDS`` words, null or empty ones are not searched for; an item without an id is reported as -1; a null text has no words; equal items each
-count; repeated rows each get their hits; at equal distances the first window counts; empty tables give no rows.
+Words are lower-cased runs of letters, digits and marks; in scripts that are written without spaces, every character
+is a word. Items of fewer than five words allow no edit, so they are found where their words stand in a row.
+
+Equal items are searched for once. Items are read in blocks of ``BLOCK`` texts that travel to the tasks, and
+``BLOCKS`` of them share a scan of the documents, which cross no shuffle. Defined results: null or empty items, or
+ones without a word, are near nothing; an item without an id is reported as -1; a null text has no words; equal items
+each count; repeated rows each get their hits; of a text's windows, the one counts around which an item lies at the
+smallest distance, of those the one that is nearest itself, and of those the first; a very long text is cut into windows whole, some thousands at a time; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -32,7 +37,9 @@ from pyspark.sql import functions as F
 
 from .common import ids as with_ids, keep_rows, map_arrow
 
-SIMILARITY, RECALL, LEAST_WORDS, BLOCK = 0.8, 0.98, 5, 20_000
+SIMILARITY, RECALL, BLOCK, BLOCKS = 0.8, 0.98, 20_000, 5
+#: Scripts without spaces between words.
+_UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])"
 #: Windows that are held at once.
 WINDOWS = 1 << 15
 #: Coordinates of a key, and the share of coordinates on which walks of sequences at the largest distance agree, as measured in the tests.
@@ -41,8 +48,11 @@ _OTHER, _PAD = -1, -2
 
 
 def split_words(column: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """(all words, words of each text): lower-cased runs of letters and digits."""
+    """(all words, words of each text): lower-cased runs of letters, digits and marks, and single characters of scripts without spaces."""
     low = pc.utf8_lower(pc.fill_null(column, ""))
+    unspaced = pc.match_substring_regex(low, _UNSPACED)
+    if pc.any(unspaced).as_py():
+        low = pc.if_else(unspaced, pc.replace_substring_regex(low, _UNSPACED, r" \1 "), low)
     parts = pc.ascii_split_whitespace(pc.utf8_trim_whitespace(pc.replace_substring_regex(low, r"[^\pL\pN\pM]+", " ")))
     words = pc.list_flatten(parts)
     sizes = pc.list_value_length(parts).to_numpy(zero_copy_only=False).astype(np.int64)
@@ -122,12 +132,12 @@ class Embedding:
 class LeakIndex:
     """The items of a block: vocabulary, bounds, and tables of LSH keys for each length."""
 
-    def __init__(self, items: list[tuple[int, str | None]], similarity: float = SIMILARITY, recall: float = RECALL):
+    def __init__(self, items: list[tuple[int, str]], similarity: float = SIMILARITY, recall: float = RECALL):
         words, sizes = split_words(pa.array([t for _, t in items], pa.string()))
         flat = words.to_pylist()
         ends = np.cumsum(sizes)
         split = [flat[e - s : e] for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)]
-        kept = [(i, w) for (i, _), w in zip(items, split, strict=True) if len(w) >= LEAST_WORDS]
+        kept = [(i, w) for (i, _), w in zip(items, split, strict=True) if w]
         spread = Counter(x for _, w in kept for x in set(w))
         self.names = sorted(spread)
         code = {w: k for k, w in enumerate(self.names)}
@@ -189,8 +199,7 @@ class LeakIndex:
             return
         times = (high - low)[hit]
         base = np.repeat(low[hit] - np.cumsum(times) + times, times) + np.arange(times.sum())
-        pairs, votes = np.unique(np.stack([np.repeat(starts[hit // walk.reps], times), owner[base]], 1), axis=0, return_counts=True)
-        pairs = pairs[np.lexsort((pairs[:, 0], -votes))]  # likely ones first, as nothing beats a distance of 0
+        pairs = np.unique(np.stack([np.repeat(starts[hit // walk.reps], times), owner[base]], 1), axis=0)  # in order of starts
         reach = self.edits(n)
         for a in range(0, len(pairs), 2048):
             some = pairs[a : a + 2048]
@@ -199,63 +208,81 @@ class LeakIndex:
             kept = (item[:, :, None] == around[:, None, :]).any(2).sum(1) >= n - reach  # words of the item that are there at all
             yield n, some[kept, 0], some[kept, 1]
 
-    def search(self, column: pa.Array) -> list[tuple[int, int, int, int, int]]:
-        """(row, item id, first word, words, distance): the best window for each text and item within reach."""
+    def search(self, words: pa.Array, sizes: np.ndarray) -> list[tuple[int, int, int, int, int]]:
+        """(row, item id, first word, words, distance): the best window for each text and item within reach; texts as ``split_words`` gives them."""
         if not self.by_length:
             return []
-        words, sizes = split_words(column)
         ids = pc.fill_null(pc.index_in(words, self.vocabulary), _OTHER).to_numpy(zero_copy_only=False).astype(np.int32)
         owner = np.repeat(np.arange(len(sizes)), sizes)
         flat = np.full(len(ids) + (len(sizes) + 1) * self.longest, _PAD, np.int32)
         flat[np.arange(len(ids)) + owner * self.longest] = ids
         first = np.cumsum(sizes) - sizes + np.arange(len(sizes)) * self.longest
-        best: dict[tuple[int, int], tuple[int, int, int]] = {}
+        best: dict[tuple[int, int], tuple[int, int, int, int]] = {}
         for n, starts, items in self.candidates(flat):
             rows = np.searchsorted(first, starts, "right") - 1
             for start, row, k in zip(starts.tolist(), rows.tolist(), items.tolist(), strict=True):
                 held = best.get((row, k))
-                if held and held[0] == 0:
+                if held and held[:2] == (0, 0):  # starts ascend
                     continue
-                reach = self.edits(n)
+                reach, item = self.edits(n), self.items[k].tolist()
                 window = flat[max(start - reach, int(first[row])) : start + n + reach]
-                d = edit_distance(self.items[k].tolist(), window[window != _PAD].tolist(), inside=True)
-                if d <= reach and (held is None or d < held[0]):
-                    best[row, k] = (d, start - int(first[row]), n)
-        return [(row, self.item_ids[k], at, n, d) for (row, k), (d, at, n) in sorted(best.items())]
-
-
-def indexes(benchmark: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, block: int = BLOCK) -> Iterator[LeakIndex]:
-    """The items, a block at a time."""
-    rows = benchmark.select("item_id", "text").filter("text is not null")
-    blocks = max(1, -(-rows.count() * 5 // (4 * block)))
-    for b in range(blocks):
-        own = rows.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).collect()
-        yield LeakIndex(sorted((r["item_id"] if r["item_id"] is not None else -1, r["text"]) for r in own), similarity, recall)
+                d = edit_distance(item, window[window != _PAD].tolist(), inside=True)
+                if d > reach or (held and d > held[0]):
+                    continue
+                own = flat[start : start + n]
+                found = (d, edit_distance(item, own[own != _PAD].tolist()), start - int(first[row]), n)
+                if held is None or found < held:
+                    best[row, k] = found
+        return [(row, self.item_ids[k], at, n, d) for (row, k), (d, _, at, n) in sorted(best.items())]
+
+
+def indexes(benchmark: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, block: int = BLOCK, blocks: int = BLOCKS) -> Iterator[list[LeakIndex]]:
+    """The distinct texts of the items, ``blocks`` blocks at a time; an index names a text by its hash."""
+    texts = benchmark.select("text").filter("text is not null").distinct().withColumn("id", F.xxhash64("text"))
+    parts = max(1, -(-texts.count() * 5 // (4 * block)))
+    held: list[LeakIndex] = []
+    for b in range(parts):
+        own = texts.filter(F.pmod(F.col("id"), F.lit(parts)) == b).collect()
+        held.append(LeakIndex(sorted((r["id"], r["text"]) for r in own), similarity, recall))
+        if len(held) == blocks:
+            yield held
+            held = []
+    if held:
+        yield held
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
     """(doc_id, item_id, first_word, words, distance): a row for each document and item that it holds a window near."""
     out = None
-    for index in indexes(benchmark, similarity, recall, block):
+    for some in indexes(benchmark, similarity, recall, block):
 
-        def run(batches: Iterator[pa.RecordBatch], index: LeakIndex = index) -> Iterator[pa.RecordBatch]:
+        def run(batches: Iterator[pa.RecordBatch], some: list[LeakIndex] = some) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                hits = index.search(batch.column("text"))
+                words = split_words(batch.column("text"))
                 doc = batch.column("doc_id")
-                rows, *rest = zip(*hits, strict=True) if hits else ([],) * 5
-                yield pa.RecordBatch.from_arrays([doc.take(pa.array(rows, pa.int64())), *(pa.array(c, pa.int64()) for c in rest)], ["doc_id", "item_id", "first_word", "words", "distance"])
+                for index in some:
+                    hits = index.search(*words)
+                    rows, *rest = zip(*hits, strict=True) if hits else ([],) * 5
+                    yield pa.RecordBatch.from_arrays([doc.take(pa.array(rows, pa.int64())), *(pa.array(c, pa.int64()) for c in rest)], ["doc_id", "text_id", "first_word", "words", "distance"])
 
-        part = map_arrow(with_ids(docs, "text"), run, "doc_id long, item_id long, first_word long, words long, distance long")
+        part = map_arrow(with_ids(docs, "text"), run, "doc_id long, text_id long, first_word long, words long, distance long")
         out = part if out is None else out.unionByName(part)
-    return out
+    return out.join(_named(benchmark), "text_id").select("doc_id", "item_id", "first_word", "words", "distance")
+
+
+def _named(benchmark: DataFrame) -> DataFrame:
+    """(text_id, item_id) of the items that have a text."""
+    own = benchmark.select("item_id", "text").filter("text is not null")
+    return own.select(F.xxhash64("text").alias("text_id"), F.coalesce(F.col("item_id").cast("long"), F.lit(-1).cast("long")).alias("item_id"))
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, block: int = BLOCK) -> DataFrame:
     """The rows of ``docs`` that hold no window near an item, with their columns."""
-    for index in indexes(benchmark, similarity, recall, block):
+    for some in indexes(benchmark, similarity, recall, block):
 
-        def clean(batch: pa.RecordBatch, index: LeakIndex = index) -> list[bool]:
-            leaks = {h[0] for h in index.search(batch.column("text"))}
+        def clean(batch: pa.RecordBatch, some: list[LeakIndex] = some) -> list[bool]:
+            words = split_words(batch.column("text"))
+            leaks = {h[0] for index in some for h in index.search(*words)}
             return [k not in leaks for k in range(batch.num_rows)]
 
         docs = keep_rows(docs, clean)

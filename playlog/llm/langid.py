@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import map_arrow, texts
+from .common import map_arrow, texts, with_row_id
 
 PROFILE, SAMPLE, UNKNOWN = 400, 600, "und"
 _LETTER, _OTHER = re.compile(r"[^\W\d_]"), re.compile(r"[\W\d_]+")
@@ -58,7 +58,7 @@ def out_of_place(own: np.ndarray, profile: np.ndarray, rank: np.ndarray, size: i
 
 
 def profiles(docs: DataFrame, size: int = PROFILE, sample: int = SAMPLE) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Sorted n-grams and ranks for each language of ``docs`` (text, lang, doc_id), null languages left out."""
+    """Sorted n-grams and ranks for each language of ``docs`` (text, lang), null languages left out."""
     known = docs.filter("lang is not null and text is not null")
     counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}  # a row for each language
     if not counts:
@@ -66,8 +66,9 @@ def profiles(docs: DataFrame, size: int = PROFILE, sample: int = SAMPLE) -> dict
     share = F.lit(0.0)
     for lang, n in counts.items():
         share = F.when(F.col("lang") == lang, min(1.0, sample / n)).otherwise(share)
-    mix = F.xxhash64("doc_id", F.lit(5)).bitwiseAND(F.lit(0xFFFFFFFF))
-    some = known.filter(mix < share * 2**32).select("lang", "text")
+    # drawn by row, so that rows that repeat an id, or have none, don't enter all together
+    mix = F.xxhash64("__row", F.lit(5)).bitwiseAND(F.lit(0xFFFFFFFF))
+    some = with_row_id(known.select("lang", "text"), "__row").filter(mix < share * 2**32).select("lang", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

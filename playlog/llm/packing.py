@@ -31,6 +31,8 @@ END_ID = 2
 HASH_DIMS, CURVE_DIMS, CURVE_BITS = 1024, 4, 12
 #: Words whose ids a worker keeps.
 CACHE_WORDS = 700_000
+#: Positions that a task may hash, 50 MB or so.
+HASHED_ROWS = 500_000
 
 #: Texts of these characters only are lowered and split at white space, which the tokenizer's own rule never crosses; all others go to the tokenizer whole.
 _PLAIN = r"^[\t\n\x0b\x0c\r\x20-\x7e\x{a1}-\x{b1}\x{b4}-\x{b8}\x{ba}\x{bb}\x{bf}-\x{12f}\x{131}-\x{24f}]*$"
@@ -219,9 +221,12 @@ def pack(docs: DataFrame, tokenizer: str, length: int = SEQUENCE, end_id: int =
     """
     rows = stage(tokenized(docs, tokenizer, end_id), "pack-ids")
     spots = placed(rows)
-    total = rows.agg(F.sum("tokens")).first()[0] or 0
-    last, short = divmod(total, length)
-    joined = rows.select("row", "doc_id", "tokens", "ids").join(spots.hint("shuffle_hash"), "row").select("doc_id", "position", "ids")
+    total, n = rows.agg(F.sum("tokens"), F.count(F.lit(1))).first()
+    last, short = divmod(total or 0, length)
+    # positions are hashed where a partition's surely fit in a task's memory, which spares sorting the ids; beyond, both sides are sorted
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spots = spots.hint("shuffle_hash" if n <= HASHED_ROWS * parts else "merge")
+    joined = rows.select("row", "doc_id", "tokens", "ids").join(spots, "row").select("doc_id", "position", "ids")
     schema = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, padded_length long" + ", ids binary" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

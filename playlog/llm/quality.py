@@ -5,14 +5,16 @@ lines before and after it; transition scores tie neighbouring labels. Forward-ba
 marginal probability of being good, and the length-weighted mean of the marginals, calibrated by a logistic
 curve, is the document's score.
 
-The field is fitted on a bounded, class-balanced sample of labelled documents (``SAMPLE`` of each class, at most
-``FIT_BLOCKS`` blocks of ``FIT_LINES`` lines of one document); every line of its sample documents carries the
-document's label. Scoring reads whole texts only: no label, language, source or id.
+The field is fitted on a bounded, class-balanced sample of labelled documents: ``SAMPLE`` of each class, all lines of
+their whole texts, of which every one carries its document's label. A quarter of them is left out of the fit and
+calibrates the curve. Long documents are fitted in blocks of ``FIT_LINES`` lines, which weigh as ``WEIGHT`` blocks
+at most together, so that none outweighs the others. 56 bytes a line come to the driver. Scoring reads whole texts
+only: no label, language, source or id.
 
 Defined results: a null or empty text is one empty line; a document without labels is scored like any other;
-documents labelled twice count with their smaller label; without two classes to learn from, the score is the
-share of label 1 (0.5 without labels); repeated rows get equal scores; an empty table gives no rows; further
-columns are not read.
+documents labelled twice count with their smaller label, labelled ids of several texts with the smallest text; without
+two classes to learn from, the score is the share of label 1 (0.5 without labels); repeated rows get equal scores; a
+very long text is scored whole, by itself; an empty table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import crc_of_id, keep_rows, map_arrow, text_bytes
 
-SAMPLE, FIT_LINES, FIT_BLOCKS = 2000, 48, 3
+SAMPLE, FIT_LINES, WEIGHT = 2000, 48, 3
 THRESHOLD = 0.3
 STEPS, RATE, PENALTY, REACH, RIDGE = 160, 0.08, 4e-3, 4.0, 1e-3
 
@@ -111,17 +113,20 @@ class LineField:
             q = min(max((gb + gg * e) / (bb + bg * e), 1e-30), 1e30)
         return out
 
+    def raw(self, marginals: list[float], lengths: np.ndarray) -> float:
+        """The length-weighted mean of the marginals."""
+        return min(max(float(np.dot(marginals, lengths + 1) / (lengths + 1).sum()), 1e-6), 1 - 1e-6)
+
     def score(self, marginals: list[float], lengths: np.ndarray) -> float:
         if self.constant is not None:
             return self.constant
-        raw = float(np.dot(marginals, lengths + 1) / (lengths + 1).sum())
-        raw = min(max(raw, 1e-6), 1 - 1e-6)
+        raw = self.raw(marginals, lengths)
         z = self.slope * log(raw / (1 - raw)) + self.shift
         return 1 / (1 + exp(-z)) if z > -700 else 0.0
 
 
-def _messages(s: np.ndarray, moves: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Node marginals (n x T) and expected transitions (2 x 2) of padded sequences."""
+def _messages(s: np.ndarray, moves: np.ndarray, mask: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Node marginals (n x T) and expected transitions (2 x 2) of padded sequences, which count with their weights."""
     n, t_max = s.shape
     a, b = np.zeros((t_max, n, 2)), np.zeros((t_max, n, 2))
     node = np.stack([np.zeros_like(s), s], -1)
@@ -136,32 +141,38 @@ def _messages(s: np.ndarray, moves: np.ndarray, mask: np.ndarray) -> tuple[np.nd
     total = np.logaddexp(a[-1][:, 0], a[-1][:, 1])
     good = np.exp(np.minimum(a[:, :, 1] + b[:, :, 1] - total, 0)).T
     pair = a[:-1, :, :, None] + moves + (node.transpose(1, 0, 2)[1:] + b[1:])[:, :, None, :] - total[:, None, None]
-    return good, (np.exp(np.minimum(pair, 0)) * mask.T[1:, :, None, None]).sum((0, 1))
+    there = mask.T[1:, :, None, None] * (1.0 if weights is None else weights[None, :, None, None])
+    return good, (np.exp(np.minimum(pair, 0)) * there).sum((0, 1))
 
 
-def fit(blocks: list[tuple[np.ndarray, int]]) -> LineField:
-    """Maximum likelihood with a ridge penalty, by Adam; ``blocks``: the lines' features with neighbours, and the label."""
+def fit(blocks: list[tuple[np.ndarray, int, float]]) -> LineField:
+    """Maximum likelihood with a ridge penalty, by Adam; ``blocks``: the lines' features with neighbours, the label, and the weight."""
     field_ = LineField()
-    every = np.vstack([x for x, _ in blocks])
-    field_.mean, field_.spread = every.mean(0), every.std(0) + 1e-6
-    t_max = max(len(x) for x, _ in blocks)
-    x = np.zeros((len(blocks), t_max, every.shape[1]))
-    mask, y = np.zeros((len(blocks), t_max), bool), np.array([[v] for _, v in blocks], float)
-    for k, (own, _) in enumerate(blocks):
+    weight = np.array([w for _, _, w in blocks])
+    sizes = np.array([len(x) for x, _, _ in blocks])
+    every = np.vstack([x for x, _, _ in blocks])
+    heavy = np.repeat(weight, sizes)
+    field_.mean = np.average(every, 0, heavy)
+    field_.spread = np.sqrt(np.average((every - field_.mean) ** 2, 0, heavy)) + 1e-6
+    t_max = int(sizes.max())
+    x = np.zeros((len(blocks), t_max, every.shape[1]), np.float32)
+    mask, y = np.zeros((len(blocks), t_max), bool), np.array([[v] for _, v, _ in blocks], float)
+    for k, (own, _, _) in enumerate(blocks):
         x[k, : len(own)], mask[k, : len(own)] = field_.scaled(own), True
-    flat, rows = x[mask], mask.sum()
-    theta = np.zeros(every.shape[1] + 1 + 4)
+    flat, rows = x[mask], heavy.sum()
+    del x, every
+    theta = np.zeros(flat.shape[1] + 1 + 4)
     seen = np.zeros((2, 2))
     for v in (0, 1):
-        seen[v, v] = (mask[:, 1:] & (y == v)).sum()
+        seen[v, v] = ((mask[:, 1:] & (y == v)) * weight[:, None]).sum()
     m, v2 = np.zeros_like(theta), np.zeros_like(theta)
     for step in range(1, STEPS + 1):
         w, bias, moves = theta[:-5], theta[-5], theta[-4:].reshape(2, 2)
         s = np.zeros(mask.shape)
         s[mask] = flat @ w + bias
-        good, pairs = _messages(s, moves, mask)
-        wrong = (np.broadcast_to(y, mask.shape) - good)[mask]
-        grad = np.concatenate([flat.T @ wrong, [wrong.sum()], (seen - pairs).ravel()]) / rows - PENALTY * theta
+        good, pairs = _messages(s, moves, mask, weight)
+        wrong = ((np.broadcast_to(y, mask.shape) - good) * weight[:, None])[mask]
+        grad = np.concatenate([wrong @ flat, [wrong.sum()], (seen - pairs).ravel()]) / rows - PENALTY * theta
         m, v2 = 0.9 * m + 0.1 * grad, 0.999 * v2 + 0.001 * grad**2
         theta += RATE * (m / (1 - 0.9**step)) / (np.sqrt(v2 / (1 - 0.999**step)) + 1e-8)
     field_.weights, field_.bias, field_.moves = theta[:-5].copy(), float(theta[-5]), theta[-4:].reshape(2, 2).copy()
@@ -171,7 +182,6 @@ def fit(blocks: list[tuple[np.ndarray, int]]) -> LineField:
 def calibrate(field_: LineField, scored: list[tuple[float, int, float]]) -> None:
     """Slope and shift of the final curve by Newton's steps over (raw score, label, weight); both classes weigh alike."""
     raw, y, w = (np.array(c, float) for c in zip(*scored, strict=True))
-    raw = np.clip(raw, 1e-6, 1 - 1e-6)
     x = np.stack([np.log(raw / (1 - raw)), np.ones(len(raw))], 1)
     beta, ridge = np.array([1.0, 0.0]), np.array([RIDGE, 1e-4])  # a slope near 1 unless the labels say otherwise: separable samples would make it endless
     for _ in range(25):
@@ -181,50 +191,61 @@ def calibrate(field_: LineField, scored: list[tuple[float, int, float]]) -> None
     field_.slope, field_.shift = float(max(beta[0], 0.05)), float(beta[1])
 
 
-def learned(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0) -> LineField:
-    """The field fitted on a bounded sample of labelled rows whose id's crc32 modulo ``modulus`` is not ``held``."""
+def sampled(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0) -> tuple[dict[int, int], list[tuple[int, int, np.ndarray]]]:
+    """Rows of each label, and (label, fold 0 to 3, lines x (FEATURES + 1)) of the sample: features and length of all lines."""
     own = labels.filter(crc_of_id(F.col("doc_id"), modulus) != held).filter("quality is not null").groupBy("doc_id").agg((F.min("quality") > 0).cast("int").alias("label"))
     own = own.persist()
     counts = {r["label"]: r["count"] for r in own.groupBy("label").count().collect()}
-    if len(counts) < 2:
-        own.unpersist()
-        return LineField(constant=float(next(iter(counts), 0.5)))
     mix = F.xxhash64("doc_id", F.lit(11)).bitwiseAND(F.lit(0xFFFFFFFF))
     picks = None
     for label, n in sorted(counts.items()):
-        cut = int(min(1.0, 0.95 * SAMPLE / n) * 2**32)
-        part = own.filter((F.col("label") == label) & (mix < cut)).limit(SAMPLE)
+        cut = int(min(1.0, 1.2 * SAMPLE / n) * 2**32)
+        part = own.filter((F.col("label") == label) & (mix < cut)).orderBy(mix, "doc_id").limit(SAMPLE)
         picks = part if picks is None else picks.unionByName(part)
+    if len(counts) < 2:
+        own.unpersist()
+        return counts, []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for text, label in zip(text_bytes(batch, "text"), batch.column("label").to_pylist(), strict=True):
+            for text in text_bytes(batch, "text"):
                 x, lengths = line_features(text)
-                n = len(x)
-                starts = [0] if n <= FIT_LINES else np.unique(np.linspace(0, n - FIT_LINES, min(FIT_BLOCKS, -(-n // FIT_LINES))).astype(int)).tolist()
-                block = np.hstack([x, lengths[:, None]]).astype(np.float32)
-                out += [(label, block[s : s + FIT_LINES].tobytes()) for s in starts]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], kind) for k, kind in enumerate((pa.int32(), pa.binary()))], ["label", "x"])
-
-    # at most 2 * SAMPLE ids are broadcast, and of each at most FIT_BLOCKS blocks are collected, 2.7 kB a block
-    rows = map_arrow(docs.select("doc_id", "text").join(F.broadcast(picks), "doc_id").select("text", "label"), run, "label int, x binary").limit(4 * SAMPLE * FIT_BLOCKS).collect()
+                out.append(np.hstack([x, lengths[:, None]]).astype(np.float32).tobytes())
+            yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("fold"), pa.array(out, pa.binary())], ["label", "fold", "x"])
+
+    # at most 2 * SAMPLE ids are broadcast; of an id's rows one is taken
+    fold = F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(4)).cast("int").alias("fold")
+    texts = docs.select("doc_id", "text").join(F.broadcast(picks), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
+    rows = map_arrow(texts.select("label", fold, "text"), run, "label int, fold int, x binary").collect()
     own.unpersist()
-    if len({r["label"] for r in rows}) < 2:
-        return LineField(constant=counts.get(1, 0) / sum(counts.values()))
-    rows = sorted(((r["label"], bytes(r["x"])) for r in rows))
-    plain = [np.frombuffer(x, np.float32).reshape(-1, FEATURES + 1).astype(float) for _, x in rows]
-    blocks = [(with_neighbours(x[:, :-1]), label) for x, (label, _) in zip(plain, rows, strict=True)]
+    plain = sorted((r["label"], r["fold"], bytes(r["x"])) for r in rows)
+    return counts, [(label, k, np.frombuffer(x, np.float32).reshape(-1, FEATURES + 1).astype(float)) for label, k, x in plain]
+
+
+def trained(sample: list[tuple[int, int, np.ndarray]], fold: int = 0) -> LineField:
+    """The field of the documents outside ``fold``, calibrated on those in it."""
+    blocks = []
+    for label, k, x in sample:
+        if k != fold:
+            wide, n = with_neighbours(x[:, :-1]), -(-len(x) // FIT_LINES)
+            blocks += [(wide[a : a + FIT_LINES], label, min(1.0, WEIGHT / n)) for a in range(0, len(x), FIT_LINES)]
     field_ = fit(blocks)
-    drawn = {v: sum(label == v for label, _ in rows) for v in (0, 1)}
-    scored = []
-    for x, (label, _) in zip(plain, rows, strict=True):
-        lengths = x[:, -1] + 1
-        scored.append((float(np.dot(field_.marginals(x[:, :-1]), lengths) / lengths.sum()), label, len(rows) / drawn[label]))
-    calibrate(field_, scored)
+    rest = [(label, x) for label, k, x in sample if k == fold]
+    if len({label for label, _ in rest}) == 2:
+        drawn = {v: sum(label == v for label, _ in rest) for v in (0, 1)}
+        calibrate(field_, [(field_.raw(field_.marginals(x[:, :-1]), x[:, -1]), label, len(rest) / drawn[label]) for label, x in rest])
     return field_
 
 
+def learned(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0) -> LineField:
+    """The field fitted on a bounded sample of labelled rows whose id's crc32 modulo ``modulus`` is not ``held``."""
+    counts, sample = sampled(docs, labels, modulus, held)
+    if not sample or len({label for label, k, _ in sample if k}) < 2:
+        return LineField(constant=counts.get(1, 0) / sum(counts.values()) if counts else 0.5)
+    return trained(sample)
+
+
 def score_lines(docs: DataFrame, field_: LineField, keep: tuple[str, ...] = ("doc_id",), threshold: float = THRESHOLD, with_lines: bool = True) -> DataFrame:
     """(keep..., score, predicted, lines, bad_lines) and, with ``with_lines``, each line's probability of being good."""
 

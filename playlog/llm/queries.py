@@ -97,10 +97,10 @@ FROM parts
 
 
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from .secrets import KINDS, labelled_samples, scan, span_text, trained
+    from .secrets import KINDS, scan, span_text, trained
 
     docs = table(spark, sf_dir, "documents")
-    found = scan(docs, trained(labelled_samples(docs)))
+    found = scan(docs, trained(docs))
     n = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
     return found.select("doc_id", *(n(k) for k in KINDS[:3]), F.sha2(span_text("spans", KINDS[:3]).cast("binary"), 256).alias("base_sha256"), span_text("spans", KINDS).alias("spans"))
 

@@ -1,13 +1,15 @@
 """Secrets in texts: fixed patterns, and character Markov models that tell random strings from identifiers.
 
-Two second-order character models, one of random keys and one of ordinary identifiers, are trained from labelled
-samples; a run of key characters is a secret if the log-likelihood ratio for each character is high enough. The
-labelled samples are keys drawn by a seeded generator from the usual alphabets, and the words of a bounded
-sample of the corpus (at most ``SAMPLE_DOCS`` documents) that no fixed pattern touches.
-
-Spans are code points, end exclusive. Defined results: a null or empty text has no spans; whole texts are read;
-repeated rows get equal spans; an empty table gives no rows and models of keys alone still work; further columns
-are not read, and redaction passes them on.
+Second-order character models are trained from labelled samples, some of random strings and some of ordinary ones,
+each of one kind; a run of key characters is a secret if the likeliest random model beats the likeliest ordinary one
+by ``RATIO`` a character. Random samples are drawn by a seeded generator from the usual alphabets of keys. Ordinary
+ones are the words of the whole corpus outside the fixed patterns' spans, shapes of names in programs, and strings that
+machines write without secrecy: UUIDs, digests, versions, dates, paths, addresses and ruled lines.
+
+The corpus is counted whole: its words enter as counts of three characters, summed up by the tasks, at most 360,000
+rows however long the texts are. Spans are code points, end exclusive. Defined results: a null or empty text has no
+spans; whole texts are read, a very long one by itself; repeated rows get equal spans; an empty table gives no rows,
+and models without a corpus still work; further columns are not read, and redaction passes them on.
 """
 
 from __future__ import annotations
@@ -28,12 +30,13 @@ KINDS = ("assign", "access", "hex", "markov")
 ASSIGN = re.compile(r"((?ai:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]+")
-#: Runs that the models judge: key characters, at least RUN of them, with a letter and a digit among them.
+#: Runs that the models judge: key characters, at least RUN of them.
 RUN, KEY_CHARS = 20, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=.-"
 RUNS = re.compile(r"[A-Za-z0-9+/_=.-]{20,}")
 #: Least log-likelihood ratio for each character.
-RATIO = 0.5
-SAMPLE_DOCS, SAMPLE_KEYS = 1500, 6000
+RATIO = 1.0
+#: Strings that are drawn of each kind.
+DRAWN = 4000
 
 _WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 _HEX_MAP = bytes(49 if chr(c) in "0123456789abcdef" else 48 for c in range(256))
@@ -56,22 +59,29 @@ def _may_hold(raw: bytes) -> tuple[bool, bool]:
 
 
 class KeyModel:
-    """Log-likelihood ratios of second-order character models over KEY_CHARS."""
+    """Log-likelihood ratios between second-order character models over KEY_CHARS, several of either side."""
 
     SIZE = len(KEY_CHARS) + 1
 
-    def __init__(self, keys: Iterable[str], words: Iterable[str]):
-        self.at = {c: k + 1 for k, c in enumerate(KEY_CHARS)}
-        self.ratio = self._logs(keys) - self._logs(words)
+    def __init__(self, random_counts: list[np.ndarray], ordinary_counts: list[np.ndarray]):
+        self.random, self.ordinary = np.stack([self._logs(c) for c in random_counts]), np.stack([self._logs(c) for c in ordinary_counts])
 
-    def _codes(self, word: str) -> np.ndarray:
-        return np.array([0, 0, *(self.at.get(c, 0) for c in word)])
+    @classmethod
+    def codes(cls, word: str) -> np.ndarray:
+        return np.concatenate([[0, 0], _CODES[np.frombuffer(word.encode("latin-1", "replace"), np.uint8)]])
 
-    def _logs(self, words: Iterable[str]) -> np.ndarray:
-        counts = np.zeros((self.SIZE,) * 3)
+    @classmethod
+    def counted(cls, words: Iterable[str]) -> np.ndarray:
+        """Counts of three characters, words padded in front."""
+        counts = np.zeros(cls.SIZE**3)
         for word in words:
-            c = self._codes(word)
-            np.add.at(counts, (c[:-2], c[1:-1], c[2:]), 1)
+            c = cls.codes(word)
+            np.add.at(counts, (c[:-2] * cls.SIZE + c[1:-1]) * cls.SIZE + c[2:], 1)
+        return counts
+
+    @classmethod
+    def _logs(cls, counts: np.ndarray) -> np.ndarray:
+        counts = counts.reshape((cls.SIZE,) * 3)
         single = counts.sum((0, 1)) + 0.5  # each order backs the one above it, so that contexts not met are judged by their characters
         single /= single.sum()
         double = counts.sum(0) + 8 * single
@@ -80,17 +90,27 @@ class KeyModel:
         return np.log(triple / triple.sum(2, keepdims=True))
 
     def of(self, word: str) -> float:
-        """Mean log-likelihood ratio of the word's characters, random against ordinary."""
-        c = self._codes(word)
-        return float(self.ratio[c[:-2], c[1:-1], c[2:]].mean()) if word else 0.0
+        """Mean log-likelihood ratio of the word's characters: the likeliest random model against the likeliest ordinary one."""
+        if not word:
+            return 0.0
+        c = self.codes(word)
+        mean = lambda logs: float(logs[:, c[:-2], c[1:-1], c[2:]].mean(1).max())
+        return mean(self.random) - mean(self.ordinary)
+
+
+_CODES = np.zeros(256, np.int64)
+_CODES[list(KEY_CHARS.encode())] = np.arange(1, len(KEY_CHARS) + 1)
+
 
+_LOW, _UP, _DIGITS = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
+#: Alphabets of keys; digits and a to f alone are those of digests too, of which the fixed patterns take the long ones.
+ALPHABETS = (_LOW + _UP + _DIGITS + "+/", _LOW + _UP + _DIGITS + "-_", _LOW + _UP + _DIGITS, _LOW + _UP, _UP + _DIGITS, _LOW + _DIGITS)
 
-def random_keys(n: int = SAMPLE_KEYS, seed: int = 7) -> list[str]:
-    """Keys of the usual alphabets, by a seeded generator."""
+
+def random_keys(n: int = DRAWN, seed: int = 7) -> list[list[str]]:
+    """Keys of each alphabet, by a seeded generator."""
     draw = random.Random(seed)
-    low, up, digits = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
-    kinds = (digits + "abcdef", digits + "ABCDEF", low + up + digits + "+/", low + up + digits + "-_", low + up + digits, up + digits, low + digits)
-    return ["".join(draw.choices(kinds[k % len(kinds)], k=draw.randint(20, 64))) for k in range(n)]
+    return [["".join(draw.choices(alphabet, k=draw.randint(20, 64))) for _ in range(n)] for alphabet in ALPHABETS]
 
 
 #: Ordinary names that stand in every sample, so that a small corpus still trains a model.
@@ -112,39 +132,73 @@ time title total track transaction transfer type unique unknown update upload us
 vector vendor version video view visible wait warning website week width window word worker write year""".split()
 
 
-#: Shapes of names in programs, made of the corpus's own words.
-def identifiers(words: list[str], seed: int = 7) -> list[str]:
+def identifiers(words: list[str], n: int = DRAWN, seed: int = 7) -> list[str]:
+    """Shapes of names in programs, made of ``words``."""
     draw = random.Random(seed)
     out = list(words)
-    for k in range(len(words)):
-        some = draw.sample(words, min(len(words), draw.randint(2, 4)))
+    for k in range(n):
+        some = draw.sample(words, min(len(words), draw.randint(2, 5)))
         joint = ("_", "-", ".", "/", "")[k % 5]
-        out.append(joint.join(w.title() if not joint else w for w in some) + ("" if k % 3 else str(draw.randint(0, 2030))))
+        named = [w.title() if not joint else w.upper() if k % 7 == 0 else w for w in some]
+        out.append(joint.join(named) + ("" if k % 3 else str(draw.randint(0, 2030))))
     return out
 
 
-def labelled_samples(docs: DataFrame) -> list[tuple[str, int]]:
-    """(string, 1 for a key or 0 for an identifier) to train from; at most SAMPLE_DOCS documents are read for words."""
-    n = docs.count()
-    mix = F.xxhash64("doc_id", F.lit(23)).bitwiseAND(F.lit(0xFFFFFFFF))
-    some = docs.filter(mix < int(min(1.0, 0.9 * SAMPLE_DOCS / max(n, 1)) * 2**32)).select("text").limit(SAMPLE_DOCS)
+def machine_strings(n: int = DRAWN, seed: int = 7) -> list[list[str]]:
+    """Strings that machines write and that open nothing, by kind: UUIDs, digests, numbers with dates and versions, paths and addresses, ruled lines."""
+    draw = random.Random(seed)
+    of = lambda alphabet, k: "".join(draw.choices(alphabet, k=k))
+    low, up = _DIGITS + "abcdef", _DIGITS + "ABCDEF"
+    uuids = ["-".join(of(low if k % 4 else up, m) for m in (8, 4, 4, 4, 12)) for k in range(n)]
+    digests = [of(low if k % 4 else up, draw.choice((20, 24, 28, 32, 40, 64))) for k in range(n)]
+    word = lambda: draw.choice(COMMON)
+    numbers, paths = [], []
+    for k in range(n):
+        day = f"{draw.randint(1970, 2040)}-{draw.randint(1, 12):02d}-{draw.randint(1, 28):02d}"
+        clock = f"T{draw.randint(0, 23):02d}-{draw.randint(0, 59):02d}-{draw.randint(0, 59):02d}.{of(_DIGITS, 6)}Z"
+        version = ".".join(str(draw.randint(0, 40)) for _ in range(3))
+        numbers.append((of(_DIGITS, draw.randint(12, 30)), day + clock, f"{word()}-{version}-{day.replace('-', '')}", f"{version}-{word()}.{draw.randint(0, 99)}+{of(_DIGITS, 8)}", f"{of(_DIGITS, 4)}-{of(_DIGITS, 4)}-{of(_DIGITS, 4)}-{of(_DIGITS, 4)}")[k % 5])
+        names = [word() + draw.choice(("", "", "s", str(draw.randint(0, 99)))) for _ in range(draw.randint(2, 6))]
+        paths.append(("/" + "/".join(names), f"//{names[0]}.example.{draw.choice(('com', 'org', 'net'))}/" + "/".join(names[1:]), "/".join(names) + f".{draw.choice(('py', 'html', 'json', 'tar.gz', 'png'))}", f"/{draw.choice(('usr', 'home', 'var', 'opt'))}/lib/{names[0]}{draw.randint(2, 20)}.{draw.randint(0, 9)}/" + "-".join(names[1:]))[k % 4])
+    rules = [draw.choice("-=._+/") * draw.randint(12, 80) if k % 3 else of("-=._", 2) * draw.randint(6, 30) for k in range(n)]
+    return [uuids, digests, numbers, paths, rules]
+
+
+def corpus_counts(docs: DataFrame) -> np.ndarray:
+    """Counts of three characters over the key characters' runs of all texts, outside the fixed patterns' spans."""
+    size = KeyModel.SIZE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size**3, np.int64)
         for batch in batches:
-            own: set[str] = set()
-            for text in batch.column("text").to_pylist():
-                held = base_spans(text or "")
-                for m in re.finditer(r"[A-Za-z0-9+/_=.-]{4,}", text or ""):
-                    if not any(a < m.end() and m.start() < b for a, b, _ in held):
-                        own.add(m[0].strip(".-"))
-            yield pa.RecordBatch.from_arrays([pa.array(sorted(own), pa.string())], ["word"])
+            for raw in text_bytes(batch, "text"):
+                if _may_hold(raw)[0]:
+                    text = raw.decode()
+                    raw = replaced(text, base_spans(text), " ").encode()
+                for at in range(0, len(raw), 1 << 20):  # a piece goes on with the two characters before it
+                    c = np.concatenate([[0, 0], _CODES[np.frombuffer(raw[max(0, at - 2) : at + (1 << 20)], np.uint8)]])
+                    first, second = np.where(c[1:-1] == 0, 0, c[:-2]), c[1:-1]
+                    grams = (first * size + second) * size + c[2:]
+                    grams = grams[2 if at else 0 :]
+                    total += np.bincount(grams[c[2:][2 if at else 0 :] > 0], minlength=size**3)
+        there = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(there, pa.int64()), pa.array(total[there])], ["gram", "n"])
+
+    counts = np.zeros(size**3)
+    for r in map_arrow(docs.select("text"), run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n")).toLocalIterator():  # at most size ** 3 rows
+        counts[r["gram"]] = r["n"]
+    return counts
+
 
-    words = sorted(r[0] for r in map_arrow(some, run, "word string").distinct().orderBy(F.xxhash64("word"), "word").limit(40_000).collect())
-    return [(k, 1) for k in random_keys()] + [(w, 0) for w in [*identifiers(COMMON), *identifiers(words)]]
+def labelled_samples() -> list[tuple[list[str], int]]:
+    """(strings of one kind, 1 for random ones or 0 for ordinary ones) to train from beside the corpus."""
+    return [(k, 1) for k in random_keys()] + [(w, 0) for w in [identifiers(COMMON), *machine_strings()]]
 
 
-def trained(samples: list[tuple[str, int]]) -> KeyModel:
-    return KeyModel([w for w, y in samples if y], [w for w, y in samples if not y])
+def trained(docs: DataFrame) -> KeyModel:
+    """The models of the labelled samples and of the corpus's own words, which count as ordinary."""
+    samples = labelled_samples()
+    return KeyModel([KeyModel.counted(s) for s, y in samples if y], [corpus_counts(docs), *(KeyModel.counted(s) for s, y in samples if not y)])
 
 
 def find_spans(text: str, model: KeyModel, least: float = RATIO) -> list[tuple[int, int, str]]:
@@ -157,7 +211,7 @@ def find_spans(text: str, model: KeyModel, least: float = RATIO) -> list[tuple[i
         b = a + len(m[0].rstrip(".-"))
         word = text[a:b]
         k = bisect_right(starts, a)
-        if b - a >= RUN and not (k and ends[k - 1] >= b) and re.search("[0-9]", word) and re.search("[A-Za-z]", word) and model.of(word) >= least:
+        if b - a >= RUN and not (k and ends[k - 1] >= b) and model.of(word) >= least:
             more.append((a, b, "markov"))
     return sorted(out + more, key=lambda s: (s[0], KINDS.index(s[2]), s[1])) if more else out
 

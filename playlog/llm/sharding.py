@@ -11,7 +11,8 @@ Votes are counted by (group, shard) before the shuffle, and quotas are shared ou
 neither a hot group nor a full shard meets in one task. Each round is written to the shared folder.
 
 Defined results: a null text has no bytes; documents with a null group have no links; repeated rows are
-documents of their own; ties go by a hash; an empty table gives no rows; further columns are not read.
+documents of their own; ties go by a hash; a very long text is read once, for its size and digest; an empty table
+gives no rows; further columns are not read.
 """
 
 from __future__ import annotations
@@ -23,7 +24,7 @@ from .common import ranked, stage
 
 SHARDS, ROUNDS = 24, 4
 #: Rows that a bucket of a distributed rank holds, about.
-BUCKET_ROWS = 4096
+BUCKET_ROWS = 512
 
 
 def _spread(n: int, *cols: str | Column) -> Column:

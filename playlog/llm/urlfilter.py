@@ -3,17 +3,22 @@
 Level 0 holds the listed keys, level 1 those unlisted keys of the corpus that level 0 lets through by mistake,
 level 2 the listed keys that level 1 lets through, and so on until none are left. As every level's mistakes over
 the corpus's complete key universe are encoded by the next, a key of the corpus is listed exactly if the first
-level that lacks it is odd. Levels are built in parallel as partial bit maps, merged by chunk; their size follows
-the listed keys, is bounded by ``MAX_BITS``, and they travel to the tasks instead of any join.
+level that lacks it is odd. Only keys that level 0 lets through are told apart by a join, once, to build the rest.
+Levels are built in parallel as partial bit maps, merged by chunk, and they travel to the tasks instead of any join.
 
-A key is a host or parent domain, followed by a path prefix or nothing. Defined results: a null url, or one
-without ``://``, has an empty host and path; equal urls get equal verdicts; an empty table gives no rows; no
+A cascade holds at most ``MOST_KEYS`` listed keys, some 50 MB. Longer lists are parted by a hash of the key into
+cascades of that size; the urls' keys then pass one cascade after the other, and a task holds one at a time.
+
+A key is a host or parent domain, followed by a path prefix or nothing; only as many labels and characters as some
+listed key has are tried, so long hosts and paths cost no more than their length. Defined results: a null url, or
+one without ``://``, has an empty host and path; equal urls get equal verdicts; an empty table gives no rows; no
 listed keys list nothing; null keys count as no key; further columns are not read.
 """
 
 from __future__ import annotations
 
 import math
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,9 +29,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_intdigest
 
-from .common import stage
+from .common import map_arrow, stage
 
-MAX_BITS, CHUNK = 1 << 29, 1 << 15
+#: Listed keys of a cascade; bytes of a merged chunk; least rate of mistakes of a level.
+MOST_KEYS, CHUNK, LEAST_RATE = 15_000_000, 1 << 15, 1e-6
 _LOWER = {c: c + 32 for c in range(65, 91)}
 
 
@@ -44,11 +50,12 @@ def split_url(url: str | None) -> tuple[str, str]:
     return rest[:cut].translate(_LOWER), path
 
 
-def keys_of(host: str, path: str, lengths: list[int]) -> list[str]:
-    """The keys that can be listed for a url, longest first: the host and its parents, with path prefixes of ``lengths``."""
-    labels = host.split(".")
-    hosts = [".".join(labels[k:]) for k in range(len(labels))]
-    tails = ["", *(path[:n] for n in lengths if 0 < n <= len(path))]
+def keys_of(host: str, path: str, lengths: list[int], depths: list[int]) -> list[str]:
+    """The keys that can be listed for a url, longest first: its host's last labels, as many as ``depths`` names, with path prefixes of ``lengths``."""
+    labels = host.rsplit(".", max(depths, default=0))
+    n = host.count(".") + 1
+    hosts = [".".join(labels[-d:]) for d in depths if 0 < d <= n]
+    tails = ["", *(path[:k] for k in lengths if 0 < k <= len(path))]
     return sorted({h + t for h in hosts for t in tails}, key=lambda k: (-len(k), k))
 
 
@@ -64,8 +71,6 @@ class Bloom:
     @classmethod
     def sized(cls, level: int, n: int, rate: float) -> Bloom:
         bits = max(64, math.ceil(1.4427 * n * math.log2(1 / rate)))
-        if bits > MAX_BITS:
-            raise ValueError(f"{n} keys need {bits} bits at a level; at most {MAX_BITS} travel to a task")
         return cls(level, bits, max(1, round(math.log2(1 / rate))), np.zeros(-(-bits // 8), np.uint8))
 
     def places(self, key: str) -> list[int]:
@@ -103,74 +108,122 @@ def _filled(keys: DataFrame, bloom: Bloom) -> Bloom:
         bits = np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in pdf["bits"]])
         return pd.DataFrame({"chunk": pdf["chunk"].iloc[:1], "bits": [bits.tobytes()]})
 
-    merged = keys.mapInArrow(parts, "chunk int, bits binary").groupBy("chunk").applyInPandas(merge, "chunk int, bits binary")
+    merged = map_arrow(keys.select("key"), parts, "chunk int, bits binary").groupBy("chunk").applyInPandas(merge, "chunk int, bits binary")
     for r in merged.toLocalIterator():  # as many bytes as the filter has, which sized() bounds
         own = np.frombuffer(r["bits"], np.uint8)
         bloom.data[r["chunk"] * CHUNK : r["chunk"] * CHUNK + len(own)] = own
     return bloom
 
 
-def build_cascade(universe: DataFrame, listed: DataFrame) -> list[Bloom]:
-    """The levels for column ``key`` of ``listed`` over that of ``universe``."""
-    marks = listed.select("key").filter("key is not null").distinct().withColumn("hit", F.lit(True))
-    tagged = stage(universe.select("key").filter("key is not null").distinct().join(marks, "key", "left").select("key", F.coalesce("hit", F.lit(False)).alias("listed")), "url-keys")
-    counts = {r["listed"]: r["count"] for r in tagged.groupBy("listed").count().collect()}
-    inside, outside = counts.get(True, 0), counts.get(False, 0)
-    levels: list[Bloom] = []
-    left = inside
-    while left:
-        side = len(levels) % 2 == 0
+def _passing(keys: DataFrame, levels: list[Bloom]) -> DataFrame:
+    """The keys that every level holds."""
+    made = tuple(levels)
 
-        def passed(batches: Iterator[pa.RecordBatch], made: tuple[Bloom, ...] = tuple(levels)) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                own = [k for k in batch.column("key").to_pylist() if all(b.holds(k) for b in made)]
-                yield pa.RecordBatch.from_arrays([pa.array(own, pa.string())], ["key"])
-
-        keys = tagged.filter(F.col("listed") == side).select("key").mapInArrow(passed, "key string")
-        if levels:
-            left = keys.count()
-            if not left:
-                break
-        rate = min(0.5, max(1e-6, inside / max(outside, 1) / math.sqrt(2))) if not levels else 0.5
-        levels.append(_filled(keys, Bloom.sized(len(levels), left, rate)))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own = [k for k in batch.column("key").to_pylist() if k is not None and all(b.holds(k) for b in made)]
+            yield pa.RecordBatch.from_arrays([pa.array(own, pa.string())], ["key"])
+
+    return map_arrow(keys.select("key"), run, "key string")
+
+
+def build_cascade(universe: DataFrame, listed: DataFrame, expected: int | None = None) -> list[Bloom]:
+    """The levels for column ``key`` of ``listed`` over that of ``universe``, whose rows may repeat; ``expected``: about how many keys it has."""
+    marks = stage(listed.select("key").filter("key is not null").distinct(), "url-listed")
+    inside = marks.count()
+    if not inside:
+        return []
+    outside = max(1, universe.count() if expected is None else expected)
+    rate = min(0.5, max(LEAST_RATE, inside / outside / math.sqrt(2)))
+    levels = [_filled(marks, Bloom.sized(0, inside, rate))]
+    passed = _passing(universe, levels).distinct()
+    tagged = stage(passed.join(marks.withColumn("hit", F.lit(True)), "key", "left").select("key", F.coalesce("hit", F.lit(False)).alias("listed")), "url-keys")
+    while True:
+        side = len(levels) % 2 == 0
+        keys = _passing(tagged.filter(F.col("listed") == side), levels)
+        left = keys.count()
+        if not left:
+            return levels
+        levels.append(_filled(keys, Bloom.sized(len(levels), left, 0.5)))
         if len(levels) > 200:
             raise RuntimeError("the cascade doesn't end")
-    return levels
 
 
-def url_keys(pages: DataFrame, lengths: list[int]) -> DataFrame:
-    """The complete universe: column ``key``, each url's keys, distinct within a task."""
+def url_keys(pages: DataFrame, lengths: list[int], depths: list[int]) -> DataFrame:
+    """The complete universe: column ``key``, each url's keys, distinct within a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own = {k for u in batch.column("url").to_pylist() for k in keys_of(*split_url(u), lengths)}
+            own = {k for u in batch.column("url").to_pylist() for k in keys_of(*split_url(u), lengths, depths)}
             yield pa.RecordBatch.from_arrays([pa.array(sorted(own), pa.string())], ["key"])
 
-    return pages.select("url").mapInArrow(run, "key string").distinct()
+    return map_arrow(pages.select("url"), run, "key string")
 
 
-def judge(pages: DataFrame, rules: list[tuple[str, str, str]], blocked: list[str], default: str = "allow") -> DataFrame:
+def judge(pages: DataFrame, rules: list[tuple[str, str, str]], blocked: list[str] | DataFrame, default: str = "allow", most_keys: int = MOST_KEYS) -> DataFrame:
     """(page_id, host, path, rule, verdict, listed_key).
 
-    ``rules``: (verdict, host, path prefix), the longest that fits wins; ``blocked``: further listed hosts, which
-    block themselves and their subdomains where no rule fits. Both are stated lists, of a size that the cascade
-    checks. The keys of a url go through the cascade; those that it lists are then looked up by name.
+    ``rules``: (verdict, host, path prefix), a stated list of which the longest that fits wins; ``blocked``: further
+    listed hosts, stated or a column ``key`` of any length, which block themselves and their subdomains where no rule
+    fits. The keys of a url go through the cascade; those that it lists are then looked up among the rules by name.
     """
     verdicts = {h + p: v for v, h, p in rules}
     lengths = sorted({len(p) for _, _, p in rules})
     spark = pages.sparkSession
-    listed = spark.createDataFrame([(k,) for k in sorted({*verdicts, *blocked})], "key string")
-    levels = build_cascade(url_keys(pages, lengths), listed)
+    stated = spark.createDataFrame([(k,) for k in sorted(verdicts if isinstance(blocked, DataFrame) else {*verdicts, *blocked})], "key string")
+    listed = stated.unionByName(blocked.select("key").filter("key is not null")).distinct() if isinstance(blocked, DataFrame) else stated
+    more = listed.join(stated, "key", "left_anti") if isinstance(blocked, DataFrame) else spark.createDataFrame([(h,) for h in blocked], "key string")
+    labels = {h.count(".") + 1 for _, h, _ in rules} | {r[0] for r in more.select((F.size(F.split("key", r"\.")).alias("n"))).distinct().collect()}  # as many as there are lengths of hosts
+    depths = sorted(labels)
+    n, parts = pages.count() * max(1, len(depths)), max(1, -(-listed.count() // most_keys))
+    if parts == 1:
+        levels = build_cascade(url_keys(pages, lengths, depths), listed, n)
+        known = lambda keys: [k for k in keys if listed_by(levels, k)]
+        return _verdicts(pages, known, verdicts, lengths, depths, default)
+    return _parted(pages, listed, verdicts, lengths, depths, default, parts, n)
+
+
+def _verdict(hits: list[str], verdicts: dict[str, str], default: str) -> tuple[str | None, str, str | None]:
+    rule = next((k for k in hits if k in verdicts), None)
+    return rule, verdicts[rule] if rule else "block" if hits else default, hits[0] if hits else None
+
 
+def _verdicts(pages: DataFrame, known, verdicts: dict[str, str], lengths: list[int], depths: list[int], default: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows: list[tuple] = []
             for url in batch.column("url").to_pylist():
                 host, path = split_url(url)
-                hits = [k for k in keys_of(host, path, lengths) if listed_by(levels, k)]
-                rule = next((k for k in hits if k in verdicts), None)
-                rows.append((host, path, rule, verdicts[rule] if rule else "block" if hits else default, hits[0] if hits else None))
+                rows.append((host, path, *_verdict(known(keys_of(host, path, lengths, depths)), verdicts, default)))
             cols = list(zip(*rows, strict=True)) if rows else [()] * 5
             yield pa.RecordBatch.from_arrays([batch.column("page_id"), *(pa.array(c, pa.string()) for c in cols)], ["page_id", "host", "path", "rule", "verdict", "listed_key"])
 
-    return pages.select(F.col("page_id").cast("long").alias("page_id"), "url").mapInArrow(run, "page_id long, host string, path string, rule string, verdict string, listed_key string")
+    return map_arrow(pages.select(F.col("page_id").cast("long").alias("page_id"), "url"), run, "page_id long, host string, path string, rule string, verdict string, listed_key string")
+
+
+def _parted(pages: DataFrame, listed: DataFrame, verdicts: dict[str, str], lengths: list[int], depths: list[int], default: str, parts: int, n: int) -> DataFrame:
+    """``judge`` for lists that one cascade can't hold: each part's cascade adds the listed keys that it has to every url's ``hits``."""
+    part = F.crc32(F.col("key").cast("binary")) % parts
+    rows = stage(pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.array().cast("array<string>").alias("hits")), "url-hits")
+    for k in range(parts):
+        own = listed.filter(part == k)
+        levels = build_cascade(url_keys(pages, lengths, depths).filter(part == k), own, n // parts)
+
+        def run(batches: Iterator[pa.RecordBatch], levels: list[Bloom] = levels, k: int = k) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = []
+                for url, hits in zip(batch.column("url").to_pylist(), batch.column("hits").to_pylist(), strict=True):
+                    found.append([*hits, *(x for x in keys_of(*split_url(url), lengths, depths) if x not in hits and zlib.crc32(x.encode()) % parts == k and listed_by(levels, x))])
+                yield pa.RecordBatch.from_arrays([batch.column("page_id"), batch.column("url"), pa.array(found, pa.list_(pa.string()))], ["page_id", "url", "hits"])
+
+        rows = stage(map_arrow(rows, run, "page_id long, url string, hits array<string>"), "url-hits")
+
+    def last(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out: list[tuple] = []
+            for url, hits in zip(batch.column("url").to_pylist(), batch.column("hits").to_pylist(), strict=True):
+                out.append((*split_url(url), *_verdict(sorted(hits, key=lambda x: (-len(x), x)), verdicts, default)))
+            cols = list(zip(*out, strict=True)) if out else [()] * 5
+            yield pa.RecordBatch.from_arrays([batch.column("page_id"), *(pa.array(c, pa.string()) for c in cols)], ["page_id", "host", "path", "rule", "verdict", "listed_key"])
+
+    return map_arrow(rows, last, "page_id long, host string, path string, rule string, verdict string, listed_key string")

@@ -29,7 +29,7 @@ from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import fresh_path, map_arrow, stage
+from .common import fresh_path, map_arrow, stage, with_row_id
 
 REVISIT_BYTES = 100
 TRAIN_RECORDS, TRAIN_BYTES, DICT_BYTES = 400, 2 << 20, 48 << 10
@@ -47,8 +47,9 @@ def roles(pages: DataFrame, key: str = "page_id", payload: str = "html") -> Data
     split at a hot one. Of equal smallest ids, the first row by row number is the response.
     """
     body = F.coalesce(F.col(payload).cast("binary"), F.lit(b""))
-    rows = pages.select(F.col(key).cast("long").alias("key"), F.col("url").cast("string").alias("url"), body.alias("payload"), F.monotonically_increasing_id().alias("row"))
-    rows = rows.withColumn("digest", F.sha2("payload", 256))
+    rows = pages.select(F.col(key).cast("long").alias("key"), F.col("url").cast("string").alias("url"), body.alias("payload"))
+    # written, since both the counts and the join back read the row numbers, which could differ if they were computed twice
+    rows = stage(with_row_id(rows, "row").withColumn("digest", F.sha2("payload", 256)), "warc-rows")
     first = F.min(F.struct(F.col("key").isNull().alias("n"), "key", "row")).alias("first")
     firsts = rows.filter(F.octet_length("payload") >= REVISIT_BYTES).groupBy("digest").agg(first, F.count(F.lit(1)).alias("copies")).filter("copies > 1")
     joined = rows.join(firsts.select(F.col("digest").alias("d"), "first"), rows["digest"] == F.col("d"), "left")

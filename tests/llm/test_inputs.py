@@ -52,7 +52,7 @@ N = len(rows())
 
 
 def run_all(docs, labels, benchmark, pages):
-    model = secrets.trained(secrets.labelled_samples(docs))
+    model = secrets.trained(docs)
     return {
         "media": media.media_features(docs),
         "packing": packing.pack(docs, tokenizer_path()),
@@ -118,10 +118,24 @@ def test_sweep_and_shared_folder(spark):
     assert common.sweep(spark) == 1 and common.sweep(spark) == 0
 
 
-def test_ranks_are_gapless(spark):
+@pytest.mark.parametrize("span", [1 << 17, 3])
+def test_ranks_are_gapless(spark, span, monkeypatch):
+    from playlog.llm import common
     from playlog.llm.common import ranked
 
+    monkeypatch.setattr(common, "RANGE", span)
     df = spark.range(200).select(F.col("id"), F.when(F.col("id") < 150, "hot").otherwise(None).alias("g"))
     out = ranked(df, ["g"], F.col("id"), (F.col("id") % 7).cast("int"), "r").collect()
     for g in ("hot", None):
         assert sorted(r.r for r in out if r.g == g) == list(range(150 if g else 50))
+
+
+def test_batches_are_cut_by_bytes():
+    import pyarrow as pa
+
+    from playlog.llm.common import pieces
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["x" * 10] * 100 + ["y" * 5000] + ["z"] * 50)], ["t"])
+    parts = list(pieces(iter([batch, batch.slice(0, 0)]), 600))
+    assert [t for p in parts for t in p.column("t").to_pylist()] == batch.column("t").to_pylist()
+    assert all(p.nbytes <= 600 or p.num_rows == 1 for p in parts)

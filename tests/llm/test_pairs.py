@@ -182,3 +182,44 @@ def test_walks_agree_as_assumed():
 def test_words():
     words, sizes = D.split_words(pa.array(["A b,C", None, "", "...", "x"]))
     assert words.to_pylist() == ["a", "b", "c", "x"] and sizes.tolist() == [3, 0, 0, 0, 1]
+
+
+def test_short_and_unspaced_items_are_found(spark):
+    items = [(1, "\u3053\u306e\u554f\u984c\u306e\u7b54\u3048\u306f\u4f55\u3067\u3059\u304b"), (2, "only four words here"), (3, "two words"), (4, "..."), (5, None), (6, "Two, WORDS")]
+    docs = [(1, "x \u3053\u306e\u554f\u984c\u306e\u7b54\u3048\u306f\u8ab0\u3067\u3059\u304b y"), (2, "and only FOUR, words here too"), (3, "two other words"), (4, "one two words"), (5, "only four words"), (6, None)]
+    got = D.find_leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert sorted((r.doc_id, r.item_id, r.distance) for r in got.collect()) == [(1, 1, 1), (2, 2, 0), (4, 3, 0), (4, 6, 0)]
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_of_equal_windows_the_first_counts(seed):
+    rng = random.Random(seed)
+    item = [f"w{k}" for k in range(20)]
+    twice = []
+    for _ in range(2):
+        own = list(item)
+        for at in rng.sample(range(20), 2):
+            own[at] = f"x{rng.randrange(99)}"
+        twice.append(own)
+    text = [f"a{k}" for k in range(7)] + twice[0] + [f"b{k}" for k in range(30)] + twice[1]
+    (hit,) = D.LeakIndex([(1, " ".join(item))]).search(*D.split_words(pa.array([" ".join(text)])))
+    assert hit[2] == 7 and hit[4] == 2
+
+
+@pytest.mark.parametrize(("shard", "most"), [(16, 40), (8, 12)])
+def test_full_and_dense_shards_lose_no_pair(spark, shard, most):
+    rng = np.random.default_rng(shard)
+    flips = lambda n, bits, of: np.bitwise_or.reduce([np.uint64(1) << rng.integers(0, of, n, np.uint64) for _ in range(bits)])
+    points = np.unique(np.concatenate([rng.integers(0, 2**63, 200, np.uint64), np.uint64(77) ^ flips(150, 3, 40), rng.integers(0, 2**63, 1, np.uint64) ^ flips(80, 5, 64)]))
+    df = spark.createDataFrame([(int(x),) for x in points.view(np.int64)], "fp long")
+    old, S.LEVELS = S.LEVELS, 2
+    try:
+        got = {r.a: r.root for r in components(S.fingerprint_links(df, 2, shard, most)).collect()}
+    finally:
+        S.LEVELS = old
+    values = points.tolist()
+    want = slow_components(len(values), lambda a, b: (values[a] ^ values[b]).bit_count() <= 2)
+    root = {int(np.uint64(v).astype(np.int64)): int(np.uint64(values[w]).astype(np.int64)) for v, w in zip(values, want, strict=True)}
+    mine = {v: got.get(v, v) for v in root}
+    groups = lambda m: sorted(sorted(k for k in m if m[k] == r) for r in set(m.values()))
+    assert groups(mine) == groups(root)

@@ -46,6 +46,41 @@ def test_html_sequence():
     assert first[0]["caption"] == "before" and M.parse_html(None) == [] and M.parse_html("<p") in ([], M.parse_html("<p"))
 
 
+@pytest.mark.parametrize(
+    ("page", "want"),
+    [
+        ("<figure><img src=x><figcaption>cap</figure><p>body text after", [("media", "x", "cap"), ("text", "body text after", None)]),
+        ("<figure><img src=x><figcaption>cap<p>body text after", [("media", "x", "cap"), ("text", "body text after", None)]),
+        ("<figure><img src=x><figcaption><p>cap</p></figcaption></figure>end", [("media", "x", "cap"), ("text", "end", None)]),
+        ("<figure><figcaption>out</figcaption><img src=a><figure><img src=b><figcaption>in</figcaption></figure></figure>", [("media", "a", "out"), ("media", "b", "in")]),
+        ("<figure><figure><img src=b></figure><figcaption>out</figcaption></figure>", [("media", "b", "out")]),
+        ("<template><img src=q>no</template><noscript><img src=z></noscript>yes", [("text", "yes", None)]),
+        ("<title>abc<p>def", [("text", "def", None)]),
+        ("x<figcaption>stray</figcaption>y", [("text", "x", None), ("text", "stray", None), ("text", "y", None)]),
+        ("<figure><table><tr><td>1</table><figcaption>T</figcaption></figure>", [("text", "1", None), ("text", "T", None)]),
+        ("<figcaption>open to the end", [("text", "open to the end", None)]),
+    ],
+)
+def test_captions_and_hidden_parts(page, want):
+    assert [(i["kind"], i["text"], i["caption"]) for i in M.parse_html(page)] == want
+
+
+def test_pages_against_a_tree_walk():
+    """Every page of the table: the blocks' texts in order, as a tree of tags gives them."""
+    import html
+    import os
+
+    import pyarrow.parquet as pq
+
+    if not os.path.exists("/root/testdata/sf0.01/pages.parquet"):
+        pytest.skip("no test tables")
+    for page in pq.read_table("/root/testdata/sf0.01/pages.parquet").column("html").to_pylist():
+        shown = re.sub(r"(?s)<!--.*?-->|<!DOCTYPE[^>]*>|<(script|style|title)\b.*?</\1>", "", page or "")
+        shown = re.sub(r"(?s)</?(?:a|b|html|head|body|meta)(?=[ >/])[^>]*>", "", shown)  # tags that part no words
+        blocks = [" ".join(html.unescape(x).split()) for x in re.split(r"(?s)</?[a-z][^>]*>", shown)]
+        assert [i["text"] for i in M.parse_html(page)] == [b for b in blocks if b]
+
+
 def test_unknown_digest_keeps_its_place(spark):
     pages = spark.createDataFrame([(1, '<p>t</p><img src="sha256:00" alt="c">')], "id int, html string")
     refs = M.references(M.parse_interleaved(pages, keep=("id",)), ("id",))
@@ -137,6 +172,16 @@ def test_language_held_out(spark):
     assert sum(got[k].lang_pred == lang for k, _, lang in rows[75:]) >= 74
 
 
+def test_one_hot_id_is_a_sample_too(spark):
+    """Rows that share an id, or have none, are drawn row by row."""
+    rows = [(7 if k % 2 else None, f"ka ko {k}", "aa") for k in range(3000)]
+    known = L.profiles(spark.createDataFrame(rows, "doc_id long, text string, lang string"), sample=300)
+    grams, ranks = known["aa"]
+    assert len(grams) > 5
+    digits = L.profiles(spark.createDataFrame([(1, "ab" + chr(945 + k % 20) * 3, "aa") for k in range(4000)], "doc_id long, text string, lang string"), sample=5)
+    assert 0 < len(digits["aa"][0]) < 80  # five rows or so, not all 20 kinds
+
+
 # quality
 def test_messages_against_all_labellings():
     rng = np.random.default_rng(6)
@@ -208,6 +253,27 @@ def test_url_verdicts(spark):
     assert got == {k: slow_verdict(u) for k, u in rows}
 
 
+def test_long_hosts_cost_their_length():
+    import tracemalloc
+
+    host = ".".join(["ab"] * 40_000) + ".example.com"
+    tracemalloc.start()
+    keys = U.keys_of(host, "/" * 50_000, [4, 9], [1, 2, 3])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(keys) == 9 and "example.com" in keys and peak < 2_000_000
+
+
+def test_long_lists_are_parted(spark):
+    rng = random.Random(3)
+    hosts = [f"h{k}.{rng.choice('abc')}.net" for k in range(400)]
+    pages = spark.createDataFrame([(k, f"http://{rng.choice(['', 'x.'])}{h}{rng.choice(['/', '/de/9', '/en/'])}") for k, h in enumerate(hosts)], "page_id long, url string")
+    blocked = spark.createDataFrame([(h,) for h in hosts[::3]] + [(None,), ("absent.org",)], "key string")
+    one = {tuple(r) for r in U.judge(pages, URL_RULES, blocked).collect()}
+    assert one == {tuple(r) for r in U.judge(pages, URL_RULES, blocked, most_keys=30).collect()}
+    assert {r[0] for r in one if r[5] in hosts} >= set(range(0, 400, 3)) - {r[0] for r in one if r[3]}
+
+
 @pytest.mark.parametrize("listed", [0, 1, 40, 3000])
 def test_cascade_is_exact(spark, listed):
     keys = [f"k{k}" for k in range(3000)]
@@ -228,21 +294,31 @@ def test_base_spans_equal_whole_scan(text):
     want = [(m.start(), m.end(), "assign") for m in re.finditer(r"([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", text) if len(m[2]) >= 8]
     want += [(m.start(), m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
     want += [(m.start(), m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
-    model = X.KeyModel(["a1b2"], ["word"])
+    model = X.KeyModel([X.KeyModel.counted(["a1b2"])], [X.KeyModel.counted(["word"])])
     got = [s for s in X.spans_of(text.encode(), model) if s[2] != "markov"]
     assert sorted(got) == sorted(want)
 
 
+def test_corpus_counts_are_those_of_all_words(spark):
+    texts = ["ab cde\u00e9f-g " + "token=abcdefgh12 x", "", None, "q" * 70_000 + " r"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    want = X.KeyModel.counted(w for t in texts if t for w in re.findall("[A-Za-z0-9+/_=.-]+", X.replaced(t, X.base_spans(t), " ")))
+    assert (X.corpus_counts(docs) == want).all()
+    assert (X.corpus_counts(docs.unionByName(docs)) == 2 * want).all()
+
+
 def test_key_models_and_redaction(spark):
     words = "configuration manager server response handler thinking thereby international communication".split()
     docs = spark.createDataFrame([(k, " ".join(words)) for k in range(30)] + [(99, None)], "doc_id long, text string")
-    model = X.trained(X.labelled_samples(docs))
-    keys = X.random_keys(400, seed=1)
+    model = X.trained(docs)
+    # strings that nothing was chosen by: other seeds than those of the samples
+    keys = [k for kind in X.random_keys(300, seed=101) for k in kind]
     found = [k for k in keys if model.of(k) >= X.RATIO]
-    assert len(found) >= 0.98 * len(keys)
-    names = [n for n in X.identifiers(words * 20, seed=5) if len(n) >= X.RUN]
+    assert len(found) >= 0.99 * len(keys)
+    names = [n for n in X.identifiers(words, 600, seed=102) + X.identifiers(X.COMMON, 600, seed=103) + [s for kind in X.machine_strings(300, seed=104) for s in kind] if len(n) >= X.RUN]
     assert sum(model.of(n) >= X.RATIO for n in names) <= 0.01 * len(names)
-    key = next(k for k in keys if k in found and re.search("[0-9]", k) and re.search("[A-Z]", k) and not k.endswith(("-", ".")))
+    assert model.of("qwErTyUiOpAsDfGhJkLzXcVbNm") >= X.RATIO > model.of("550e8400-e29b-41d4-a716-446655440000")
+    key = next(k for k in keys if k in found and re.search("[0-9]", k) and re.search("[A-Z]", k) and re.fullmatch("[A-Za-z0-9]+", k))
     text = f"see {key}, é token = abcdefgh12 and configurationManagerServer2 end"
     spans = X.find_spans(text, model)
     assert [(k, text[a:b]) for a, b, k in spans] == [("markov", key), ("assign", "token = abcdefgh12")]
