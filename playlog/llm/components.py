@@ -1,17 +1,24 @@
-"""Connected components of a table of links, by alternating star operations.
+"""Connected components of a table of links.
 
-Each round replaces every link by links to the smallest neighbour, first upwards, then downwards, until nothing
-changes; rounds grow with the logarithm of the longest chain. Every step is a grouped minimum (combined before
-the shuffle) and an equi-join whose hot keys adaptive execution can split; each round is written to the shared
-folder, and only a count and a checksum come to the driver.
+Up to ``SMALL`` links are joined by one task, which holds some 50 MB for them. Beyond, alternating star operations
+replace every link by links to the smallest neighbour, first upwards, then downwards, until nothing changes; rounds
+grow with the logarithm of the longest chain. Every step is a grouped minimum (combined before the shuffle) and an
+equi-join whose hot keys adaptive execution can split; each round is written to the shared folder. Only a count and a
+checksum come to the driver.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stage
+from .common import map_arrow, stage
+
+#: Links that one task joins.
+SMALL = 1 << 18
 
 
 def _large_star(links: DataFrame) -> DataFrame:
@@ -27,15 +34,38 @@ def _small_star(links: DataFrame) -> DataFrame:
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).filter("a != b").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
-    """(a, root) for each end of a link, root the smallest end that is reachable; ``links`` has columns a and b.
+def _joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(a, root) of each end, by a forest whose roots are the smallest ends."""
+    above: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while (up := above.setdefault(x, x)) != x:
+            above[x] = above[up]
+            x = above[x]
+        return x
+
+    for batch in batches:
+        for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True):
+            a, b = find(a), find(b)
+            if a != b:
+                above[max(a, b)] = min(a, b)
+    ends = list(above)
+    for at in range(0, len(ends), 1 << 16):
+        some = ends[at : at + (1 << 16)]
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(map(find, some), pa.int64())], ["a", "root"])
+
+
+def components(links: DataFrame, small: int = SMALL) -> DataFrame:
+    """(a, root) for each end of a link, root the smallest end that is reachable; ``links`` has longs a and b.
 
     Nulls and links of an end to itself are left out, repeated links count once, and no links give no rows.
     """
     now = stage(links.select("a", "b").filter("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links")
     mark = lambda df: tuple(df.agg(F.count(F.lit(1)), F.sum(F.expr("cast(xxhash64(a, b) as decimal(20,0))"))).first())
     before = mark(now)
-    while before[0]:
+    if before[0] <= small:
+        return stage(map_arrow(now.coalesce(1), _joined, "a long, root long"), "roots")
+    while True:
         now = stage(_small_star(_large_star(now)), "links")
         after = mark(now)
         if after == before:

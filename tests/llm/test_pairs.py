@@ -74,11 +74,12 @@ def test_flood_equals_blocks():
     assert [a.find(k) for k in range(len(dense))] == [b.find(k) for k in range(len(dense))]
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_components(spark, seed):
+@pytest.mark.parametrize("small", [0, 1000])
+@pytest.mark.parametrize("seed", range(2))
+def test_components(spark, seed, small):
     rng = random.Random(seed)
     links = [(rng.randrange(40), rng.randrange(40)) for _ in range(25)] + [(k, k + 1) for k in range(100, 140)]
-    got = {r.a: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
+    got = {r.a: r.root for r in components(spark.createDataFrame(links, "a long, b long"), small).collect()}
     ends = sorted({x for l in links if l[0] != l[1] for x in l})
     pairs = {tuple(sorted(l)) for l in links}
     want = slow_components(len(ends), lambda a, b: (ends[b], ends[a]) in pairs)
