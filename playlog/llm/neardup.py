@@ -43,7 +43,7 @@ SHINGLE, SEED = 5, 42
 NEAR = (4, 5)
 BANDS, ROWS = 24, 4
 #: Points of a key that one task compares, about; pairs for each point, beyond which a tile is dense; least share of last bytes in common.
-TILE, PAIRS, LIKELY = 1024, 4, 0.6
+TILE, PAIRS, LIKELY = 512, 4, 0.6
 _RNG = np.random.default_rng(SEED)
 _A, _C = _RNG.integers(0, 2**63, BANDS * ROWS, np.uint64) * np.uint64(2) + np.uint64(1), _RNG.integers(0, 2**64, BANDS * ROWS, np.uint64)
 
@@ -314,4 +314,5 @@ def deduplicated(docs: DataFrame, tile: int = TILE) -> DataFrame:
     roots = near_roots(rows, name, points.select("point", "size", "fp", "keys", "marks"), tile)
     joined = points.select("id", "point").join(roots, points["point"] == roots["a"], "left")
     kept = stage(joined.groupBy(F.coalesce("root", "point").alias("root")).agg(F.min("id").alias("id")).select(F.col("id.row").alias("__kept")), "dedup-kept")
-    return rows.join(kept, rows[name] == kept["__kept"], "left_semi").select(*docs.columns)
+    # a merge join at every size, as above
+    return rows.join(kept.hint("merge"), rows[name] == kept["__kept"], "left_semi").select(*docs.columns)
