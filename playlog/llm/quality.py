@@ -6,8 +6,8 @@ marginal probability of being good, and the length-weighted mean of the marginal
 curve, is the document's score.
 
 The field is fitted on a bounded, class-balanced sample of labelled documents: ``SAMPLE`` of each class, all lines of
-their whole texts, of which every one carries its document's label. A quarter of them is left out of the fit and
-calibrates the curve. Long documents are fitted in blocks of ``FIT_LINES`` lines, which weigh as ``WEIGHT`` blocks
+their whole texts, of which every one carries its document's label. The curve is calibrated out of sample: by the
+scores that fields fitted on the other half of the documents give to each half. Long documents are fitted in blocks of ``FIT_LINES`` lines, which weigh as ``WEIGHT`` blocks
 at most together, so that none outweighs the others. 56 bytes a line come to the driver. Scoring reads whole texts
 only: no label, language, source or id.
 
@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from .common import crc_of_id, keep_rows, map_arrow, text_bytes
 
-SAMPLE, FIT_LINES, WEIGHT = 2000, 48, 3
+SAMPLE, FIT_LINES, WEIGHT, FOLDS = 2000, 48, 3, 2
 THRESHOLD = 0.3
 STEPS, RATE, PENALTY, REACH, RIDGE = 160, 0.08, 4e-3, 4.0, 1e-3
 
@@ -192,7 +192,7 @@ def calibrate(field_: LineField, scored: list[tuple[float, int, float]]) -> None
 
 
 def sampled(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0) -> tuple[dict[int, int], list[tuple[int, int, np.ndarray]]]:
-    """Rows of each label, and (label, fold 0 to 3, lines x (FEATURES + 1)) of the sample: features and length of all lines."""
+    """Rows of each label, and (label, fold, lines x (FEATURES + 1)) of the sample: features and length of all lines."""
     own = labels.filter(crc_of_id(F.col("doc_id"), modulus) != held).filter("quality is not null").groupBy("doc_id").agg((F.min("quality") > 0).cast("int").alias("label"))
     own = own.persist()
     counts = {r["label"]: r["count"] for r in own.groupBy("label").count().collect()}
@@ -215,7 +215,7 @@ def sampled(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0)
             yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("fold"), pa.array(out, pa.binary())], ["label", "fold", "x"])
 
     # at most 2 * SAMPLE ids are broadcast; of an id's rows one is taken
-    fold = F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(4)).cast("int").alias("fold")
+    fold = F.pmod(F.xxhash64("doc_id", F.lit(29)), F.lit(64)).cast("int").alias("fold")
     texts = docs.select("doc_id", "text").join(F.broadcast(picks), "doc_id").groupBy("doc_id", "label").agg(F.min("text").alias("text"))
     rows = map_arrow(texts.select("label", fold, "text"), run, "label int, fold int, x binary").collect()
     own.unpersist()
@@ -223,25 +223,33 @@ def sampled(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0)
     return counts, [(label, k, np.frombuffer(x, np.float32).reshape(-1, FEATURES + 1).astype(float)) for label, k, x in plain]
 
 
-def trained(sample: list[tuple[int, int, np.ndarray]], fold: int = 0) -> LineField:
-    """The field of the documents outside ``fold``, calibrated on those in it."""
-    blocks = []
-    for label, k, x in sample:
-        if k != fold:
+def trained(sample: list[tuple[int, int, np.ndarray]], folds: int = FOLDS) -> LineField:
+    """The field of all documents, calibrated by scores that fields without a document's fold give it."""
+
+    def fitted(rows: list[tuple[int, int, np.ndarray]]) -> LineField:
+        blocks = []
+        for label, _, x in rows:
             wide, n = with_neighbours(x[:, :-1]), -(-len(x) // FIT_LINES)
             blocks += [(wide[a : a + FIT_LINES], label, min(1.0, WEIGHT / n)) for a in range(0, len(x), FIT_LINES)]
-    field_ = fit(blocks)
-    rest = [(label, x) for label, k, x in sample if k == fold]
-    if len({label for label, _ in rest}) == 2:
-        drawn = {v: sum(label == v for label, _ in rest) for v in (0, 1)}
-        calibrate(field_, [(field_.raw(field_.marginals(x[:, :-1]), x[:, -1]), label, len(rest) / drawn[label]) for label, x in rest])
+        return fit(blocks)
+
+    scored = []
+    for fold in range(folds):
+        rest, own = [r for r in sample if r[1] % folds != fold], [r for r in sample if r[1] % folds == fold]
+        if len({label for label, _, _ in rest}) == 2:
+            part = fitted(rest)
+            scored += [(part.raw(part.marginals(x[:, :-1]), x[:, -1]), label) for label, _, x in own]
+    field_ = fitted(sample)
+    drawn = {v: sum(label == v for _, label in scored) for v in (0, 1)}
+    if all(drawn.values()):
+        calibrate(field_, [(raw, label, len(scored) / drawn[label]) for raw, label in scored])
     return field_
 
 
 def learned(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0) -> LineField:
     """The field fitted on a bounded sample of labelled rows whose id's crc32 modulo ``modulus`` is not ``held``."""
     counts, sample = sampled(docs, labels, modulus, held)
-    if not sample or len({label for label, k, _ in sample if k}) < 2:
+    if len({label for label, _, _ in sample}) < 2:
         return LineField(constant=counts.get(1, 0) / sum(counts.values()) if counts else 0.5)
     return trained(sample)
 
