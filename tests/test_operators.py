@@ -424,3 +424,8 @@ def test_sessions_equal_the_definition(spark, seed):
     nulls = df.withColumn("played_at", F.when(F.col("track_name") != "t3", F.col("played_at")))
     assert {r.track_name: r.session_id for r in sessions.number_global(nulls).collect()}["t3"] is None
     df.unpersist()
+
+
+def test_first_rows_with_maps(spark):
+    df = spark.createDataFrame([(1, 2, {"a": 1}), (1, 1, {"b": 2}), (None, 5, None)], "k int, n int, m map<string,int>")
+    assert sorted(((r.k, r.n, r.m) for r in merge.dedup_first(df, ["k"], ["n"]).collect()), key=repr) == [(1, 1, {"b": 2}), (None, 5, None)]
