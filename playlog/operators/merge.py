@@ -75,7 +75,7 @@ def append(batch: DataFrame, table: str) -> int:
 def _aside(spark: SparkSession, table: str) -> tuple[list[str], list[str]]:
     """Names of what replacements of ``table`` that broke off have left: new rows, and old ones."""
     db, _, name = table.rpartition(".")
-    found = sorted(t.name for t in (spark.catalog.listTables(db) if db else spark.catalog.listTables()) if not t.isTemporary)
+    found = sorted(t.name for t in spark.catalog.listTables(db or None, f"{name}__*") if not t.isTemporary)
     full = lambda kind: [f"{db}.{t}" if db else t for t in found if t.startswith(f"{name.lower()}__{kind}_")]
     return full("new"), full("old")
 
