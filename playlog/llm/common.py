@@ -6,6 +6,8 @@ import atexit
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -41,12 +43,40 @@ _staged: list[str] = []
 _ends: list = []
 
 
+class Scope:
+    """What one piece of work has staged: it owns these tables, and nobody else's."""
+
+    def __init__(self):
+        self.paths: list[str] = []
+
+    def sweep(self, spark: SparkSession) -> int:
+        """Delete them; call it once the results that rest on them are written. Returns how many went."""
+        gone, self.paths = self.paths, []
+        return sweep(spark, gone)
+
+
+_scope: ContextVar[Scope | None] = ContextVar("scope", default=None)
+
+
+@contextmanager
+def scope() -> Iterator[Scope]:
+    """What is staged inside, by this thread, belongs to the scope; an inner scope's tables are the inner one's only."""
+    own = Scope()
+    held = _scope.set(own)
+    try:
+        yield own
+    finally:
+        _scope.reset(held)
+
+
 def fresh_path(spark: SparkSession, tag: str) -> str:
-    """A path in the shared folder that nothing uses yet; it goes with the next ``sweep``, or when the process ends."""
+    """A path in the shared folder that nothing uses yet; it goes with its ``scope``'s or the next ``sweep``, or when the process ends."""
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     if not _ends:
         _ends.append(atexit.register(_sweep_at_end, spark))
     _staged.append(path)
+    if own := _scope.get():
+        own.paths.append(path)
     return path
 
 

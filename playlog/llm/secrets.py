@@ -3,8 +3,9 @@
 Second-order character models are trained from labelled samples, some of random strings and some of ordinary ones,
 each of one kind; a run of key characters is a secret if the likeliest random model beats the likeliest ordinary one
 by ``RATIO`` a character. Random samples are drawn by a seeded generator from the usual alphabets of keys. Ordinary
-ones are the words of the whole corpus outside the fixed patterns' spans, shapes of names in programs, and strings that
-machines write without secrecy: UUIDs, digests, versions, dates, paths, addresses and ruled lines.
+ones are the words of the whole corpus, shapes of names in programs, and strings that machines write without secrecy:
+UUIDs, digests, versions, dates, paths, addresses and ruled lines. Only runs too short to be judged are words, so a key
+in the corpus never makes itself ordinary.
 
 The corpus is counted whole: its words enter as counts of three characters, summed up by the tasks, at most 360,000
 rows however long the texts are. Spans are code points, end exclusive. Defined results: a null or empty text has no
@@ -33,8 +34,11 @@ HEX = re.compile(r"[0-9a-f]+")
 #: Runs that the models judge: key characters, at least RUN of them.
 RUN, KEY_CHARS = 20, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=.-"
 RUNS = re.compile(r"[A-Za-z0-9+/_=.-]{20,}")
-#: Least log-likelihood ratio for each character.
-RATIO = 1.0
+#: Words that count as ordinary: whole runs shorter than RUN, letters of one case, or with a first capital.
+_WORD = re.compile(rb"(?<![A-Za-z0-9+/_=.-])(?:[A-Z]?[a-z]{1,18}|[A-Z]{2,19})[.-]?(?![A-Za-z0-9+/_=.-])")
+_BREAK = re.compile(rb"[^A-Za-z0-9+/_=.-]")
+#: Least log-likelihood ratio for each character: among strings that no sample holds, keys seldom fall below 2, and long compounds seldom rise above 1.
+RATIO = 1.5
 #: Strings that are drawn of each kind.
 DRAWN = 4000
 
@@ -164,23 +168,32 @@ def machine_strings(n: int = DRAWN, seed: int = 7) -> list[list[str]]:
     return [uuids, digests, numbers, paths, rules]
 
 
+def words_of(raw: bytes) -> Iterator[bytes]:
+    """The text's words, line by line, in pieces of about a megabyte that end between runs of key characters."""
+    at = 0
+    while at < len(raw):
+        end = _BREAK.search(raw, at + (1 << 20))
+        end = end.end() if end else len(raw)
+        yield b"\n".join(_WORD.findall(raw, at, end))
+        at = end
+
+
 def corpus_counts(docs: DataFrame) -> np.ndarray:
-    """Counts of three characters over the key characters' runs of all texts, outside the fixed patterns' spans."""
+    """Counts of three characters over the words of all texts: whole runs of key characters, too short to be judged, all letters and of one case but for a first capital.
+
+    What the models judge is never counted, so that no text vouches for its own keys, in however many copies they
+    stand; and random strings of other shapes, short as they may be, don't make random ones ordinary.
+    """
     size = KeyModel.SIZE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(size**3, np.int64)
         for batch in batches:
             for raw in text_bytes(batch, "text"):
-                if _may_hold(raw)[0]:
-                    text = raw.decode()
-                    raw = replaced(text, base_spans(text), " ").encode()
-                for at in range(0, len(raw), 1 << 20):  # a piece goes on with the two characters before it
-                    c = np.concatenate([[0, 0], _CODES[np.frombuffer(raw[max(0, at - 2) : at + (1 << 20)], np.uint8)]])
+                for words in words_of(raw):
+                    c = np.concatenate([[0, 0], _CODES[np.frombuffer(words, np.uint8)]])
                     first, second = np.where(c[1:-1] == 0, 0, c[:-2]), c[1:-1]
-                    grams = (first * size + second) * size + c[2:]
-                    grams = grams[2 if at else 0 :]
-                    total += np.bincount(grams[c[2:][2 if at else 0 :] > 0], minlength=size**3)
+                    total += np.bincount(((first * size + second) * size + c[2:])[c[2:] > 0], minlength=size**3)
         there = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(there, pa.int64()), pa.array(total[there])], ["gram", "n"])
 

@@ -11,7 +11,7 @@ import pytest
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
-from playlog.llm import common, decontaminate, queries, quality
+from playlog.llm import common, decontaminate, queries, quality, secrets
 from playlog.llm.queries import tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -187,6 +187,7 @@ def base(text):
 
 
 def test_op8(spark, docs):
+    model = secrets.trained(common.table(spark, SF, "documents"))
     out = {r.doc_id: r for r in queries.op8_secrets(spark, SF).collect()}
     assert out.keys() == docs.keys()
     for k, r in docs.items():
@@ -196,6 +197,7 @@ def test_op8(spark, docs):
         assert [own.n_assign, own.n_access, own.n_hex] == [sum(s[3] == kind for s in spans) for kind in ("assign", "access", "hex")]
         assert own.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
         assert [s for s in own.spans.split(",") if s and not s.startswith("markov")] == joined.split(",") * bool(joined)
+        assert [s for s in own.spans.split(",") if s.startswith("markov")] == [f"markov:{a}:{b}" for a, b in random_runs(text_of(r), model)]
 
 
 def test_op9(spark, docs):
@@ -214,6 +216,20 @@ def test_op9(spark, docs):
     assert apart <= sum(max(0, c.total() - min(counts)) for c in grouped.values()) + 0.1 * sum(c.total() for c in grouped.values())
 
 
+def random_runs(text, model):
+    """Runs of key characters that no fixed pattern covers and whose likeliest random model beats the likeliest ordinary one, character by character."""
+    covered, out = [(a, b) for a, _, b, _ in base(text)], []
+    for m in re.finditer("[A-Za-z0-9+/_=.-]{20,}", text):
+        word = m[0].rstrip(".-")
+        if len(word) < 20 or any(a <= m.start() and m.start() + len(word) <= b for a, b in covered):
+            continue
+        codes = [0, 0, *(1 + secrets.KEY_CHARS.index(c) for c in word)]
+        sums = [[sum(m[codes[k]][codes[k + 1]][codes[k + 2]] for k in range(len(word))) for m in side] for side in (model.random, model.ordinary)]
+        if (max(sums[0]) - max(sums[1])) / len(word) >= secrets.RATIO:
+            out.append((m.start(), m.start() + len(word)))
+    return out
+
+
 def test_pipeline(spark, docs):
     """Each stage by brute force over what the one before keeps; the field's weights are the trained ones."""
     from tests.llm.test_neardup import survivors
@@ -228,9 +244,10 @@ def test_pipeline(spark, docs):
     kept = {k: kept[k] for k in survivors(list(kept.items()))}
     found = {k for k, _ in leaks(kept)}
     kept = {k: t for k, t in kept.items() if k not in found}
+    model = secrets.trained(spark.createDataFrame(list(kept.items()), "doc_id long, text string"))
     for k, t in kept.items():
         out, at = [], 0
-        for a, _, b, _ in base(t):
+        for a, b in sorted([(a, b) for a, _, b, _ in base(t)] + random_runs(t, model)):
             if a >= at:
                 out += [t[at:a], "<secret>"]
             at = max(at, b)
@@ -238,5 +255,15 @@ def test_pipeline(spark, docs):
     before = len(common.staged())
     pieces = corpus_pipeline.run(spark, SF).collect()
     check_pieces(pieces, encoded(kept))
-    assert len(common.staged()) == before
+    assert len(common.staged()) == before  # what others staged stays, and nothing of its own
     assert [name for name, _ in corpus_pipeline.STAGES] == ["quality", "near_dedup", "decontaminate", "secrets", "packing"]
+
+
+def test_two_pipelines_at_once(spark, docs):
+    """Neither deletes what the other, or a lazy query beside them, still reads."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    beside = queries.op4_simhash(spark, SF)
+    with ThreadPoolExecutor(2) as pool:
+        one, two = (sorted(map(tuple, f.result().select("doc_id", "start", "length", "ids_crc32").collect())) for f in [pool.submit(corpus_pipeline.run, spark, SF) for _ in range(2)])
+    assert [r[0] for r in one] == [r[0] for r in two] and beside.count() == len(docs)

@@ -299,14 +299,44 @@ def test_base_spans_equal_whole_scan(text):
     assert sorted(got) == sorted(want)
 
 
-def test_corpus_counts_are_those_of_all_words(spark):
-    texts = ["ab cde\u00e9f-g " + "token=abcdefgh12 x", "", None, "q" * 70_000 + " r"]
+def test_corpus_counts_are_those_of_short_plain_words(spark):
+    """Nothing that the models may judge is counted, nor runs with digits, marks or capitals inside, however a text is cut into pieces."""
+    texts = ["ab cde\u00e9f-g Hij. NATO xY a1 x_y " + "token=abcdefgh12 x", "", None, "q" * 70_000 + " r", "abcdefghijklmnopqrstu vw", "one Two " * 300_000, "z" * 1_500_000 + " end"]
     docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
-    want = X.KeyModel.counted(w for t in texts if t for w in re.findall("[A-Za-z0-9+/_=.-]+", X.replaced(t, X.base_spans(t), " ")))
-    assert (X.corpus_counts(docs) == want).all()
+    runs = [w for t in texts if t for w in re.findall("[A-Za-z0-9+/_=.-]+", t)]
+    want = X.KeyModel.counted(w for w in runs if len(w) < X.RUN and re.fullmatch("([A-Z]?[a-z]+|[A-Z]{2,})[.-]?", w))
+    assert (X.corpus_counts(docs) == want).all() and want.sum() > 1_000_000
     assert (X.corpus_counts(docs.unionByName(docs)) == 2 * want).all()
 
 
+def test_keys_in_the_scanned_table_are_reported(spark, tmp_path):
+    """Through the query and the stage: keys that stand in the scanned table once, and in fifty texts; and ordinary compounds of its languages."""
+    pipeline = pytest.importorskip("corpus_pipeline")
+    from playlog.llm import queries
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    some = [r.text for r in docs.filter("text is not null").limit(150).collect()]
+    words = sorted({w for t in some for w in re.findall("[A-Za-z]{3,}", t)})
+    draw = random.Random(77)
+    keys = [k for kind in X.random_keys(25, seed=501) for k in kind]
+    often = [k for kind in X.random_keys(2, seed=502) for k in kind]
+    compounds = [c for c in (draw.choice(["", "-", "_", "."]).join(draw.sample(words, draw.randint(4, 7))).lower().capitalize() for _ in range(300)) if len(c) >= X.RUN]
+    rows = [(10_000 + k, f"see {key} in use", key) for k, key in enumerate(keys)]
+    rows += [(20_000 + 100 * k + j, f"note {j}: {key} again {j * j}", key) for k, key in enumerate(often) for j in range(50)]
+    rows += [(30_000 + k, f"the {c} here", None) for k, c in enumerate(compounds)]
+    docs.unionByName(spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t, _ in rows], docs.schema)).write.parquet(f"{tmp_path}/documents.parquet")
+    spans = {r.doc_id: r.spans for r in queries.op8_secrets(spark, f"file://{tmp_path}").collect()}
+    where = lambda t, key: f"{t.index(key)}:{t.index(key) + len(key.rstrip('.-'))}"
+    for some_rows in ([r for r in rows if 10_000 <= r[0] < 20_000], [r for r in rows if 20_000 <= r[0] < 30_000]):
+        found = [where(t, key) in (spans[k] or "") for k, t, key in some_rows]
+        assert sum(found) >= 0.97 * len(found)
+    wrong = [k for k, _, key in rows if key is None and spans[k]]
+    assert len(wrong) <= 0.01 * len(compounds)
+    left = {r.doc_id: r.text for r in pipeline.secrets(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), f"file://{tmp_path}").collect()}
+    assert sum(key not in left[k] and "<secret>" in left[k] for k, _, key in rows if key) >= 0.97 * sum(key is not None for _, _, key in rows)
+    assert all(left[k] == t for k, t, key in rows if key is None and k not in wrong)
+
+
 def test_key_models_and_redaction(spark):
     words = "configuration manager server response handler thinking thereby international communication".split()
     docs = spark.createDataFrame([(k, " ".join(words)) for k in range(30)] + [(99, None)], "doc_id long, text string")
