@@ -1,8 +1,9 @@
 """A training corpus, stage by stage: quality, near-duplicates, benchmark leaks, secrets, packing.
 
 Each stage takes the documents that the one before has kept, and returns them with the columns of ``documents``; the
-last returns pieces. A stage's result must be written before the next stage is called, as ``run`` does: the next one
-then deletes what its predecessor had staged.
+last returns pieces. A stage's result must be written before the next stage is called in the same thread, as ``run``
+does: the next one then deletes what its predecessor had staged. It touches nothing else: not what other threads, other
+stages or other queries have staged. What the last stage staged goes with ``common.sweep``, with ``run``, or when the process ends.
 
 Every stage reads whole texts, a very long one by itself; takes a null text as an empty one; lets repeated rows and
 null ids each stand for themselves (but for ``near_dedup``); passes on columns that it doesn't know, whatever their
@@ -12,11 +13,12 @@ names; and returns no rows for no rows.
 from __future__ import annotations
 
 import uuid
+from contextvars import ContextVar
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playlog.llm.common import shared_dir, staged, sweep, table
+from playlog.llm.common import Scope, scope, shared_dir, table
 from playlog.llm.decontaminate import decontaminated
 from playlog.llm.neardup import deduplicated
 from playlog.llm.packing import pack
@@ -25,18 +27,22 @@ from playlog.llm.queries import tokenizer_path
 from playlog.llm.secrets import redacted, trained
 
 
-_mine: list[str] = []
+#: What the last stage called in this thread has staged, by its name.
+_before: ContextVar[tuple[str, Scope] | None] = ContextVar("before", default=None)
 
 
 def _in_turn(step):
-    """The stage, deleting first what the stage before it had staged."""
+    """The stage; what its predecessor staged in this thread goes first, since its result has been written by then."""
 
     @wraps(step)
     def run_step(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        sweep(spark, _mine)
-        before = staged()
-        out = step(spark, docs, sf_dir)
-        _mine[:] = [p for p in staged() if p not in before]
+        names = [name for name, _ in STAGES]
+        at, before = names.index(step.__name__), _before.get()
+        if before and at and before[0] == names[at - 1]:
+            before[1].sweep(spark)
+        with scope() as own:
+            out = step(spark, docs, sf_dir)
+        _before.set((step.__name__, own))
         return out
 
     return run_step
@@ -87,12 +93,16 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stages over documents, each written and read again; only the last one's rows stay in the shared folder."""
     docs, name, before = table(spark, sf_dir, "documents"), uuid.uuid4().hex, None
     conf, Path = spark._jsc.hadoopConfiguration(), spark._jvm.org.apache.hadoop.fs.Path
-    for stage, step in STAGES:
-        path = f"{shared_dir(spark)}/pipeline-{name}-{stage}"
-        step(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
-        if before:
-            Path(before).getFileSystem(conf).delete(Path(before), True)
-        before = path
-    sweep(spark, _mine)
+    held = _before.set(None)
+    try:
+        for stage, step in STAGES:
+            path = f"{shared_dir(spark)}/pipeline-{name}-{stage}"
+            step(spark, docs, sf_dir).write.parquet(path)
+            docs = spark.read.parquet(path)
+            if before:
+                Path(before).getFileSystem(conf).delete(Path(before), True)
+            before = path
+        _before.get()[1].sweep(spark)
+    finally:
+        _before.reset(held)
     return docs
