@@ -13,14 +13,20 @@ the edits (and half as many more, for words that insertions push out of the wind
 length, and one of any edits + 1 words of the item is there, of which the rarest are taken. After it, a pair goes on
 only if all but the edits of the item's words are there at all.
 
+Items of more than ``PIECE`` words are searched for by pieces of about that length: where the whole is within reach,
+one piece at least is within its own share of the edits. A piece that is found says where the whole may stand, and the
+whole is then held against the words there. So windows, walks and tables are bounded whatever the items' lengths.
+
 Words are lower-cased runs of letters, digits and marks; in scripts that are written without spaces, every character
 is a word. Items of fewer than five words allow no edit, so they are found where their words stand in a row.
 
-Equal items are searched for once. Items are read in blocks of ``BLOCK`` texts that travel to the tasks, and
-``BLOCKS`` of them share a scan of the documents, which cross no shuffle. Defined results: null or empty items, or
+Equal items are searched for once. Items are read in blocks of about ``BLOCK`` texts and ``BLOCK_BYTES`` bytes, counted
+before they are read; a block of more than twice that is a single item. Up to ``BLOCKS`` blocks, and no more than
+``TRAVEL_BYTES`` of their tables, travel to the tasks for one scan of the documents, which cross no shuffle. Defined results: null or empty items, or
 ones without a word, are near nothing; an item without an id is reported as -1; a null text has no words; equal items
 each count; repeated rows each get their hits; of a text's windows, the one counts around which an item lies at the
-smallest distance, of those the one that is nearest itself, and of those the first; a very long text is cut into windows whole, some thousands at a time; empty tables give no rows.
+smallest distance, of those the one that is nearest itself, and of those the first; of an item in pieces, the place that
+its first piece found says; a very long text is cut into windows whole, some thousands at a time; empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -38,6 +44,9 @@ from pyspark.sql import functions as F
 from .common import ids as with_ids, keep_rows, map_arrow
 
 SIMILARITY, RECALL, BLOCK, BLOCKS = 0.8, 0.98, 20_000, 5
+BLOCK_BYTES, TRAVEL_BYTES = 4 << 20, 192 << 20
+#: Words of a piece, at most; a length is a bit of a number.
+PIECE = 64
 #: Scripts without spaces between words.
 _UNSPACED = r"([\p{Han}\p{Hiragana}\p{Katakana}\p{Thai}\p{Lao}\p{Khmer}\p{Myanmar}])"
 #: Windows that are held at once.
@@ -130,7 +139,7 @@ class Embedding:
 
 
 class LeakIndex:
-    """The items of a block: vocabulary, bounds, and tables of LSH keys for each length."""
+    """The items of a block, in pieces: vocabulary, bounds, and tables of LSH keys for each length."""
 
     def __init__(self, items: list[tuple[int, str]], similarity: float = SIMILARITY, recall: float = RECALL):
         words, sizes = split_words(pa.array([t for _, t in items], pa.string()))
@@ -139,29 +148,43 @@ class LeakIndex:
         split = [flat[e - s : e] for e, s in zip(ends.tolist(), sizes.tolist(), strict=True)]
         kept = [(i, w) for (i, _), w in zip(items, split, strict=True) if w]
         spread = Counter(x for _, w in kept for x in set(w))
-        self.names = sorted(spread)
-        code = {w: k for k, w in enumerate(self.names)}
+        names = sorted(spread)
+        code = {w: k for k, w in enumerate(names)}
+        times = np.array([spread[w] for w in names], np.int64)
         self.item_ids = [i for i, _ in kept]
         self.items = [np.array([code[x] for x in w], np.int32) for _, w in kept]
         self.similarity = similarity
+        self.pieces: list[np.ndarray] = []
+        self.piece_of: list[tuple[int, int]] = []  # item, and first word in it
+        for k, w in enumerate(self.items):
+            cuts = [len(w) * j // -(-len(w) // PIECE) for j in range(-(-len(w) // PIECE) + 1)]
+            for at, to in zip(cuts, cuts[1:], strict=False):
+                self.pieces.append(w[at:to])
+                self.piece_of.append((k, at))
         reps = repetitions(recall)
+        # bit n - 1: the word is one of a piece of n words, or one of the rarest of such a piece
+        self.members, self.anchors = np.zeros(len(names) + 2, np.uint64), np.zeros(len(names) + 2, np.uint64)
         self.by_length: dict[int, tuple] = {}
-        for n in sorted({len(w) for w in self.items}):
-            own = [k for k, w in enumerate(self.items) if len(w) == n]
-            anchors = np.zeros(len(self.names) + 2, bool)
-            members = np.zeros(len(self.names) + 2, bool)
+        for n in sorted({len(w) for w in self.pieces}):
+            own, bit = [k for k, w in enumerate(self.pieces) if len(w) == n], np.uint64(1 << (n - 1))
             for k in own:
-                members[self.items[k]] = True
-                order = sorted(range(n), key=lambda p: (spread[self.names[self.items[k][p]]], self.names[self.items[k][p]]))
-                anchors[self.items[k][order[: self.edits(n) + 1]]] = True
+                piece = self.pieces[k]
+                self.members[piece] |= bit
+                self.anchors[piece[np.lexsort((piece, times[piece]))[: self.edits(n) + 1]]] |= bit
             walk = Embedding(n, reps)
-            keys = walk.keys(np.stack([self.items[k] for k in own]))
-            owner = np.broadcast_to(np.array(own)[:, None], keys.shape).ravel()
+            keys = walk.keys(np.stack([self.pieces[k] for k in own]))
+            owner = np.broadcast_to(np.array(own, np.int32)[:, None], keys.shape).ravel()
             order = np.argsort(keys.ravel(), kind="stable")
-            self.by_length[n] = (walk, anchors, members, keys.ravel()[order], owner[order])
-        self.vocabulary = pa.array(self.names, pa.string())
+            self.by_length[n] = (walk, keys.ravel()[order], owner[order])
+        self.vocabulary = pa.array(names, pa.string())
         self.longest = max(self.by_length, default=0)
 
+    @property
+    def nbytes(self) -> int:
+        """Bytes that travel, about."""
+        tables = sum(walk.shift.nbytes + keys.nbytes + owner.nbytes for walk, keys, owner in self.by_length.values())
+        return tables + self.vocabulary.nbytes + self.members.nbytes * 2 + sum(w.nbytes + 200 for w in self.items) * 2 + 200 * len(self.pieces)
+
     def edits(self, n: int) -> int:
         return int((1 - self.similarity) * n + 1e-9)
 
@@ -170,15 +193,15 @@ class LeakIndex:
         return self.edits(n) + self.edits(n) // 2
 
     def candidates(self, ids: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(length, window starts, items) of windows that share a key with an item; ``ids``: words, padded between documents."""
+        """(length, window starts, pieces) of windows that share a key with a piece; ``ids``: words, padded between documents."""
         inside, begun = ids >= 0, ids != _PAD
         at_all = np.flatnonzero(inside)
-        words = ids[at_all]
-        for n, (_, _, members, _, _) in self.by_length.items():
+        member = self.members[ids[at_all]]
+        for n in self.by_length:
             if len(ids) < n:
                 continue
             known = np.zeros(len(ids) + 1, np.int32)
-            known[at_all + 1] = members[words]
+            known[at_all + 1] = (member >> np.uint64(n - 1)) & np.uint64(1)
             np.cumsum(known, out=known)
             enough = known[n:] - known[:-n] >= n - self.slack(n)
             starts = np.flatnonzero(enough & begun[: len(enough)])  # a window begins in its document
@@ -186,27 +209,28 @@ class LeakIndex:
                 yield from self._paired(ids, n, starts[a : a + WINDOWS])
 
     def _paired(self, ids: np.ndarray, n: int, starts: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        walk, anchors, _, keys, owner = self.by_length[n]
+        walk, keys, owner = self.by_length[n]
         windows = ids[starts[:, None] + np.arange(n)]
-        near = anchors[windows].any(1)  # the table ends in two places that are False, for other words and padding
+        near = ((self.anchors[windows] >> np.uint64(n - 1)) & np.uint64(1)).any(1)  # the table ends in two places without bits, for other words and padding
         starts, windows = starts[near], windows[near]
         if not len(starts):
             return
         found = walk.keys(windows).ravel()
         low, high = np.searchsorted(keys, found, "left"), np.searchsorted(keys, found, "right")
-        hit = np.flatnonzero(high > low)
-        if not len(hit):
-            return
-        times = (high - low)[hit]
-        base = np.repeat(low[hit] - np.cumsum(times) + times, times) + np.arange(times.sum())
-        pairs = np.unique(np.stack([np.repeat(starts[hit // walk.reps], times), owner[base]], 1), axis=0)  # in order of starts
+        hits = np.flatnonzero(high > low)
         reach = self.edits(n)
-        for a in range(0, len(pairs), 2048):
-            some = pairs[a : a + 2048]
-            around = ids[np.clip(some[:, :1] + np.arange(-reach, n + reach), 0, len(ids) - 1)]
-            item = np.stack([self.items[k] for k in some[:, 1].tolist()])
-            kept = (item[:, :, None] == around[:, None, :]).any(2).sum(1) >= n - reach  # words of the item that are there at all
-            yield n, some[kept, 0], some[kept, 1]
+        while len(hits):  # so many that their pairs are about as many as windows
+            some = max(1, int(np.searchsorted(np.cumsum(high[hits] - low[hits]), WINDOWS, "right")))
+            hit, hits = hits[:some], hits[some:]
+            times = (high - low)[hit]
+            base = np.repeat(low[hit] - np.cumsum(times) + times, times) + np.arange(times.sum())
+            pairs = np.unique(np.stack([np.repeat(starts[hit // walk.reps], times), owner[base]], 1), axis=0)  # in order of starts
+            for a in range(0, len(pairs), 2048):
+                part = pairs[a : a + 2048]
+                around = ids[np.clip(part[:, :1] + np.arange(-reach, n + reach), 0, len(ids) - 1)]
+                piece = np.stack([self.pieces[k] for k in part[:, 1].tolist()])
+                kept = (piece[:, :, None] == around[:, None, :]).any(2).sum(1) >= n - reach  # words of the piece that are there at all
+                yield n, part[kept, 0], part[kept, 1]
 
     def search(self, words: pa.Array, sizes: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(row, item id, first word, words, distance): the best window for each text and item within reach; texts as ``split_words`` gives them."""
@@ -218,37 +242,62 @@ class LeakIndex:
         flat[np.arange(len(ids)) + owner * self.longest] = ids
         first = np.cumsum(sizes) - sizes + np.arange(len(sizes)) * self.longest
         best: dict[tuple[int, int], tuple[int, int, int, int]] = {}
-        for n, starts, items in self.candidates(flat):
+        wholes: dict[tuple[int, int], dict[int, int]] = {}
+        for n, starts, pieces in self.candidates(flat):
             rows = np.searchsorted(first, starts, "right") - 1
-            for start, row, k in zip(starts.tolist(), rows.tolist(), items.tolist(), strict=True):
-                held = best.get((row, k))
+            for start, row, p in zip(starts.tolist(), rows.tolist(), pieces.tolist(), strict=True):
+                k, offset = self.piece_of[p]
+                held, part = best.get((row, k)), len(self.items[k]) > PIECE
                 if held and held[:2] == (0, 0):  # starts ascend
                     continue
-                reach, item = self.edits(n), self.items[k].tolist()
+                at = start - int(first[row])
+                step = max(1, self.edits(len(self.items[k])))  # of an item in pieces, its reach
+                if part and (at - offset) // step in wholes.get((row, k), ()):  # the whole will be looked for there in any case
+                    continue
+                reach, piece = self.edits(n), self.pieces[p].tolist()
                 window = flat[max(start - reach, int(first[row])) : start + n + reach]
-                d = edit_distance(item, window[window != _PAD].tolist(), inside=True)
+                d = edit_distance(piece, window[window != _PAD].tolist(), inside=True)
                 if d > reach or (held and d > held[0]):
                     continue
+                if part:
+                    wholes.setdefault((row, k), {})[(at - offset) // step] = at - offset
+                    continue
                 own = flat[start : start + n]
-                found = (d, edit_distance(item, own[own != _PAD].tolist()), start - int(first[row]), n)
+                found = (d, edit_distance(piece, own[own != _PAD].tolist()), at, n)
                 if held is None or found < held:
                     best[row, k] = found
+        for (row, k), places in wholes.items():
+            item, n, reach = self.items[k].tolist(), len(self.items[k]), self.edits(len(self.items[k]))
+            begin, size = int(first[row]), int(sizes[row])
+            around = reach + self.edits(PIECE)  # edits before the piece, and those by which its window is off
+            for place, at in sorted(places.items()):
+                window = flat[begin + max(0, place * reach - around) : begin + min(size, (place + 1) * reach + n + around)]
+                d = edit_distance(item, window.tolist(), inside=True)
+                found = (d, d, min(max(at, 0), size - 1), n)
+                if d <= reach and ((row, k) not in best or found < best[row, k]):
+                    best[row, k] = found
         return [(row, self.item_ids[k], at, n, d) for (row, k), (d, _, at, n) in sorted(best.items())]
 
 
 def indexes(benchmark: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, block: int = BLOCK, blocks: int = BLOCKS) -> Iterator[list[LeakIndex]]:
-    """The distinct texts of the items, ``blocks`` blocks at a time; an index names a text by its hash."""
+    """The distinct texts of the items, some blocks at a time; an index names a text by its hash."""
     texts = benchmark.select("text").filter("text is not null").distinct().withColumn("id", F.xxhash64("text"))
-    parts = max(1, -(-texts.count() * 5 // (4 * block)))
+    rows, size = texts.agg(F.count(F.lit(1)), F.sum(F.octet_length("text"))).first()
+    parts = max(1, -(-rows * 5 // (4 * block)), -(-(size or 0) * 5 // (4 * BLOCK_BYTES)))
+    while parts > 1:  # one row comes back
+        own = texts.groupBy(F.pmod(F.col("id"), F.lit(parts))).agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("size"))
+        if own.filter(f"n > 1 AND (size > {2 * BLOCK_BYTES} OR n > {2 * block})").limit(1).count() == 0:
+            break
+        parts = parts * 3 // 2 + 1
     held: list[LeakIndex] = []
     for b in range(parts):
         own = texts.filter(F.pmod(F.col("id"), F.lit(parts)) == b).collect()
-        held.append(LeakIndex(sorted((r["id"], r["text"]) for r in own), similarity, recall))
-        if len(held) == blocks:
+        index = LeakIndex(sorted((r["id"], r["text"]) for r in own), similarity, recall)
+        if held and (len(held) == blocks or sum(x.nbytes for x in held) + index.nbytes > TRAVEL_BYTES):
             yield held
             held = []
-    if held:
-        yield held
+        held.append(index)
+    yield held
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, block: int = BLOCK) -> DataFrame:

@@ -5,11 +5,12 @@ lines before and after it; transition scores tie neighbouring labels. Forward-ba
 marginal probability of being good, and the length-weighted mean of the marginals, calibrated by a logistic
 curve, is the document's score.
 
-The field is fitted on a bounded, class-balanced sample of labelled documents: ``SAMPLE`` of each class, all lines of
-their whole texts, of which every one carries its document's label. The curve is calibrated out of sample: by the
+The field is fitted on a bounded, class-balanced sample of labelled documents: ``SAMPLE`` of each class and the lines of
+their texts, of which every one carries its document's label. The curve is calibrated out of sample: by the
 scores that fields fitted on the other half of the documents give to each half. Long documents are fitted in blocks of ``FIT_LINES`` lines, which weigh as ``WEIGHT`` blocks
-at most together, so that none outweighs the others. 56 bytes a line come to the driver. Scoring reads whole texts
-only: no label, language, source or id.
+at most together, so that none outweighs the others; of a document with more than ``SAMPLE_BLOCKS`` blocks so many are
+drawn, evenly from its beginning to its end. 56 bytes a line come to the driver, 172 MB at the very most, and the three
+fits run beside each other as tasks. Scoring reads whole texts only: no label, language, source or id.
 
 Defined results: a null or empty text is one empty line; a document without labels is scored like any other;
 documents labelled twice count with their smaller label, labelled ids of several texts with the smallest text; without
@@ -19,6 +20,7 @@ very long text is scored whole, by itself; an empty table gives no rows; further
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 from math import exp, log
@@ -26,12 +28,13 @@ from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import crc_of_id, keep_rows, map_arrow, text_bytes
 
 SAMPLE, FIT_LINES, WEIGHT, FOLDS = 2000, 48, 3, 2
+SAMPLE_BLOCKS = 16
 THRESHOLD = 0.3
 STEPS, RATE, PENALTY, REACH, RIDGE = 160, 0.08, 4e-3, 4.0, 1e-3
 
@@ -42,8 +45,11 @@ FEATURES = 13
 def line_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """(lines x FEATURES, line lengths) of a UTF-8 text."""
     lines = text.split(b"\n")
-    rows, seen = [], set()
+    done, rows, seen = [], [], set()
     for line in lines:
+        if len(rows) == 1 << 16:  # a line's numbers take a fifth of the room as an array
+            done.append(np.array(rows))
+            rows = []
         words = line.split()
         n, size = len(words), len(line)
         if not n:
@@ -68,7 +74,7 @@ def line_features(text: bytes) -> tuple[np.ndarray, np.ndarray]:
             )
         )
         seen.add(line)
-    return np.array(rows), np.array([len(x) for x in lines], float)
+    return np.concatenate([*done, np.array(rows)]) if done else np.array(rows), np.array([len(x) for x in lines], float)
 
 
 def with_neighbours(x: np.ndarray) -> np.ndarray:
@@ -211,7 +217,7 @@ def sampled(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0)
             out = []
             for text in text_bytes(batch, "text"):
                 x, lengths = line_features(text)
-                out.append(np.hstack([x, lengths[:, None]]).astype(np.float32).tobytes())
+                out.append(drawn_lines(np.hstack([x, lengths[:, None]]).astype(np.float32)).tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("label"), batch.column("fold"), pa.array(out, pa.binary())], ["label", "fold", "x"])
 
     # at most 2 * SAMPLE ids are broadcast; of an id's rows one is taken
@@ -223,23 +229,42 @@ def sampled(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0)
     return counts, [(label, k, np.frombuffer(x, np.float32).reshape(-1, FEATURES + 1).astype(float)) for label, k, x in plain]
 
 
-def trained(sample: list[tuple[int, int, np.ndarray]], folds: int = FOLDS) -> LineField:
-    """The field of all documents, calibrated by scores that fields without a document's fold give it."""
+def drawn_lines(x: np.ndarray) -> np.ndarray:
+    """The lines of at most ``SAMPLE_BLOCKS`` blocks, evenly spread over all of them."""
+    n = -(-len(x) // FIT_LINES)
+    if n <= SAMPLE_BLOCKS:
+        return x
+    return np.concatenate([x[k * FIT_LINES : (k + 1) * FIT_LINES] for k in (j * (n - 1) // (SAMPLE_BLOCKS - 1) for j in range(SAMPLE_BLOCKS))])
 
-    def fitted(rows: list[tuple[int, int, np.ndarray]]) -> LineField:
-        blocks = []
-        for label, _, x in rows:
-            wide, n = with_neighbours(x[:, :-1]), -(-len(x) // FIT_LINES)
-            blocks += [(wide[a : a + FIT_LINES], label, min(1.0, WEIGHT / n)) for a in range(0, len(x), FIT_LINES)]
-        return fit(blocks)
 
-    scored = []
-    for fold in range(folds):
-        rest, own = [r for r in sample if r[1] % folds != fold], [r for r in sample if r[1] % folds == fold]
-        if len({label for label, _, _ in rest}) == 2:
-            part = fitted(rest)
-            scored += [(part.raw(part.marginals(x[:, :-1]), x[:, -1]), label) for label, _, x in own]
-    field_ = fitted(sample)
+def _fitted(rows: list[tuple[int, int, np.ndarray]]) -> LineField:
+    blocks = []
+    for label, _, x in rows:
+        wide, n = with_neighbours(x[:, :-1]), -(-len(x) // FIT_LINES)
+        blocks += [(wide[a : a + FIT_LINES], label, min(1.0, WEIGHT / n)) for a in range(0, len(x), FIT_LINES)]
+    return fit(blocks)
+
+
+def _without(sample: list[tuple[int, int, np.ndarray]], fold: int, folds: int) -> tuple[LineField | None, list[tuple[float, int]]]:
+    """The field without a fold, and what it gives that fold's documents; the field of all documents for a fold that isn't there."""
+    rest, own = [r for r in sample if r[1] % folds != fold], [r for r in sample if r[1] % folds == fold]
+    if len({label for label, _, _ in rest}) < 2:
+        return None, []
+    part = _fitted(rest)
+    return part, [(part.raw(part.marginals(x[:, :-1]), x[:, -1]), label) for label, _, x in own]
+
+
+def trained(spark: SparkSession, sample: list[tuple[int, int, np.ndarray]], folds: int = FOLDS) -> LineField:
+    """The field of all documents, calibrated by scores that fields without a document's fold give it; each is fitted by a task of its own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for fold in batch.column("id").to_pylist():
+                yield pa.RecordBatch.from_pydict({"fold": [fold], "found": [pickle.dumps(_without(sample, fold, folds))]})
+
+    parts = {r["fold"]: pickle.loads(bytes(r["found"])) for r in spark.range(folds + 1, numPartitions=folds + 1).mapInArrow(run, "fold long, found binary").collect()}
+    scored = [pair for fold in range(folds) for pair in parts[fold][1]]
+    field_ = parts[folds][0]
     drawn = {v: sum(label == v for _, label in scored) for v in (0, 1)}
     if all(drawn.values()):
         calibrate(field_, [(raw, label, len(scored) / drawn[label]) for raw, label in scored])
@@ -251,7 +276,7 @@ def learned(docs: DataFrame, labels: DataFrame, modulus: int = 5, held: int = 0)
     counts, sample = sampled(docs, labels, modulus, held)
     if len({label for label, _, _ in sample}) < 2:
         return LineField(constant=counts.get(1, 0) / sum(counts.values()) if counts else 0.5)
-    return trained(sample)
+    return trained(docs.sparkSession, sample)
 
 
 def score_lines(docs: DataFrame, field_: LineField, keep: tuple[str, ...] = ("doc_id",), threshold: float = THRESHOLD, with_lines: bool = True) -> DataFrame:

@@ -1,14 +1,17 @@
 """WARC archives with dictionary-compressed records.
 
 An archive begins with a skippable frame that holds a Zstandard dictionary, built from the archive's own first
-records (at most ``TRAIN_RECORDS`` records and ``TRAIN_BYTES`` bytes); every record is then a frame of its own,
+records (at most ``TRAIN_RECORDS`` records and ``TRAIN_BYTES`` bytes, and of a record at most ``TRAIN_RECORD`` bytes: a
+sample; records themselves are written whole); every record is then a frame of its own,
 compressed with that dictionary, so that any record can be read by its offset. Of records with equal payloads of
 at least ``REVISIT_BYTES`` bytes, that with the smallest id is the response and the others are revisits, which
 name it and keep no payload.
 
 Each task writes archives of up to ``ARCHIVE_BYTES`` of payload to the shared folder under names of their own
 attempt, and returns their names; the table of names is committed by Spark, so an attempt that is lost or
-repeated leaves at most files that no name leads to.
+repeated leaves at most files that no name leads to. The driver asks Spark's file systems where the folder really is,
+mount tables and default schemes resolved, and gives tasks that place in a form that Arrow opens (``SCHEMES``); a
+folder in a store that only one of them reaches is refused before anything is written.
 
 Defined results: a null payload is an empty one; payloads under the least size are all responses; rows that
 repeat an id and a payload give one response and revisits that name the same id; a null url is left out of its
@@ -26,17 +29,19 @@ from collections.abc import Iterator
 import pyarrow as pa
 import zstandard
 from pyarrow.fs import FileSystem
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import fresh_path, map_arrow, stage, with_row_id
 
 REVISIT_BYTES = 100
-TRAIN_RECORDS, TRAIN_BYTES, DICT_BYTES = 400, 2 << 20, 48 << 10
+TRAIN_RECORDS, TRAIN_BYTES, TRAIN_RECORD, DICT_BYTES = 400, 2 << 20, 1 << 17, 48 << 10
 ARCHIVE_BYTES = 256 << 20
 LEVEL = 6
 #: The magic number of the dictionary's skippable frame, and of dictionaries.
 SKIPPABLE, DICT_MAGIC = 0x184D2A5D, 0xEC30A437
+#: Schemes of Spark's file systems, and what Arrow calls the same stores.
+SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
 _CRLF = b"\r\n"
 
 
@@ -54,18 +59,33 @@ def roles(pages: DataFrame, key: str = "page_id", payload: str = "html") -> Data
     firsts = rows.filter(F.octet_length("payload") >= REVISIT_BYTES).groupBy("digest").agg(first, F.count(F.lit(1)).alias("copies")).filter("copies > 1")
     joined = rows.join(firsts.select(F.col("digest").alias("d"), "first"), rows["digest"] == F.col("d"), "left")
     again = F.col("first").isNotNull() & (F.col("first.row") != F.col("row"))
-    return joined.select("key", "url", "payload", "digest", again.alias("again"), F.when(again, F.col("first.key")).alias("refers_to"))
+    return joined.select("key", "row", "url", "payload", "digest", again.alias("again"), F.when(again, F.col("first.key")).alias("refers_to"), F.when(again, F.col("first.row")).alias("refers_row"))
 
 
-def record(key: int | None, url: str | None, payload: bytes, digest: str, refers_to: int | None, again: bool) -> bytes:
-    """One WARC/1.1 record: a response with its payload, or a revisit without."""
-    name = b"null" if key is None else str(key).encode()
-    head = [b"WARC/1.1", b"WARC-Type: " + (b"revisit" if again else b"response"), b"WARC-Record-ID: <urn:page:" + name + b">", b"WARC-Date: 1970-01-01T00:00:00Z"]
+def arrow_folder(spark: SparkSession, folder: str) -> str:
+    """The URI by which Arrow reaches ``folder``, which is made if it isn't there, where Spark sees it."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path)
+    uri = fs.resolvePath(fs.makeQualified(path)).toUri()
+    scheme = uri.getScheme()
+    if scheme not in SCHEMES:
+        raise ValueError(f"archives can't be written to {folder}: tasks don't reach {scheme}, only {', '.join(SCHEMES)}")
+    return f"{SCHEMES[scheme]}://{uri.getAuthority() or ''}{uri.getPath()}"
+
+
+def _name(key: int | None, row: int | None) -> bytes:
+    return f"<urn:page:{'null' if key is None else key}:{row}>".encode()
+
+
+def record(key: int | None, row: int, url: str | None, payload: bytes, digest: str, refers_to: int | None, refers_row: int | None, again: bool) -> bytes:
+    """One WARC/1.1 record: a response with its payload, or a revisit without; its name has the row beside the key, which may repeat."""
+    head = [b"WARC/1.1", b"WARC-Type: " + (b"revisit" if again else b"response"), b"WARC-Record-ID: " + _name(key, row), b"WARC-Date: 1970-01-01T00:00:00Z"]
     if url is not None:
         head.append(b"WARC-Target-URI: " + url.encode().replace(b"\r", b"%0D").replace(b"\n", b"%0A"))
     head += [b"WARC-Payload-Digest: sha256:" + digest.encode(), b"X-Payload-Length: " + str(len(payload)).encode()]
     if again:
-        head += [b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", b"WARC-Refers-To: <urn:page:" + (b"null" if refers_to is None else str(refers_to).encode()) + b">"]
+        head += [b"WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", b"WARC-Refers-To: " + _name(refers_to, refers_row)]
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
     body = http if again else http + payload
     head += [b"Content-Type: application/http; msgtype=response", b"Content-Length: " + str(len(body)).encode()]
@@ -80,10 +100,10 @@ def parse_record(raw: bytes) -> dict:
     size = int(fields[b"Content-Length"])
     if len(rest) != size + 4 or rest[size:] != _CRLF * 2:
         raise ValueError("a record's length is wrong")
-    name = lambda k: None if k not in fields or fields[k] == b"<urn:page:null>" else int(fields[k][10:-1])
+    name = lambda k: None if k not in fields or fields[k].startswith(b"<urn:page:null:") else int(fields[k][10:].partition(b":")[0])
     url = fields.get(b"WARC-Target-URI")
     return {
-        "key": name(b"WARC-Record-ID"), "url": None if url is None else url.decode(), "type": fields[b"WARC-Type"].decode(), "refers_to": name(b"WARC-Refers-To"),
+        "key": name(b"WARC-Record-ID"), "url": None if url is None else url.decode(), "type": fields[b"WARC-Type"].decode(), "refers_to": name(b"WARC-Refers-To"), "name": fields[b"WARC-Record-ID"].decode(),
         "digest": fields[b"WARC-Payload-Digest"].removeprefix(b"sha256:").decode(), "length": int(fields[b"X-Payload-Length"]), "payload": None if again else rest[:size].partition(_CRLF * 2)[2],
     }
 
@@ -105,7 +125,7 @@ class ArchiveWriter:
             self._start()
 
     def _start(self) -> None:
-        samples = [r[: 1 << 17] for r in self.waiting]
+        samples = [r[:TRAIN_RECORD] for r in self.waiting]
         try:
             words = zstandard.train_dictionary(DICT_BYTES, samples, k=256, d=8, level=self.level)
         except zstandard.ZstdError:  # too few or too small records to train on: they are the dictionary, as raw content
@@ -149,11 +169,11 @@ def read_records(handle) -> Iterator[bytes]:
 
 
 def write_archives(pages: DataFrame, folder: str, key: str = "page_id", payload: str = "html") -> DataFrame:
-    """Write ``pages`` as archives in ``folder`` (a URI that every executor reaches); the committed (path, records, payload_bytes)."""
+    """Write ``pages`` as archives in ``folder``, which every executor must reach; the committed (path, records, payload_bytes)."""
+    folder = arrow_folder(pages.sparkSession, folder)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = FileSystem.from_uri(folder)
-        fs.create_dir(base, recursive=True)
         handle = writer = None
         path = ""
 
@@ -163,19 +183,19 @@ def write_archives(pages: DataFrame, folder: str, key: str = "page_id", payload:
             return pa.RecordBatch.from_arrays([pa.array([path]), pa.array([writer.records], pa.int64()), pa.array([writer.bytes], pa.int64())], ["path", "records", "bytes"])
 
         for batch in batches:
-            for name, url, body, digest, again, refers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for key, row, url, body, digest, again, refers, refers_row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if writer is None:
                     path = f"{folder}/{uuid.uuid4().hex}.warc.zst"
-                    handle = fs.open_output_stream(f"{base}/{path.rpartition('/')[2]}")
+                    handle = fs.open_output_stream(f"{base}/{path.rpartition('/')[2]}", compression=None)  # else Arrow goes by the name and compresses the whole
                     writer = ArchiveWriter(handle)
-                writer.add(record(name, url, body, digest, refers, again))
+                writer.add(record(key, row, url, body, digest, refers, refers_row, again))
                 if writer.bytes >= ARCHIVE_BYTES:
                     yield done()
                     writer = None
         if writer is not None:
             yield done()
 
-    rows = roles(pages, key, payload).select("key", "url", "payload", "digest", "again", "refers_to")
+    rows = roles(pages, key, payload).select("key", "row", "url", "payload", "digest", "again", "refers_to", "refers_row")
     return stage(map_arrow(rows, run, "path string, records long, bytes long"), "warc-names")
 
 
@@ -196,7 +216,7 @@ def read_archives(names: DataFrame, with_payload: bool = True) -> DataFrame:
                 fs, base = FileSystem.from_uri(path)
                 rows: list[dict] = []
                 held = 0
-                with fs.open_input_stream(base) as handle:
+                with fs.open_input_stream(base, compression=None) as handle:
                     for raw in read_records(handle):
                         own = parse_record(raw)
                         if own["payload"] is not None and (hashlib.sha256(own["payload"]).hexdigest(), len(own["payload"])) != (own["digest"], own["length"]):

@@ -207,6 +207,73 @@ def test_of_equal_windows_the_first_counts(seed):
     assert hit[2] == 7 and hit[4] == 2
 
 
+def edited_words(rng, words, share):
+    words = list(words)
+    for _ in range(int(share * len(words))):
+        at, kind = rng.randrange(len(words)), rng.random()
+        if kind < 0.5:
+            words[at] = f"e{rng.randrange(9999)}"
+        elif kind < 0.75:
+            del words[at]
+        else:
+            words.insert(at, f"e{rng.randrange(9999)}")
+    return words
+
+
+@pytest.mark.parametrize("share", [0.0, 0.1, 0.19])
+def test_long_items_are_found_by_their_pieces(share):
+    """Items of one to eighty pieces, whole and edited, beside texts that hold only a part of one; against brute force."""
+    rng = random.Random(int(share * 100))
+    items = [(k, " ".join(f"w{rng.randrange(3000)}" for _ in range(n))) for k, n in enumerate([5, 63, 64, 65, 66, 100, 128, 129, 190, 250, 400, 777, 1500, 5000] * 2)]
+    index = D.LeakIndex(items)
+    assert max(index.by_length) <= D.PIECE
+    docs = []
+    for k, text in items:
+        pad = lambda: [f"w{rng.randrange(3000)}" for _ in range(rng.randrange(60))]
+        docs.append((pad() + edited_words(rng, text.split(), share) + pad(), k))
+        docs.append((pad() + text.split()[: len(text.split()) // 2] + pad(), None))
+    hits = {(row, k): (at, d) for row, k, at, _, d in index.search(*D.split_words(pa.array([" ".join(w) for w, _ in docs])))}
+    planted = {(row, k) for row, (_, k) in enumerate(docs) if k is not None}
+    code = {}
+    near = lambda k, row: D.edit_distance([code.setdefault(x, len(code)) for x in items[k][1].split()], [code.setdefault(x, len(code)) for x in docs[row][0]], inside=True)
+    assert len(planted & hits.keys()) >= 0.95 * len(planted)
+    for (row, k), (at, d) in hits.items():
+        n = len(items[k][1].split())
+        assert near(k, row) <= n // 5 and d <= n // 5 and 0 <= at < len(docs[row][0])
+        if n > D.PIECE:
+            assert d == near(k, row)
+
+
+def test_memory_does_not_grow_with_an_items_length():
+    """One very long item beside many short texts, and many items of all lengths."""
+    import tracemalloc
+
+    rng = random.Random(8)
+    items = [(0, " ".join(f"w{rng.randrange(20_000)}" for _ in range(50_000)))] + [(k, " ".join(f"w{rng.randrange(20_000)}" for _ in range(rng.randrange(5, 200)))) for k in range(1, 400)]
+    tracemalloc.start()
+    index = D.LeakIndex(items)
+    built = tracemalloc.get_traced_memory()[1]
+    tracemalloc.reset_peak()
+    before = tracemalloc.get_traced_memory()[0]
+    texts = ["a few words"] * 4096 + [items[0][1], items[5][1]]
+    hits = index.search(*D.split_words(pa.array(texts)))
+    peak = tracemalloc.get_traced_memory()[1] - before
+    tracemalloc.stop()
+    assert {(4096, 0), (4097, 5)} <= {(row, k) for row, k, *_ in hits}
+    assert built < 400e6 and peak < 400e6 and index.nbytes < 40e6
+
+
+def test_blocks_are_bounded_in_bytes(spark, monkeypatch):
+    monkeypatch.setattr(D, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(D, "TRAVEL_BYTES", 1 << 20)
+    rows = [(k, " ".join(f"w{k * j % 997}" for j in range(5, 5 + 20 * (k % 7)))) for k in range(80)] + [(99, "long " * 5000)]
+    found = list(D.indexes(spark.createDataFrame(rows, "item_id long, text string")))
+    blocks = [x for some in found for x in some]
+    assert sum(len(x.items) for x in blocks) == len({t for _, t in rows if t})
+    assert all(len(x.items) == 1 or sum(len(w) for w in x.items) * 5 < 3 * 4000 for x in blocks)
+    assert all(len(some) == 1 or sum(x.nbytes for x in some) <= 1 << 20 for some in found)
+
+
 @pytest.mark.parametrize(("shard", "most"), [(16, 40), (8, 12)])
 def test_full_and_dense_shards_lose_no_pair(spark, shard, most):
     rng = np.random.default_rng(shard)

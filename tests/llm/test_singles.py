@@ -390,7 +390,7 @@ def test_links_of_several_groups(spark):
 
 # warc
 def test_archive_bytes():
-    records = [W.record(k, None if k == 3 else f"http://x/{k}", bytes([k]) * (k * 50), hashlib.sha256(bytes([k]) * (k * 50)).hexdigest(), 1 if k == 4 else None, k == 4) for k in range(40)]
+    records = [W.record(k, 7 * k, None if k == 3 else f"http://x/{k}", bytes([k]) * (k * 50), hashlib.sha256(bytes([k]) * (k * 50)).hexdigest(), 1 if k == 4 else None, 7 if k == 4 else None, k == 4) for k in range(40)]
     buffer = io.BytesIO()
     writer = W.ArchiveWriter(buffer)
     for r in records:
@@ -438,3 +438,20 @@ def test_warc_round_trip(spark):
         assert (r.type, r.refers_to, r.digest, r.length, r.url) == ("revisit" if again else "response", first[html or ""] if again else None, hashlib.sha256(raw).hexdigest(), len(raw), url)
         assert (r.payload is None) == again and (again or bytes(r.payload) == raw)
     assert Counter(r.type for r in got.values())["revisit"] > 20
+
+
+def test_archives_go_where_spark_and_tasks_both_reach(spark, tmp_path):
+    """A mount table is resolved to the store behind it; a store that tasks don't reach is refused before anything is written."""
+    conf = spark._jsc.hadoopConfiguration()
+    conf.set("fs.viewfs.mounttable.arch.link./to", f"file://{tmp_path}")
+    pages = spark.createDataFrame([(k % 5, f"http://x/{k}", "same page " * 20 if k % 2 else f"page {k} " * 30) for k in range(40)], "page_id long, url string, html string")
+    names = W.write_archives(pages, "viewfs://arch/to/archives")
+    assert names.count() and all(r.path.startswith(f"file://{tmp_path}/archives/") for r in names.collect())
+    assert sorted(r.key for r in W.read_archives(names).collect()) == sorted(k % 5 for k in range(40))
+    raw = [W.parse_record(r) for n in names.collect() for r in W.read_records(open(n.path.removeprefix("file://"), "rb"))]
+    assert len({r["name"] for r in raw}) == 40  # ids repeat, names of records don't
+    assert W.arrow_folder(spark, str(tmp_path / "bare")) == f"file://{tmp_path}/bare" and (tmp_path / "bare").is_dir()
+    conf.set("fs.odd.impl", "org.apache.hadoop.fs.viewfs.ViewFileSystem")
+    for folder in ("odd://store/x", "nowhere://store/x"):
+        with pytest.raises(Exception):
+            W.write_archives(pages, folder)
