@@ -307,11 +307,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "export_roundtrip": export_roundtrip,
     "yearly_summary": yearly_summary,
     "top_artists": top_artists,
-    "discovery_order": lambda s, d: tables._placed(analytics.discovery(plays(s, d)), "first_listened"),
-    "loyalty_order": lambda s, d: tables._placed(analytics.loyalty(plays(s, d)), "total_minutes"),
-    "forgotten_order": lambda s, d: tables._placed(analytics.forgotten(star(s, d, "o_custkey"), AS_OF), "lifetime_minutes", "days_since_last_listened"),
-    "sessions_order": lambda s, d: tables._placed(analytics.listening_sessions(plays(s, d)), "session_start"),
-    "repeats_order": lambda s, d: tables._placed(analytics.repeats(star(s, d)), "total_streams"),
+    "discovery_order": lambda s, d: tables._placed(analytics.discovery(plays(s, d), ordered=False), "first_listened"),
+    "loyalty_order": lambda s, d: tables._placed(analytics.loyalty(plays(s, d), ordered=False), "-total_minutes"),
+    "forgotten_order": lambda s, d: tables._placed(analytics.forgotten(star(s, d, "o_custkey"), AS_OF, ordered=False), "-lifetime_minutes", "-days_since_last_listened"),
+    "sessions_order": lambda s, d: tables._placed(analytics.listening_sessions(plays(s, d), ordered=False), "session_start"),
+    "repeats_order": lambda s, d: tables._placed(analytics.repeats(star(s, d), ordered=False), "-total_streams"),
     **tables.QUERIES,
 }
 
@@ -378,7 +378,14 @@ QUALIFY row_number() OVER (PARTITION BY played_at, track_id ORDER BY duration_ms
     "script_run": "SELECT o_custkey, count(*) AS n, 'a;b' AS mark FROM orders GROUP BY o_custkey UNION ALL SELECT -1, 0, 'it''s; so'",
     "csv_backup": """SELECT p_partkey, p_name || ', "x"' || chr(10) || p_brand AS label, CASE WHEN p_partkey % 3 <> 0 THEN p_type END AS p_type, p_size FROM part""",
     "table_columns": tables._COLUMNS_SQL,
-    "guards": "SELECT * FROM (VALUES ('empty folder', TRUE), ('cut file', TRUE), ('missing page', TRUE), ('missing setting', TRUE)) AS t(name, raised)",
+    "guards": tables._GUARDS_SQL,
+    "loyalty_refreshed": _loyalty_sql(E_SQL),
+    "sessions_refreshed": _sessions_sql(E_SQL),
+    "keyed_lookup": tables._LOOKUP_SQL,
+    "checked_load": tables._CHECKED_SQL,
+    "database_insert": "SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 10 < 6 THEN 1 ELSE 2 END AS source FROM orders",
+    "late_sessions": tables._LATE_SQL,
+    "library_stream": tables._LIBRARY_STREAM_SQL,
     "quarantine": "SELECT 'incomplete' AS reason, CAST(o_orderkey AS VARCHAR) AS track_id FROM orders WHERE o_orderkey % 4 = 0 GROUP BY o_orderkey, date_trunc('second', o_orderdate) UNION ALL SELECT 'unreadable', NULL",
     "stream_ingest": f"WITH {tables._RECENT_SQL} SELECT DISTINCT played_at, track_id, 'api' AS source, strftime(played_at, '%-I %p') AS hour_label FROM R",
     "stream_sessions": tables._STREAM_SESSIONS_SQL,

@@ -15,11 +15,15 @@ from pyspark.sql import functions as F
 
 from . import model
 from .functions import text
+from .functions.calendar import to_second
 from .operators import merge
-from .plans import analytics, normalize, pipeline
+from .operators.commit import TableLog
+from .operators.order import with_place
+from .plans import analytics, increments, normalize, pipeline
 from .session import shared_path
-from .sources import export, files, paged, sqlscript
+from .sources import export, files, jdbc, paged, sqlscript
 from .streaming import ingest
+from .streaming import sessions as stream_sessions_of
 
 #: Rows of a written file or page, about.
 FILE_ROWS = 2000
@@ -285,13 +289,15 @@ def update_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replace_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table replaced by some of its own rows, and again after a replacement that broke off between its renames."""
+    """A table replaced by some of its own rows, and again by a writer that went away once its commit was taken."""
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     with _database(spark, "replace") as db:
         merge.replace_table(orders, "snap")
         merge.replace_table(spark.table("snap").filter("o_orderkey % 3 != 0"), "snap")
-        spark.sql("ALTER TABLE snap RENAME TO snap__old_0")
-        spark.table("snap__old_0").filter("o_orderkey % 5 != 0").write.saveAsTable("snap__new_0")
+        log = TableLog(spark, "snap")
+        seen, left = log.settle(), spark.table("snap").filter("o_orderkey % 5 != 0")
+        left.write.parquet(path := log.fresh("data", seen))
+        log.take(seen, "replace", path, left.schema)
         merge.recover_table(spark, "snap")
     return spark.table(f"{db}.snap")
 
@@ -353,12 +359,18 @@ def csv_backup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns of the core tables in a new database."""
-    with _database(spark, "ddl"):
-        pipeline.create_tables(spark)
+    """Columns of the core tables in a new database into which the exported events were loaded, and how many rows hold a value in each."""
+    folder = _export_folder(spark, sf_dir)
+    with _database(spark, "ddl") as db:
         pipeline.create_tables(spark)
-        rows = [(t, k, f.name, f.dataType.simpleString()) for t in (pipeline.EVENTS, pipeline.LIKED, pipeline.RECENT, pipeline.RUN_LOG, pipeline.REJECTED) for k, f in enumerate(spark.table(t).schema)]
-    return spark.createDataFrame(rows, "name string, position int, column string, kind string")
+        pipeline.import_history(spark, folder, "svc")
+        found = None
+        for name in (pipeline.EVENTS, pipeline.LIKED, pipeline.RECENT, pipeline.RUN_LOG, pipeline.REJECTED):
+            own = spark.table(f"{db}.{name}")
+            about = F.array(*(F.struct(F.lit(k).alias("position"), F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("kind"), F.col(f"c{k}").alias("filled")) for k, f in enumerate(own.schema)))
+            one = own.agg(*(F.count(f.name).alias(f"c{k}") for k, f in enumerate(own.schema))).select(F.lit(name).alias("name"), F.inline(about))
+            found = one if found is None else found.unionByName(one)
+    return found
 
 
 _COLUMNS = {
@@ -371,30 +383,48 @@ _COLUMNS = {
         liked_downloaded bigint, liked_inserted bigint, recent_downloaded bigint, recent_inserted bigint, error_message string""",
     "rejected_events": "row string, reason string, seen_at timestamp_ntz",
 }
-_COLUMNS_SQL = "SELECT * FROM (VALUES " + ", ".join(f"('{t}', {k}, '{c.split()[0]}', '{c.split()[1]}')" for t, cols in _COLUMNS.items() for k, c in enumerate(cols.split(", ") if "\n" not in cols else [x.strip() for x in cols.replace("\n", " ").split(", ")])) + ') AS t(name, position, "column", kind)'
+_EMPTY_COLUMNS = ["duration_ms", "primary_genre", "secondary_genre", "album_art_url", "dominant_color"]
+_COLUMNS_SQL = (
+    f"WITH {_EXPORT_SQL}, n AS (SELECT count(*) AS c, count(skipped) AS skipped, count(album_name) AS albums FROM H) "
+    "SELECT name, position, \"column\", kind, CASE WHEN name = 'run_log' THEN CASE \"column\" WHEN 'error_message' THEN 0 ELSE 1 END WHEN name <> 'listening_events' OR \"column\" IN ("
+    + ", ".join(f"'{c}'" for c in _EMPTY_COLUMNS)
+    + ") THEN 0 WHEN \"column\" = 'skipped' THEN skipped WHEN \"column\" = 'album_name' THEN albums ELSE c END AS filled FROM n, (VALUES "
+    + ", ".join(f"('{t}', {k}, '{c.split()[0]}', '{c.split()[1]}')" for t, cols in _COLUMNS.items() for k, c in enumerate(x.strip() for x in cols.replace("\n", " ").split(", ")))
+    + ') AS t(name, position, "column", kind)'
+)
 
 
 def guards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What raises: a folder without files, a cut file, a page that isn't there, a setting that isn't there."""
-    empty, cut, pages = (shared_path(spark, t) for t in ("empty", "cut", "gap"))
+    """What raises over the exported events (a folder without files, a cut file, a page that isn't there, a setting that isn't there), and the rows that are read without the fault."""
+    folder, empty, pages = _export_folder(spark, sf_dir), shared_path(spark, "empty"), shared_path(spark, "gap")
     value = lambda rows: spark.createDataFrame(rows, "name string, value string")
     _write_files(value([("x", "{}")]), empty, ".txt")
-    _write_files(value([("a", "[]"), ("b", '[{"ts": "2024-01-01T00:00:00Z"')]), cut)
-    _write_files(value([("page-0", '{"items": [], "next": "more"}')]), pages)
+    whole = files.read_export(spark, folder, "svc").count()
+    _write_files(value([("cut", '[{"ts": "2024-01-01T00:00:00Z"')]), f"{folder}-cut")
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.rename(Path(f"{folder}-cut/cut.json"), Path(f"{folder}/cut.json"))
+    items = _recent_items(spark, sf_dir)
+    _pages(items, F.lit(0), 2, pages)  # it names a second page
     attempts = {
-        "empty folder": lambda: files.read_export(spark, empty, "svc"),
-        "cut file": lambda: files.read_export(spark, cut, "svc").collect(),
-        "missing page": lambda: paged.read_items(spark, model.RAW_RECENT, path=pages).collect(),
-        "missing setting": lambda: files.settings(["URL"], {"USER": "me"}),
+        "empty folder": (lambda: files.read_export(spark, empty, "svc"), lambda: 0),
+        "cut file": (lambda: files.read_export(spark, folder, "svc").collect(), lambda: files.split_corrupt(files.read_export(spark, folder, "svc", corrupt="__bad"), "__bad")[0].agg(F.count("ts")).first()[0]),
+        "missing page": (lambda: paged.read_items(spark, model.RAW_RECENT, path=pages).collect(), lambda: paged.read_items(spark, model.RAW_RECENT, path=pages, single="true").count()),
+        "missing setting": (lambda: files.settings(["URL"], {"USER": "me"}), lambda: whole),
     }
     rows = []
-    for name, attempt in attempts.items():
+    for name, (attempt, mended) in attempts.items():
         try:
             attempt()
-            rows.append((name, False))
+            raised = False
         except Exception:
-            rows.append((name, True))
-    return spark.createDataFrame(rows, "name string, raised boolean")
+            raised = True
+        rows.append((name, raised, mended()))
+    return spark.createDataFrame(rows, "name string, raised boolean, rows long")
+
+
+_GUARDS_SQL = """WITH n AS (SELECT count(*) AS plays, count(*) + count(*) FILTER (event_id % 10 BETWEEN 4 AND 5) AS exported FROM events)
+SELECT name, TRUE AS raised, CASE kind WHEN 0 THEN 0 WHEN 1 THEN exported ELSE plays END AS rows FROM n, (VALUES ('empty folder', 0), ('cut file', 1), ('missing page', 2), ('missing setting', 1)) AS t(name, kind)"""
 
 
 def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -410,12 +440,75 @@ def quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(f"{db}.{pipeline.REJECTED}").select("reason", F.get_json_object("row", "$.track_id").alias("track_id"))
 
 
-# order
-def _placed(df: DataFrame, *columns: str) -> DataFrame:
-    """The columns by which a report is sorted, with the place at which each row comes out."""
-    from pyspark.sql import Window
+# increments
+def _refreshed(spark: SparkSession, sf_dir: str, tag: str, table: str) -> DataFrame:
+    """An analytics table after three lots of plays, the last of them late, with a refresh after each."""
+    plays = _read(spark, sf_dir, "events").select(
+        to_second("ts").alias("played_at"), F.round(F.col("value") * 1000).cast("long").alias("ms_played"), F.col("event_type").alias("track_name"), F.col("user_id").cast("string").alias("artist_name"),
+        F.get_json_object("props", "$.k").alias("album_name"), F.col("event_id").cast("string").alias("track_id"), (F.col("event_id") % 10).alias("lot"),
+    )
+    with _database(spark, tag) as db:
+        pipeline.create_tables(spark)
+        for lot in ("lot < 8", "lot = 8", "lot = 9"):
+            merge.load(normalize.as_events(plays.filter(lot), "api", None), pipeline.EVENTS, model.EVENT_KEY, ["ms_played"], model.EVENT_LOCATED)
+            increments.refresh(spark, pipeline.EVENTS)
+    return spark.table(f"{db}.{table}")
 
-    return df.select(*columns).withColumn("__at", F.monotonically_increasing_id()).withColumn("place", F.row_number().over(Window.orderBy("__at"))).drop("__at")
+
+def loyalty_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed(spark, sf_dir, "loyalty_refresh", "artist_loyalty")
+
+
+def sessions_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refreshed(spark, sf_dir, "session_refresh", "listening_session_summary")
+
+
+# keys, constraints, databases
+def keyed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A large table after a small load, whose keys it mostly holds and whose ranges and keys reach its scan."""
+    lines = _read(spark, sf_dir, "lineitem").select(*_LINE_KEY, *_LINE_REST)
+    with _database(spark, "lookup") as db:
+        merge.load(lines.filter("l_orderkey % 100 >= 2").withColumn("load", F.lit(1)), "lines", _LINE_KEY, _LINE_REST)
+        merge.load(lines.filter("l_orderkey % 100 < 4").withColumn("load", F.lit(2)), "lines", _LINE_KEY, _LINE_REST)
+    return spark.table(f"{db}.lines")
+
+
+_LOOKUP_SQL = f"""SELECT {", ".join([*_LINE_KEY, *_LINE_REST])}, CASE WHEN l_orderkey % 100 >= 2 THEN 1 ELSE 2 END AS load FROM lineitem
+QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY {", ".join(_LINE_REST)}) = 1"""
+
+
+def checked_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a table takes and what goes aside, by reason: missing values, unknown ones, and such as are too long."""
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_custkey") % 10 != 0, F.col("o_custkey")).alias("o_custkey"), "o_orderpriority", F.repeat(F.lit("x"), (F.col("o_orderkey") % 8).cast("int")).alias("note"))
+    checks = merge.Checks(required=("o_orderkey", "o_custkey"), one_of={"o_orderpriority": ("1-URGENT", "2-HIGH", "3-MEDIUM", "5-LOW")}, at_most={"note": 6})
+    with _database(spark, "checked") as db:
+        pipeline.create_tables(spark)
+        merge.load(orders, "taken", ["o_orderkey"], ["note"], checks=checks, rejects=pipeline.REJECTED)
+        merge.append(orders.filter("o_orderkey % 2 = 0"), "twice", checks, pipeline.REJECTED)
+    aside = spark.table(f"{db}.{pipeline.REJECTED}").select(F.get_json_object("row", "$.o_orderkey").cast("long").alias("o_orderkey"), "reason")
+    return spark.table(f"{db}.taken").unionByName(spark.table(f"{db}.twice")).select("o_orderkey", F.lit("taken").alias("reason")).unionByName(aside)
+
+
+_CHECKED_SQL = """WITH o AS (
+  SELECT o_orderkey, CASE WHEN o_custkey % 10 = 0 THEN 'o_custkey is missing' WHEN o_orderpriority NOT IN ('1-URGENT', '2-HIGH', '3-MEDIUM', '5-LOW') THEN 'o_orderpriority is none of 1-URGENT, 2-HIGH, 3-MEDIUM, 5-LOW'
+         WHEN o_orderkey % 8 > 6 THEN 'note is longer than 6' ELSE 'taken' END AS reason FROM orders
+) SELECT * FROM o UNION ALL SELECT * FROM o WHERE o_orderkey % 2 = 0"""
+
+
+def database_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A database's table after two overlapping loads, the first of them sent twice."""
+    orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    url, properties = f"jdbc:derby:memory:{shared_path(spark, 'orders').rpartition('/')[2]};create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    for load, rows in ((1, orders.filter("o_orderkey % 10 < 6")), (1, orders), (2, orders.filter("o_orderkey % 10 >= 4"))):
+        jdbc.insert_jdbc(rows.withColumn("source", F.lit(load)), url, "orders", ["o_orderkey"], ["o_custkey"], f"load-{load}", properties=properties)
+    return spark.read.jdbc(url, "orders", properties=properties)
+
+
+# order
+def _placed(df: DataFrame, *order: str) -> DataFrame:
+    """The columns by which a report is sorted, with the place at which each row comes out; a minus marks those that descend."""
+    columns = [c.removeprefix("-") for c in order]
+    return with_place(df.select(*columns), [F.desc(c) if o.startswith("-") else F.asc(c) for o, c in zip(order, columns, strict=True)]).withColumn("place", F.col("place").cast("int"))
 
 
 def _order_sql(source: str, order: str, columns: str) -> str:
@@ -452,6 +545,42 @@ SELECT artist_name, min(ts) AS session_start, max(ts) AS session_end, count(*) A
 HAVING max(ts) + INTERVAL 30 MINUTES - INTERVAL 1 MICROSECOND <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 1 DAY"""
 
 
+def late_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of each user after plays that came in two lots, the older half of them late: as if all had come in order."""
+    folder = shared_path(spark, "late")
+    events = _read(spark, sf_dir, "events").select("event_id", F.col("user_id").cast("string").alias("artist_name"), F.col("ts").alias("played_at"), F.round(F.col("value") * 1000).cast("long").alias("ms_played"))
+    with _database(spark, "late") as db:
+        for share in ("event_id % 3 = 0", "event_id % 3 != 0"):
+            events.filter(share).drop("event_id").write.mode("append").parquet(folder)
+            stream_sessions_of.keep_sessions(ingest.stream_files(spark, folder, events.drop("event_id").schema, "parquet"), f"{db}.changes", "artist_name", f"{folder}-state").awaitTermination()
+    return stream_sessions_of.current_sessions(spark.table(f"{db}.changes"), "artist_name")
+
+
+_LATE_SQL = _STREAM_SESSIONS_SQL[: _STREAM_SESSIONS_SQL.index("HAVING")]
+
+
+def library_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Library items newer than a mark, streamed in two runs between which newer ones have come."""
+    part = _read(spark, sf_dir, "part").select("p_partkey", "p_name")
+    n = part.agg(F.max("p_partkey")).first()[0] or 0
+    added = F.lit(_ADDED) + F.make_dt_interval(mins=F.col("p_partkey").cast("int"))
+    items = part.select("p_partkey", (-F.col("p_partkey")).alias("at"), F.struct(F.date_format(added, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("added_at"), F.struct(F.col("p_partkey").cast("string").alias("id"), F.col("p_name").alias("name")).alias("track")).alias("item"))
+    folder, out = shared_path(spark, "service"), shared_path(spark, "library")
+    Path = spark._jvm.org.apache.hadoop.fs.Path
+    for upto in (n * 2 // 3, n):
+        here = items.filter(F.col("p_partkey") <= upto).drop("p_partkey")
+        pages = max(1, upto // 100)
+        Path(folder).getFileSystem(spark._jsc.hadoopConfiguration()).delete(Path(folder), True)
+        _pages(here, F.floor((F.lit(upto) + F.col("at")) * pages / (upto + 1)), pages, folder)
+        stream = paged.stream_items(spark, model.RAW_LIKED, _ADDED + datetime.timedelta(minutes=n // 3), path=folder)
+        stream.select("added_at", "track.id", "track.name").writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("added_at string, id string, name string").parquet(out)
+
+
+_LIBRARY_STREAM_SQL = f"""SELECT strftime(TIMESTAMP '{_ADDED}' + to_minutes(p_partkey), '%Y-%m-%dT%H:%M:%SZ') AS added_at, CAST(p_partkey AS VARCHAR) AS id, p_name AS name
+FROM part WHERE p_partkey > (SELECT max(p_partkey) // 3 FROM part)"""
+
+
 def loyalty_folded(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Loyalty where names compare without regard to case."""
     name = F.when(F.col("event_id") % 2 == 0, F.upper("event_type")).otherwise(F.col("event_type"))
@@ -481,6 +610,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "csv_backup": csv_backup,
     "table_columns": table_columns,
     "guards": guards,
+    "loyalty_refreshed": loyalty_refreshed,
+    "sessions_refreshed": sessions_refreshed,
+    "keyed_lookup": keyed_lookup,
+    "checked_load": checked_load,
+    "database_insert": database_insert,
+    "late_sessions": late_sessions,
+    "library_stream": library_stream,
     "quarantine": quarantine,
     "stream_ingest": stream_ingest,
     "stream_sessions": stream_sessions,

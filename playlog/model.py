@@ -20,6 +20,20 @@ EVENT = _struct(
 EVENT_KEY = ("played_at", "track_id")
 EVENT_REQUIRED = ("played_at", "ms_played", "track_name", "artist_name", "track_id")
 SOURCES = ("export", "api")
+#: The longest names, ids, addresses and colours that the tables take.
+LENGTHS = {
+    "track_name": 255,
+    "artist_name": 255,
+    "album_name": 255,
+    "track_id": 50,
+    "track_uri": 100,
+    "primary_genre": 100,
+    "secondary_genre": 100,
+    "album_art_url": 500,
+    "dominant_color": 7,
+}
+#: Columns that the key determines, by which files are clustered and looked up.
+EVENT_LOCATED = ("date",)
 
 #: The newest plays, as the service last reported them.
 RECENT = _struct(played_at=_N, track_id=_S, track_uri=_S, track_name=_S, artist_name=_S, album_name=_S, duration_ms=T.LongType())

@@ -21,6 +21,12 @@ def number_naive(df: DataFrame, ts: str = "played_at", gap: int = GAP_MINUTES) -
     return df.withColumn("__new", _starts(F.lag(ts).over(order), ts, gap)).withColumn("session_id", F.sum("__new").over(order)).drop("__new")
 
 
+def number_slots(slots: DataFrame, keys: list[str], slot: str, first: str, last: str, gap: int) -> DataFrame:
+    """A row for each slot (within ``keys``) with ``session_id``."""
+    order = Window.partitionBy(*keys).orderBy(slot)
+    return slots.withColumn("__new", _starts(F.lag(last).over(order), first, gap)).withColumn("session_id", F.sum("__new").over(order)).drop("__new")
+
+
 def _slotted(df: DataFrame, keys: list[str], ts: str, gap: int) -> DataFrame:
     """``df`` with ``session_id`` within ``keys``, without a window over its rows.
 
@@ -32,8 +38,7 @@ def _slotted(df: DataFrame, keys: list[str], ts: str, gap: int) -> DataFrame:
     micros = F.unix_micros(F.col(ts).cast("timestamp"))
     cut = df.withColumn("__slot", micros - F.pmod(micros, F.lit(max(1, gap * 60_000_000))))
     slots = cut.filter(F.col(ts).isNotNull()).groupBy(*keys, "__slot").agg(F.min(ts).alias("__first"), F.max(ts).alias("__last"))
-    order = Window.partitionBy(*keys).orderBy("__slot")
-    slots = slots.withColumn("__new", _starts(F.lag("__last").over(order), "__first", gap)).withColumn("session_id", F.sum("__new").over(order))
+    slots = number_slots(slots, keys, "__slot", "__first", "__last", gap)
     right = slots.select(*(F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)), F.col("__slot").alias("__s"), "session_id")
     on = [cut[k].eqNullSafe(right[f"__k{i}"]) for i, k in enumerate(keys)] + [cut["__slot"] == right["__s"]]
     return cut.join(right, on, "left").select(*df.columns, "session_id")

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from ..functions.calendar import calendar_parts
 from ..functions.exactmath import minutes, ratio
 from ..operators import sessions
+from ..operators.distinct import distinct_counts
+
 
 def _plays() -> Column:
     return F.count(F.lit(1))
@@ -22,7 +24,12 @@ def _plays() -> Column:
 
 def discovery(events: DataFrame, ordered: bool = True) -> DataFrame:
     """Each artist's first play, its calendar parts, and lifetime totals."""
-    own = events.groupBy("artist_name").agg(F.min("played_at").alias("first_listened"), _plays().alias("lifetime_streams"), F.count_distinct("track_name").alias("unique_tracks"), F.sum("ms_played").alias("lifetime_ms_played"))
+    return discovery_of(events.groupBy("artist_name").agg(F.min("played_at").alias("first_listened"), _plays().alias("total_streams"), F.count_distinct("track_name").alias("unique_tracks"), F.sum("ms_played").alias("total_ms")), ordered)
+
+
+def discovery_of(totals: DataFrame, ordered: bool = True) -> DataFrame:
+    """``discovery`` from ``artist_totals``."""
+    own = totals.withColumnsRenamed({"total_streams": "lifetime_streams", "total_ms": "lifetime_ms_played"})
     at = calendar_parts("first_listened")
     out = own.select(
         "artist_name",
@@ -45,20 +52,23 @@ def discovery(events: DataFrame, ordered: bool = True) -> DataFrame:
     return out.orderBy("first_listened") if ordered else out
 
 
+def artist_totals(events: DataFrame) -> DataFrame:
+    """What the reports on artists rest on, a row for each artist."""
+    day = F.to_date("played_at")
+    measures = {"first_listened": ("min", F.col("played_at")), "most_recent_listened": ("max", F.col("played_at")), "total_streams": ("sum", F.lit(1)), "__ms": ("sum", F.col("ms_played"))}
+    own = distinct_counts(events, ["artist_name"], measures, [("unique_tracks", F.col("track_name"))], [("unique_albums", F.col("album_name"))], [("active_years", F.year("played_at")), ("active_days", day)])
+    return own.withColumnRenamed("__ms", "total_ms")
+
+
 def loyalty(events: DataFrame, ordered: bool = True) -> DataFrame:
     """Each artist's span, breadth and rates."""
-    own = events.groupBy("artist_name").agg(
-        F.min("played_at").alias("first_listened"),
-        F.max("played_at").alias("most_recent_listened"),
-        _plays().alias("total_streams"),
-        F.count_distinct("track_name").alias("unique_tracks"),
-        F.count_distinct("album_name").alias("unique_albums"),
-        F.count_distinct(F.to_date("played_at")).alias("active_days"),
-        F.count_distinct(F.year("played_at")).alias("active_years"),
-        F.sum("ms_played").alias("__ms"),
-    )
+    return loyalty_of(artist_totals(events), ordered)
+
+
+def loyalty_of(totals: DataFrame, ordered: bool = True) -> DataFrame:
+    """``loyalty`` from ``artist_totals``."""
     span = F.datediff("most_recent_listened", "first_listened")
-    out = own.select(
+    out = totals.withColumnRenamed("total_ms", "__ms").select(
         "artist_name",
         "first_listened",
         "most_recent_listened",
@@ -78,16 +88,15 @@ def loyalty(events: DataFrame, ordered: bool = True) -> DataFrame:
 
 def forgotten(events: DataFrame, as_of: datetime.date | Column | None = None, min_streams: int = 25, min_days: int = 90, ordered: bool = True) -> DataFrame:
     """Artists played at least ``min_streams`` times whose last play is at least ``min_days`` calendar days before ``as_of`` (today, if left out)."""
+    measures = {"total_streams": ("sum", F.lit(1)), "total_ms": ("sum", F.col("ms_played")), "first_listened": ("min", F.col("played_at")), "most_recent_listened": ("max", F.col("played_at"))}
+    own = distinct_counts(events, ["artist_name"], measures, [("unique_tracks", F.col("track_name"))], [("unique_albums", F.col("album_name"))], [("active_days", F.to_date("played_at"))])
+    return forgotten_of(own, as_of, min_streams, min_days, ordered)
+
+
+def forgotten_of(totals: DataFrame, as_of: datetime.date | Column | None = None, min_streams: int = 25, min_days: int = 90, ordered: bool = True) -> DataFrame:
+    """``forgotten`` from ``artist_totals``."""
     day = F.current_date() if as_of is None else as_of if isinstance(as_of, Column) else F.lit(as_of)
-    own = events.groupBy("artist_name").agg(
-        _plays().alias("lifetime_streams"),
-        F.sum("ms_played").alias("__ms"),
-        F.min("played_at").alias("first_listened"),
-        F.max("played_at").alias("last_listened"),
-        F.count_distinct("track_name").alias("unique_tracks"),
-        F.count_distinct("album_name").alias("unique_albums"),
-        F.count_distinct(F.to_date("played_at")).alias("active_days"),
-    )
+    own = totals.withColumnsRenamed({"total_streams": "lifetime_streams", "total_ms": "__ms", "most_recent_listened": "last_listened"})
     out = own.select(
         "artist_name",
         "lifetime_streams",
@@ -114,19 +123,20 @@ def listening_sessions_by(events: DataFrame, key: str, gap: int = sessions.GAP_M
     return sessions.summarise(sessions.number_by_key(events, key, gap=gap), key)
 
 
+REPEAT_KEYS = ["track_id", "track_uri", "track_name", "artist_name", "album_name"]
+
+
 def repeats(events: DataFrame, ordered: bool = True) -> DataFrame:
     """Plays of each exact (id, uri, track, artist, album); a null album is a value of its own."""
-    keys = ["track_id", "track_uri", "track_name", "artist_name", "album_name"]
-    own = events.groupBy(*keys).agg(
-        _plays().alias("total_streams"),
-        F.sum("ms_played").alias("__ms"),
-        F.min("played_at").alias("first_listened"),
-        F.max("played_at").alias("last_listened"),
-        F.count_distinct(F.to_date("played_at")).alias("active_days"),
-    )
+    return repeats_of(events.groupBy(*REPEAT_KEYS).agg(_plays().alias("total_streams"), F.sum("ms_played").alias("total_ms"), F.min("played_at").alias("first_listened"), F.max("played_at").alias("last_listened"), F.count_distinct(F.to_date("played_at")).alias("active_days")), ordered)
+
+
+def repeats_of(totals: DataFrame, ordered: bool = True) -> DataFrame:
+    """``repeats`` from totals of each key."""
+    own = totals.withColumnRenamed("total_ms", "__ms")
     span = F.datediff("last_listened", "first_listened")
     out = own.select(
-        *keys,
+        *REPEAT_KEYS,
         "total_streams",
         minutes(F.col("__ms")).alias("total_minutes"),
         "first_listened",

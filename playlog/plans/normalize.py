@@ -23,7 +23,7 @@ EXPORT_FIELDS = {
 EXPORT_URI_SUFFIX = "_track_uri"
 
 
-def _event(df: DataFrame, source: str, imported_at: Column | None) -> DataFrame:
+def as_events(df: DataFrame, source: str, imported_at: Column | None) -> DataFrame:
     """Fill in what a source lacks, and bring the columns into the event table's order and types."""
     df = with_calendar(df).withColumns({"source": F.lit(source), "imported_at": (F.current_timestamp() if imported_at is None else imported_at).cast("timestamp_ntz")})
     return df.select(*((F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in model.EVENT))
@@ -60,7 +60,7 @@ def from_export(raw: DataFrame, imported_at: Column | None = None, uri_field: st
     df = df.withColumns({"played_at": to_second(parse_zulu("played_at")), "track_id": track_id("track_uri", service or None), "is_liked": F.lit(False)})
     rest = [c for c in df.columns if not c.startswith("__order") and c not in model.EVENT_KEY]
     first = dedup_first(df, model.EVENT_KEY, [*(f"__order{k}" for k in range(len(tail))), *rest])
-    return _event(first, "export", imported_at)
+    return as_events(first, "export", imported_at)
 
 
 def _has_files(df: DataFrame) -> bool:
@@ -93,7 +93,7 @@ def from_recent(rows: DataFrame, liked: DataFrame | None = None, imported_at: Co
     """Flat recent plays as events: the playing time is the track's length, and liked tracks are flagged."""
     df = rows.withColumns({"played_at": to_second("played_at"), "ms_played": F.col("duration_ms")})
     df = flag_members(df, liked, "track_id", "track_id", "is_liked") if liked is not None else df.withColumn("is_liked", F.lit(False))
-    return _event(df, "api", imported_at)
+    return as_events(df, "api", imported_at)
 
 
 def from_legacy_export(rows: DataFrame, service: str, imported_at: Column | None = None) -> DataFrame:
@@ -102,7 +102,7 @@ def from_legacy_export(rows: DataFrame, service: str, imported_at: Column | None
         to_second("Time_stamp").alias("played_at"), (F.col("Seconds") * 1000).alias("ms_played"), F.col("Shuffle").alias("shuffle_state"), F.col("Skipped").alias("skipped"), "track_name", "artist_name", "album_name",
         F.col("track_uri").alias("track_id"), F.concat(F.lit(f"{service}:track:"), F.col("track_uri")).alias("track_uri"), F.lit(False).alias("is_liked"),
     )
-    return _event(df, "export", imported_at)
+    return as_events(df, "export", imported_at)
 
 
 def migrate(legacy_export: DataFrame, legacy_api: DataFrame, liked: DataFrame, service: str, imported_at: Column | None = None) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import model
 from ..operators import merge
 from ..sources import export, files
-from . import analytics, normalize
+from . import analytics, increments, normalize
 
 #: Name of each derived table and how it comes from the events, in order.
 ANALYTICS: dict[str, Callable[[DataFrame], DataFrame]] = {
@@ -48,12 +48,15 @@ def rebuild(spark: SparkSession, events: str = EVENTS, only: list[str] | None =
     return done
 
 
+#: What the tables take: required columns, known values, and the lengths of names.
+EVENT_CHECKS = merge.Checks(required=model.EVENT_REQUIRED, one_of={"source": model.SOURCES}, at_most=model.LENGTHS)
+LIKED_CHECKS = merge.Checks(required=model.LIKED_KEY, at_most=model.LENGTHS)
+
+
 def log_run(spark: SparkSession, **values) -> int:
-    """Append one row to the run log; returns its number."""
-    number = (spark.table(RUN_LOG).agg(F.max("run_id")).first()[0] or 0) + 1
-    row = tuple(number if f.name == "run_id" else values.get(f.name) for f in model.RUN_LOG)
-    merge.append(spark.createDataFrame([row], model.RUN_LOG), RUN_LOG)
-    return number
+    """Append one row to the run log; returns its number, which no other run has."""
+    row = lambda number: tuple(number if f.name == "run_id" else values.get(f.name) for f in model.RUN_LOG)
+    return merge.append_numbered(RUN_LOG, model.RUN_LOG, "run_id", row, spark)
 
 
 @dataclass
@@ -91,26 +94,25 @@ def _logged(spark: SparkSession, name: str) -> Iterator[Report]:
                 raise
 
 
-def _put_aside(rows: DataFrame, reason: str) -> int:
-    """Append what can't be loaded to the quarantine table, as JSON; returns how many."""
-    return merge.append(rows.select(F.to_json(F.struct("*")).alias("row"), F.lit(reason).alias("reason"), F.current_timestamp().cast("timestamp_ntz").alias("seen_at")), REJECTED)
+def _load_events(events: DataFrame, order: list[str]) -> merge.Loaded:
+    """Load stored events; those without a required column go to the quarantine table as incomplete, those that break another constraint with what they break."""
+    aside = merge.put_aside(normalize.rejected(events), "incomplete", REJECTED)
+    done = merge.load(normalize.valid(events), EVENTS, model.EVENT_KEY, order, model.EVENT_LOCATED, EVENT_CHECKS, REJECTED, stored=True)
+    return merge.Loaded(done.processed + aside, done.inserted, done.rejected + aside)
 
 
 def run(spark: SparkSession, liked_pages: Callable[[datetime.datetime | None], DataFrame], recent_pages: Callable[[], DataFrame], export_folder: str | None = None, name: str = "listening") -> Report:
     """One run. ``liked_pages`` gets the newest time in the library and returns raw items; ``recent_pages`` returns raw items."""
     with _logged(spark, name) as report:
         mark = merge.watermark(spark.table(LIKED), "added_to_library")
-        liked = merge.newer_than(normalize.flatten_liked(liked_pages(mark)), "added_to_library", mark)
-        report.liked_downloaded = liked.count()
-        report.liked_inserted = merge.insert_ignore(liked, LIKED, model.LIKED_KEY, [-F.unix_micros(F.col("added_to_library").cast("timestamp")), "track_name"]) if report.liked_downloaded else 0
-        recent = normalize.flatten_recent(recent_pages())
-        merge.replace_table(merge.dedup_first(recent, model.RECENT_KEY, ["track_name"]), RECENT)
-        snapshot = spark.table(RECENT)
-        report.recent_downloaded = snapshot.count()
-        events = normalize.from_recent(snapshot, spark.table(LIKED))
-        report.recent_inserted = merge.insert_ignore(normalize.valid(events), EVENTS, model.EVENT_KEY, ["track_name"])
-        report.rejected = _put_aside(normalize.rejected(events), "incomplete")
-        report.rebuilt = rebuild(spark)
+        newest_first = [-F.unix_micros(F.col("added_to_library").cast("timestamp")), "track_name"]
+        liked = merge.load(merge.newer_than(normalize.flatten_liked(liked_pages(mark)), "added_to_library", mark), LIKED, model.LIKED_KEY, newest_first, checks=LIKED_CHECKS, rejects=REJECTED)
+        report.liked_downloaded, report.liked_inserted = liked.processed, liked.inserted
+        merge.replace_table(merge.dedup_first(normalize.flatten_recent(recent_pages()), model.RECENT_KEY, ["track_name"]), RECENT)
+        with merge.written_once(normalize.from_recent(spark.table(RECENT), spark.table(LIKED)), "recent") as events:
+            recent = _load_events(events, ["track_name"])
+        report.recent_downloaded, report.recent_inserted, report.rejected = recent.processed, recent.inserted, recent.rejected + liked.rejected
+        report.rebuilt = increments.refresh(spark, EVENTS)
         if export_folder:
             report.exported = export.export_tables(spark, EXPORTS, export_folder)
     return report
@@ -126,13 +128,12 @@ def import_history(spark: SparkSession, folder: str, service: str, lines: bool =
     with _logged(spark, name) as report:
         raw = files.read_export(spark, folder, service, lines, None if strict else "__corrupt")
         if not strict:
-            bad = files.split_corrupt(raw, "__corrupt")[1]
-            report.rejected = _put_aside(bad, "unreadable")
+            report.rejected = merge.put_aside(files.split_corrupt(raw, "__corrupt")[1], "unreadable", REJECTED)
             raw = raw.filter("__corrupt is null")
-        events = normalize.from_export(raw, uri_field=service + normalize.EXPORT_URI_SUFFIX)
-        report.recent_downloaded = events.count()
-        report.recent_inserted = merge.insert_ignore(normalize.valid(events), EVENTS, model.EVENT_KEY, ["ms_played", "track_name"])
-        report.rejected += _put_aside(normalize.rejected(events), "incomplete")
+        with merge.written_once(normalize.from_export(raw, uri_field=service + normalize.EXPORT_URI_SUFFIX), "import") as events:
+            done = _load_events(events, ["ms_played", "track_name"])
+        report.recent_downloaded, report.recent_inserted = done.processed, done.inserted
+        report.rejected += done.rejected
     return report
 
 

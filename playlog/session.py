@@ -29,8 +29,8 @@ def session(app: str = "playlog", master: str | None = None, shuffle_partitions:
     return builder.getOrCreate()
 
 
-def shared_path(spark: SparkSession, tag: str) -> str:
-    """A new path in the folder that driver and executors share, ``spark.checkpoint.dir``.
+def checkpoint_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, ``spark.checkpoint.dir``, which is also where checkpoints go.
 
     Where that is unset, a temporary folder serves local sessions; a cluster session raises, since a machine-local
     folder would lose rows there.
@@ -41,4 +41,11 @@ def shared_path(spark: SparkSession, tag: str) -> str:
             raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = "file://" + tempfile.mkdtemp(prefix="playlog-")
         spark.conf.set("spark.checkpoint.dir", found)
-    return f"{found.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        spark.sparkContext.setCheckpointDir(found)
+    return found.rstrip("/")
+
+
+def shared_path(spark: SparkSession, tag: str) -> str:
+    """A new path in the shared folder."""
+    return f"{checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"

@@ -21,7 +21,7 @@ from urllib.error import HTTPError, URLError
 from urllib.parse import urlencode
 from urllib.request import Request, urlopen
 
-from pyspark.sql.datasource import DataSource, DataSourceReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
@@ -124,6 +124,59 @@ class PagedReader(DataSourceReader):
                 yield _as_row(item, self.schema)
 
 
+class Between(InputPartition):
+    """Items after ``start`` and up to ``end``."""
+
+    def __init__(self, start: str | None, end: str | None):
+        self.start, self.end = start, end
+
+
+class PagedStream(DataSourceStreamReader):
+    """The same items as a stream, whose offset is the newest time read so far.
+
+    Items come newest first: the driver asks for the first one's time only, and a task reads pages down to the last
+    offset. A batch that is run again reads the same times again, whatever has come since; a restart goes on from the
+    checkpoint's offset. As with a mark, an item of the very time of an offset that comes later is not read.
+    """
+
+    def __init__(self, schema: T.StructType, options: dict):
+        self.schema, self.options = schema, options
+        self.field = options.get("time_field", schema[0].name)
+        self.last = parse_time(options["stop_at"]) if options.get("stop_at") else None
+
+    def _offset(self, time: datetime.datetime | None) -> dict:
+        """Offsets don't go back, even if the newest items were taken away."""
+        self.last = max((t for t in (self.last, time) if t), default=None)
+        return {"read": self.last.isoformat() if self.last else None}
+
+    def _items(self) -> Iterator[dict]:
+        for page in PagedReader(self.schema, self.options)._pages():
+            yield from page["items"]
+
+    def initialOffset(self) -> dict:
+        return {"read": self.options.get("stop_at")}
+
+    def latestOffset(self) -> dict:
+        newest = next(self._items(), None)
+        return self._offset(parse_time(newest[self.field]) if newest else None)
+
+    def partitions(self, start: dict, end: dict) -> list[InputPartition]:
+        self._offset(parse_time(start["read"]) if start["read"] else None)
+        return [Between(start["read"], end["read"])]
+
+    def read(self, partition: Between) -> Iterator[tuple]:
+        start, end = (parse_time(t) if t else None for t in (partition.start, partition.end))
+        for item in self._items():
+            at = parse_time(item[self.field])
+            if start is not None and at <= start:
+                return
+            if end is not None and at <= end:
+                yield _as_row(item, self.schema)
+
+    def commit(self, end: dict) -> None:
+        pass
+
+
 class PagedSource(DataSource):
     @classmethod
     def name(cls) -> str:
@@ -135,6 +188,17 @@ class PagedSource(DataSource):
     def reader(self, schema: T.StructType) -> PagedReader:
         return PagedReader(schema, dict(self.options))
 
+    def streamReader(self, schema: T.StructType) -> PagedStream:
+        return PagedStream(schema, dict(self.options))
+
+
+def stream_items(spark: SparkSession, schema: T.StructType, after: datetime.datetime | None = None, **options: str):
+    """Items of a paged service as a stream, those newer than ``after`` first and then what comes."""
+    spark.dataSource.register(PagedSource)
+    if after is not None:
+        options["stop_at"] = after.isoformat()
+    return spark.readStream.format("paged_items").schema(schema).options(**options).load()
+
 
 def read_items(spark: SparkSession, schema: T.StructType, stop_at: datetime.datetime | None = None, **options: str):
     """Items of a paged service as a DataFrame."""

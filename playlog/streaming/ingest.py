@@ -24,7 +24,7 @@ def ingest_recent(items: DataFrame, table: str, checkpoint: str, liked: str | No
         spark = batch.sparkSession
         likes = spark.table(liked) if liked else None
         events = normalize.valid(normalize.from_recent(normalize.flatten_recent(batch), likes))
-        insert_ignore(events, table, model.EVENT_KEY, ["track_name"])
+        insert_ignore(events, table, model.EVENT_KEY, ["track_name"], model.EVENT_LOCATED)
 
     writer = items.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="30 minutes")).start()

@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from playlog import model
 from playlog.functions import calendar, exactmath, text
-from playlog.operators import merge, sessions
-from playlog.plans import analytics, normalize, pipeline
-from playlog.sources import export, files, paged, sqlscript
+from playlog.operators import commit, distinct, merge, order, sessions
+from playlog.plans import analytics, increments, normalize, pipeline
+from playlog.sources import export, files, jdbc, paged, sqlscript
 from playlog.streaming import ingest
+from playlog.streaming import sessions as session_stream
 
 T0 = dt.datetime(2024, 2, 4, 10, 0, 0)
+AS_OF = dt.date(2024, 7, 1)
 
 
 def events(spark, rows):
@@ -365,18 +367,173 @@ def test_unreadable_rows_raise_or_go_aside(spark, tmp_path):
         normalize.from_export(spark.createDataFrame([("1", "2")], "a_track_uri string, b_track_uri string"))
 
 
-def test_replacement_that_broke_off(spark):
-    for t in ("t_half", "t_half__old_1", "t_half__new_1"):
+def test_nothing_is_taken_by_its_name(spark):
+    """Tables whose names look like something of the library's stay, whatever is done beside them."""
+    for t in ("t_half", "t_half__old_1", "t_half__new_1", "t_half__old_2023_archive"):
         spark.sql(f"DROP TABLE IF EXISTS {t}")
-    merge.replace_table(spark.range(3), "t_half")
-    spark.range(9).write.saveAsTable("t_half__new_1")  # the old rows have their name yet: the new ones go
-    assert merge.recover_table(spark, "t_half") and spark.table("t_half").count() == 3
-    spark.sql("ALTER TABLE t_half RENAME TO t_half__old_1")
-    assert merge.recover_table(spark, "t_half") and spark.table("t_half").count() == 3
-    spark.range(5).write.saveAsTable("t_half__new_1")
-    spark.sql("ALTER TABLE t_half RENAME TO t_half__old_1")
-    assert merge.recover_table(spark, "t_half") and spark.table("t_half").count() == 5
-    assert not [t.name for t in spark.catalog.listTables() if t.name.startswith("t_half__")]
+    for t in ("t_half__old_1", "t_half__new_1", "t_half__old_2023_archive"):
+        spark.range(9).write.saveAsTable(t)
+    assert not merge.recover_table(spark, "t_half")
+    for n in range(4):
+        merge.replace_table(spark.range(n), "t_half")
+        assert merge.recover_table(spark, "t_half") and spark.table("t_half").count() == n
+    assert all(spark.table(t).count() == 9 for t in ("t_half__old_1", "t_half__new_1", "t_half__old_2023_archive"))
+
+
+class _Crash(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", ["_take", "settle", "_point", "_publish", "vacuum"])
+@pytest.mark.parametrize("kind", ["replace", "append"])
+def test_a_crash_at_any_step_leaves_all_or_nothing(spark, monkeypatch, kind, step):
+    spark.sql("DROP TABLE IF EXISTS t_crash")
+    merge.replace_table(spark.range(3), "t_crash")
+    merge.append(spark.range(3, 5), "t_crash")
+    log = commit.TableLog(spark, "t_crash")
+    seen, here = log.settle(), getattr(commit.TableLog, step)
+    calls = []
+
+    def crash(self, *args):
+        calls.append(step)
+        if step == "settle" and len(calls) == 1:  # the first one is the writer's look at the log
+            return here(self, *args)
+        if step == "_publish":  # after the first file
+            names = [n for n in self._list(args[0]) if n.startswith("part-")]
+            if not names:  # done before
+                return None
+            self.fs.rename(self._Path(f"{args[0]}/{names[0]}"), self._Path(f"{self.location()}/{names[0]}"))
+        if step == "_point" and args[0]["at"] == self.location():
+            return None
+        raise _Crash
+
+    monkeypatch.setattr(commit.TableLog, step, crash)
+    more = spark.range(10, 16).repartition(3)
+    change = (lambda: merge.replace_table(more, "t_crash")) if kind == "replace" else (lambda: merge.append(more, "t_crash"))
+    if (kind, step) in (("replace", "_publish"), ("append", "_point")):
+        change()
+    else:
+        with pytest.raises(_Crash):
+            change()
+    monkeypatch.undo()
+    assert merge.recover_table(spark, "t_crash")
+    old, new = list(range(5)), list(range(10, 16))
+    ids = sorted(r.id for r in spark.table("t_crash").collect())
+    assert ids == (old if step == "_take" else new if kind == "replace" else old + new)
+    assert log.settle() == seen + (step != "_take")
+    merge.append(spark.range(20, 21), "t_crash")
+    assert sorted(r.id for r in spark.table("t_crash").collect()) == [*ids, 20]
+
+
+def test_writers_at_once(spark):
+    """Of replacements that saw the same rows one is carried out and the others say so; of loads every key is inserted once; and runs get numbers of their own."""
+    from concurrent.futures import ThreadPoolExecutor
+
+    for t in ("t_once", "t_keys", "t_runs"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    merge.replace_table(spark.range(2), "t_once")
+    merge.append(spark.createDataFrame([], "run_id long, who int"), "t_runs")
+    seen = commit.TableLog(spark, "t_once").settle()
+
+    def replace(n):
+        try:
+            merge.replace_table(spark.range(n), "t_once", seen)
+            return n
+        except commit.ConcurrentChange:
+            return None
+
+    batch = lambda n: spark.range(n * 5, n * 5 + 10).selectExpr("id AS k", f"{n} AS v")
+    with ThreadPoolExecutor(4) as pool:
+        done = [n for n in pool.map(replace, (5, 6, 7)) if n]
+        inserted = list(pool.map(lambda n: merge.insert_ignore(batch(n), "t_keys", ["k"], ["v"]), range(4)))
+        numbers = list(pool.map(lambda n: merge.append_numbered("t_runs", spark.table("t_runs").schema, "run_id", lambda k: (k, n), spark), range(4)))
+    assert len(done) == 1 and spark.table("t_once").count() == done[0]
+    assert sum(inserted) == 25 and sorted(r.k for r in spark.table("t_keys").collect()) == list(range(25))
+    assert sorted(numbers) == [1, 2, 3, 4] == sorted(r.run_id for r in spark.table("t_runs").collect())
+
+
+def test_replaced_rows_stay_for_their_readers(spark, monkeypatch):
+    spark.sql("DROP TABLE IF EXISTS t_kept")
+    spark.range(4).write.saveAsTable("t_kept")  # not the library's own
+    before = spark.table("t_kept")
+    merge.replace_table(spark.range(5), "t_kept")
+    first = spark.table("t_kept")
+    merge.replace_table(spark.range(6).withColumn("more", F.lit("x")), "t_kept")
+    assert first.count() == 5 and spark.table("t_kept").columns == ["id", "more"] and spark.table("t_kept").count() == 6
+    with pytest.raises(Exception):
+        before.count()
+    for n in range(3):
+        merge.replace_table(spark.range(n), "t_kept")
+    log = commit.TableLog(spark, "t_kept")
+    assert len(log._list(f"{log.root}/data")) == commit.KEEP
+    monkeypatch.setattr(commit, "REMEMBER", 2)
+    merge.append(spark.range(1), "t_kept")
+    assert sorted(map(int, log._list(f"{log.root}/log"))) == [log.version() - 1, log.version()] and spark.table("t_kept").count() == 3
+
+
+def test_a_small_batch_does_not_shuffle_the_table(spark):
+    """The batch's ranges reach the scan, its keys travel to it, and the table's rows cross no exchange."""
+    spark.sql("DROP TABLE IF EXISTS t_large")
+    rows = spark.range(20_000).select((F.lit(T0) + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("played_at"), (F.col("id") % 50).cast("string").alias("track_id"), F.lit(1).alias("v"))
+    rows = rows.withColumn("date", F.to_date("played_at"))
+    assert merge.insert_ignore(rows, "t_large", model.EVENT_KEY, ["v"], model.EVENT_LOCATED) == 20_000
+    some = rows.filter("v = 1").orderBy(F.desc("played_at")).limit(40)
+    fresh = some.withColumn("track_id", F.concat("track_id", F.lit("x"))).limit(10)
+    spark.sql("DROP TABLE IF EXISTS t_batch")
+    some.unionByName(fresh).write.saveAsTable("t_batch")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    new = merge.unheld(spark.table("t_batch"), spark.table("t_large"), model.EVENT_KEY, model.EVENT_LOCATED)
+    assert len(new.collect()) == 10
+    plan = new._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    join = next(k for k, line in enumerate(plan) if "LeftSemi" in line)
+    scan = next(k for k, line in enumerate(plan) if "FileScan" in line and "t_large" in line)
+    assert "BroadcastHashJoin" in plan[join] and scan > join and not [line for line in plan[join:scan] if "Exchange" in line]
+    assert "SortMergeJoin" not in "".join(plan) and all(f in plan[scan].split("PushedFilters")[1] for f in ("GreaterThanOrEqual(played_at", "LessThanOrEqual(played_at", "date"))
+    assert merge.insert_ignore(spark.table("t_batch"), "t_large", model.EVENT_KEY, ["v"], model.EVENT_LOCATED) == 10
+    assert merge.insert_ignore(spark.table("t_batch"), "t_large", model.EVENT_KEY, ["v"], model.EVENT_LOCATED) == 0
+
+
+@pytest.mark.parametrize("keys", [1_000_000, 0])
+def test_lookups_equal_the_anti_join(spark, monkeypatch, keys):
+    monkeypatch.setattr(merge, "LOOKUP_KEYS", keys)
+    base = spark.createDataFrame([(k if k % 7 else None, f"s{k % 5}", dt.date(2024, 1, 1 + k % 20), float(k)) for k in range(60)], "k long, s string, d date, x double")
+    for kept in ("k % 3 = 0 OR k IS NULL", "k > 50", "k IS NULL", "k < -1", "x > 1"):
+        batch = base.filter(kept).unionByName(spark.createDataFrame([(1000, "s1", None, 5.0), (None, "new", dt.date(2030, 1, 1), float("nan"))], base.schema))
+        for key, located in ((["k", "s"], ()), (["x"], ()), (["d", "s"], ()), (["k", "d"], ("d",))):
+            half = base.filter("k % 2 = 0 OR k IS NULL")
+            got = merge.unheld(batch, half, key, located)
+            assert sorted(map(repr, got.collect())) == sorted(map(repr, merge.anti_join(batch, half, key).collect()))
+
+
+def test_constraints_at_every_entry(spark):
+    for t in ("t_checked", "t_aside"):
+        spark.sql(f"DROP TABLE IF EXISTS {t}")
+    checks = merge.Checks(required=("k", "s"), one_of={"s": ("a", "b")}, at_most={"t": 3})
+    rows = spark.createDataFrame([(1, "a", "xyz"), (2, "c", "x"), (None, "a", "x"), (3, "b", "long"), (4, None, None), (5, "b", None)], "k long, s string, t string")
+    with pytest.raises(ValueError, match="break its constraints"):
+        merge.append(rows, "t_checked", checks)
+    assert merge.append(rows, "t_checked", checks, "t_aside") == 2
+    assert merge.load(rows.withColumn("k", F.col("k") + 10), "t_checked", ["k"], ["t"], checks=checks, rejects="t_aside") == (6, 2, 4)
+    assert sorted(r.k for r in spark.table("t_checked").collect()) == [1, 5, 11, 15]
+    reasons = [r.reason for r in spark.table("t_aside").collect()]
+    assert sorted(set(reasons)) == ["k is missing", "s is missing", "s is none of a, b", "t is longer than 3"] and len(reasons) == 8
+    assert merge.load(spark.createDataFrame([(20, "a")], "k long, s string").withColumn("t", F.lit("t")), "t_checked", ["k"], ["t"], checks=merge.Checks(required=("gone",)), rejects="t_aside").rejected == 1
+
+
+def test_a_source_is_read_once(spark, tmp_path):
+    """However many steps a load has, and whatever the source would answer the second time."""
+    spark.sql("DROP TABLE IF EXISTS t_live")
+    merge.insert_ignore(spark.createDataFrame([(0, 0)], "k long, v long"), "t_live", ["k"], ["v"])
+    asked = spark.sparkContext.accumulator(0)
+
+    def answers(batches):
+        asked.add(1)
+        import pyarrow as pa
+
+        yield pa.RecordBatch.from_pydict({"k": [1, 2], "v": [1, 1]})
+
+    live = spark.range(1, numPartitions=1).mapInArrow(answers, "k long, v long")
+    assert merge.load(live, "t_live", ["k"], ["v"]) == (2, 2, 0) and asked.value == 1
 
 
 def test_jobs_by_name(spark, tmp_path, capsys):
@@ -429,3 +586,146 @@ def test_sessions_equal_the_definition(spark, seed):
 def test_first_rows_with_maps(spark):
     df = spark.createDataFrame([(1, 2, {"a": 1}), (1, 1, {"b": 2}), (None, 5, None)], "k int, n int, m map<string,int>")
     assert sorted(((r.k, r.n, r.m) for r in merge.dedup_first(df, ["k"], ["n"]).collect()), key=repr) == [(1, 1, {"b": 2}), (None, 5, None)]
+
+
+@pytest.mark.parametrize("seed", range(2))
+def test_late_plays_give_the_sessions_of_all_plays(spark, tmp_path, seed):
+    """Plays come in any order, however late, and join sessions that were given out; batches are run again after a restart."""
+    rng = random.Random(seed)
+    spark.sql("DROP TABLE IF EXISTS t_changes")
+    at, rows = 0, []
+    for _ in range(160):
+        at += rng.choice([1, 60, 899, 1799, 1799.999999, 1800, 1801, 3600, 9_000_000])
+        rows.append((at - 400_000, rng.choice("ab"), "t", "x", rng.randrange(1000)))
+    rng.shuffle(rows)
+    rows.append((None, "a", "t", "x", 1))
+    df = events(spark, rows[:-1])
+    source = tmp_path / "in"
+    for k in range(4):
+        part = events(spark, [r for r in rows[:-1][k::4]])
+        part.unionByName(part.limit(1).withColumn("played_at", F.lit(None).cast("timestamp_ntz"))).coalesce(1).write.mode("append").parquet(str(source))
+        q = session_stream.keep_sessions(ingest.stream_files(spark, str(source), df.schema, "parquet"), "t_changes", "artist_name", str(tmp_path / "check"))
+        q.awaitTermination(120)
+    want = analytics.listening_sessions_by(df, "artist_name").select("artist_name", "session_start", "session_end", "streams", F.round(F.col("music_minutes") * 0).alias("z")).drop("z")
+    changes = spark.table("t_changes")
+    got = session_stream.current_sessions(changes, "artist_name")
+    assert sorted(map(tuple, got.select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+    assert got.agg(F.sum("ms_played")).first()[0] == sum(r[4] for r in rows[:-1])
+    assert changes.filter("gone").count() > 0
+    again = changes.filter("batch = 2").unionByName(changes)
+    assert sorted(map(tuple, session_stream.current_sessions(again, "artist_name").collect())) == sorted(map(tuple, got.collect()))
+
+
+def test_paged_stream_reads_only_what_is_new(spark, tmp_path):
+    items = [_item("played_at", f"2024-03-10T10:{k:02d}:00Z", k) for k in range(9)]
+    newest_first = lambda n: [list(reversed(items[:n]))[k : k + 2] for k in range(0, n, 2)] or [[]]
+
+    def run(pages, after=None):
+        folder = tmp_path / "pages"
+        if folder.exists():
+            for f in folder.iterdir():
+                f.unlink()
+            folder.rmdir()
+        _pages(folder, "played_at", pages)
+        stream = paged.stream_items(spark, model.RAW_RECENT, after, path=str(folder), page_size="2")
+        q = stream.select("track.id").writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start()
+        assert q.awaitTermination(90)
+        if q.exception():
+            raise q.exception()
+        return sorted(r.id for r in spark.read.schema("id string").parquet(str(tmp_path / "out")).collect())
+
+    assert run(newest_first(4), dt.datetime(2024, 3, 10, 10, 0)) == ["i1", "i2", "i3"]
+    assert run(newest_first(4)) == ["i1", "i2", "i3"]
+    assert run(newest_first(9)) == [f"i{k}" for k in range(1, 9)]
+    assert run([[]]) == [f"i{k}" for k in range(1, 9)]
+    assert run(newest_first(9)) == [f"i{k}" for k in range(1, 9)]
+
+
+def test_database_load(spark):
+    url = "jdbc:derby:memory:plays;create=true"
+    properties = {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    types = "track_id VARCHAR(50), track_name VARCHAR(255)"
+    rows = spark.createDataFrame([(T0, f"i{k}", f"N{k}") for k in range(2500)] + [(T0, "i1", "A")], "played_at timestamp_ntz, track_id string, track_name string").repartition(3)
+    put = lambda df, load: jdbc.insert_jdbc(df, url, "plays", ["played_at", "track_id"], ["track_name"], load, types, properties)
+    assert put(rows, "first") == 2500
+    assert put(rows, "first") == 0 and put(rows, "again") == 0
+    more = spark.createDataFrame([(T0, "i5", "other"), (T0, "new", "x"), (T0, "new", "y")], rows.schema)
+    assert put(more, "second") == 1
+    found = {r.track_id: r.track_name for r in spark.read.jdbc(url, "plays", properties=properties).collect()}
+    assert len(found) == 2501 and (found["i1"], found["i5"], found["new"]) == ("A", "N5", "x")
+    with pytest.raises(ValueError, match="lack a value"):
+        put(spark.createDataFrame([(None, "i0", "none")], rows.schema), "keyless")
+    # a load that broke off between its rows and its commit: staged rows are there, the table isn't touched, and it is done when run again
+    jdbc_rows = spark.createDataFrame([(T0, "late", "z")], rows.schema)
+    jdbc_rows.write.options(createTableColumnTypes=types).jdbc(url, "plays_load_third", "append", properties)
+    assert put(jdbc_rows, "third") == 1 and spark.read.jdbc(url, "plays", properties=properties).count() == 2502
+    with pytest.raises(ValueError):
+        put(rows, "a; DROP TABLE plays")
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_places_are_those_of_the_whole_order(spark, partitions):
+    rng = random.Random(3)
+    rows = [(k, rng.choice([None, 1, 2, 3, 50]), rng.random()) for k in range(500)]
+    df = spark.createDataFrame(rows, "id long, a int, b double").repartition(partitions)
+    got = order.with_place(df, [F.desc("a"), "b"])
+    want = {r.id: r.place for r in df.selectExpr("id", "row_number() OVER (ORDER BY a DESC, b) AS place").collect()}
+    assert {r.id: r.place for r in got.collect()} == want and got.schema["place"].dataType.simpleString() == "bigint"
+    assert "SinglePartition" not in got._jdf.queryExecution().executedPlan().toString()
+    assert order.with_place(df.limit(0), ["a"]).count() == 0
+
+
+def test_distinct_counts_without_copies_of_rows(spark):
+    rows = [(k % 3 if k % 7 else None, f"t{k % 11}" if k % 5 else None, k % 13, k % 4 if k % 13 else None, k) for k in range(400)]
+    df = spark.createDataFrame(rows, "g int, t string, fine int, other int, v long")
+    coarse = (F.col("fine") / 4).cast("int")
+    got = distinct.distinct_counts(df, ["g"], {"n": ("sum", F.lit(1)), "most": ("max", F.col("v")), "least": ("min", F.col("v")), "all": ("sum", F.col("v"))}, [("ts", F.col("t"))], [("coarse", coarse), ("fine", F.col("fine"))], [("others", F.col("other"))])
+    want = df.groupBy("g").agg(F.count(F.lit(1)).alias("n"), F.max("v").alias("most"), F.min("v").alias("least"), F.sum("v").alias("all"), F.count_distinct("t").alias("ts"), F.count_distinct(coarse).alias("coarse"), F.count_distinct("fine").alias("fine"), F.count_distinct("other").alias("others"))
+    assert sorted(map(repr, got.select(want.columns).collect())) == sorted(map(repr, want.collect()))
+    assert "Expand" not in analytics.loyalty(events(spark, [(0, "a", "t", "x", 1)]))._jdf.queryExecution().executedPlan().toString()
+    assert distinct.distinct_counts(df.limit(0), ["g"], {}, [("ts", F.col("t"))]).count() == 0
+
+
+def test_small_files_stay_few(spark, monkeypatch):
+    """However many appends; a reader keeps the files that it began with."""
+    monkeypatch.setattr(merge, "SMALL_FILES", 4)
+    spark.sql("DROP TABLE IF EXISTS t_small")
+    merge.append(spark.range(1), "t_small")
+    for k in range(1, 26):
+        reader = spark.table("t_small")
+        merge.append(spark.range(k, k + 1, 1, 1), "t_small")
+        assert len(commit.TableLog(spark, "t_small").sizes()) <= 9 and reader.count() == k
+    assert sorted(r.id for r in spark.table("t_small").collect()) == list(range(26))
+    monkeypatch.setattr(merge, "SMALL_BYTES", 0)  # large ones are let be
+    assert merge.compact(spark, "t_small") == 0
+
+
+def test_refreshed_analytics_equal_rebuilt_ones(spark):
+    """After random increments, late and repeated plays, a refresh that broke off, one without news, and a compaction."""
+    rng = random.Random(11)
+    before = spark.catalog.currentDatabase()
+    spark.sql("DROP DATABASE IF EXISTS refreshed CASCADE")
+    merge.ensure_database(spark, "refreshed")
+    try:
+        pipeline.create_tables(spark)
+        for step in range(5):
+            rows = [(rng.choice([rng.randrange(40_000), rng.randrange(4_000_000)]), rng.choice("abcd"), f"t{rng.randrange(9)}", rng.choice([None, "x", "y"]), rng.randrange(400_000)) for _ in range(60)]
+            batch = normalize.as_events(events(spark, rows), "api", None)
+            if step != 3:
+                merge.insert_ignore(batch, pipeline.EVENTS, model.EVENT_KEY, ["ms_played"], model.EVENT_LOCATED)
+            if step == 2:  # sums are there, but no mark
+                with pytest.MonkeyPatch.context() as m, pytest.raises(_Crash):
+                    m.setattr(analytics, "discovery_of", lambda *_: (_ for _ in ()).throw(_Crash()))
+                    increments.refresh(spark, pipeline.EVENTS, AS_OF)
+            if step == 4:
+                merge.replace_table(spark.table(pipeline.EVENTS), pipeline.EVENTS)
+            increments.refresh(spark, pipeline.EVENTS, AS_OF)
+            lots = spark.table(increments.MARKS).count()
+            assert lots == (1, 2, 3, 3, 1)[step]
+            own = spark.table(pipeline.EVENTS)
+            want = {"artist_discovery": analytics.discovery(own), "artist_loyalty": analytics.loyalty(own), "forgotten_favorites": analytics.forgotten(own, AS_OF), "listening_session_summary": analytics.listening_sessions(own), "repeat_behavior": analytics.repeats(own)}
+            for name, df in want.items():
+                got = spark.table(name)
+                assert got.columns == df.columns and sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, df.collect()))), (step, name)
+    finally:
+        spark.catalog.setCurrentDatabase(before)
