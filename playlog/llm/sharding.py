@@ -71,12 +71,13 @@ def propagate(docs: DataFrame, links: DataFrame, shards: int = SHARDS, rounds: i
         best = F.array_max(
             F.array(*(F.struct((F.col(f"v{s}") - (F.lit(s).isin(full) & ~F.col("shard").eqNullSafe(s)).cast("long") * n).alias("n"), F.xxhash64("anchor", F.lit(s)).alias("tie"), F.lit(s).alias("s")) for s in range(shards)))
         )
-        wishes = known.withColumn("best", best).select("row", "anchor", "members", F.col("best.s").alias("wish"), F.col("best.n").alias("n"))
-        gain = F.floor(F.log2(F.greatest(F.col("n"), F.lit(1)))).cast("int")
+        gain = F.floor(F.log2(F.greatest(F.col("best.n"), F.lit(1)))).cast("int")
+        # written, since ranks read it twice
+        wishes = stage(known.withColumn("best", best).select("row", "anchor", "members", "shard", F.col("best.s").alias("wish"), gain.alias("gain")), "shard-wishes")
+        if k and not wishes.filter(~F.col("wish").eqNullSafe(F.col("shard"))).limit(1).count():
+            break  # nobody waits or wants to move
         capacity = all_shards.select("shard", _capacity(n, shards).alias("free"))
-        state = stage(_admitted(wishes.withColumn("gain", gain), capacity, n).select("row", F.when(F.col("ok"), F.col("wish")).alias("shard")), "shard-state")
-        if not state.filter("shard is null").limit(1).count() and k:
-            break
+        state = stage(_admitted(wishes.drop("shard"), capacity, n).select("row", F.when(F.col("ok"), F.col("wish")).alias("shard")), "shard-state")
     anchors = pairs.groupBy("row").agg(F.max(F.struct("members", "group")).alias("most")).select("row", "most.members", F.col("most.group").alias("anchor"))
     return _filled(docs, state, anchors, all_shards, n, shards)
 
