@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 pytest.importorskip("corpus_pipeline")
 
 import corpus_pipeline
-from playlog.llm import decontaminate, langid, media, neardup, packing, quality, secrets, sharding, simhash, urlfilter, warc
+from playlog.llm import chat, decontaminate, infill, langid, media, neardup, packing, quality, repair, secrets, sharding, simhash, urlfilter, warc
 from playlog.llm.queries import URL_BLOCKED, URL_RULES, tokenizer_path
 
 CLASH = "row key fp spans score predicted lines bad_lines line_good lang_pred digest media group shard slot component_id fingerprint items position ids tokens part before n __row __row_0 label x leaf law id point root least first a b".split()
@@ -139,3 +139,22 @@ def test_batches_are_cut_by_bytes():
     parts = list(pieces(iter([batch, batch.slice(0, 0)]), 600))
     assert [t for p in parts for t in p.column("t").to_pylist()] == batch.column("t").to_pylist()
     assert all(p.nbytes <= 600 or p.num_rows == 1 for p in parts)
+
+
+def test_new_operators_on_awkward_rows(spark, docs):
+    out = {}
+    for r in infill.infilled(docs).withColumn("again", infill.restored()).select("doc_id", "n", "form", "again").collect():
+        out.setdefault(r.doc_id, []).append(r)
+    for k, text, *_ in rows():
+        assert any((r.n, r.again) == (len(text or ""), text or "") for r in out[k])
+    conversations = docs.select(F.when(F.col("doc_id") < 60, F.col("doc_id") % 7).otherwise(F.col("doc_id")).alias("conv_id"), (F.col("doc_id") % 5).alias("turn"), F.col("lang").alias("role"), "text", *CLASH)
+    ids = {r.conv_id for r in conversations.select("conv_id").distinct().collect()}
+    assert sorted(map(str, (r.conv_id for r in repair.summarised(repair.damaged(conversations)).collect()))) == sorted(map(str, ids))
+    back = chat.read_back(chat.windows(conversations)).collect()
+    assert {r.conv_id for r in back} == ids and sum(r.n_turns for r in back) == N
+
+
+def test_new_operators_on_no_rows(spark, docs):
+    none = docs.limit(0)
+    talk = none.select(F.col("doc_id").alias("conv_id"), F.col("n_chars").alias("turn"), F.col("lang").alias("role"), "text")
+    assert [df.count() for df in (infill.infilled(none), repair.summarised(repair.damaged(talk)), repair.repaired(repair.as_turns(talk)), chat.windows(talk), chat.read_back(chat.windows(talk)))] == [0] * 5

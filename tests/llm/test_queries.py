@@ -1,11 +1,14 @@
 """Every registered operator query and the whole pipeline over the smallest tables, against brute force in plain Python."""
 
 import hashlib
+import itertools
+import math
 import os
 import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pyarrow.parquet as pq
 import pytest
 
@@ -162,6 +165,68 @@ def test_op6(spark, docs):
     assert sum(right) >= 0.9 * len(right)
 
 
+def slow_line(line, before):
+    """The numbers of a line, character by character; ``before``: the lines above it."""
+    words = re.findall(rb"[^ \t\n\r\x0b\x0c]+", line)
+    if not words:
+        return [0.0] * 10 + [1.0, 1.0, 0.0]
+    n, count = len(words), lambda chars: sum(line.count(bytes([c])) for c in chars)
+    twice = sum(a == b for a, b in zip(words, words[1:], strict=False))
+    return [
+        count(b"#$%&*+<>=@[]^_`{|}~\\") / n, sum(65 <= c <= 90 for c in line) / len(line), line.count(b"|") / n, line.count(b"!") / n, 1 - len(set(words)) / n, twice / n,
+        sum(48 <= c <= 57 for c in line) / len(line), math.log(len(line)), float(line in before), len(line) / n / 10, 0.0, float(n < 4), sum(len(w) < 4 for w in words) / n,
+    ]
+
+
+def slow_score(text, field):
+    """The field's score: all labellings of up to eight lines, and plain sums over paths beyond."""
+    lines = text.encode().split(b"\n")
+    x = [slow_line(line, lines[:k]) for k, line in enumerate(lines)]
+    none, scores = [0.0] * 13, []
+    for k in range(len(x)):
+        wide = [*x[k], *(x[k - 1] if k else none), *(x[k + 1] if k + 1 < len(x) else none), float(k == 0), float(k == len(x) - 1)]
+        units = [max(-4.0, min(4.0, (v - m) / s)) for v, m, s in zip(wide, field.mean, field.spread, strict=True)]
+        scores.append(max(-30.0, min(30.0, sum(u * w for u, w in zip(units, field.weights, strict=True)) + field.bias)))
+    moves, n = field.moves.tolist(), len(x)
+    if n <= 8:
+        weights = {y: math.exp(sum(s * v for s, v in zip(scores, y, strict=True)) + sum(moves[a][b] for a, b in zip(y, y[1:], strict=False))) for y in itertools.product((0, 1), repeat=n)}
+        good = [sum(w for y, w in weights.items() if y[k]) / sum(weights.values()) for k in range(n)]
+    else:
+        add = lambda a, b: max(a, b) + math.log1p(math.exp(-abs(a - b)))
+        ahead, back = [[0.0, scores[0]]], [[0.0, 0.0]]
+        for s in scores[1:]:
+            ahead.append([add(ahead[-1][0] + moves[0][v], ahead[-1][1] + moves[1][v]) + s * v for v in (0, 1)])
+        for s in reversed(scores[1:]):
+            back.append([add(moves[v][0] + back[-1][0], moves[v][1] + s + back[-1][1]) for v in (0, 1)])
+        good = []
+        for a, b in zip(ahead, reversed(back), strict=True):
+            good.append(1 / (1 + math.exp(min(700, a[0] + b[0] - a[1] - b[1]))))
+    raw = sum(g * (len(line) + 1) for g, line in zip(good, lines, strict=True)) / sum(len(line) + 1 for line in lines)
+    raw = min(max(raw, 1e-6), 1 - 1e-6)
+    return 1 / (1 + math.exp(-(field.slope * math.log(raw / (1 - raw)) + field.shift)))
+
+
+def test_op6_scores(spark, docs):
+    """Every document's score, from the field that the query learns."""
+    field = quality.learned(common.table(spark, SF, "documents"), common.table(spark, SF, "labels"))
+    out = {r.doc_id: r.score for r in queries.op6_quality(spark, SF).collect()}
+    for k, r in docs.items():
+        assert out[k] == pytest.approx(slow_score(text_of(r), field), abs=1e-7)
+
+
+def test_the_sample_is_bounded_in_lines(spark):
+    """A labelled text of very many lines is drawn from evenly, and no more of it comes to the driver than of others."""
+    long_text = "\n".join(f"line {k} of a long text" for k in range(200_000))
+    learned_ids = [k for k in range(50) if crc(k, 5)][:4]
+    docs = spark.createDataFrame(list(zip(learned_ids, [long_text, "short\nand plain", "x !!! ###", None], strict=True)), "doc_id long, text string")
+    labels = spark.createDataFrame(list(zip(learned_ids, [1, 1, 0, 0], strict=True)), "doc_id long, quality int")
+    counts, sample = quality.sampled(docs, labels)
+    assert counts == {1: 2, 0: 2} and sorted(len(x) for _, _, x in sample) == [1, 1, 2, quality.SAMPLE_BLOCKS * quality.FIT_LINES]
+    marked = quality.drawn_lines(np.arange(200_000)[:, None])[:, 0]
+    assert marked[0] == 0 and marked[-1] == 199_999 and max(np.diff(marked)) <= 200_000 // (quality.SAMPLE_BLOCKS - 1)
+    assert 0 <= quality.learned(docs, labels).score([0.5], np.array([3.0])) <= 1
+
+
 @pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no test tables")
 def test_quality_and_language_of_held_out_rows(spark):
     sf = "/root/testdata/sf0.01"
