@@ -6,7 +6,9 @@ own, loads them with the library, and returns the loaded rows.
 
 from __future__ import annotations
 
+import atexit
 import datetime
+import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
@@ -33,11 +35,16 @@ def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_databases: list[str] = []
+
+
 @contextmanager
 def _database(spark: SparkSession, tag: str) -> Iterator[str]:
-    """An empty database of this application, used while the block runs; the next call with the same tag replaces it."""
-    name, before = f"playlog_{tag}_{spark.sparkContext.applicationId}".replace("-", "_").lower(), spark.catalog.currentDatabase()
-    spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    """A database of this call's own, used while the block runs; lazy results read it later, so it goes when the process ends, or with ``drop_databases``."""
+    name, before = f"playlog_{tag}_{uuid.uuid4().hex[:12]}", spark.catalog.currentDatabase()
+    if not _databases:
+        atexit.register(_drop_at_end, spark)
+    _databases.append(name)
     merge.ensure_database(spark, name)
     try:
         yield name
@@ -45,6 +52,22 @@ def _database(spark: SparkSession, tag: str) -> Iterator[str]:
         spark.catalog.setCurrentDatabase(before)
 
 
+def drop_databases(spark: SparkSession) -> int:
+    """Drop the databases of the queries called so far; returns how many."""
+    gone, _databases[:] = list(_databases), []
+    for name in gone:
+        spark.sql(f"DROP DATABASE IF EXISTS {name} CASCADE")
+    return len(gone)
+
+
+def _drop_at_end(spark: SparkSession) -> None:
+    try:
+        if spark._jsc is not None:
+            drop_databases(spark)
+    except Exception:  # the session may be gone; what is left then goes with the warehouse
+        pass
+
+
 def _write_files(rows: DataFrame, folder: str, suffix: str = ".json") -> str:
     """Write (name, value) as files ``folder``/name, one value each."""
     spark = rows.sparkSession

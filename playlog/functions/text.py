@@ -25,9 +25,14 @@ def strip_zeros(text: str | Column) -> Column:
     return F.regexp_replace(text, "^0+", "")
 
 
+def fold_key(text: str | Column) -> Column:
+    """``text`` as a value that compares without regard to case and accents."""
+    return F.collate(text, "UNICODE_CI_AI")
+
+
 def fold_case(df: DataFrame, *columns: str) -> DataFrame:
     """``df`` with ``columns`` compared without regard to case and accents in later groups, joins and distinct counts.
 
     The library compares exactly by default; a database whose collation folds case gives these results instead.
     """
-    return df.withColumns({c: F.collate(c, "UNICODE_CI_AI") for c in columns})
+    return df.withColumns({c: fold_key(c) for c in columns})

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.text import fold_key
 from ..session import shared_path
 from .commit import ConcurrentChange, TableLog, write_rows
 
@@ -176,12 +177,13 @@ class Loaded(NamedTuple):
     rejected: int
 
 
-def load(batch: DataFrame, table: str, key: list[str] | tuple[str, ...], order: list[str | Column], located: list[str] | tuple[str, ...] = (), checks: Checks | None = None, rejects: str | None = None, stored: bool = False) -> Loaded:
+def load(batch: DataFrame, table: str, key: list[str] | tuple[str, ...], order: list[str | Column], located: list[str] | tuple[str, ...] = (), checks: Checks | None = None, rejects: str | None = None, stored: bool = False, fold: list[str] | tuple[str, ...] = ()) -> Loaded:
     """Append to ``table`` the rows of ``batch`` with new keys, the first of each; rows that break ``checks`` go to the table ``rejects``.
 
     The batch is computed once, unless it is ``stored`` as a table already. The table is made if there is none; its files are clustered by the first of ``located``
     or of the key, which is what lets later loads skip them. A load that another one overtakes looks its keys up anew,
-    so that no key is ever inserted twice.
+    so that no key is ever inserted twice. Key columns in ``fold`` compare without regard to case and accents, as in
+    a database whose collation says so; they are stored as they come.
     """
     spark = batch.sparkSession
     near = (*located, *key)[0]
@@ -195,14 +197,16 @@ def load(batch: DataFrame, table: str, key: list[str] | tuple[str, ...], order:
             if rejected:
                 put_aside(broken, F.col("__reason"), rejects)
             batch = batch.filter(checks.reason(batch).isNull())
-        with written_once(dedup_first(batch, key, order), "first-rows") as first:
-            log = TableLog.create(spark, table, first.schema)
+        own = {f"__folded{k}": fold_key(c) for k, c in enumerate(fold)}
+        keys = [f"__folded{list(fold).index(k)}" if k in fold else k for k in key]
+        with written_once(dedup_first(batch.withColumns(own), keys, order), "first-rows") as first:
+            log = TableLog.create(spark, table, first.drop(*own).schema)
 
             def rows() -> DataFrame:
-                new = unheld(first, spark.table(table), key, located) if log.holds_rows() else first
+                new = (unheld(first, spark.table(table).withColumns(own), keys, located) if log.holds_rows() else first).drop(*own)
                 return new.repartitionByRange(near).sortWithinPartitions(near)
 
-            return Loaded(processed, _append(spark, table, first.schema, rows, near), rejected)
+            return Loaded(processed, _append(spark, table, first.drop(*own).schema, rows, near), rejected)
 
 
 def insert_ignore(batch: DataFrame, table: str, key: list[str] | tuple[str, ...], order: list[str | Column], located: list[str] | tuple[str, ...] = (), checks: Checks | None = None, rejects: str | None = None) -> int:

@@ -51,10 +51,13 @@ def split_corrupt(df: DataFrame, corrupt: str) -> tuple[DataFrame, DataFrame]:
     return df.filter(F.col(corrupt).isNull()).drop(corrupt), bad
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, corrupt: str | None = None) -> DataFrame:
-    """A CSV file with a header, quotes doubled inside quotes; rows that don't fit the schema raise, or are kept in the column ``corrupt``."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, corrupt: str | None = None, line_rows: bool = False) -> DataFrame:
+    """A CSV file with a header, quotes doubled inside quotes; rows that don't fit the schema raise, or are kept in the column ``corrupt``.
+
+    ``line_rows``: no value holds a line end, so that a large file is split among tasks; else a file is read by one.
+    """
     kinds = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    return _strict(spark.read.option("header", True).option("escape", '"').option("multiLine", True), kinds, corrupt).csv(path)
+    return _strict(spark.read.option("header", True).option("escape", '"').option("multiLine", not line_rows), kinds, corrupt).csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

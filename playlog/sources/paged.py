@@ -6,7 +6,8 @@ page only; ``stop_at``, a time at which reading stops, as items come newest firs
 read. Pages follow each other by their ``next``, so a read is one task. A page that is missing or unreadable raises.
 
 A service takes a ``token``, or ``token_url`` with ``refresh_token``, ``client_id`` and ``client_secret``, from which
-tokens are drawn at first and whenever one is refused. A service that is busy (429, 5xx) or not reached is asked
+tokens are drawn at first and whenever one is refused; the first refresh token comes from ``authorization_url`` and
+``first_tokens``, with a user between. A service that is busy (429, 5xx) or not reached is asked
 again up to ``retries`` times, after as long as its Retry-After says or a doubling wait.
 """
 
@@ -18,7 +19,7 @@ import os
 import time
 from collections.abc import Iterator
 from urllib.error import HTTPError, URLError
-from urllib.parse import urlencode
+from urllib.parse import parse_qs, urlencode, urlparse
 from urllib.request import Request, urlopen
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
@@ -40,6 +41,32 @@ def parse_time(text: str) -> datetime.datetime:
     return datetime.datetime.fromisoformat(text.replace("Z", "+00:00")).replace(tzinfo=None)
 
 
+def authorization_url(options: dict, state: str) -> str:
+    """Where a user allows the client to read for them, the first time: the service sends them on to ``redirect_uri`` with a code and this ``state``."""
+    _settings(options, "authorize_url", "client_id", "redirect_uri")
+    form = {"response_type": "code", "client_id": options["client_id"], "redirect_uri": options["redirect_uri"], "state": state} | ({"scope": options["scope"]} if options.get("scope") else {})
+    return f"{options['authorize_url']}?{urlencode(form)}"
+
+
+def first_tokens(options: dict, answer: str, state: str) -> dict[str, str]:
+    """The tokens for the address to which the user was sent: ``token``, and the ``refresh_token`` from which a client draws further ones. Keep both as secrets."""
+    given = parse_qs(urlparse(answer).query)
+    if given.get("state") != [state]:
+        raise ValueError("the answer isn't to this request")
+    if "code" not in given:
+        raise PermissionError(f"the service gave no code: {', '.join(given.get('error', ['no reason']))}")
+    _settings(options, "token_url", "client_id", "client_secret", "redirect_uri")
+    form = {"grant_type": "authorization_code", "code": given["code"][0]} | {n: options[n] for n in ("redirect_uri", "client_id", "client_secret")}
+    found = Client(options)._sent(Request(options["token_url"], data=urlencode(form).encode()))
+    return {"token": found["access_token"], "refresh_token": found["refresh_token"]}
+
+
+def _settings(options: dict, *names: str) -> None:
+    missing = [n for n in names if not options.get(n)]
+    if missing:
+        raise KeyError(f"settings not found: {', '.join(missing)}")
+
+
 class Client:
     """GET of JSON with a bearer token."""
 
@@ -48,9 +75,7 @@ class Client:
         self.retries, self.wait = int(options.get("retries", "5")), float(options.get("wait", "1"))
 
     def _refreshed(self) -> str:
-        missing = [n for n in ("refresh_token", "client_id", "client_secret") if not self.options.get(n)]
-        if missing:
-            raise KeyError(f"settings not found: {', '.join(missing)}")
+        _settings(self.options, "refresh_token", "client_id", "client_secret")
         form = {"grant_type": "refresh_token"} | {n: self.options[n] for n in ("refresh_token", "client_id", "client_secret")}
         return self._sent(Request(self.options["token_url"], data=urlencode(form).encode()))["access_token"]
 

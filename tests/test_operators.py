@@ -729,3 +729,61 @@ def test_refreshed_analytics_equal_rebuilt_ones(spark):
                 assert got.columns == df.columns and sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, df.collect()))), (step, name)
     finally:
         spark.catalog.setCurrentDatabase(before)
+
+
+@pytest.mark.parametrize("keys", [1_000_000, 0])
+def test_keys_that_fold_case(spark, monkeypatch, keys):
+    """As under a database's collation; stored texts are those that came."""
+    monkeypatch.setattr(merge, "LOOKUP_KEYS", keys)
+    spark.sql("DROP TABLE IF EXISTS t_fold")
+    rows = lambda *r: spark.createDataFrame(list(r), "k long, s string, v long")
+    assert merge.load(rows((1, "Caf\u00e9", 2), (1, "CAFE", 1), (2, None, 1), (2, "x", 1)), "t_fold", ["k", "s"], ["v"], fold=["s"]) == (4, 3, 0)
+    assert merge.load(rows((1, "cafe", 0), (2, "X", 0), (2, None, 5), (3, "X", 0)), "t_fold", ["k", "s"], ["v"], fold=["s"]) == (4, 1, 0)
+    assert sorted(map(repr, map(tuple, spark.table("t_fold").collect()))) == sorted(map(repr, [(1, "CAFE", 1), (2, None, 1), (2, "x", 1), (3, "X", 0)]))
+    assert spark.table("t_fold").schema["s"].dataType.simpleString() == "string"
+
+
+class _Gate(http.server.BaseHTTPRequestHandler):
+    """Gives tokens for one code, and pages for the token."""
+
+    def do_POST(self):
+        form = dict(p.split("=") for p in self.rfile.read(int(self.headers["Content-Length"])).decode().split("&"))
+        good = form.get("grant_type") == "authorization_code" and form.get("code") == "c0de" or form.get("refresh_token") == "r1"
+        self.send_response(200 if good else 400)
+        self.end_headers()
+        self.wfile.write(json.dumps({"access_token": "t1", "refresh_token": "r1"}).encode())
+
+    def log_message(self, *_):
+        pass
+
+
+def test_first_authorization():
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), _Gate)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}"
+    options = {"authorize_url": f"{base}/authorize", "token_url": f"{base}/token", "client_id": "me", "client_secret": "s", "redirect_uri": "http://here/back", "scope": "read", "wait": "0"}
+    try:
+        url = paged.authorization_url(options, "once")
+        assert url.startswith(f"{base}/authorize?response_type=code&client_id=me&redirect_uri=http%3A%2F%2Fhere%2Fback&state=once") and "s3cret" not in url
+        assert paged.first_tokens(options, "http://here/back?code=c0de&state=once", "once") == {"token": "t1", "refresh_token": "r1"}
+        with pytest.raises(ValueError):
+            paged.first_tokens(options, "http://here/back?code=c0de&state=other", "once")
+        with pytest.raises(PermissionError, match="access_denied"):
+            paged.first_tokens(options, "http://here/back?error=access_denied&state=once", "once")
+        with pytest.raises(Exception, match="400"):
+            paged.first_tokens(options, "http://here/back?code=wrong&state=once", "once")
+        with pytest.raises(KeyError, match="redirect_uri"):
+            paged.authorization_url(options | {"redirect_uri": ""}, "once")
+    finally:
+        server.shutdown()
+
+
+def test_csv_rows_of_one_line_are_split(spark, tmp_path):
+    (tmp_path / "big.csv").write_text("k,s\n" + "".join(f'{k},"a, ""{k}"""\n' for k in range(20_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "65536")
+    try:
+        df = files.read_csv(spark, str(tmp_path / "big.csv"), "k int, s string", line_rows=True)
+        assert df.rdd.getNumPartitions() > 2 and df.count() == 20_000 and df.filter("k = 7").first().s == 'a, "7"'
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
