@@ -49,3 +49,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, tag: str) -> str:
     """A new path in the shared folder."""
     return f"{checkpoint_dir(spark)}/{tag}-{uuid.uuid4().hex}"
+
+
+#: Schemes of Spark's file systems, and what Arrow calls the same stores.
+ARROW_SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def arrow_uri(spark: SparkSession, path: str, make: bool = False) -> str:
+    """The URI by which tasks reach with Arrow what Spark calls ``path``: default schemes and mount tables are resolved.
+
+    A store that only one of them reaches raises ValueError. ``make``: make the folder first, if it isn't there.
+    """
+    own = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = own.getFileSystem(spark._jsc.hadoopConfiguration())
+    if make:
+        fs.mkdirs(own)
+    uri = fs.resolvePath(fs.makeQualified(own)).toUri()
+    scheme = uri.getScheme()
+    if scheme not in ARROW_SCHEMES:
+        raise ValueError(f"tasks don't reach {path}: not {scheme}, only {', '.join(ARROW_SCHEMES)}")
+    return f"{ARROW_SCHEMES[scheme]}://{uri.getAuthority() or ''}{uri.getRawPath()}"

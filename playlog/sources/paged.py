@@ -1,7 +1,7 @@
 """A data source over paged JSON: ``spark.read.format("paged_items")``.
 
 Options: ``path`` (a folder of page files ``page-0.json``, ``page-1.json`` ..., each ``{"items": [...], "next": ...}``,
-on a path or any URI that Arrow's file systems read) or ``url`` for a live service; ``page_size``; ``single`` for one
+where Spark finds them, on a store that Arrow reaches too) or ``url`` for a live service; ``page_size``; ``single`` for one
 page only; ``stop_at``, a time at which reading stops, as items come newest first: an item at or before it ends the
 read. Pages follow each other by their ``next``, so a read is one task. A page that is missing or unreadable raises.
 
@@ -15,7 +15,6 @@ from __future__ import annotations
 
 import datetime
 import json
-import os
 import time
 from collections.abc import Iterator
 from urllib.error import HTTPError, URLError
@@ -26,6 +25,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 
+from ..session import arrow_uri
+
 
 def _as_row(value, kind: T.DataType):
     if value is None:
@@ -109,10 +110,7 @@ class Client:
 
 
 def _load(folder: str, name: str) -> dict:
-    """A page file, by Arrow's file systems where the folder is a URI."""
-    if "://" not in folder:
-        with open(os.path.join(folder, name), encoding="utf-8") as f:
-            return json.load(f)
+    """A page file, by Arrow's file systems."""
     from pyarrow.fs import FileSystem
 
     fs, base = FileSystem.from_uri(folder)
@@ -217,9 +215,14 @@ class PagedSource(DataSource):
         return PagedStream(schema, dict(self.options))
 
 
+def _resolved(spark: SparkSession, options: dict[str, str]) -> dict[str, str]:
+    return options | {"path": arrow_uri(spark, options["path"])} if "path" in options else options
+
+
 def stream_items(spark: SparkSession, schema: T.StructType, after: datetime.datetime | None = None, **options: str):
     """Items of a paged service as a stream, those newer than ``after`` first and then what comes."""
     spark.dataSource.register(PagedSource)
+    options = _resolved(spark, options)
     if after is not None:
         options["stop_at"] = after.isoformat()
     return spark.readStream.format("paged_items").schema(schema).options(**options).load()
@@ -228,6 +231,7 @@ def stream_items(spark: SparkSession, schema: T.StructType, after: datetime.date
 def read_items(spark: SparkSession, schema: T.StructType, stop_at: datetime.datetime | None = None, **options: str):
     """Items of a paged service as a DataFrame."""
     spark.dataSource.register(PagedSource)
+    options = _resolved(spark, options)
     if stop_at is not None:
         options["stop_at"] = stop_at.isoformat()
     return spark.read.format("paged_items").schema(schema).options(**options).load()
