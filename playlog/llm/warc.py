@@ -10,7 +10,7 @@ name it and keep no payload.
 Each task writes archives of up to ``ARCHIVE_BYTES`` of payload to the shared folder under names of their own
 attempt, and returns their names; the table of names is committed by Spark, so an attempt that is lost or
 repeated leaves at most files that no name leads to. The driver asks Spark's file systems where the folder really is,
-mount tables and default schemes resolved, and gives tasks that place in a form that Arrow opens (``SCHEMES``); a
+mount tables and default schemes resolved, and gives tasks that place in a form that Arrow opens; a
 folder in a store that only one of them reaches is refused before anything is written.
 
 Defined results: a null payload is an empty one; payloads under the least size are all responses; rows that
@@ -29,9 +29,10 @@ from collections.abc import Iterator
 import pyarrow as pa
 import zstandard
 from pyarrow.fs import FileSystem
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import arrow_uri
 from .common import fresh_path, map_arrow, stage, with_row_id
 
 REVISIT_BYTES = 100
@@ -40,8 +41,6 @@ ARCHIVE_BYTES = 256 << 20
 LEVEL = 6
 #: The magic number of the dictionary's skippable frame, and of dictionaries.
 SKIPPABLE, DICT_MAGIC = 0x184D2A5D, 0xEC30A437
-#: Schemes of Spark's file systems, and what Arrow calls the same stores.
-SCHEMES = {"file": "file", "hdfs": "hdfs", "s3": "s3", "s3a": "s3", "s3n": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
 _CRLF = b"\r\n"
 
 
@@ -62,18 +61,6 @@ def roles(pages: DataFrame, key: str = "page_id", payload: str = "html") -> Data
     return joined.select("key", "row", "url", "payload", "digest", again.alias("again"), F.when(again, F.col("first.key")).alias("refers_to"), F.when(again, F.col("first.row")).alias("refers_row"))
 
 
-def arrow_folder(spark: SparkSession, folder: str) -> str:
-    """The URI by which Arrow reaches ``folder``, which is made if it isn't there, where Spark sees it."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(path)
-    uri = fs.resolvePath(fs.makeQualified(path)).toUri()
-    scheme = uri.getScheme()
-    if scheme not in SCHEMES:
-        raise ValueError(f"archives can't be written to {folder}: tasks don't reach {scheme}, only {', '.join(SCHEMES)}")
-    return f"{SCHEMES[scheme]}://{uri.getAuthority() or ''}{uri.getPath()}"
-
-
 def _name(key: int | None, row: int | None) -> bytes:
     return f"<urn:page:{'null' if key is None else key}:{row}>".encode()
 
@@ -170,7 +157,7 @@ def read_records(handle) -> Iterator[bytes]:
 
 def write_archives(pages: DataFrame, folder: str, key: str = "page_id", payload: str = "html") -> DataFrame:
     """Write ``pages`` as archives in ``folder``, which every executor must reach; the committed (path, records, payload_bytes)."""
-    folder = arrow_folder(pages.sparkSession, folder)
+    folder = arrow_uri(pages.sparkSession, folder, make=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = FileSystem.from_uri(folder)

@@ -221,7 +221,7 @@ def test_the_sample_is_bounded_in_lines(spark):
     docs = spark.createDataFrame(list(zip(learned_ids, [long_text, "short\nand plain", "x !!! ###", None], strict=True)), "doc_id long, text string")
     labels = spark.createDataFrame(list(zip(learned_ids, [1, 1, 0, 0], strict=True)), "doc_id long, quality int")
     counts, sample = quality.sampled(docs, labels)
-    assert counts == {1: 2, 0: 2} and sorted(len(x) for _, _, x in sample) == [1, 1, 2, quality.SAMPLE_BLOCKS * quality.FIT_LINES]
+    assert counts == {1: 2, 0: 2} and sorted(len(x) for _, _, x in sample)[:3] == [1, 1, 2] and max(len(x) for _, _, x in sample) <= quality.SAMPLE_BLOCKS * quality.FIT_LINES
     marked = quality.drawn_lines(np.arange(200_000)[:, None])[:, 0]
     assert marked[0] == 0 and marked[-1] == 199_999 and max(np.diff(marked)) <= 200_000 // (quality.SAMPLE_BLOCKS - 1)
     assert 0 <= quality.learned(docs, labels).score([0.5], np.array([3.0])) <= 1

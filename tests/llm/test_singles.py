@@ -450,7 +450,7 @@ def test_archives_go_where_spark_and_tasks_both_reach(spark, tmp_path):
     assert sorted(r.key for r in W.read_archives(names).collect()) == sorted(k % 5 for k in range(40))
     raw = [W.parse_record(r) for n in names.collect() for r in W.read_records(open(n.path.removeprefix("file://"), "rb"))]
     assert len({r["name"] for r in raw}) == 40  # ids repeat, names of records don't
-    assert W.arrow_folder(spark, str(tmp_path / "bare")) == f"file://{tmp_path}/bare" and (tmp_path / "bare").is_dir()
+    assert W.arrow_uri(spark, str(tmp_path / "bare"), make=True) == f"file://{tmp_path}/bare" and (tmp_path / "bare").is_dir()
     conf.set("fs.odd.impl", "org.apache.hadoop.fs.viewfs.ViewFileSystem")
     for folder in ("odd://store/x", "nowhere://store/x"):
         with pytest.raises(Exception):
