@@ -84,6 +84,49 @@ def test_op2(spark, docs):
     check_pieces(queries.op2_packing(spark, SF).collect(), encoded({k: text_of(r) for k, r in docs.items()}))
 
 
+def slow_curve_key(ids, packing, projection, slot, sign):
+    """A document's place on the curve, one number at a time: the curve's axes are undone bit by bit, from the highest down."""
+    vector = [0.0] * packing.HASH_DIMS
+    for i in ids:
+        vector[slot[i]] += sign[i]
+    damped = [math.copysign(math.log1p(abs(v)), v) for v in vector]
+    norm = math.sqrt(sum(v * v for v in damped)) or 1.0
+    axes = [sum(v / norm * float(projection[k][d]) for k, v in enumerate(damped) if v) * math.sqrt(packing.HASH_DIMS) for d in range(packing.CURVE_DIMS)]
+    bits, dims = packing.CURVE_BITS, packing.CURVE_DIMS
+    x = [min(max(int((1 << bits) / (1 + math.exp(-1.702 * a / 2))), 0), (1 << bits) - 1) for a in axes]
+    for b in range(bits - 1, 0, -1):
+        low = (1 << b) - 1
+        for d in range(dims):
+            if x[d] >> b & 1:
+                x[0] ^= low
+            else:
+                swap = (x[0] ^ x[d]) & low
+                x[0], x[d] = x[0] ^ swap, x[d] ^ swap
+    for d in range(1, dims):
+        x[d] ^= x[d - 1]
+    flip = 0
+    for b in range(bits - 1, 0, -1):
+        if x[-1] >> b & 1:
+            flip ^= (1 << b) - 1
+    return int("".join(str((v ^ flip) >> b & 1) for b in range(bits - 1, -1, -1) for v in x), 2), axes
+
+
+def test_op2_follows_the_curve(spark, docs):
+    """Documents lie in the sequences in the order of their places on the curve."""
+    from playlog.llm import packing
+
+    ids = encoded({k: text_of(r) for k, r in docs.items()})
+    rng, size = np.random.default_rng(20240229), packing.WordTokenizer(tokenizer_path()).size
+    slot, sign = rng.integers(0, packing.HASH_DIMS, size), rng.choice([-1.0, 1.0], size)
+    projection = (rng.standard_normal((packing.HASH_DIMS, packing.CURVE_DIMS)) / np.sqrt(packing.HASH_DIMS)).astype(np.float32)
+    keys = {k: slow_curve_key(own[:-1], packing, projection, slot, sign) for k, own in ids.items()}
+    starts = sorted((p.sequence_id, p.offset, p.doc_id) for p in queries.op2_packing(spark, SF).collect() if p.start == 0)
+    order = [keys[k][0] for *_, k in starts]
+    edge = lambda axes: min(abs((a := (1 << packing.CURVE_BITS) / (1 + math.exp(-1.702 * v / 2))) - round(a)) for v in axes)
+    clear = [keys[k][0] for *_, k in starts if edge(keys[k][1]) > 1e-2]  # sums in another order may fall on a cell's other side
+    assert clear == sorted(clear) and len(clear) > 0.7 * len(order) and len(set(order)) > 0.5 * len(order)
+
+
 def grams(text):
     words = re.sub(r"[\W\d_]+", " ", text.lower()).split()
     out = Counter()
