@@ -291,3 +291,13 @@ def test_full_and_dense_shards_lose_no_pair(spark, shard, most):
     mine = {v: got.get(v, v) for v in root}
     groups = lambda m: sorted(sorted(k for k in m if m[k] == r) for r in set(m.values()))
     assert groups(mine) == groups(root)
+
+
+def test_both_ways_to_join_positions_agree(spark, monkeypatch):
+    from playlog.llm import packing
+    from playlog.llm.queries import tokenizer_path
+
+    docs = spark.createDataFrame([(k, f"text number {k % 7} " * (k % 50)) for k in range(120)], "doc_id long, text string")
+    hashed = sorted(map(tuple, packing.pack(docs, tokenizer_path(), with_ids=False).collect()))
+    monkeypatch.setattr(packing, "HASHED_ROWS", 0)
+    assert hashed == sorted(map(tuple, packing.pack(docs, tokenizer_path(), with_ids=False).collect()))
