@@ -67,6 +67,11 @@ def _about(values: Column) -> Column:
     return F.sum(F.coalesce(F.octet_length(values.cast("string")), F.lit(0)) + 16)
 
 
+def _literal(value, kind: T.DataType) -> Column:
+    """A value of a column as a literal of its type; a time without a zone would else become one of the process's zone, and the column be cast to it."""
+    return F.lit(str(value)).cast(kind) if isinstance(kind, T.TimestampNTZType) else F.lit(value)
+
+
 def _bounds(batch: DataFrame, columns: list[str]) -> tuple[int, int, Column]:
     """Rows of ``batch``, bytes of their keys about, and what rows with the same keys must fulfil: in one pass, with one row for the driver."""
     orderable = [c for c in columns if not isinstance(batch.schema[c].dataType, (T.MapType, T.ArrayType, T.StructType))]
@@ -78,7 +83,8 @@ def _bounds(batch: DataFrame, columns: list[str]) -> tuple[int, int, Column]:
         if least is None:
             inside = inside & F.col(c).isNull()
         elif not (isinstance(least, float) and (math.isnan(least) or math.isnan(most))):
-            within = F.col(c).between(F.lit(least), F.lit(most))
+            kind = batch.schema[c].dataType
+            within = F.col(c).between(_literal(least, kind), _literal(most, kind))
             inside = inside & (within | F.col(c).isNull() if nulls else within)
     return found["rows"], found["bytes"] or 0, inside
 
@@ -283,7 +289,7 @@ def watermark(df: DataFrame, column: str):
 
 def newer_than(df: DataFrame, column: str, mark) -> DataFrame:
     """Rows strictly after the mark; all rows if there is none. A literal mark reaches the scan as a filter."""
-    return df if mark is None else df.filter(F.col(column) > F.lit(mark))
+    return df if mark is None else df.filter(F.col(column) > _literal(mark, df.schema[column].dataType))
 
 
 def flag_members(df: DataFrame, members: DataFrame, on: str, member_key: str, flag: str) -> DataFrame:

@@ -146,6 +146,9 @@ def test_watermark_is_strict(spark):
     df = spark.createDataFrame([(1,), (2,), (3,)], "x int")
     assert merge.watermark(df, "x") == 3 and merge.watermark(df.filter("x > 9"), "x") is None
     assert merge.newer_than(df, "x", 2).count() == 1 and merge.newer_than(df, "x", None).count() == 3
+    times = spark.createDataFrame([(T0,), (T0 + dt.timedelta(microseconds=1),)], "t timestamp_ntz")
+    newer = merge.newer_than(times, "t", T0)
+    assert newer.count() == 1 and "cast(t#" not in newer._jdf.queryExecution().optimizedPlan().toString()
 
 
 def test_update_flag(spark):
@@ -474,7 +477,7 @@ def test_replaced_rows_stay_for_their_readers(spark, monkeypatch):
 def test_a_small_batch_does_not_shuffle_the_table(spark):
     """The batch's ranges reach the scan, its keys travel to it, and the table's rows cross no exchange."""
     spark.sql("DROP TABLE IF EXISTS t_large")
-    rows = spark.range(20_000).select((F.lit(T0) + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("played_at"), (F.col("id") % 50).cast("string").alias("track_id"), F.lit(1).alias("v"))
+    rows = spark.range(20_000).select((F.lit(T0).cast("timestamp_ntz") + F.make_dt_interval(mins=F.col("id").cast("int"))).alias("played_at"), (F.col("id") % 50).cast("string").alias("track_id"), F.lit(1).alias("v"))
     rows = rows.withColumn("date", F.to_date("played_at"))
     assert merge.insert_ignore(rows, "t_large", model.EVENT_KEY, ["v"], model.EVENT_LOCATED) == 20_000
     some = rows.filter("v = 1").orderBy(F.desc("played_at")).limit(40)
