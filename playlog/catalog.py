@@ -307,11 +307,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "export_roundtrip": export_roundtrip,
     "yearly_summary": yearly_summary,
     "top_artists": top_artists,
-    "discovery_order": lambda s, d: tables._placed(analytics.discovery(plays(s, d), ordered=False), "first_listened"),
-    "loyalty_order": lambda s, d: tables._placed(analytics.loyalty(plays(s, d), ordered=False), "-total_minutes"),
-    "forgotten_order": lambda s, d: tables._placed(analytics.forgotten(star(s, d, "o_custkey"), AS_OF, ordered=False), "-lifetime_minutes", "-days_since_last_listened"),
+    "discovery_order": lambda s, d: tables._placed(analytics.discovery(plays(s, d), ordered=False), "first_listened", key=["artist_name"]),
+    "loyalty_order": lambda s, d: tables._placed(analytics.loyalty(plays(s, d), ordered=False), "-total_minutes", key=["artist_name"]),
+    "forgotten_order": lambda s, d: tables._placed(analytics.forgotten(star(s, d, "o_custkey"), AS_OF, ordered=False), "-lifetime_minutes", "-days_since_last_listened", key=["artist_name"]),
     "sessions_order": lambda s, d: tables._placed(analytics.listening_sessions(plays(s, d), ordered=False), "session_start"),
-    "repeats_order": lambda s, d: tables._placed(analytics.repeats(star(s, d), ordered=False), "-total_streams"),
+    "repeats_order": lambda s, d: tables._placed(analytics.repeats(star(s, d), ordered=False), "-total_streams", key=analytics.REPEAT_KEYS),
     **tables.QUERIES,
 }
 

@@ -528,10 +528,11 @@ def database_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # order
-def _placed(df: DataFrame, *order: str) -> DataFrame:
-    """The columns by which a report is sorted, with the place at which each row comes out; a minus marks those that descend."""
+def _placed(df: DataFrame, *order: str, key: list[str] | None = None) -> DataFrame:
+    """The columns by which a report is sorted, with the place at which each row comes out; a minus marks those that descend. ``key`` tells rows apart that are equal by them."""
     columns = [c.removeprefix("-") for c in order]
-    return with_place(df.select(*columns), [F.desc(c) if o.startswith("-") else F.asc(c) for o, c in zip(order, columns, strict=True)]).withColumn("place", F.col("place").cast("int"))
+    rows = df.select(*columns, F.xxhash64(*(key or columns)).alias("__row"))
+    return with_place(rows, [F.desc(c) if o.startswith("-") else F.asc(c) for o, c in zip(order, columns, strict=True)]).drop("__row").withColumn("place", F.col("place").cast("int"))
 
 
 def _order_sql(source: str, order: str, columns: str) -> str:

@@ -13,10 +13,13 @@ def with_place(df: DataFrame, order: list[str | Column], place: str = "place") -
 
     Rows are ranged over partitions by the order, sorted there and checkpointed, so that partitions stay what they
     were; a row's place is its own within its partition plus the rows of the partitions before, of which the driver
-    sees one number for each partition.
+    sees one number for each partition. Equal rows of the order are ranged by a hash of the whole row, so that a value
+    that most rows have is no single task's; pass rows with a column that tells them apart.
     """
     spark = df.sparkSession
     checkpoint_dir(spark)
+    hashed = [f.name for f in df.schema if not f.dataType.simpleString().count("map<")]
+    order = [*order, F.xxhash64(*hashed)]
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order).checkpoint()
     part = F.spark_partition_id()
     counts = ranged.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()  # a row for each partition
