@@ -146,4 +146,5 @@ def repeats_of(totals: DataFrame, ordered: bool = True) -> DataFrame:
         ratio(F.col("total_streams"), F.col("active_days")).alias("avg_streams_per_active_day"),
         ratio(F.col("total_streams"), span, 4).alias("avg_streams_per_day"),
     )
-    return out.orderBy(F.desc("total_streams")) if ordered else out
+    # most keys are played equally often: by the count alone, one task would sort them all
+    return out.orderBy(F.desc("total_streams"), *REPEAT_KEYS) if ordered else out

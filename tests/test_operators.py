@@ -790,3 +790,32 @@ def test_csv_rows_of_one_line_are_split(spark, tmp_path):
         assert df.rdd.getNumPartitions() > 2 and df.count() == 20_000 and df.filter("k = 7").first().s == 'a, "7"'
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def _largest(df):
+    """Rows of the fullest partition, and of all."""
+    n = df.rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    return max(n), sum(n)
+
+
+def test_equal_counts_of_repeats_are_sorted_by_several_tasks(spark):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        df = spark.range(4000).select(*(F.col("id").cast("string").alias(c) for c in analytics.REPEAT_KEYS), F.lit(T0).cast("timestamp_ntz").alias("played_at"), F.lit(1).cast("long").alias("ms_played"))
+        most, n = _largest(analytics.repeats(df.unionByName(df.limit(3))))
+        assert n == 4000 and most < 2500
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_places_of_equal_rows_are_counted_by_several_tasks(spark):
+    from playlog.catalog_tables import _placed
+
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = _placed(spark.range(4000).withColumn("n", F.when(F.col("id") < 10, 2).otherwise(1)), "-n", key=["id"])
+        most, n = _largest(got)
+        assert n == 4000 and most < 2500 and got.columns == ["n", "place"]
+        assert {r.place for r in got.filter("n = 2").collect()} == set(range(1, 11)) and got.select("place").distinct().count() == 4000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
