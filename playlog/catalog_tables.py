@@ -22,7 +22,7 @@ from .operators import merge
 from .operators.commit import TableLog
 from .operators.order import with_place
 from .plans import analytics, increments, normalize, pipeline
-from .session import shared_path
+from .session import arrow_uri, shared_path
 from .sources import export, files, jdbc, paged, sqlscript
 from .streaming import ingest
 from .streaming import sessions as stream_sessions_of
@@ -69,18 +69,18 @@ def _drop_at_end(spark: SparkSession) -> None:
 
 
 def _write_files(rows: DataFrame, folder: str, suffix: str = ".json") -> str:
-    """Write (name, value) as files ``folder``/name, one value each."""
-    spark = rows.sparkSession
-    rows.repartition("name").write.partitionBy("name").text(folder + ".parts")
-    Path = spark._jvm.org.apache.hadoop.fs.Path
-    top = Path(folder + ".parts")
-    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(Path(folder))
-    for own in fs.listStatus(top):
-        if own.isDirectory():
-            part = next(f.getPath() for f in fs.listStatus(own.getPath()) if f.getPath().getName().startswith("part-"))
-            fs.rename(part, Path(f"{folder}/{own.getPath().getName().removeprefix('name=')}{suffix}"))
-    fs.delete(top, True)
+    """Write (name, value) as files ``folder``/name, one value each: by the tasks that hold the rows, and a task that runs again writes the same."""
+    uri = arrow_uri(rows.sparkSession, folder, make=True)
+
+    def put(own) -> None:
+        from pyarrow.fs import FileSystem
+
+        fs, base = FileSystem.from_uri(uri)
+        for row in own:
+            with fs.open_output_stream(f"{base}/{row.name}{suffix}") as f:
+                f.write(row.value.encode() + b"\n")
+
+    rows.select(F.col("name").cast("string"), "value").foreachPartition(put)
     return folder
 
 
@@ -423,16 +423,21 @@ def guards(spark: SparkSession, sf_dir: str) -> DataFrame:
     value = lambda rows: spark.createDataFrame(rows, "name string, value string")
     _write_files(value([("x", "{}")]), empty, ".txt")
     whole = files.read_export(spark, folder, "svc").count()
-    _write_files(value([("cut", '[{"ts": "2024-01-01T00:00:00Z"')]), f"{folder}-cut")
-    Path = spark._jvm.org.apache.hadoop.fs.Path
-    fs = Path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.rename(Path(f"{folder}-cut/cut.json"), Path(f"{folder}/cut.json"))
+    _write_files(value([("cut", '[{"ts": "2024-01-01T00:00:00Z"')]), folder)
     items = _recent_items(spark, sf_dir)
-    _pages(items, F.lit(0), 2, pages)  # it names a second page
+    n = max(1, items.count() // FILE_ROWS)
+    _pages(items, F.col("at") % n, n + 1, pages)  # the last one names another page
+    read = lambda df: df.write.format("noop").mode("overwrite").save()
+
+    def paged_rows() -> int:
+        """With the page that was missing, which is empty."""
+        _write_files(value([(f"page-{n}", '{"items": [], "next": null}')]), pages)
+        return paged.read_items(spark, model.RAW_RECENT, path=pages).count()
+
     attempts = {
         "empty folder": (lambda: files.read_export(spark, empty, "svc"), lambda: 0),
-        "cut file": (lambda: files.read_export(spark, folder, "svc").collect(), lambda: files.split_corrupt(files.read_export(spark, folder, "svc", corrupt="__bad"), "__bad")[0].agg(F.count("ts")).first()[0]),
-        "missing page": (lambda: paged.read_items(spark, model.RAW_RECENT, path=pages).collect(), lambda: paged.read_items(spark, model.RAW_RECENT, path=pages, single="true").count()),
+        "cut file": (lambda: read(files.read_export(spark, folder, "svc")), lambda: files.split_corrupt(files.read_export(spark, folder, "svc", corrupt="__bad"), "__bad")[0].agg(F.count("ts")).first()[0]),
+        "missing page": (lambda: read(paged.read_items(spark, model.RAW_RECENT, path=pages)), paged_rows),
         "missing setting": (lambda: files.settings(["URL"], {"USER": "me"}), lambda: whole),
     }
     rows = []
