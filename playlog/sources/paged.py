@@ -3,7 +3,8 @@
 Options: ``path`` (a folder of page files ``page-0.json``, ``page-1.json`` ..., each ``{"items": [...], "next": ...}``,
 where Spark finds them, on a store that Arrow reaches too) or ``url`` for a live service; ``page_size``; ``single`` for one
 page only; ``stop_at``, a time at which reading stops, as items come newest first: an item at or before it ends the
-read. Pages follow each other by their ``next``, so a read is one task. A page that is missing or unreadable raises.
+read. Pages of a service follow each other by their ``next``, so a read is one task; ``read_items`` reads the page files of
+a folder by many. A page that is missing or unreadable raises.
 
 A service takes a ``token``, or ``token_url`` with ``refresh_token``, ``client_id`` and ``client_secret``, from which
 tokens are drawn at first and whenever one is refused; the first refresh token comes from ``authorization_url`` and
@@ -22,7 +23,8 @@ from urllib.parse import parse_qs, urlencode, urlparse
 from urllib.request import Request, urlopen
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
-from pyspark.sql import SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import arrow_uri
@@ -228,10 +230,49 @@ def stream_items(spark: SparkSession, schema: T.StructType, after: datetime.date
     return spark.readStream.format("paged_items").schema(schema).options(**options).load()
 
 
-def read_items(spark: SparkSession, schema: T.StructType, stop_at: datetime.datetime | None = None, **options: str):
-    """Items of a paged service as a DataFrame."""
-    spark.dataSource.register(PagedSource)
-    options = _resolved(spark, options)
+#: What of a page's ``next`` says that none follows.
+NO_NEXT = ("", "false", "0", "0.0", "[]", "{}")
+
+
+def read_items(spark: SparkSession, schema: T.StructType, stop_at: datetime.datetime | None = None, **options: str) -> DataFrame:
+    """Items of a paged service as a DataFrame; page files are read by many tasks, once to find the last page of the chain, which happens at this call, and once for their items."""
     if stop_at is not None:
         options["stop_at"] = stop_at.isoformat()
-    return spark.read.format("paged_items").schema(schema).options(**options).load()
+    if "path" in options and options.get("single", "false") != "true":
+        return _folder_items(spark, schema, options)
+    spark.dataSource.register(PagedSource)
+    return spark.read.format("paged_items").schema(schema).options(**_resolved(spark, options)).load()
+
+
+def _folder_items(spark: SparkSession, schema: T.StructType, options: dict[str, str]) -> DataFrame:
+    """The items of the page files that follow each other from page 0: up to one without a ``next``, or to the first item that isn't newer than the mark."""
+    number = F.regexp_extract("_metadata.file_name", r"^page-(0|[1-9][0-9]*)\.json$", 1)
+    mark, field = options.get("stop_at"), options.get("time_field", schema[0].name)
+
+    def pages(item: T.StructType, mode: str) -> DataFrame:
+        kinds = T.StructType([T.StructField("items", T.ArrayType(item)), T.StructField("next", T.StringType())])
+        found = spark.read.schema(kinds).option("multiLine", True).option("mode", mode).option("pathGlobFilter", "page-*.json").json(options["path"])
+        return found.filter(number != "").withColumn("page", number.cast("long"))
+
+    def old(item: Column, otherwise: Column) -> Column:
+        """Whether an item isn't newer than the mark; ``otherwise``, if its time can't be told."""
+        at = F.regexp_replace(item[field], "(Z|[+-][0-9]{2}:?[0-9]{2})$", "").try_cast("timestamp_ntz")
+        return F.coalesce(at <= F.lit(mark).cast("timestamp_ntz"), otherwise)
+
+    # a page that can't be read ends the chain here, and raises below if it is one of it
+    last = F.col("next").isNull() | F.col("next").isin(*NO_NEXT)
+    if mark:
+        last = last | F.exists("items", lambda x: old(x, F.lit(True)))
+    seen = pages(T.StructType([schema[field]]), "PERMISSIVE").select("page", last.alias("last")).persist()
+    try:
+        end = seen.filter("last").agg(F.min("page")).first()[0]
+        there = seen.filter(F.col("page") <= end).count() if end is not None else seen.count()
+    finally:
+        seen.unpersist()
+    if end is None or there <= end:
+        raise FileNotFoundError(f"a page that another one names is not in {options['path']}")
+    found = F.coalesce("items", F.raise_error(F.lit("a page has no items")).cast(T.ArrayType(schema)))
+    if mark:
+        at = F.array_position(F.transform(found, lambda x: old(x, F.raise_error(F.lit(f"an item has no time {field}")).cast("boolean"))), F.lit(True))
+        found = F.when(at > 0, F.slice(found, 1, (at - 1).cast("int"))).otherwise(found)
+    return pages(schema, "FAILFAST").filter(F.col("page") <= end).select(F.inline(found))

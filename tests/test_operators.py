@@ -819,3 +819,36 @@ def test_places_of_equal_rows_are_counted_by_several_tasks(spark):
         assert {r.place for r in got.filter("n = 2").collect()} == set(range(1, 11)) and got.select("place").distinct().count() == 4000
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
+def test_page_files_are_read_by_many_tasks(spark, tmp_path):
+    """As the chain says: up to the page without a next or the mark, whatever lies behind; and nothing of it is left out or broken in silence."""
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        pages = [[_item("played_at", f"2024-03-{28 - n}T0{9 - k}:00:00Z", 10 * n + k) for k in range(5)] for n in range(12)]
+        folder = _pages(tmp_path / "many", "played_at", pages)
+        read = lambda mark=None: paged.read_items(spark, model.RAW_RECENT, mark, path=folder)
+        assert read().rdd.getNumPartitions() > 1 and sorted(r.track.id for r in read().collect()) == sorted(f"i{10 * n + k}" for n in range(12) for k in range(5))
+        (tmp_path / "many" / "page-9.json").write_text('{"items": [')
+        with pytest.raises(Exception):
+            read().collect()
+        assert sorted(r.track.id for r in read(dt.datetime(2024, 3, 26, 7)).collect()) == sorted(f"i{k}" for k in (*range(5), *range(10, 15), 20, 21))
+        (tmp_path / "many" / "page-1.json").unlink()
+        with pytest.raises(FileNotFoundError):
+            read(dt.datetime(2024, 3, 26, 7))
+        (tmp_path / "many" / "page-0.json").write_text('{"next": null}')
+        with pytest.raises(Exception, match="no items"):
+            read().collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_guards_hold_no_page_of_all_rows(spark, monkeypatch):
+    from playlog import catalog_tables
+
+    written = []
+    kept = catalog_tables._pages
+    monkeypatch.setattr(catalog_tables, "_pages", lambda items, page, n, folder: written.append(items.groupBy(page).count().agg(F.max("count")).first()[0]) or kept(items, page, n, folder))
+    monkeypatch.setattr(catalog_tables, "FILE_ROWS", 100)
+    catalog_tables.guards(spark, "/root/testdata/sf0.001")
+    assert written and max(written) <= 200
