@@ -3,14 +3,16 @@
 State is kept for each key and slot of time, a slot being as long as the gap: plays of one slot are always of one
 session, and only neighbouring slots can be joined, so a late play looks at its own session's slots and no others. A
 session that changes is given out again under its first play's time; if it has begun earlier or taken up another
-session, what was given out under the old times is taken back. Slots never expire: they lie in RocksDB, a row for each
-slot in which a key has played.
+session, what was given out under the old times is taken back. Slots never expire: they lie in RocksDB, in a row for each
+block of ``BLOCK`` slots in which a key has played, so that a batch asks for a key's blocks and not for each slot. Checkpoints
+of versions that kept a row for each slot are not taken over: replay the plays into a new one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +25,11 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 CHANGES = "artist_name string, started long, ended long, streams long, ms_played long, gone boolean"
 
 
+#: Slots of a row of state, whose value has up to so many rows of six whole numbers.
+BLOCK = 1024
+_NONE = np.iinfo(np.int64).min
+
+
 class Sessions(StatefulProcessor):
     """Turns a key's plays (micros, ms_played) into changes of its sessions."""
 
@@ -30,14 +37,33 @@ class Sessions(StatefulProcessor):
         self.gap = gap_micros
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        # of a slot: its first and last play, sums, and the start under which a session that begins here was given out
-        self.slots = handle.getMapState("slots", "slot long", "first long, last long, streams long, ms long, given long")
+        # rows of (slot, its first and last play, sums, and the start under which a session that begins here was given out)
+        self.blocks = handle.getMapState("blocks", "block long", "slots binary")
+        self.held: dict[int, dict[int, tuple]] = {}
+        self.changed: set[int] = set()
 
     def close(self) -> None:
         pass
 
+    def _block(self, block: int) -> dict[int, tuple]:
+        """The slots of a block, which is read once for each call of a key."""
+        if block not in self.held:
+            found = np.frombuffer(self.blocks.getValue((block,))[0], np.int64).reshape(-1, 6).tolist() if self.blocks.containsKey((block,)) else []
+            self.held[block] = {r[0]: (*r[1:5], None if r[5] == _NONE else r[5]) for r in found}
+        return self.held[block]
+
     def _slot(self, slot: int) -> tuple | None:
-        return tuple(self.slots.getValue((slot,))) if self.slots.containsKey((slot,)) else None
+        return self._block(slot // BLOCK).get(slot)
+
+    def _put(self, slot: int, value: tuple) -> None:
+        self._block(slot // BLOCK)[slot] = value
+        self.changed.add(slot // BLOCK)
+
+    def _store(self) -> None:
+        for block in self.changed:
+            rows = [(slot, *v[:4], _NONE if v[4] is None else v[4]) for slot, v in sorted(self.held[block].items())]
+            self.blocks.updateValue((block,), (np.array(rows, np.int64).tobytes(),))
+        self.held, self.changed = {}, set()
 
     def _chain(self, slot: int) -> list[tuple[int, tuple]]:
         """The slots of the session that ``slot`` belongs to, in order."""
@@ -51,11 +77,16 @@ class Sessions(StatefulProcessor):
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         touched = set()
         for part in rows:
-            sums = part.assign(slot=part["micros"] // self.gap).groupby("slot").agg(first=("micros", "min"), last=("micros", "max"), streams=("micros", "size"), ms=("ms_played", "sum"))
-            for slot, first, last, streams, ms in zip(sums.index.tolist(), *(sums[c].tolist() for c in ("first", "last", "streams", "ms")), strict=True):
+            micros, ms_played = part["micros"].to_numpy(np.int64), part["ms_played"].to_numpy(np.int64)
+            if not len(micros):
+                continue
+            order = np.argsort(micros, kind="stable")
+            micros, ms_played = micros[order], ms_played[order]
+            slots, begins = np.unique(micros // self.gap, return_index=True)
+            ends = np.append(begins[1:], len(micros))
+            for slot, first, last, streams, ms in zip(*(c.tolist() for c in (slots, micros[begins], micros[ends - 1], ends - begins, np.add.reduceat(ms_played, begins))), strict=True):
                 held = self._slot(slot)
-                new = (min(first, held[0]), max(last, held[1]), streams + held[2], int(ms) + held[3], held[4]) if held else (first, last, streams, int(ms), None)
-                self.slots.updateValue((slot,), new)
+                self._put(slot, (min(first, held[0]), max(last, held[1]), streams + held[2], ms + held[3], held[4]) if held else (first, last, streams, ms, None))
                 touched.add(slot)
         out = []
         while touched:
@@ -67,8 +98,9 @@ class Sessions(StatefulProcessor):
                 if held[4] is not None and held[4] != start:
                     out.append((key[0], held[4], None, None, None, True))
                 if held[4] != given:
-                    self.slots.updateValue((slot,), (*held[:4], given))
+                    self._put(slot, (*held[:4], given))
             out.append((key[0], start, chain[-1][1][1], sum(h[2] for _, h in chain), sum(h[3] for _, h in chain), False))
+        self._store()
         # a time that one session has left and another has taken is given out, not taken back
         kept = {r[1] for r in out if not r[5]}
         out = [r for r in out if not (r[5] and r[1] in kept)]
