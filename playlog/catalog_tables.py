@@ -23,7 +23,7 @@ from .operators.commit import TableLog
 from .operators.order import with_place
 from .plans import analytics, increments, normalize, pipeline
 from .session import arrow_uri, shared_path
-from .sources import export, files, jdbc, paged, sqlscript
+from .sources import export, files, paged, sqlite, sqlscript
 from .streaming import ingest
 from .streaming import sessions as stream_sessions_of
 
@@ -526,10 +526,11 @@ _CHECKED_SQL = """WITH o AS (
 def database_insert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A database's table after two overlapping loads, the first of them sent twice."""
     orders = _read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    url, properties = f"jdbc:derby:memory:{shared_path(spark, 'orders').rpartition('/')[2]};create=true", {"driver": "org.apache.derby.jdbc.EmbeddedDriver"}
+    path = f"{shared_path(spark, 'orders')}/plays.db"  # a database that executors reach too; Derby's in memory is one process's own
     for load, rows in ((1, orders.filter("o_orderkey % 10 < 6")), (1, orders), (2, orders.filter("o_orderkey % 10 >= 4"))):
-        jdbc.insert_jdbc(rows.withColumn("source", F.lit(load)), url, "orders", ["o_orderkey"], ["o_custkey"], f"load-{load}", properties=properties)
-    return spark.read.jdbc(url, "orders", properties=properties)
+        rows = rows.withColumn("source", F.lit(load))
+        sqlite.insert_sqlite(rows, path, "orders", ["o_orderkey"], ["o_custkey"], f"load-{load}")
+    return sqlite.read_sqlite(spark, path, "orders", rows.schema, "o_orderkey")
 
 
 # order
