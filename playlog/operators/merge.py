@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable, Iterator
-from contextlib import contextmanager, nullcontext
+from contextlib import ExitStack, contextmanager, nullcontext
 from dataclasses import dataclass, field
 from typing import NamedTuple
 
@@ -89,6 +89,18 @@ def _bounds(batch: DataFrame, columns: list[str]) -> tuple[int, int, Column]:
     return found["rows"], found["bytes"] or 0, inside
 
 
+def _narrowed(batch: DataFrame, base: DataFrame, key: list[str] | tuple[str, ...], located: list[str] | tuple[str, ...]) -> tuple[bool, DataFrame]:
+    """Whether the keys of ``batch`` are few enough to travel, and ``base`` within their ranges."""
+    rows, size, inside = _bounds(batch, [*key, *(c for c in located if c not in key)])
+    base = base.filter(inside)
+    if located:
+        values = [c for c in located if c in base.columns]
+        some = batch.select(*values).distinct().limit(LOOKUP_VALUES + 1).collect()
+        if len(values) == 1 and 0 < len(some) <= LOOKUP_VALUES and all(r[0] is not None for r in some):
+            base = base.filter(F.col(values[0]).isin([r[0] for r in some]))
+    return rows <= LOOKUP_KEYS and size <= LOOKUP_BYTES, base
+
+
 def unheld(batch: DataFrame, base: DataFrame, key: list[str] | tuple[str, ...], located: list[str] | tuple[str, ...] = ()) -> DataFrame:
     """``anti_join`` for a batch that is small beside ``base``; ``batch`` is read several times, so it should be a table.
 
@@ -97,14 +109,8 @@ def unheld(batch: DataFrame, base: DataFrame, key: list[str] | tuple[str, ...],
     The keys, if no more than ``LOOKUP_KEYS`` and ``LOOKUP_BYTES``, travel to the tasks that read the rest, so that
     ``base`` isn't shuffled; what comes back are those keys that it holds. More keys are joined by a shuffle.
     """
-    rows, size, inside = _bounds(batch, [*key, *(c for c in located if c not in key)])
-    base = base.filter(inside)
-    if located:
-        values = [c for c in located if c in base.columns]
-        some = batch.select(*values).distinct().limit(LOOKUP_VALUES + 1).collect()
-        if len(values) == 1 and 0 < len(some) <= LOOKUP_VALUES and all(r[0] is not None for r in some):
-            base = base.filter(F.col(values[0]).isin([r[0] for r in some]))
-    if rows > LOOKUP_KEYS or size > LOOKUP_BYTES:
+    fits, base = _narrowed(batch, base, key, located)
+    if not fits:
         return anti_join(batch, base, key)
     wanted = batch.select(*(F.col(k).alias(f"__w{i}") for i, k in enumerate(key))).distinct()
     on = [base[k].eqNullSafe(wanted[f"__w{i}"]) for i, k in enumerate(key)]
@@ -112,6 +118,13 @@ def unheld(batch: DataFrame, base: DataFrame, key: list[str] | tuple[str, ...],
     return anti_join(batch, F.broadcast(held), key)
 
 
+def first_unheld(batch: DataFrame, base: DataFrame, key: list[str] | tuple[str, ...], order: list[str | Column]) -> DataFrame:
+    """``new_rows`` in one shuffle: the keys of ``base`` are grouped with the batch's rows and come first in their groups."""
+    both = batch.withColumn("__new", F.lit(True)).unionByName(base.select(*key).withColumn("__new", F.lit(False)), allowMissingColumns=True)
+    first = dedup_first(both, key, ["__new", *order]).filter("__new")
+    return first.select(*(F.col(f.name).cast(f.dataType).alias(f.name) if first.schema[f.name].dataType != f.dataType else F.col(f.name) for f in batch.schema))
+
+
 def new_rows(batch: DataFrame, base: DataFrame, key: list[str] | tuple[str, ...], order: list[str | Column]) -> DataFrame:
     """What insert-ignore adds: the first row of each key of ``batch`` that ``base`` lacks."""
     return dedup_first(anti_join(batch, base, key), key, order)
@@ -205,14 +218,23 @@ def load(batch: DataFrame, table: str, key: list[str] | tuple[str, ...], order:
             batch = batch.filter(checks.reason(batch).isNull())
         own = {f"__folded{k}": fold_key(c) for k, c in enumerate(fold)}
         keys = [f"__folded{list(fold).index(k)}" if k in fold else k for k in key]
-        with written_once(dedup_first(batch.withColumns(own), keys, order), "first-rows") as first:
-            log = TableLog.create(spark, table, first.drop(*own).schema)
+        folded = batch.withColumns(own)
+        first = dedup_first(folded, keys, order)
+        schema = first.drop(*own).schema
+        log = TableLog.create(spark, table, schema)
+        with ExitStack() as open_tables:
+            stored_first: list[DataFrame] = []
 
             def rows() -> DataFrame:
-                new = (unheld(first, spark.table(table).withColumns(own), keys, located) if log.holds_rows() else first).drop(*own)
-                return new.repartitionByRange(near).sortWithinPartitions(near)
-
-            return Loaded(processed, _append(spark, table, first.drop(*own).schema, rows, near), rejected)
+                new = first
+                if log.holds_rows():
+                    fits, base = _narrowed(folded, spark.table(table).withColumns(own), keys, located)
+                    if fits and not stored_first:  # it is small, and read several times
+                        stored_first.append(open_tables.enter_context(written_once(first, "first-rows")))
+                    new = unheld(stored_first[0], spark.table(table).withColumns(own), keys, located) if fits else first_unheld(folded, base, keys, order)
+                return new.drop(*own).repartitionByRange(near).sortWithinPartitions(near)
+
+            return Loaded(processed, _append(spark, table, schema, rows, near), rejected)
 
 
 def insert_ignore(batch: DataFrame, table: str, key: list[str] | tuple[str, ...], order: list[str | Column], located: list[str] | tuple[str, ...] = (), checks: Checks | None = None, rejects: str | None = None) -> int:

@@ -852,3 +852,71 @@ def test_guards_hold_no_page_of_all_rows(spark, monkeypatch):
     monkeypatch.setattr(catalog_tables, "FILE_ROWS", 100)
     catalog_tables.guards(spark, "/root/testdata/sf0.001")
     assert written and max(written) <= 200
+
+
+def test_a_large_batch_is_shuffled_once(spark, monkeypatch):
+    """Keys of the table are grouped with the batch's rows, null keys and keys of another type too; no first rows are written beside."""
+    monkeypatch.setattr(merge, "LOOKUP_KEYS", 2)
+    written, kept = [], merge.written_once
+    monkeypatch.setattr(merge, "written_once", lambda df, tag="batch": written.append(tag) or kept(df, tag))
+    spark.sql("DROP TABLE IF EXISTS t_once")
+    rows = lambda ks, v: spark.createDataFrame([(k, v + j) for k in ks for j in (1, 0)], "k int, v int")
+    assert merge.load(rows([None, *range(10)], 0), "t_once", ["k"], ["v"]) == (22, 11, 0)
+    assert merge.load(rows([None, *range(5, 15)], 10), "t_once", ["k"], ["v"]) == (22, 5, 0)
+    assert merge.load(rows([None, *range(15)], 20), "t_once", ["k"], ["v"]) == (32, 0, 0)
+    assert {(r.k, r.v) for r in spark.table("t_once").collect()} == {(k, 0) for k in (None, *range(10))} | {(k, 10) for k in range(10, 15)}
+    assert written == ["batch"] * 3
+    batch, base = spark.range(100).withColumn("v", F.lit(1)), spark.range(0, 100, 2).withColumn("k", F.col("id").cast("int"))
+    own = merge.first_unheld(batch.withColumnRenamed("id", "k"), base, ["k"], ["v"])
+    assert own.count() == 50 and own.schema["k"].dataType.simpleString() == "bigint"
+    assert own._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_state_is_asked_by_blocks_of_slots():
+    """1000 slots of a key in a few calls, and the same again from what was stored."""
+    calls, kept = [], {}
+
+    class State:
+        def containsKey(self, k):
+            calls.append(k)
+            return k in kept
+
+        def getValue(self, k):
+            calls.append(k)
+            return kept[k]
+
+        def updateValue(self, k, v):
+            calls.append(k)
+            kept[k] = v
+
+    class Handle:
+        def getMapState(self, *_):
+            return State()
+
+    import pandas as pd
+
+    gap = 1_800_000_000
+    own = session_stream.Sessions(gap)
+    own.init(Handle())
+    send = lambda micros: list(own.handleInputRows(("a",), iter([pd.DataFrame({"micros": micros, "ms_played": [1] * len(micros)})]), None))[0]
+    assert len(send([2 * k * gap for k in range(1000)])) == 1000 and len(calls) < 30
+    late = send([gap - 1])
+    assert late[["started", "ended", "streams", "ms_played", "gone"]].values.tolist() == [[0, gap - 1, 2, 2, False]]
+    assert len(calls) < 60
+
+
+def test_database_load_that_executors_reach(spark, tmp_path):
+    from playlog.sources import sqlite
+
+    path = f"file://{tmp_path}/db/x.db"
+    put = lambda rows, load, kind="k int, v string, d double": sqlite.insert_sqlite(spark.createDataFrame(rows, kind).repartition(3), path, "t", ["k"], ["v"], load)
+    assert put([(k, f"v{k}", k / 2) for k in range(2500)] + [(1, "a", None)], "one") == 2500
+    assert put([(9999, "never", 0.0)], "one") == 0
+    assert put([(5, "other", 1.0), (3000, "y", 1.0), (3000, None, 2.0)], "two") == 1
+    with pytest.raises(Exception, match="lack a value"):
+        put([(None, "x", 1.0)], "keyless")
+    with pytest.raises(ValueError, match="no type"):
+        put([(1, dt.date(2024, 1, 1))], "dated", "k long, v date")
+    found = {r.k: (r.v, r.d) for r in sqlite.read_sqlite(spark, path, "t", spark.createDataFrame([], "k int, v string, d double").schema, "k").collect()}
+    assert len(found) == 2501 and found[1] == ("a", None) and found[5] == ("v5", 2.5) and found[3000] == (None, 2.0)
+    assert [p.name for p in (tmp_path / "db").iterdir()] == ["x.db"]
