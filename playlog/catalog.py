@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from . import catalog_tables as tables
 from .functions import calendar, exactmath, text
 from .operators import merge, sessions
+from .operators.spread import spread
 from .plans import analytics
 
 AS_OF = datetime.date(2001, 8, 1)
@@ -38,10 +39,13 @@ def plays(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def star(spark: SparkSession, sf_dir: str, artist: str = "s_name") -> DataFrame:
-    """View L; the dimensions are joined by key, and Catalyst broadcasts those that are small."""
-    df = _read(spark, sf_dir, "lineitem").join(_read(spark, sf_dir, "orders"), F.col("l_orderkey") == F.col("o_orderkey")).join(_read(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+    """View L; the dimensions are joined by key, and Catalyst broadcasts those that are small. Those that aren't come in as many partitions as the lines need, which the joins then shuffle likewise."""
+    lines = _read(spark, sf_dir, "lineitem")
+    n = lines.count()
+    dim = lambda name, key: spread(_read(spark, sf_dir, name), n, key)
+    df = lines.join(dim("orders", "o_orderkey"), F.col("l_orderkey") == F.col("o_orderkey")).join(dim("part", "p_partkey"), F.col("l_partkey") == F.col("p_partkey"))
     if artist == "s_name":
-        df = df.join(_read(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        df = df.join(dim("supplier", "s_suppkey"), F.col("l_suppkey") == F.col("s_suppkey"))
     return df.select(
         F.col("l_partkey").cast("string").alias("track_id"),
         F.concat(F.lit("part:track:"), F.col("l_partkey").cast("string")).alias("track_uri"),

@@ -4,12 +4,13 @@ import datetime as dt
 import http.server
 import json
 import random
+import re
 import threading
 
 import pytest
 from pyspark.sql import functions as F
 
-from playlog import model
+from playlog import catalog, model
 from playlog.functions import calendar, exactmath, text
 from playlog.operators import commit, distinct, merge, order, sessions
 from playlog.plans import analytics, increments, normalize, pipeline
@@ -920,3 +921,20 @@ def test_database_load_that_executors_reach(spark, tmp_path):
     found = {r.k: (r.v, r.d) for r in sqlite.read_sqlite(spark, path, "t", spark.createDataFrame([], "k int, v string, d double").schema, "k").collect()}
     assert len(found) == 2501 and found[1] == ("a", None) and found[5] == ("v5", 2.5) and found[3000] == (None, 2.0)
     assert [p.name for p in (tmp_path / "db").iterdir()] == ["x.db"]
+
+
+def test_dimensions_come_in_as_many_partitions_as_the_lines_need(spark, monkeypatch):
+    """Joins that shuffle have tasks that don't grow with the lines; the rows are the same."""
+    from playlog.operators import spread
+
+    want = sorted(map(repr, catalog.star(spark, "/root/testdata/sf0.001").collect()))
+    monkeypatch.setattr(spread, "TASK_ROWS", 700)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = catalog.star(spark, "/root/testdata/sf0.001")
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert all(re.search(rf"hashpartitioning\({key}#\d+L, 9\)", plan) for key in ("l_orderkey", "l_partkey", "l_suppkey")), plan
+        assert sorted(map(repr, df.collect())) == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
