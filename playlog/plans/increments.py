@@ -4,8 +4,9 @@ What the analytics need of the events is kept as partial sums that add up: for a
 repeated plays by key and day; for sessions by slots as long as the gap, and by slot and artist or album. The events
 that were added since the last refresh, as the event table's log names their files, become one more lot of partial
 sums, which is appended. From the sums of the artists and plays that the lot touches, their totals are computed anew
-and put in place of the old ones; the reports are projections of the totals. A lot counts once its mark is written,
-which comes last: a refresh that breaks off leaves sums that nothing reads, and is done anew.
+and put in place of the old ones, or all totals are, if the lot touches many; the reports are projections of the
+totals. A lot counts once its mark is written, which comes last: a refresh that breaks off leaves sums that nothing
+reads, and is done anew.
 
 If the log can't tell what was added (rows were replaced or compacted, or it is the first time), all is derived from
 all events, which also merges the lots.
@@ -22,12 +23,16 @@ from pyspark.sql import functions as F
 from ..functions.exactmath import minutes
 from ..operators import merge, sessions
 from ..operators.commit import TableLog
-from ..operators.distinct import distinct_counts
+from ..operators.spread import spread
 from . import analytics
 
 ARTISTS, REPEATS, SLOTS, MARKS = "artist_sums", "repeat_sums", "slot_sums", "refresh_marks"
 ARTIST_TOTALS, REPEAT_TOTALS = "artist_totals", "repeat_totals"
 MARK = "number long, lot string, marked_at timestamp_ntz"
+#: Keys that a lot touches: so many at most, and one of so many of the totals, travel to where totals and sums are read.
+TOUCHED_KEYS, TOUCHED_PART = 100_000, 4
+#: Rows of a task that aggregates repeated plays.
+KEY_ROWS = 200_000
 
 
 def _sums() -> list[Column]:
@@ -38,6 +43,11 @@ def _again() -> list[Column]:
     return [F.sum("streams").alias("streams"), F.sum("ms").alias("ms"), F.min("first").alias("first"), F.max("last").alias("last")]
 
 
+def _by_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` shuffled by keys that seldom repeat, before any aggregate: nothing is gained by combining them first. Up to four aggregates then share a task, some kilobyte a row."""
+    return spread(df, df.count(), *keys, each=KEY_ROWS)
+
+
 def artist_sums(events: DataFrame) -> DataFrame:
     """(artist_name, kind, value, streams, ms, first, last): plays by track, which add up to all, and which albums and days there are."""
     part = lambda kind, value, own: own.groupBy("artist_name", F.lit(kind).alias("kind"), value.alias("value")).agg(*_sums())
@@ -45,24 +55,30 @@ def artist_sums(events: DataFrame) -> DataFrame:
 
 
 def artist_totals(sums: DataFrame) -> DataFrame:
-    """``analytics.artist_totals`` from sums of any number of lots."""
-    of = lambda kind: F.when(F.col("kind") == kind, F.col("value"))
-    tracks = F.col("kind") == "track"
-    measures = {
-        "first_listened": ("min", F.when(tracks, F.col("first"))), "most_recent_listened": ("max", F.when(tracks, F.col("last"))),
-        "total_streams": ("sum", F.when(tracks, F.col("streams"))), "total_ms": ("sum", F.when(tracks, F.col("ms"))),
-    }
-    day = of("day").cast("date")
-    return distinct_counts(sums, ["artist_name"], measures, [("unique_tracks", of("track"))], [("unique_albums", of("album"))], [("active_years", F.year(day)), ("active_days", day)])
+    """``analytics.artist_totals`` from sums of any number of lots.
+
+    Read once and shuffled by value, so that a hot artist is spread; from there on an artist has a row for each kind
+    and year, which are combined before their shuffle.
+    """
+    is_a = lambda kind: F.col("kind") == kind
+    tracks = lambda c: F.when(is_a("track"), F.col(c)).alias(c)
+    values = sums.select("artist_name", "kind", "value", *(tracks(c) for c in ("streams", "ms", "first", "last"))).groupBy("artist_name", "kind", "value").agg(*_again())
+    years = values.groupBy("artist_name", "kind", F.when(is_a("day"), F.year(F.col("value").cast("date"))).alias("year")).agg(F.count("value").alias("n"), *_again())
+    return years.groupBy("artist_name").agg(
+        F.min("first").alias("first_listened"), F.max("last").alias("most_recent_listened"), F.sum("streams").alias("total_streams"), F.sum("ms").alias("total_ms"),
+        F.sum(F.when(is_a("track"), F.col("n")).otherwise(0)).alias("unique_tracks"), F.sum(F.when(is_a("album"), F.col("n")).otherwise(0)).alias("unique_albums"),
+        F.count("year").alias("active_years"), F.sum(F.when(is_a("day"), F.col("n")).otherwise(0)).alias("active_days"),
+    )
 
 
 def repeat_sums(events: DataFrame) -> DataFrame:
-    return events.groupBy(*analytics.REPEAT_KEYS, F.to_date("played_at").alias("day")).agg(*_sums())
+    plays = events.select(*analytics.REPEAT_KEYS, F.to_date("played_at").alias("day"), "played_at", "ms_played")
+    return _by_key(plays, [*analytics.REPEAT_KEYS, "day"]).groupBy(*analytics.REPEAT_KEYS, "day").agg(*_sums())
 
 
 def repeat_totals(sums: DataFrame) -> DataFrame:
     """Totals of each repeated key, from sums of any number of lots."""
-    days = sums.groupBy(*analytics.REPEAT_KEYS, "day").agg(*_again())
+    days = _by_key(sums, analytics.REPEAT_KEYS).groupBy(*analytics.REPEAT_KEYS, "day").agg(*_again())
     return days.groupBy(*analytics.REPEAT_KEYS).agg(F.sum("streams").alias("total_streams"), F.sum("ms").alias("total_ms"), F.min("first").alias("first_listened"), F.max("last").alias("last_listened"), F.count("day").alias("active_days"))
 
 
@@ -86,8 +102,13 @@ def session_summary(sums: DataFrame, gap: int = sessions.GAP_MINUTES) -> DataFra
     return own.join(found, "session_id", "left").select("session_id", "session_start", "session_end", length, "streams", none("artists"), none("albums"), minutes(F.col("ms")).alias("music_minutes"))
 
 
-def _touched(totals: DataFrame, sums: DataFrame, keys: list[str], touched: DataFrame, make) -> DataFrame:
-    """``totals`` with those of the touched keys made anew from their sums."""
+def _renewed(totals: DataFrame, sums: DataFrame, keys: list[str], batch: DataFrame, make) -> DataFrame:
+    """``totals`` with those of the keys of ``batch`` made anew from their sums; all of them, if these are more than travel, since a join would shuffle the sums just so, and the totals too."""
+    own = batch.select(*(F.col(k).alias(f"__{k}") for k in keys))
+    n = own.agg(F.approx_count_distinct(F.struct(*own.columns))).first()[0]
+    if n > TOUCHED_KEYS or n * TOUCHED_PART > totals.count():
+        return make(sums)
+    touched = F.broadcast(own.distinct())
     on = lambda df: [df[k].eqNullSafe(touched[f"__{k}"]) for k in keys]
     return totals.join(touched, on(totals), "left_anti").unionByName(make(sums.join(touched, on(sums), "left_semi")))
 
@@ -103,20 +124,19 @@ def refresh(spark: SparkSession, events: str, as_of: datetime.date | None = None
     whole = added is None
     batch = spark.table(events) if whole else added
     lots = None if whole else spark.table(MARKS).select("lot").unionByName(spark.createDataFrame([(lot,)], "lot string"))
-    makers = {ARTISTS: (artist_sums, "artist_name"), REPEATS: (repeat_sums, "track_id"), SLOTS: (slot_sums, "slot")}
+    makers = {ARTISTS: artist_sums, REPEATS: repeat_sums, SLOTS: slot_sums}
     if not whole and batch.limit(1).count() == 0:
         lots = spark.table(MARKS).select("lot")
     else:
-        for name, (make, near) in makers.items():
-            own = make(batch).withColumn("lot", F.lit(lot)).repartitionByRange(near).sortWithinPartitions(near)
+        for name, make in makers.items():
+            own = make(batch).withColumn("lot", F.lit(lot))
             merge.replace_table(own, name) if whole else merge.append(own, name)
     sums = lambda name: spark.table(name).drop("lot") if whole else spark.table(name).join(F.broadcast(lots), "lot", "left_semi").drop("lot")
     for name, total, keys, make in ((ARTISTS, ARTIST_TOTALS, ["artist_name"], artist_totals), (REPEATS, REPEAT_TOTALS, analytics.REPEAT_KEYS, repeat_totals)):
         if whole:
             merge.replace_table(make(sums(name)), total)
         else:
-            touched = batch.select(*(F.col(k).alias(f"__{k}") for k in keys)).distinct()
-            merge.replace_table(_touched(spark.table(total), sums(name), keys, touched, make), total)
+            merge.replace_table(_renewed(spark.table(total), sums(name), keys, batch, make), total)
     reports = {
         "artist_discovery": lambda: analytics.discovery_of(spark.table(ARTIST_TOTALS)),
         "artist_loyalty": lambda: analytics.loyalty_of(spark.table(ARTIST_TOTALS)),

@@ -938,3 +938,37 @@ def test_dimensions_come_in_as_many_partitions_as_the_lines_need(spark, monkeypa
         assert sorted(map(repr, df.collect())) == want
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_repeat_sums_and_totals_spread_with_the_rows(spark, monkeypatch):
+    """Keys that are mostly unique are aggregated by as many tasks as there are rows for."""
+    df = events(spark, [(k * 50_000, "a", f"t{k % 40}", None, k) for k in range(200)])
+    want = sorted(map(repr, increments.repeat_totals(increments.repeat_sums(df)).collect()))
+    monkeypatch.setattr(increments, "KEY_ROWS", 20)
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        sums = increments.repeat_sums(df)
+        totals = increments.repeat_totals(sums)
+        assert sums.rdd.getNumPartitions() == 10 and totals.rdd.getNumPartitions() == -(-sums.count() // 20) > 4
+        assert sorted(map(repr, totals.collect())) == want and len(want) == 40
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+@pytest.mark.parametrize("keys", [100_000, 0])
+def test_touched_totals_and_all_totals_agree(spark, monkeypatch, keys):
+    """Few touched keys travel, many make all totals anew; null keys, days played twice and artists of both lots."""
+    monkeypatch.setattr(increments, "TOUCHED_KEYS", keys)
+    monkeypatch.setattr(increments, "TOUCHED_PART", 0)
+    rng = random.Random(5)
+    rows = [(rng.randrange(90_000_000), rng.choice(["a", "b", None, *"cdefgh"]), f"t{rng.randrange(5)}", rng.choice([None, "x", "y"]), rng.randrange(9000)) for _ in range(300)]
+    old, new = events(spark, rows[:250]), events(spark, [r for r in rows[250:] if r[1] in ("a", None, "h")] + rows[:2])
+    both = old.unionByName(new)
+    for keys_of, sums, make, whole in (
+        (["artist_name"], increments.artist_sums, increments.artist_totals, analytics.artist_totals(both)),
+        (analytics.REPEAT_KEYS, increments.repeat_sums, increments.repeat_totals, increments.repeat_totals(increments.repeat_sums(both))),
+    ):
+        got = increments._renewed(make(sums(old)), sums(old).unionByName(sums(new)), keys_of, new, make)
+        assert ("BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()) == (keys > 0)
+        assert sorted(map(repr, (tuple(r[c] for c in whole.columns) for r in got.collect()))) == sorted(map(repr, map(tuple, whole.collect())))
