@@ -227,12 +227,13 @@ def load(batch: DataFrame, table: str, key: list[str] | tuple[str, ...], order:
 
             def rows() -> DataFrame:
                 new = first
-                if log.holds_rows():
+                if log.holds_rows() and not spark.table(table).isEmpty():  # a table that was just made has a file without rows
                     fits, base = _narrowed(folded, spark.table(table).withColumns(own), keys, located)
                     if fits and not stored_first:  # it is small, and read several times
                         stored_first.append(open_tables.enter_context(written_once(first, "first-rows")))
                     new = unheld(stored_first[0], spark.table(table).withColumns(own), keys, located) if fits else first_unheld(folded, base, keys, order)
-                return new.drop(*own).repartitionByRange(near).sortWithinPartitions(near)
+                # by the key too: the rows of one date are no single task's
+                return new.drop(*own).repartitionByRange(near, *(k for k in key if k != near)).sortWithinPartitions(near)
 
             return Loaded(processed, _append(spark, table, schema, rows, near), rejected)
 

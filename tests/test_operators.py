@@ -940,6 +940,19 @@ def test_dimensions_come_in_as_many_partitions_as_the_lines_need(spark, monkeypa
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
+def test_rows_of_one_date_are_no_single_tasks(spark):
+    """A load ranges its rows by the key too, so the sort and the files of one date are many tasks'."""
+    spark.sql("DROP TABLE IF EXISTS t_one_date")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        batch = spark.range(4000).select(F.lit(T0.date()).alias("date"), F.col("id").alias("k"))
+        assert merge.load(batch, "t_one_date", ["k"], [], ["date"]) == (4000, 4000, 0)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert len(commit.TableLog(spark, "t_one_date").sizes()) == 4 and spark.table("t_one_date").distinct().count() == 4000
+
+
 def test_repeat_sums_and_totals_spread_with_the_rows(spark, monkeypatch):
     """Keys that are mostly unique are aggregated by as many tasks as there are rows for."""
     df = events(spark, [(k * 50_000, "a", f"t{k % 40}", None, k) for k in range(200)])
